@@ -7,8 +7,8 @@ snapshot run), so the long chains stay readable.
 from __future__ import annotations
 
 from ledgerlake.plans import budget as B
-from ledgerlake.sources.testdata import (BATCH1_EDIT, BATCH2_EDIT, BATCH3_EDIT,
-                                         NEW_KEY_OFFSET, RUN_TS)
+from ledgerlake.sources.testdata import (BATCH1_EDIT, BATCH2_EDIT, BATCH3_EDIT, BATCH_CHANGES,
+                                         CHECKED_CHANGE, NEW_KEY_OFFSET, RUN_TS, UNCHECKED_CHANGE)
 from ledgerlake.spec import OPEN_END, SYSTEM_TIME
 
 TS = "TIMESTAMP '{}'".format
@@ -76,30 +76,48 @@ RAW_COLUMNS = {
 RAW_TAIL = ["created_time", "last_edited_time", "load_date"]
 
 
-def raw_ctes(entity: str, batch: int, prefix: str | None = None) -> dict[str, str]:
-    """CTEs ``<prefix>_b1`` .. ``<prefix>_b<batch>``; each keeps ``_k``."""
-    p = prefix or f"raw_{entity}"
-    ctes = {f"{p}_b1": RAW_BASE[entity]}
-    if batch >= 2:
-        cols = RAW_COLUMNS[entity]
-        sel2 = ", ".join(
-            ["_k"] + [("CASE WHEN _k % 5 = 0 THEN title || ' *' ELSE title END AS title" if c == "title" else c)
-                      for c in cols]
-            + [f"CASE WHEN _k % 7 = 0 THEN {TS(BATCH2_EDIT)} ELSE created_time END AS created_time",
-               f"CASE WHEN _k % 5 = 0 OR _k % 7 = 0 THEN {TS(BATCH2_EDIT)} ELSE last_edited_time END AS last_edited_time",
-               f"{TS(RUN_TS[batch])} AS load_date"])
+def raw_variant_sql(entity: str, base: str, changes, run: int) -> str:
+    """Twin of ``testdata.with_changes`` over the CTE ``base``."""
+    changes = frozenset(changes)
+    cols = RAW_COLUMNS[entity]
+    load = f"{TS(RUN_TS[run])} AS load_date"
+    if not changes:
+        return f"SELECT _k, {', '.join(cols)}, created_time, last_edited_time, {load} FROM {base}"
+    touched = ["FALSE"]
+    rep = {}
+    if "checked" in changes:
+        c = CHECKED_CHANGE[entity]
+        rep[c] = f"CASE WHEN _k % 5 = 0 THEN {c} || ' *' ELSE {c} END AS {c}"
+        touched.append("_k % 5 = 0")
+    created = "created_time"
+    if "unchecked" in changes:
+        created = f"CASE WHEN _k % 7 = 0 THEN {TS(BATCH2_EDIT)} ELSE created_time END AS created_time"
+        if entity in UNCHECKED_CHANGE:
+            c = UNCHECKED_CHANGE[entity]
+            rep[c] = f"CASE WHEN _k % 7 = 0 THEN {c} || ' x' ELSE {c} END AS {c}"
+        touched.append("_k % 7 = 0")
+    edited = f"CASE WHEN {' OR '.join(touched)} THEN {TS(BATCH2_EDIT)} ELSE last_edited_time END AS last_edited_time"
+    sel = ", ".join(["_k"] + [rep.get(c, c) for c in cols] + [created, edited, load])
+    where = " WHERE _k % 17 <> 0" if "drop" in changes else ""
+    body = f"SELECT {sel} FROM {base}{where}"
+    if "add" in changes:
         sel_add = ", ".join(
             [f"_k + {NEW_KEY_OFFSET} AS _k"]
             + [(f"CAST(_k + {NEW_KEY_OFFSET} AS VARCHAR) AS id" if c == "id" else c) for c in cols]
-            + [f"{TS(BATCH2_EDIT)} AS created_time", f"{TS(BATCH2_EDIT)} AS last_edited_time",
-               f"{TS(RUN_TS[batch])} AS load_date"])
-        body = (f"SELECT {sel2} FROM {p}_b1 WHERE _k % 17 <> 0\nUNION ALL\n"
-                f"SELECT {sel_add} FROM {p}_b1 WHERE _k % 50 = 0")
-        if batch == 3:
-            sel_back = ", ".join(["_k"] + cols + ["created_time", f"{TS(BATCH3_EDIT)} AS last_edited_time",
-                                                  f"{TS(RUN_TS[batch])} AS load_date"])
-            body += f"\nUNION ALL\nSELECT {sel_back} FROM {p}_b1 WHERE _k % 17 = 0"
-        ctes[f"{p}_b{batch}"] = body
+            + [f"{TS(BATCH2_EDIT)} AS created_time", f"{TS(BATCH2_EDIT)} AS last_edited_time", load])
+        body += f"\nUNION ALL\nSELECT {sel_add} FROM {base} WHERE _k % 50 = 0"
+    if "revive" in changes:
+        sel_back = ", ".join(["_k"] + cols + ["created_time", f"{TS(BATCH3_EDIT)} AS last_edited_time", load])
+        body += f"\nUNION ALL\nSELECT {sel_back} FROM {base} WHERE _k % 17 = 0"
+    return body
+
+
+def raw_ctes(entity: str, batch: int, prefix: str | None = None) -> dict[str, str]:
+    """CTEs ``<prefix>_base`` and ``<prefix>_b1`` .. ``<prefix>_b<batch>``; each keeps ``_k``."""
+    p = prefix or f"raw_{entity}"
+    ctes = {f"{p}_base": RAW_BASE[entity]}
+    for b in range(1, batch + 1):
+        ctes[f"{p}_b{b}"] = raw_variant_sql(entity, f"{p}_base", BATCH_CHANGES[b], b)
     return ctes
 
 
@@ -229,35 +247,190 @@ def fact_sql(fact: str, stg: str, dims: dict[str, str], dim_date: str | None) ->
 
 # ------------------------------------------------------- shared compositions
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
+ALL = frozenset({"drop", "checked", "unchecked", "add"})
+NONE = frozenset()
+THREE_RUNS = [(NONE, 1, True), (ALL, 2, False), (ALL | {"revive"}, 3, False)]
+TWO_RUNS = THREE_RUNS[:2]
 
 
-def dims_two_runs_ctes(entities=DIM_ENTITIES) -> dict[str, str]:
-    """CTEs ``dim_<entity>`` after an initial load of batch 1 (dates reset)
-    and an ordinary run on batch 2."""
-    ctes: dict[str, str] = {}
-    for e in entities:
-        ctes.update(raw_ctes(e, 2))
-        stg = f"stg_{e}"
-        ctes[f"{stg}_1"] = staging_sql(stg, f"({raw_select(e, f'raw_{e}_b1', reset=True)})")
-        ctes[f"{stg}_2"] = staging_sql(stg, f"({raw_select(e, f'raw_{e}_b2')})")
-        ctes[f"dim_{e}_1"] = snapshot_initial_sql(f"dim_{e}", f"{stg}_1", "last_edited_time")
-        ctes[f"dim_{e}"] = snapshot_merge_sql(f"dim_{e}", f"dim_{e}_1", f"{stg}_2", RUN_TS[2])
-    return ctes
+def _tag(run, changes, reset=False):
+    return f"r{run}_" + ("_".join(sorted(changes)) or "none") + ("_reset" if reset else "")
+
+
+def raw_cte(ctes: dict, entity: str, run: int, changes=None, reset: bool = False) -> str:
+    """Add the CTEs of one raw table state; returns the name of the typed,
+    source-filtered raw CTE (no ``_k``)."""
+    changes = BATCH_CHANGES[run] if changes is None else frozenset(changes)
+    base = f"raw_{entity}_base"
+    ctes.setdefault(base, RAW_BASE[entity])
+    var = f"raw_{entity}_{_tag(run, changes)}"
+    ctes.setdefault(var, raw_variant_sql(entity, base, changes, run))
+    name = f"{var}_sel" + ("_reset" if reset else "")
+    ctes.setdefault(name, raw_select(entity, var, reset=reset, txn_filter=(entity == "transaction")))
+    return name
+
+
+def staged_cte(ctes: dict, name: str, run: int = 1, reset: bool = False, changes=None,
+               parent_run: int | None = None) -> str:
+    spec = B.STAGING[name]
+    raw = raw_cte(ctes, spec.raw_table, run, changes, reset)
+    parent = None
+    if spec.lookup:
+        parent = raw_cte(ctes, spec.lookup[0], parent_run or run, None if parent_run else changes, reset)
+    cte = f"{name}_{_tag(run, BATCH_CHANGES[run] if changes is None else changes, reset)}" + (
+        f"_p{parent_run}" if parent_run else "")
+    ctes.setdefault(cte, staging_sql(name, raw, parent))
+    return cte
+
+
+def snapshot_runs_cte(ctes: dict, snap: str, runs) -> str:
+    spec = B.SNAPSHOTS[snap]
+    hist = None
+    tags = []
+    for changes, run, initial in runs:
+        stg = staged_cte(ctes, spec.source, run, reset=initial, changes=changes)
+        tags.append(_tag(run, changes, initial))
+        name = f"{snap}__" + "__".join(tags)
+        if hist is None:
+            upd = "last_edited_time" if initial else TS(RUN_TS[run])
+            ctes.setdefault(name, snapshot_initial_sql(snap, stg, upd))
+        else:
+            ctes.setdefault(name, snapshot_merge_sql(snap, hist, stg, RUN_TS[run],
+                                                     "last_edited_time" if initial else None))
+        hist = name
+    return hist
+
+
+def _generic_select(src: str, entity: str, cols: list[str]) -> str:
+    return (f"SELECT '{entity}' AS entity, "
+            + ", ".join(f"{c} AS {c.replace(entity + '_', '')}" for c in cols) + f" FROM {src}")
+
+
+SNAP_COLS = ["dk", "scd2_updated_at", "scd2_valid_from", "scd2_valid_to"]
+
+
+# ------------------------------------------------------------ query oracles
+def o_stg(name):
+    def o():
+        ctes = {}
+        return with_sql(ctes, f"SELECT * FROM {staged_cte(ctes, name)}")
+    return o
+
+
+def o_stg_year_month():
+    ctes = {}
+    y, m = staged_cte(ctes, "stg_year"), staged_cte(ctes, "stg_month")
+    return with_sql(ctes, _generic_select(y, "year", staging_columns("stg_year")) + "\nUNION ALL\n"
+                    + _generic_select(m, "month", staging_columns("stg_month")))
+
+
+SCD2_CASES = {
+    "scd2_initial": [(NONE, 1, False)],
+    "scd2_new": [(NONE, 1, False), (frozenset({"add"}), 2, False)],
+    "scd2_changed": [(NONE, 1, False), (frozenset({"checked"}), 2, False)],
+    "scd2_unchecked_frozen": [(NONE, 1, False), (frozenset({"unchecked"}), 2, False)],
+    "scd2_hard_delete": [(NONE, 1, False), (frozenset({"drop"}), 2, False)],
+    "scd2_revived": [(NONE, 1, False), (frozenset({"drop"}), 2, False), (frozenset({"drop", "revive"}), 3, False)],
+    "scd2_two_batches": [(NONE, 1, False), (ALL, 2, False), (ALL | {"revive"}, 3, False)],
+    "scd2_initial_load_dates": [(NONE, 1, True), (ALL, 2, False)],
+}
+
+
+def o_scd2_case(case):
+    def o():
+        ctes = {}
+        return with_sql(ctes, f"SELECT * FROM {snapshot_runs_cte(ctes, 'dim_subcategory', SCD2_CASES[case])}")
+    return o
+
+
+def o_scd2_spec(snap):
+    def o():
+        ctes = {}
+        return with_sql(ctes, f"SELECT * FROM {snapshot_runs_cte(ctes, snap, THREE_RUNS)}")
+    return o
+
+
+def o_scd2_dim_year_month():
+    ctes = {}
+    y = snapshot_runs_cte(ctes, "dim_year", THREE_RUNS)
+    m = snapshot_runs_cte(ctes, "dim_month", THREE_RUNS)
+    return with_sql(ctes, _generic_select(y, "year", staging_columns("stg_year") + SNAP_COLS) + "\nUNION ALL\n"
+                    + _generic_select(m, "month", staging_columns("stg_month") + SNAP_COLS))
+
+
+def dims_two_runs(ctes: dict, entities=DIM_ENTITIES) -> dict[str, str]:
+    return {f"dim_{e}": snapshot_runs_cte(ctes, f"dim_{e}", TWO_RUNS) for e in entities}
+
+
+def o_fact_transaction() -> str:
+    ctes = {}
+    dims = dims_two_runs(ctes)
+    stg = staged_cte(ctes, "stg_transaction", 1, parent_run=2)
+    ctes["dim_date"] = dim_date_sql(stg, "transaction_date")
+    return with_sql(ctes, fact_sql("fact_transaction", stg, dims, "dim_date"))
+
+
+def o_fact_budget() -> str:
+    ctes = {}
+    dims = dims_two_runs(ctes, ("category", "subcategory", "year", "month"))
+    stg = staged_cte(ctes, "stg_budget", 1, parent_run=2)
+    return with_sql(ctes, fact_sql("fact_budget", stg, dims, None))
+
+
+def _asof_sql(fact_sel: str, dim: str, key: str, at: str, out: str) -> str:
+    return (f"SELECT f.*, coalesce(d.dk, (SELECT dk FROM {dim} WHERE subcategory_id_bk = '-1')) AS {out}\n"
+            f"FROM ({fact_sel}) f LEFT JOIN {dim} d ON d.subcategory_id_bk = f.{key} "
+            f"AND d.scd2_valid_from <= f.{at} AND d.scd2_valid_to > f.{at}")
+
+
+def o_asof_single() -> str:
+    ctes = {}
+    dim = snapshot_runs_cte(ctes, "dim_subcategory", TWO_RUNS)
+    stg = staged_cte(ctes, "stg_transaction", 1, parent_run=2)
+    return with_sql(ctes, _asof_sql(f"SELECT transaction_id_bk, transaction_date, subcategory_id FROM {stg}",
+                                    dim, "subcategory_id", "transaction_date", "subcategory_dk"))
+
+
+BOUNDARY_DATES = ("1989-12-31", "1990-01-01", "1998-05-31", "1998-06-01", "1999-12-31", "2000-01-01",
+                  "2000-01-02", None)
+
+
+def o_asof_boundary() -> str:
+    ctes = {}
+    dim = snapshot_runs_cte(ctes, "dim_subcategory", THREE_RUNS)
+    keys = staged_cte(ctes, "stg_subcategory", 3, changes=ALL | {"revive"})
+    dates = ", ".join("NULL" if d is None else f"DATE '{d}'" for d in BOUNDARY_DATES)
+    probes = (f"SELECT subcategory_id_bk AS subcategory_id, CAST(unnest([{dates}]) AS DATE) AS probe_date "
+              f"FROM {keys}")
+    return with_sql(ctes, _asof_sql(probes, dim, "subcategory_id", "probe_date", "subcategory_dk"))
+
+
+def o_unknown_member() -> str:
+    ctes = {}
+    dims = dims_two_runs(ctes)
+    parts = [f"SELECT '{n}' AS dim, (SELECT dk FROM {c} WHERE {n[4:]}_id_bk = '-1') AS unknown_dk"
+             for n, c in dims.items()]
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
 
 
-def oracle_fact_transaction() -> str:
-    ctes = dims_two_runs_ctes()
-    ctes.update(raw_ctes("transaction", 1))
-    ctes["stg_transaction"] = staging_sql(
-        "stg_transaction", f"({raw_select('transaction', 'raw_transaction_b1', txn_filter=True)})",
-        parent=f"({raw_select('subcategory', 'raw_subcategory_b2')})")
-    ctes["dim_date"] = dim_date_sql("stg_transaction", "transaction_date")
-    return with_sql(ctes, fact_sql("fact_transaction", "stg_transaction",
-                                   {f"dim_{e}": f"dim_{e}" for e in DIM_ENTITIES}, "dim_date"))
+def o_dim_date() -> str:
+    return dim_date_sql("orders", "o_orderdate")
 
 
 ORACLE = {
-    "fact_transaction": oracle_fact_transaction,
+    **{n: o_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
+    "stg_year_month": o_stg_year_month,
+    **{n: o_scd2_case(n) for n in SCD2_CASES},
+    **{f"scd2_{n}": o_scd2_spec(n) for n in ("dim_account", "dim_category", "dim_subcategory")},
+    "scd2_dim_year_month": o_scd2_dim_year_month,
+    "scd2_transaction_log": o_scd2_spec("fact_transaction_audit_log"),
+    "scd2_budget_log": o_scd2_spec("fact_budget_audit_log"),
+    "asof_single": o_asof_single,
+    "asof_boundary": o_asof_boundary,
+    "unknown_member": o_unknown_member,
+    "fact_transaction": o_fact_transaction,
+    "fact_budget": o_fact_budget,
+    "dim_date": o_dim_date,
 }
 
 

@@ -5,16 +5,23 @@ counterparts are in ``plans.oracle``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.operators.asof import asof_left_join, unknown_member
 from ledgerlake.operators.calendar import dim_date_covering
 from ledgerlake.operators.load import reset_dates, source_filter
-from ledgerlake.plans.budget import TRANSACTION
-from ledgerlake.plans.warehouse import build_facts, snapshot_all, stage_all
-from ledgerlake.sources.testdata import RUN_TS, raw_table
-from ledgerlake.spec import RunContext
+from ledgerlake.operators.scd2 import scd2_merge
+from ledgerlake.plans.budget import SNAPSHOTS, STAGING, TRANSACTION
+from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
+from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
+from ledgerlake.spec import DimRef, RunContext
 
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
+ALL = frozenset({"drop", "checked", "unchecked", "add"})
+NONE = frozenset()
 
 
 def ctx(run: int, initial: bool = False) -> RunContext:
@@ -22,34 +29,162 @@ def ctx(run: int, initial: bool = False) -> RunContext:
                       run_ts=RUN_TS[run], is_initial_load=initial)
 
 
-def raw_batch(spark, sf, entities, batch: int, reset: bool = False) -> dict[str, DataFrame]:
+def raw_batch(spark, sf, entities, batch: int, reset: bool = False,
+              changes=None) -> dict[str, DataFrame]:
     out = {}
     for e in entities:
-        df = raw_table(spark, sf, e, batch)
+        df = raw_table(spark, sf, e, batch, changes=changes)
         if e == "transaction":
             df = source_filter(df, TRANSACTION)
         out[e] = reset_dates(df) if reset else df
     return out
 
 
+def staging_inputs(name: str) -> list[str]:
+    spec = STAGING[name]
+    return [spec.raw_table] + ([spec.lookup[0]] if spec.lookup else [])
+
+
+def staged(spark, sf, name: str, batch: int = 1, reset: bool = False, changes=None) -> DataFrame:
+    return stage_one(name, raw_batch(spark, sf, staging_inputs(name), batch, reset, changes))
+
+
+def snapshot_runs(spark, sf, snap: str, runs) -> DataFrame:
+    """History of ``snap`` after ``runs``: a list of (changes, run, initial)."""
+    spec = SNAPSHOTS[snap]
+    hist = None
+    for changes, run, initial in runs:
+        stg = staged(spark, sf, spec.source, run, reset=initial, changes=changes)
+        hist = scd2_merge(hist, stg, spec, ctx(run, initial))
+    return hist
+
+
+THREE_RUNS = [(NONE, 1, True), (ALL, 2, False), (ALL | {"revive"}, 3, False)]
+TWO_RUNS = THREE_RUNS[:2]
+
+
 def dims_after_two_runs(spark, sf, entities=DIM_ENTITIES) -> dict[str, DataFrame]:
     """Initial load (dates reset, updated_at = last_edited_time), then an
     ordinary run on batch 2."""
-    stg1 = stage_all(raw_batch(spark, sf, entities, 1, reset=True))
-    h1 = snapshot_all(None, stg1, ctx(1, initial=True))
-    stg2 = stage_all(raw_batch(spark, sf, entities, 2))
-    return snapshot_all(h1, stg2, ctx(2))
+    return {f"dim_{e}": snapshot_runs(spark, sf, f"dim_{e}", TWO_RUNS) for e in entities}
 
 
-def q_fact_transaction(spark: SparkSession, sf: str) -> DataFrame:
-    dims = dims_after_two_runs(spark, sf)
+def _generic_names(df: DataFrame, entity: str) -> DataFrame:
+    return df.select(F.lit(entity).alias("entity"),
+                     *[F.col(c).alias(c.replace(f"{entity}_", "")) for c in df.columns])
+
+
+# ------------------------------------------------------------------ staging
+def q_stg(name):
+    def q(spark, sf):
+        return staged(spark, sf, name)
+    return q
+
+
+def q_stg_year_month(spark, sf):
+    return _generic_names(staged(spark, sf, "stg_year"), "year").unionByName(
+        _generic_names(staged(spark, sf, "stg_month"), "month"))
+
+
+# --------------------------------------------------------------------- SCD2
+SCD2_CASES = {
+    "scd2_initial": [(NONE, 1, False)],
+    "scd2_new": [(NONE, 1, False), (frozenset({"add"}), 2, False)],
+    "scd2_changed": [(NONE, 1, False), (frozenset({"checked"}), 2, False)],
+    "scd2_unchecked_frozen": [(NONE, 1, False), (frozenset({"unchecked"}), 2, False)],
+    "scd2_hard_delete": [(NONE, 1, False), (frozenset({"drop"}), 2, False)],
+    "scd2_revived": [(NONE, 1, False), (frozenset({"drop"}), 2, False), (frozenset({"drop", "revive"}), 3, False)],
+    "scd2_two_batches": [(NONE, 1, False), (ALL, 2, False), (ALL | {"revive"}, 3, False)],
+    "scd2_initial_load_dates": [(NONE, 1, True), (ALL, 2, False)],
+}
+
+
+def q_scd2_case(case):
+    def q(spark, sf):
+        return snapshot_runs(spark, sf, "dim_subcategory", SCD2_CASES[case])
+    return q
+
+
+def q_scd2_spec(snap):
+    def q(spark, sf):
+        return snapshot_runs(spark, sf, snap, THREE_RUNS)
+    return q
+
+
+def q_scd2_dim_year_month(spark, sf):
+    return _generic_names(snapshot_runs(spark, sf, "dim_year", THREE_RUNS), "year").unionByName(
+        _generic_names(snapshot_runs(spark, sf, "dim_month", THREE_RUNS), "month"))
+
+
+# -------------------------------------------------------------------- facts
+def fact_transaction_source(spark, sf) -> dict[str, DataFrame]:
     raw = raw_batch(spark, sf, ["subcategory"], 2)
     raw["transaction"] = raw_batch(spark, sf, ["transaction"], 1)["transaction"]
-    stg = stage_all(raw, ["stg_transaction"])
+    return stage_all(raw, ["stg_transaction"])
+
+
+def q_fact_transaction(spark: SparkSession, sf: str) -> DataFrame:
+    dims = dims_after_two_runs(spark, sf)
+    stg = fact_transaction_source(spark, sf)
     cal = dim_date_covering(stg["stg_transaction"], "transaction_date")
     return build_facts(stg, dims, cal, ["fact_transaction"])["fact_transaction"]
 
 
+def q_fact_budget(spark, sf):
+    dims = dims_after_two_runs(spark, sf, ("category", "subcategory", "year", "month"))
+    raw = raw_batch(spark, sf, ["subcategory"], 2)
+    raw["budget"] = raw_batch(spark, sf, ["budget"], 1)["budget"]
+    stg = stage_all(raw, ["stg_budget"])
+    return build_facts(stg, dims, None, ["fact_budget"])["fact_budget"]
+
+
+def q_asof_single(spark, sf):
+    dim = snapshot_runs(spark, sf, "dim_subcategory", TWO_RUNS)
+    t = fact_transaction_source(spark, sf)["stg_transaction"]
+    ref = DimRef("dim_subcategory", "subcategory_id_bk", "subcategory_id", "subcategory_dk")
+    return asof_left_join(t.select("transaction_id_bk", "transaction_date", "subcategory_id"), dim, ref,
+                          "transaction_date")
+
+
+# Fixed probe dates around the fixture's version boundaries.
+BOUNDARY_DATES = ("1989-12-31", "1990-01-01", "1998-05-31", "1998-06-01", "1999-12-31", "2000-01-01",
+                  "2000-01-02", None)
+
+
+def q_asof_boundary(spark, sf):
+    dim = snapshot_runs(spark, sf, "dim_subcategory", THREE_RUNS)
+    keys = staged(spark, sf, "stg_subcategory", 3, changes=ALL | {"revive"}).select(
+        F.col("subcategory_id_bk").alias("subcategory_id"))
+    probes = keys.select("subcategory_id", F.explode(F.array(
+        *[F.lit(d).cast("date") for d in BOUNDARY_DATES])).alias("probe_date"))
+    ref = DimRef("dim_subcategory", "subcategory_id_bk", "subcategory_id", "subcategory_dk")
+    return asof_left_join(probes, dim, ref, "probe_date")
+
+
+def q_unknown_member(spark, sf):
+    dims = dims_after_two_runs(spark, sf)
+    one = spark.range(1)
+    parts = [one.select(F.lit(n).alias("dim"), unknown_member(d, f"{n[4:]}_id_bk").alias("unknown_dk"))
+             for n, d in dims.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_dim_date(spark, sf):
+    return dim_date_covering(read_table(spark, sf, "orders"), "o_orderdate")
+
+
 QUERIES = {
+    **{n: q_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
+    "stg_year_month": q_stg_year_month,
+    **{n: q_scd2_case(n) for n in SCD2_CASES},
+    **{f"scd2_{n}": q_scd2_spec(n) for n in ("dim_account", "dim_category", "dim_subcategory")},
+    "scd2_dim_year_month": q_scd2_dim_year_month,
+    "scd2_transaction_log": q_scd2_spec("fact_transaction_audit_log"),
+    "scd2_budget_log": q_scd2_spec("fact_budget_audit_log"),
+    "asof_single": q_asof_single,
+    "asof_boundary": q_asof_boundary,
+    "unknown_member": q_unknown_member,
     "fact_transaction": q_fact_transaction,
+    "fact_budget": q_fact_budget,
+    "dim_date": q_dim_date,
 }

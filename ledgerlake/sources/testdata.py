@@ -21,7 +21,7 @@ from ledgerlake.functions.scalar import ts_literal
 BATCH1_EDIT = "1994-06-01 00:00:00"      # created/edited time of dimension rows in batch 1
 BATCH2_EDIT = "1997-12-15 00:00:00"      # edit time of rows changed or added in batch 2
 BATCH3_EDIT = "1999-12-15 00:00:00"      # edit time of rows revived in batch 3
-RUN_TS = {1: "1995-01-01 00:00:00", 2: "1998-06-01 00:00:00", 3: "2000-01-01 00:00:00"}
+RUN_TS = {1: "1995-01-01 00:00:00", 2: "1998-06-01 00:00:00", 3: "2000-01-01 10:30:00"}
 NEW_KEY_OFFSET = 1_000_000
 STATUS_BY_ORDER_STATUS = {"F": "Платено", "P": "Предстои"}
 OTHER_STATUS = "В процес"
@@ -127,35 +127,58 @@ BASES = {"account": account_base, "category": category_base, "subcategory": subc
          "year": year_base, "month": month_base, "transaction": transaction_base, "budget": budget_base}
 
 # column changed where k % 5 = 0 (a check column of every snapshot)
-CHECKED_CHANGE = {"account": "title", "category": "title", "subcategory": "title", "year": "title",
-                  "month": "title", "transaction": "title", "budget": "title"}
+CHECKED_CHANGE = {e: "title" for e in BASES}
+# column changed where k % 7 = 0 besides created_time (not a check column)
+UNCHECKED_CHANGE = {"subcategory": "account_id"}
 
+ALL_CHANGES = frozenset({"drop", "checked", "unchecked", "add"})
+BATCH_CHANGES = {1: frozenset(), 2: ALL_CHANGES, 3: ALL_CHANGES | {"revive"}}
 
-def with_batch(base: DataFrame, batch: int, checked_col: str = "title") -> DataFrame:
-    """State of the source in ``batch`` (1, 2 or 3), keeping the ``_k`` column."""
-    if batch == 1:
-        return base
+
+def with_changes(base: DataFrame, entity: str, changes: frozenset, run: int) -> DataFrame:
+    """Source state after ``changes`` to ``base`` (keeps the ``_k`` column):
+
+    drop       keys with k % 17 = 0 disappear
+    checked    title gets ' *' where k % 5 = 0 (a check column)
+    unchecked  created_time (and one more unchecked column) change where k % 7 = 0
+    add        a copy keyed k + 1000000 appears where k % 50 = 0
+    revive     the dropped keys come back, edited later
+    """
+    if not changes:
+        return base.withColumn("load_date", ts_literal(RUN_TS[run]))
     k = F.col("_k")
     edit2 = ts_literal(BATCH2_EDIT)
-    changed = (k % 5 == 0) | (k % 7 == 0)
-    b2 = base.filter(k % 17 != 0).withColumns({
-        checked_col: F.when(k % 5 == 0, F.concat(F.col(checked_col), F.lit(" *"))).otherwise(F.col(checked_col)),
-        "created_time": F.when(k % 7 == 0, edit2).otherwise(F.col("created_time")),
-        "last_edited_time": F.when(changed, edit2).otherwise(F.col("last_edited_time")),
-    })
-    added = base.filter(k % 50 == 0).withColumns({
-        "_k": k + NEW_KEY_OFFSET,
-        "id": (k + NEW_KEY_OFFSET).cast("string"),
-        "created_time": edit2, "last_edited_time": edit2})
-    out = b2.unionByName(added)
-    if batch == 3:
+    cur = base.filter(k % 17 != 0) if "drop" in changes else base
+    touched = F.lit(False)
+    upd = {}
+    if "checked" in changes:
+        c = CHECKED_CHANGE[entity]
+        upd[c] = F.when(k % 5 == 0, F.concat(F.col(c), F.lit(" *"))).otherwise(F.col(c))
+        touched = touched | (k % 5 == 0)
+    if "unchecked" in changes:
+        upd["created_time"] = F.when(k % 7 == 0, edit2).otherwise(F.col("created_time"))
+        if entity in UNCHECKED_CHANGE:
+            c = UNCHECKED_CHANGE[entity]
+            upd[c] = F.when(k % 7 == 0, F.concat(F.col(c), F.lit(" x"))).otherwise(F.col(c))
+        touched = touched | (k % 7 == 0)
+    upd["last_edited_time"] = F.when(touched, edit2).otherwise(F.col("last_edited_time"))
+    out = cur.withColumns(upd)
+    if "add" in changes:
+        added = base.filter(k % 50 == 0).withColumns({
+            "_k": k + NEW_KEY_OFFSET,
+            "id": (k + NEW_KEY_OFFSET).cast("string"),
+            "created_time": edit2, "last_edited_time": edit2})
+        out = out.unionByName(added)
+    if "revive" in changes:
         back = base.filter(k % 17 == 0).withColumn("last_edited_time", ts_literal(BATCH3_EDIT))
         out = out.unionByName(back)
-    return out.withColumn("load_date", ts_literal(RUN_TS[batch]))
+    return out.withColumn("load_date", ts_literal(RUN_TS[run]))
 
 
 def raw_table(spark: SparkSession, sf_dir: str, entity: str, batch: int = 1,
-              keep_key: bool = False) -> DataFrame:
-    """Raw table of ``entity`` in source state ``batch``."""
-    df = with_batch(BASES[entity](spark, sf_dir), batch, CHECKED_CHANGE[entity])
+              keep_key: bool = False, changes: frozenset | None = None) -> DataFrame:
+    """Raw table of ``entity`` in source state ``batch`` (or base + ``changes``
+    loaded in run ``batch``)."""
+    ch = BATCH_CHANGES[batch] if changes is None else frozenset(changes)
+    df = with_changes(BASES[entity](spark, sf_dir), entity, ch, batch)
     return df if keep_key else df.drop("_k")

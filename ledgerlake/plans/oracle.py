@@ -417,6 +417,318 @@ def o_dim_date() -> str:
     return dim_date_sql("orders", "o_orderdate")
 
 
+# --------------------------------------------------------------------- load
+ENTITY_NAMES = tuple(e.name for e in B.ENTITY_ORDER)
+
+
+def load_runs_cte(ctes: dict, entity: str, changes2=None, src2: str | None = None, tag: str = "") -> dict:
+    """Two entity loads on the raw layer; returns CTE names per step."""
+    p = f"load_{entity}{tag}"
+    src1 = raw_cte(ctes, entity, 1)
+    ctes[f"{p}_kept1"] = (f"SELECT * FROM {src1} u WHERE EXISTS "
+                          f"(SELECT 1 FROM {src1} s WHERE s.id = u.id)")
+    src2 = src2 or raw_cte(ctes, entity, 2, changes2)
+    ctes[f"{p}_incr2"] = (f"SELECT * FROM {src2} WHERE last_edited_time > "
+                          f"(SELECT max(load_date) FROM {p}_kept1)")
+    ctes[f"{p}_ups2"] = (f"SELECT * FROM {p}_kept1 t WHERE NOT EXISTS (SELECT 1 FROM {p}_incr2 b WHERE b.id = t.id)"
+                         f"\nUNION ALL\nSELECT * FROM {p}_incr2")
+    ctes[f"{p}_kept2"] = f"SELECT * FROM {p}_ups2 u WHERE EXISTS (SELECT 1 FROM {src2} s WHERE s.id = u.id)"
+    ctes[f"{p}_removed2"] = f"SELECT * FROM {p}_ups2 u WHERE NOT EXISTS (SELECT 1 FROM {src2} s WHERE s.id = u.id)"
+    return {"src1": src1, "kept1": f"{p}_kept1", "src2": src2, "incr2": f"{p}_incr2", "ups2": f"{p}_ups2",
+            "kept2": f"{p}_kept2", "removed2": f"{p}_removed2"}
+
+
+def _sel(body_cte: str) -> str:
+    return f"SELECT * FROM {body_cte}"
+
+
+def o_watermark() -> str:
+    ctes = {}
+    parts = [f"SELECT '{e}' AS entity, max(load_date) AS watermark FROM {load_runs_cte(ctes, e)['kept1']}"
+             for e in ENTITY_NAMES]
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def o_load_step(entity: str, step: str, changes2=None):
+    def o():
+        ctes = {}
+        return with_sql(ctes, _sel(load_runs_cte(ctes, entity, changes2)[step]))
+    return o
+
+
+def o_incremental_full() -> str:
+    ctes = {}
+    return with_sql(ctes, _sel(raw_cte(ctes, "subcategory", 2)))
+
+
+def o_txn_source_filter() -> str:
+    ctes = {}
+    return with_sql(ctes, _sel(raw_cte(ctes, "transaction", 1)))
+
+
+def o_txn_turned_planned() -> str:
+    ctes = {"raw_transaction_base": RAW_BASE["transaction"]}
+    ctes["raw_transaction_r2_none"] = raw_variant_sql("transaction", "raw_transaction_base", NONE, 2)
+    cols = [(f"CASE WHEN _k % 11 = 0 THEN '{B.PLANNED_STATUS}' ELSE status END AS status" if c == "status" else c)
+            for c in RAW_COLUMNS["transaction"]] + RAW_TAIL
+    ctes["planned_all"] = f"SELECT {', '.join(cols)} FROM raw_transaction_r2_none"
+    ctes["planned_src"] = (f"SELECT * FROM planned_all WHERE is_template IS NOT TRUE "
+                           f"AND status IS DISTINCT FROM '{B.PLANNED_STATUS}'")
+    return with_sql(ctes, _sel(load_runs_cte(ctes, "transaction", src2="planned_src", tag="_planned")["removed2"]))
+
+
+def o_reset_dates() -> str:
+    ctes = {}
+    raw = raw_cte(ctes, "transaction", 1)
+    return with_sql(ctes, raw_select("transaction", raw, reset=True))
+
+
+# ------------------------------------------------------------------- scalar
+def o_cast_text() -> str:
+    return """SELECT c_custkey, left(CAST(c_name AS VARCHAR), 12) AS name_12, left(c_mktsegment, 5) AS segment_5,
+       left(CAST(c_nationkey AS VARCHAR), 1) AS nation_1, c_name AS name_full,
+       CAST(c_custkey % 2 = 0 AS VARCHAR) AS is_even
+FROM customer"""
+
+
+def o_cast_decimal() -> str:
+    return """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(27,2)) AS amount,
+       CAST(o_totalprice AS DECIMAL(27,2)) * 3 - CAST(o_totalprice AS DECIMAL(27,2)) AS amount_expr
+FROM orders"""
+
+
+_ISO = ("strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%dT%H:%M:%S') "
+        "|| (['Z', '+02:00', '-05:30'])[CAST(o_orderkey % 3 AS INTEGER) + 1]")
+
+
+def o_cast_temporal() -> str:
+    return f"""SELECT o_orderkey, iso_text, timezone('UTC', CAST(iso_text AS TIMESTAMPTZ)) AS as_timestamp,
+       CAST(left(iso_text, 10) AS DATE) AS as_date
+FROM (SELECT o_orderkey, {_ISO} AS iso_text FROM orders)"""
+
+
+def o_run_id_format() -> str:
+    return """SELECT o_orderkey, raw_run_id,
+       CASE WHEN raw_run_id IS NULL THEN 99999999999999
+            WHEN contains(raw_run_id, 'T')
+              THEN CAST(strftime(timezone('Europe/Sofia', CAST(raw_run_id AS TIMESTAMPTZ)), '%Y%m%d%H%M%S') AS BIGINT)
+            ELSE CAST(raw_run_id AS BIGINT) END AS run_id
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderkey % 11 = 0 THEN NULL
+                  WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey + 20000000000000 AS VARCHAR)
+                  ELSE strftime(o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ')
+             END AS raw_run_id
+      FROM orders)"""
+
+
+# ------------------------------------------------------------------ quality
+def _appended_subcategory(ctes: dict) -> str:
+    a, b = raw_cte(ctes, "subcategory", 1), raw_cte(ctes, "subcategory", 2)
+    ctes["raw_subcategory_appended"] = f"SELECT * FROM {a}\nUNION ALL\nSELECT * FROM {b}"
+    return "raw_subcategory_appended"
+
+
+def _sql_list(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+def check_failures_sql(c, tables: dict[str, str]) -> str:
+    """Violating rows of one check, in the same shape as ``operators.quality``."""
+    t = tables[c.table]
+    if c.kind == "unique":
+        cols = list(c.columns)
+        nn = " AND ".join(f"{x} IS NOT NULL" for x in cols)
+        if len(cols) == 1:
+            return (f"SELECT {cols[0]} AS unique_field, count(*) AS n_records FROM {t} WHERE {nn} "
+                    f"GROUP BY {cols[0]} HAVING count(*) > 1")
+        return (f"SELECT {', '.join(cols)}, count(*) AS n_records FROM {t} WHERE {nn} "
+                f"GROUP BY {', '.join(cols)} HAVING count(*) > 1")
+    if c.kind == "not_null":
+        return f"SELECT * FROM {t} WHERE {c.columns[0]} IS NULL"
+    if c.kind == "accepted_values":
+        col = c.columns[0]
+        return (f"SELECT {col} AS value_field, count(*) AS n_records FROM {t} WHERE {col} IS NOT NULL "
+                f"AND {col} NOT IN ({_sql_list(c.values)}) GROUP BY {col}")
+    if c.kind == "primary_key":
+        cols = list(c.columns)
+        key = " || '|' || ".join(f"CAST({x} AS VARCHAR)" for x in cols)
+        anynull = " OR ".join(f"{x} IS NULL" for x in cols)
+        return (f"SELECT {key} AS key_value, count(*) AS n_records, 'duplicate' AS problem FROM {t} "
+                f"WHERE NOT ({anynull}) GROUP BY {key} HAVING count(*) > 1\nUNION ALL\n"
+                f"SELECT NULL, count(*), 'null' FROM {t} WHERE {anynull} HAVING count(*) > 0")
+    if c.kind == "foreign_key":
+        col, pt, pc = c.columns[0], tables[c.parent], c.parent_columns[0]
+        return (f"SELECT * FROM {t} f WHERE f.{col} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {pt} p WHERE p.{pc} = f.{col})")
+    if c.kind == "expression":
+        return f"SELECT * FROM {t} WHERE {c.condition}"
+    raise ValueError(c.kind)
+
+
+def o_dq_unique() -> str:
+    ctes = {}
+    raw = _appended_subcategory(ctes)
+    ctes["stg_subcategory_dup"] = staging_sql("stg_subcategory", raw)
+    return with_sql(ctes, "SELECT subcategory_id_bk AS unique_field, count(*) AS n_records FROM stg_subcategory_dup "
+                          "WHERE subcategory_id_bk IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+
+
+def o_dq_unique_composite() -> str:
+    ctes = {}
+    d = snapshot_runs_cte(ctes, "dim_subcategory", SCD2_CASES["scd2_new"])
+    return with_sql(ctes, f"SELECT subcategory_name, scd2_valid_to, count(*) AS n_records FROM {d} "
+                          "WHERE subcategory_name IS NOT NULL AND scd2_valid_to IS NOT NULL "
+                          "GROUP BY subcategory_name, scd2_valid_to HAVING count(*) > 1")
+
+
+def o_dq_not_null() -> str:
+    ctes = {}
+    stg = staged_cte(ctes, "stg_transaction")
+    parts = [f"SELECT '{c.name}' AS test_name, transaction_id_bk AS key_value FROM {stg} WHERE {c.columns[0]} IS NULL"
+             for c in B.STAGING_CHECKS if c.kind == "not_null" and c.table == "stg_transaction"]
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def _staging_batch2(ctes: dict) -> dict[str, str]:
+    return {n: staged_cte(ctes, n, 2) for n in B.STAGING}
+
+
+def o_dq_accepted_values() -> str:
+    ctes = {}
+    stg = _staging_batch2(ctes)
+    parts = [f"SELECT '{c.name}' AS test_name, value_field, n_records FROM ({check_failures_sql(c, stg)})"
+             for c in B.STAGING_CHECKS if c.kind == "accepted_values"]
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def o_dq_primary_key() -> str:
+    ctes = {}
+    raw_sub = _appended_subcategory(ctes)
+    raw_txn = raw_cte(ctes, "transaction", 1)
+    ctes["stg_transaction_dup"] = staging_sql("stg_transaction", raw_txn, raw_sub)
+    chk = B.Check("pk", "stg_transaction_dup", "primary_key", ("transaction_id_bk",))
+    return with_sql(ctes, check_failures_sql(chk, {"stg_transaction_dup": "stg_transaction_dup"}))
+
+
+def _fact_transaction_ctes(ctes: dict) -> str:
+    dims = dims_two_runs(ctes)
+    stg = staged_cte(ctes, "stg_transaction", 1, parent_run=2)
+    ctes["dim_date"] = dim_date_sql(stg, "transaction_date")
+    ctes["fact_transaction"] = fact_sql("fact_transaction", stg, dims, "dim_date")
+    return "fact_transaction"
+
+
+def o_dq_foreign_key() -> str:
+    ctes = {}
+    fact = _fact_transaction_ctes(ctes)
+    tables = {"fact_transaction": fact, "dim_date": "dim_date"}
+    for e in DIM_ENTITIES:
+        tables[f"dim_{e}"] = snapshot_runs_cte(ctes, f"dim_{e}", TWO_RUNS[:1])
+    parts = []
+    for c in B.WAREHOUSE_CHECKS:
+        if c.kind == "foreign_key" and c.table == "fact_transaction":
+            parts.append(f"SELECT '{c.name}' AS test_name, {c.columns[0]} AS child_value, count(*) AS n_records "
+                         f"FROM ({check_failures_sql(c, tables)}) GROUP BY {c.columns[0]}")
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def o_dq_singular_warn() -> str:
+    ctes = {}
+    fact = _fact_transaction_ctes(ctes)
+    chk = next(c for c in B.WAREHOUSE_CHECKS if c.name == "transaction_amount_is_null")
+    return with_sql(ctes, f"SELECT * FROM {fact} WHERE {chk.condition}")
+
+
+def summary_sql(checks, tables: dict[str, str]) -> str:
+    parts = []
+    for c in checks:
+        parts.append(
+            f"SELECT '{c.name}' AS test_name, '{c.table}' AS table_name, '{c.severity}' AS severity, failures, "
+            f"CASE WHEN failures = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+            f"FROM (SELECT count(*) AS failures FROM ({check_failures_sql(c, tables)}))")
+    return "\nUNION ALL\n".join(parts)
+
+
+def o_dq_summary() -> str:
+    ctes = {}
+    stg = _staging_batch2(ctes)
+    return with_sql(ctes, summary_sql(B.STAGING_CHECKS, stg))
+
+
+# -------------------------------------------------------------------- stats
+def _run_id(run: int) -> int:
+    return int(RUN_TS[run].replace("-", "").replace(":", "").replace(" ", ""))
+
+
+DAG = "warehouse_load"
+
+
+def _load_counts_ctes(ctes: dict) -> str:
+    parts = []
+    for e in ENTITY_NAMES:
+        n = load_runs_cte(ctes, e)
+        for run, incr, removed in ((1, n["src1"], None), (2, n["incr2"], n["removed2"])):
+            dele = f"(SELECT count(*) FROM {removed})" if removed else "0"
+            parts.append(f"SELECT CAST({_run_id(run)} AS BIGINT) AS run_id, DATE '{RUN_TS[run][:10]}' AS run_date, "
+                         f"'{DAG}' AS dag_name, 'extract_and_load_{e}' AS task_name, "
+                         f"(SELECT count(*) FROM {incr}) AS ntn_extracted, (SELECT count(*) FROM {incr}) AS raw_loaded, "
+                         f"{dele} AS raw_deleted, CAST(NULL AS BIGINT) AS wh_loaded, CAST(NULL AS BIGINT) AS wh_closed")
+    ctes["stats_loads"] = "\nUNION ALL\n".join(parts)
+    return "stats_loads"
+
+
+def o_stats_upsert() -> str:
+    ctes = {}
+    return with_sql(ctes, _sel(_load_counts_ctes(ctes)))
+
+
+def o_run_stats() -> str:
+    ctes = {}
+    parts = []
+    for e in ENTITY_NAMES:
+        n = load_runs_cte(ctes, e)
+        parts.append(f"SELECT '{e}' AS entity, (SELECT count(*) FROM {n['incr2']}) AS ntn_extracted, "
+                     f"(SELECT count(*) FROM {n['incr2']}) AS raw_loaded, "
+                     f"(SELECT count(*) FROM {n['removed2']}) AS raw_deleted")
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def _wh_ctes(ctes: dict) -> str:
+    dims = dims_two_runs(ctes)
+    hi = TS(RUN_TS[2])
+    lo = f"({hi} - INTERVAL 2 MINUTES)"
+    parts = []
+    for e in DIM_ENTITIES:
+        d = dims[f"dim_{e}"]
+        live = raw_cte(ctes, e, 2)
+        parts.append(
+            f"SELECT 'dim_{e}' AS table_name, 'extract_and_load_{e}' AS task_name, "
+            f"(SELECT count(*) FROM {d} WHERE scd2_valid_from BETWEEN {lo} AND {hi}) AS wh_loaded, "
+            f"(SELECT count(*) FROM (SELECT {e}_id_bk FROM {d} WHERE {e}_id_bk <> '-1' "
+            f"AND scd2_valid_to BETWEEN {lo} AND {hi} EXCEPT SELECT id FROM {live})) AS wh_closed")
+    ctes["wh_counts"] = "\nUNION ALL\n".join(parts)
+    return "wh_counts"
+
+
+def o_stats_wh(kind: str):
+    def o():
+        ctes = {}
+        w = _wh_ctes(ctes)
+        return with_sql(ctes, f"SELECT table_name, task_name, {kind} FROM {w}")
+    return o
+
+
+def o_stats_by_table() -> str:
+    ctes = {}
+    st = _load_counts_ctes(ctes)
+    w = _wh_ctes(ctes)
+    cols = "run_id, run_date, dag_name, s.task_name, ntn_extracted, raw_loaded, raw_deleted"
+    return with_sql(ctes, f"""SELECT {cols},
+       CASE WHEN w.task_name IS NOT NULL THEN w.wh_loaded ELSE s.wh_loaded END AS wh_loaded,
+       CASE WHEN w.task_name IS NOT NULL THEN w.wh_closed ELSE s.wh_closed END AS wh_closed
+FROM {st} s LEFT JOIN {w} w ON w.task_name = s.task_name AND s.run_id = {_run_id(2)}""")
+
+
 ORACLE = {
     **{n: o_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": o_stg_year_month,
@@ -431,6 +743,33 @@ ORACLE = {
     "fact_transaction": o_fact_transaction,
     "fact_budget": o_fact_budget,
     "dim_date": o_dim_date,
+    "watermark": o_watermark,
+    "incremental_filter": o_load_step("subcategory", "incr2"),
+    "incremental_full": o_incremental_full,
+    "txn_source_filter": o_txn_source_filter,
+    "txn_turned_planned": o_txn_turned_planned,
+    "raw_upsert": o_load_step("subcategory", "ups2"),
+    "raw_upsert_empty": o_load_step("subcategory", "ups2", NONE),
+    "hard_delete_keep": o_load_step("subcategory", "kept2"),
+    "hard_delete_removed": o_load_step("subcategory", "removed2"),
+    "reset_dates": o_reset_dates,
+    "cast_text": o_cast_text,
+    "cast_decimal": o_cast_decimal,
+    "cast_temporal": o_cast_temporal,
+    "run_id_format": o_run_id_format,
+    "dq_unique": o_dq_unique,
+    "dq_unique_composite": o_dq_unique_composite,
+    "dq_not_null": o_dq_not_null,
+    "dq_accepted_values": o_dq_accepted_values,
+    "dq_primary_key": o_dq_primary_key,
+    "dq_foreign_key": o_dq_foreign_key,
+    "dq_singular_warn": o_dq_singular_warn,
+    "dq_summary": o_dq_summary,
+    "stats_upsert": o_stats_upsert,
+    "run_stats": o_run_stats,
+    "stats_wh_loaded": o_stats_wh("wh_loaded"),
+    "stats_wh_closed": o_stats_wh("wh_closed"),
+    "stats_by_table": o_stats_by_table,
 }
 
 

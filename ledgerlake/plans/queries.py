@@ -10,16 +10,23 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.scalar import bool_text, money, run_id_expr, text, to_date, to_ts
+from ledgerlake.operators import quality as Q
+from ledgerlake.operators import stats as S
 from ledgerlake.operators.asof import asof_left_join, unknown_member
 from ledgerlake.operators.calendar import dim_date_covering
-from ledgerlake.operators.load import reset_dates, source_filter
+from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, skinny, source_filter, upsert,
+                                       watermark, watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
-from ledgerlake.plans.budget import SNAPSHOTS, STAGING, TRANSACTION
+from ledgerlake.operators.stats import empty_stats
+from ledgerlake.plans.budget import (ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
+                                     TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
 from ledgerlake.spec import DimRef, RunContext
 
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
+ENTITY_NAMES = tuple(e.name for e in ENTITY_ORDER)
 ALL = frozenset({"drop", "checked", "unchecked", "add"})
 NONE = frozenset()
 
@@ -173,6 +180,253 @@ def q_dim_date(spark, sf):
     return dim_date_covering(read_table(spark, sf, "orders"), "o_orderdate")
 
 
+# --------------------------------------------------------------------- load
+def load_run(spark, sf, entity: str, raw_prev: DataFrame | None, run: int, changes=None,
+             source: DataFrame | None = None) -> dict[str, DataFrame]:
+    """One entity load on the raw layer: watermark -> incremental read ->
+    upsert -> skinny read of the live ids -> hard-delete sync."""
+    src = source if source is not None else raw_batch(spark, sf, [entity], run, changes=changes)[entity]
+    wm = None if raw_prev is None else watermark_value(raw_prev)
+    incr = incremental(src, "last_edited_time", wm)
+    target = raw_prev if raw_prev is not None else spark.createDataFrame([], src.schema)
+    upserted = upsert(target, incr)
+    live = skinny(src, entity)
+    kept, removed = hard_delete(upserted, live)
+    return {"incr": incr, "upserted": upserted, "live": live, "kept": kept, "removed": removed}
+
+
+def two_loads(spark, sf, entity: str, changes2=None, source2=None):
+    r1 = load_run(spark, sf, entity, None, 1)
+    r2 = load_run(spark, sf, entity, r1["kept"], 2, changes2, source2)
+    return r1, r2
+
+
+def q_watermark(spark, sf):
+    parts = [watermark(load_run(spark, sf, e, None, 1)["kept"]).select(F.lit(e).alias("entity"), "watermark")
+             for e in ENTITY_NAMES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_incremental_filter(spark, sf):
+    return two_loads(spark, sf, "subcategory")[1]["incr"]
+
+
+def q_incremental_full(spark, sf):
+    return load_run(spark, sf, "subcategory", None, 2)["incr"]
+
+
+def q_txn_source_filter(spark, sf):
+    return source_filter(raw_table(spark, sf, "transaction", 1), TRANSACTION)
+
+
+def planned_batch(spark, sf) -> DataFrame:
+    """Transactions of batch 1 where k % 11 = 0 turned planned, source-filtered."""
+    t = raw_table(spark, sf, "transaction", 2, keep_key=True, changes=NONE)
+    t = t.withColumn("status", F.when(F.col("_k") % 11 == 0, F.lit(PLANNED_STATUS)).otherwise(F.col("status")))
+    return source_filter(t.drop("_k"), TRANSACTION)
+
+
+def q_txn_turned_planned(spark, sf):
+    return two_loads(spark, sf, "transaction", source2=planned_batch(spark, sf))[1]["removed"]
+
+
+def q_raw_upsert(spark, sf):
+    return two_loads(spark, sf, "subcategory")[1]["upserted"]
+
+
+def q_raw_upsert_empty(spark, sf):
+    return two_loads(spark, sf, "subcategory", changes2=NONE)[1]["upserted"]
+
+
+def q_hard_delete_keep(spark, sf):
+    return two_loads(spark, sf, "subcategory")[1]["kept"]
+
+
+def q_hard_delete_removed(spark, sf):
+    return two_loads(spark, sf, "subcategory")[1]["removed"]
+
+
+def q_reset_dates(spark, sf):
+    return reset_dates(raw_batch(spark, sf, ["transaction"], 1)["transaction"])
+
+
+# ------------------------------------------------------------------- scalar
+def q_cast_text(spark, sf):
+    c = read_table(spark, sf, "customer")
+    return c.select("c_custkey", text("c_name", 12).alias("name_12"), text("c_mktsegment", 5).alias("segment_5"),
+                    text("c_nationkey", 1).alias("nation_1"), text("c_name").alias("name_full"),
+                    bool_text(F.col("c_custkey") % 2 == 0).alias("is_even"))
+
+
+def q_cast_decimal(spark, sf):
+    o = read_table(spark, sf, "orders")
+    amount = money("o_totalprice")
+    return o.select("o_orderkey", amount.alias("amount"), (amount * 3 - amount).alias("amount_expr"))
+
+
+OFFSETS = ("Z", "+02:00", "-05:30")
+
+
+def q_cast_temporal(spark, sf):
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    shifted = F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))
+    off = F.element_at(F.array(*[F.lit(x) for x in OFFSETS]), (k % 3 + 1).cast("int"))
+    iso = F.concat(F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss"), off)
+    return o.select("o_orderkey", iso.alias("iso_text"), to_ts(iso).alias("as_timestamp"),
+                    to_date(iso).alias("as_date"))
+
+
+def q_run_id_format(spark, sf):
+    o = read_table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    shifted = F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))
+    raw = (F.when(k % 11 == 0, F.lit(None).cast("string"))
+            .when(k % 3 == 0, (k + 20000000000000).cast("string"))
+            .otherwise(F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    return o.select("o_orderkey", raw.alias("raw_run_id")).select(
+        "o_orderkey", "raw_run_id", run_id_expr("raw_run_id").alias("run_id"))
+
+
+# ------------------------------------------------------------------ quality
+def appended_subcategory_raw(spark, sf) -> DataFrame:
+    """Raw subcategory loaded twice without the upsert: duplicate ids."""
+    return raw_table(spark, sf, "subcategory", 1).unionByName(raw_table(spark, sf, "subcategory", 2))
+
+
+def q_dq_unique(spark, sf):
+    stg = stage_one("stg_subcategory", {"subcategory": appended_subcategory_raw(spark, sf)})
+    return Q.unique(stg, ["subcategory_id_bk"])
+
+
+def q_dq_unique_composite(spark, sf):
+    # the added keys copy the name of an open version: two open versions per name
+    return Q.unique(snapshot_runs(spark, sf, "dim_subcategory", SCD2_CASES["scd2_new"]),
+                    ["subcategory_name", "scd2_valid_to"])
+
+
+def _named(df: DataFrame, name: str, cols) -> DataFrame:
+    return df.select(F.lit(name).alias("test_name"), *cols)
+
+
+def q_dq_not_null(spark, sf):
+    stg = staged(spark, sf, "stg_transaction")
+    checks = [c for c in STAGING_CHECKS if c.kind == "not_null" and c.table == "stg_transaction"]
+    return reduce(DataFrame.unionByName, [
+        _named(Q.not_null(stg, c.columns[0]), c.name, [F.col("transaction_id_bk").alias("key_value")])
+        for c in checks])
+
+
+def staging_batch2(spark, sf) -> dict[str, DataFrame]:
+    return {n: staged(spark, sf, n, 2) for n in STAGING}
+
+
+def q_dq_accepted_values(spark, sf):
+    stg = staging_batch2(spark, sf)
+    checks = [c for c in STAGING_CHECKS if c.kind == "accepted_values"]
+    return reduce(DataFrame.unionByName, [
+        _named(Q.accepted_values(stg[c.table], c.columns[0], c.values), c.name, ["value_field", "n_records"])
+        for c in checks])
+
+
+def q_dq_primary_key(spark, sf):
+    raw = {"transaction": raw_batch(spark, sf, ["transaction"], 1)["transaction"],
+           "subcategory": appended_subcategory_raw(spark, sf)}
+    return Q.primary_key(stage_one("stg_transaction", raw), ["transaction_id_bk"])
+
+
+def q_dq_foreign_key(spark, sf):
+    dims = dims_after_two_runs(spark, sf)
+    stg = fact_transaction_source(spark, sf)
+    cal = dim_date_covering(stg["stg_transaction"], "transaction_date")
+    fact = build_facts(stg, dims, cal, ["fact_transaction"])["fact_transaction"]
+    stale = {f"dim_{e}": snapshot_runs(spark, sf, f"dim_{e}", TWO_RUNS[:1]) for e in DIM_ENTITIES}
+    stale["dim_date"] = cal
+    tables = {"fact_transaction": fact, **stale}
+    checks = [c for c in WAREHOUSE_CHECKS if c.kind == "foreign_key" and c.table == "fact_transaction"]
+    return reduce(DataFrame.unionByName, [
+        _named(Q.failures(c, tables).groupBy(F.col(c.columns[0]).alias("child_value"))
+               .agg(F.count(F.lit(1)).alias("n_records")), c.name, ["child_value", "n_records"])
+        for c in checks])
+
+
+def q_dq_singular_warn(spark, sf):
+    dims = dims_after_two_runs(spark, sf)
+    stg = fact_transaction_source(spark, sf)
+    cal = dim_date_covering(stg["stg_transaction"], "transaction_date")
+    fact = build_facts(stg, dims, cal, ["fact_transaction"])["fact_transaction"]
+    chk = next(c for c in WAREHOUSE_CHECKS if c.name == "transaction_amount_is_null")
+    return Q.expression(fact, chk.condition)
+
+
+def q_dq_summary(spark, sf):
+    return Q.summary(STAGING_CHECKS, staging_batch2(spark, sf))
+
+
+# -------------------------------------------------------------------- stats
+def loads_with_stats(spark, sf):
+    """sys_etl_stats after two runs of all seven entity loads."""
+    stats = empty_stats(spark)
+    runs = {e: two_loads(spark, sf, e) for e in ENTITY_NAMES}
+    for i, run in ((0, 1), (1, 2)):
+        c = ctx(run)
+        run_date = RUN_TS[run][:10]
+        for column, part in (("ntn_extracted", "incr"), ("raw_loaded", "incr"), ("raw_deleted", "removed")):
+            upd = reduce(DataFrame.unionByName, [
+                S.count_as(runs[e][i][part], c.run_id, run_date, c.dag_name, S.task_name(e)) for e in ENTITY_NAMES])
+            stats = S.upsert_counter(stats, upd, column)
+    return stats, runs
+
+
+def q_stats_upsert(spark, sf):
+    return loads_with_stats(spark, sf)[0]
+
+
+def q_run_stats(spark, sf):
+    """Counts of the second run per entity, from one union of tagged rows."""
+    parts = []
+    for e in ENTITY_NAMES:
+        _, r2 = two_loads(spark, sf, e)
+        for part, tag in (("incr", "loaded"), ("removed", "deleted"), ("live", "live")):
+            parts.append(r2[part].select(F.lit(e).alias("entity"), F.lit(tag).alias("tag")))
+    tagged = reduce(DataFrame.unionByName, parts)
+    return tagged.groupBy("entity").agg(
+        F.count_if(F.col("tag") == "loaded").alias("ntn_extracted"),
+        F.count_if(F.col("tag") == "loaded").alias("raw_loaded"),
+        F.count_if(F.col("tag") == "deleted").alias("raw_deleted"))
+
+
+def _wh_counts(spark, sf, kind: str):
+    dims = dims_after_two_runs(spark, sf)
+    lo, hi = S.window_between(RUN_TS[2])
+    parts = []
+    for e in DIM_ENTITIES:
+        d = dims[f"dim_{e}"]
+        if kind == "loaded":
+            v = S.wh_loaded(d, lo, hi)
+        else:
+            live = skinny(raw_batch(spark, sf, [e], 2)[e], e)
+            v = S.wh_closed(d, f"{e}_id_bk", live, lo, hi)
+        parts.append(v.select(F.lit(f"dim_{e}").alias("table_name"),
+                              F.lit(S.task_name(e)).alias("task_name"), F.col("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_stats_wh_loaded(spark, sf):
+    return _wh_counts(spark, sf, "loaded").withColumnRenamed("value", "wh_loaded")
+
+
+def q_stats_wh_closed(spark, sf):
+    return _wh_counts(spark, sf, "closed").withColumnRenamed("value", "wh_closed")
+
+
+def q_stats_by_table(spark, sf):
+    stats, _ = loads_with_stats(spark, sf)
+    rid = ctx(2).run_id
+    stats = S.update_by_task(stats, _wh_counts(spark, sf, "loaded"), rid, "wh_loaded")
+    return S.update_by_task(stats, _wh_counts(spark, sf, "closed"), rid, "wh_closed")
+
+
 QUERIES = {
     **{n: q_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": q_stg_year_month,
@@ -187,4 +441,31 @@ QUERIES = {
     "fact_transaction": q_fact_transaction,
     "fact_budget": q_fact_budget,
     "dim_date": q_dim_date,
+    "watermark": q_watermark,
+    "incremental_filter": q_incremental_filter,
+    "incremental_full": q_incremental_full,
+    "txn_source_filter": q_txn_source_filter,
+    "txn_turned_planned": q_txn_turned_planned,
+    "raw_upsert": q_raw_upsert,
+    "raw_upsert_empty": q_raw_upsert_empty,
+    "hard_delete_keep": q_hard_delete_keep,
+    "hard_delete_removed": q_hard_delete_removed,
+    "reset_dates": q_reset_dates,
+    "cast_text": q_cast_text,
+    "cast_decimal": q_cast_decimal,
+    "cast_temporal": q_cast_temporal,
+    "run_id_format": q_run_id_format,
+    "dq_unique": q_dq_unique,
+    "dq_unique_composite": q_dq_unique_composite,
+    "dq_not_null": q_dq_not_null,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_primary_key": q_dq_primary_key,
+    "dq_foreign_key": q_dq_foreign_key,
+    "dq_singular_warn": q_dq_singular_warn,
+    "dq_summary": q_dq_summary,
+    "stats_upsert": q_stats_upsert,
+    "run_stats": q_run_stats,
+    "stats_wh_loaded": q_stats_wh_loaded,
+    "stats_wh_closed": q_stats_wh_closed,
+    "stats_by_table": q_stats_by_table,
 }

@@ -729,6 +729,88 @@ def o_stats_by_table() -> str:
 FROM {st} s LEFT JOIN {w} w ON w.task_name = s.task_name AND s.run_id = {_run_id(2)}""")
 
 
+# ---------------------------------------------------------------- documents
+_ISO_MS = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+def o_page_explode() -> str:
+    ctes = {"raw_transaction_base": RAW_BASE["transaction"]}
+    return with_sql(ctes, f"SELECT id, {_ISO_MS.format(c='created_time')} AS created_time, "
+                          f"{_ISO_MS.format(c='last_edited_time')} AS last_edited_time, false AS archived "
+                          "FROM raw_transaction_base")
+
+
+def o_page_pruned() -> str:
+    ctes = {"raw_transaction_base": RAW_BASE["transaction"]}
+    return with_sql(ctes, "SELECT id, title FROM raw_transaction_base")
+
+
+def o_map(entity):
+    def o():
+        ctes = {}
+        return with_sql(ctes, _sel(raw_cte(ctes, entity, 1)))
+    return o
+
+
+def o_map_year_month() -> str:
+    ctes = {}
+    y, m = raw_cte(ctes, "year", 1), raw_cte(ctes, "month", 1)
+    return with_sql(ctes, f"SELECT 'year' AS entity, * FROM {y}\nUNION ALL\nSELECT 'month' AS entity, * FROM {m}")
+
+
+def o_ids_audit() -> str:
+    ctes = {}
+    parts = []
+    for e in ENTITY_NAMES:
+        src = raw_cte(ctes, e, 2 if e == "subcategory" else 1)
+        parts.append(f"SELECT id, title, '{e}' AS source_name FROM {src}")
+    return with_sql(ctes, "\nUNION ALL\n".join(parts))
+
+
+def o_json_path() -> str:
+    return "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
+
+
+# ------------------------------------------------------------------- bronze
+def o_bronze_roundtrip() -> str:
+    ctes = {}
+    return with_sql(ctes, _sel(raw_cte(ctes, "transaction", 1)))
+
+
+# --------------------------------------------------------------------- jobs
+def _job_state_ctes(ctes: dict) -> dict[str, str]:
+    """Raw tables after the two job runs: kept2 of each entity's loads."""
+    return {e: load_runs_cte(ctes, e)["kept2"] for e in ENTITY_NAMES}
+
+
+def o_warehouse_build() -> str:
+    ctes = {}
+    raw = _job_state_ctes(ctes)
+    dims = dims_two_runs(ctes)
+    ctes["stg_transaction_job"] = staging_sql("stg_transaction", raw["transaction"], raw["subcategory"])
+    ctes["dim_date_job"] = dim_date_sql("orders", "o_orderdate")
+    return with_sql(ctes, fact_sql("fact_transaction", "stg_transaction_job", dims, "dim_date_job"))
+
+
+def o_dq_failures() -> str:
+    ctes = {}
+    raw = _job_state_ctes(ctes)
+    stg = {}
+    for n, spec in B.STAGING.items():
+        parent = raw[spec.lookup[0]] if spec.lookup else None
+        ctes[f"{n}_job"] = staging_sql(n, raw[spec.raw_table], parent)
+        stg[n] = f"{n}_job"
+    return with_sql(ctes, f"SELECT test_name, failures AS stored_rows FROM ({summary_sql(B.STAGING_CHECKS, stg)}) "
+                          "WHERE failures > 0")
+
+
+def o_stream_landing_upsert() -> str:
+    ctes = {}
+    b1, b2 = raw_cte(ctes, "subcategory", 1), raw_cte(ctes, "subcategory", 2)
+    return with_sql(ctes, f"SELECT * EXCLUDE (load_date) FROM (SELECT * FROM {b1} t WHERE NOT EXISTS "
+                          f"(SELECT 1 FROM {b2} b WHERE b.id = t.id)\nUNION ALL\nSELECT * FROM {b2})")
+
+
 ORACLE = {
     **{n: o_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": o_stg_year_month,
@@ -770,6 +852,18 @@ ORACLE = {
     "stats_wh_loaded": o_stats_wh("wh_loaded"),
     "stats_wh_closed": o_stats_wh("wh_closed"),
     "stats_by_table": o_stats_by_table,
+    "page_explode": o_page_explode,
+    "page_pruned": o_page_pruned,
+    **{f"map_{e}": o_map(e) for e in ("account", "category", "subcategory", "budget", "transaction")},
+    "map_year_month": o_map_year_month,
+    "ids_audit": o_ids_audit,
+    "json_path": o_json_path,
+    "bronze_roundtrip": o_bronze_roundtrip,
+    "bronze_replay": o_load_step("subcategory", "ups2"),
+    "entity_load": o_load_step("subcategory", "kept2"),
+    "warehouse_build": o_warehouse_build,
+    "dq_failures": o_dq_failures,
+    "stream_landing_upsert": o_stream_landing_upsert,
 }
 
 

@@ -5,12 +5,13 @@ counterparts are in ``plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalar import bool_text, money, run_id_expr, text, to_date, to_ts
+from ledgerlake.functions.scalar import bool_text, json_path, money, run_id_expr, text, to_date, to_ts
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
 from ledgerlake.operators.asof import asof_left_join, unknown_member
@@ -19,11 +20,17 @@ from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, sk
                                        watermark, watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
 from ledgerlake.operators.stats import empty_stats
-from ledgerlake.plans.budget import (ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
+from ledgerlake.plans.budget import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
                                      TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
-from ledgerlake.spec import DimRef, RunContext
+from ledgerlake.plans.jobs import AUDIT_TABLE, entity_load, full_run, replace_audit_slice
+from ledgerlake.session import new_scratch_path
+from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
+from ledgerlake.sources.pages import land_responses, map_pages, prop_value, read_pages, to_pages
+from ledgerlake.sources.store import TableStore
+from ledgerlake.spec import DimRef, EntitySpec, RunContext
+from ledgerlake.streaming.landing import start_ingest
 
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
 ENTITY_NAMES = tuple(e.name for e in ENTITY_ORDER)
@@ -427,6 +434,135 @@ def q_stats_by_table(spark, sf):
     return S.update_by_task(stats, _wh_counts(spark, sf, "closed"), rid, "wh_closed")
 
 
+# ---------------------------------------------------------------- documents
+def landed(spark, sf, entity: str, batch: int = 1, changes=None) -> str:
+    """Land the source state of ``entity`` as API response files."""
+    raw = raw_table(spark, sf, entity, batch, changes=changes)
+    path = new_scratch_path(spark, f"landed-{entity}-b{batch}")
+    land_responses(to_pages(raw, ENTITIES[entity]), path)
+    return path
+
+
+def q_page_explode(spark, sf):
+    pages = read_pages(spark, landed(spark, sf, "transaction"), TRANSACTION)
+    return pages.select("id", "created_time", "last_edited_time", "archived")
+
+
+def q_page_pruned(spark, sf):
+    pages = read_pages(spark, landed(spark, sf, "transaction"), TRANSACTION, only=["Name"])
+    return pages.select("id", prop_value(TRANSACTION.props[0]).alias("title"))
+
+
+def mapped(spark, sf, entity: str, batch: int = 1) -> DataFrame:
+    spec = ENTITIES[entity]
+    pages = read_pages(spark, landed(spark, sf, entity, batch), spec)
+    return source_filter(map_pages(pages, spec, RUN_TS[batch]), spec)
+
+
+def q_map(entity):
+    def q(spark, sf):
+        return mapped(spark, sf, entity)
+    return q
+
+
+def q_map_year_month(spark, sf):
+    return (mapped(spark, sf, "year").select(F.lit("year").alias("entity"), "*")
+            .unionByName(mapped(spark, sf, "month").select(F.lit("month").alias("entity"), "*")))
+
+
+def q_ids_audit(spark, sf):
+    store = TableStore(spark, new_scratch_path(spark, "store"), prefix=f"t{uuid.uuid4().hex[:8]}_")
+    for spec in ENTITY_ORDER:
+        replace_audit_slice(store, spec.name, live_ids(spark, landed(spark, sf, spec.name), spec))
+    # a later run replaces one entity's slice only
+    sub = ENTITIES["subcategory"]
+    replace_audit_slice(store, sub.name, live_ids(spark, landed(spark, sf, sub.name, 2), sub))
+    return store.read("raw", AUDIT_TABLE).select("id", "title", "source_name")
+
+
+def live_ids(spark, path: str, spec: EntitySpec) -> DataFrame:
+    """Skinny read of all live pages: title plus the properties the source
+    filter needs (S4, P9)."""
+    need = {spec.title_prop} | {p.name for p in spec.props if p.column in {c for c, _ in spec.exclude_equal}}
+    pages = read_pages(spark, path, spec, only=sorted(need))
+    cols = [prop_value(p).alias(p.column) for p in spec.props if p.name in need]
+    return source_filter(pages.select("id", *cols), spec).select("id", "title")
+
+
+def q_json_path(spark, sf):
+    e = read_table(spark, sf, "events")
+    return e.select("event_id", json_path("props", "$.k").alias("k"))
+
+
+# ------------------------------------------------------------------- bronze
+def q_bronze_roundtrip(spark, sf):
+    raw = raw_batch(spark, sf, ["transaction"], 1)["transaction"]
+    root = new_scratch_path(spark, "bronze")
+    write_bronze(raw, root, "transaction", ctx(1).run_id)
+    return read_bronze(spark, root, "transaction", raw.schema).drop("run_id")
+
+
+def q_bronze_replay(spark, sf):
+    r1, r2 = two_loads(spark, sf, "subcategory")
+    root = new_scratch_path(spark, "bronze")
+    write_bronze(r1["incr"], root, "subcategory", ctx(1).run_id)
+    write_bronze(r2["incr"], root, "subcategory", ctx(2).run_id)
+    schema = r1["incr"].schema
+    hist = read_bronze(spark, root, "subcategory", schema)
+    return replay(hist).select(*schema.names)
+
+
+# --------------------------------------------------------------------- jobs
+def new_store(spark) -> TableStore:
+    return TableStore(spark, new_scratch_path(spark, "store"), prefix=f"t{uuid.uuid4().hex[:8]}_")
+
+
+def q_entity_load(spark, sf):
+    store = new_store(spark)
+    spec = ENTITIES["subcategory"]
+    for run in (1, 2):
+        entity_load(store, spec, landed(spark, sf, "subcategory", run), ctx(run))
+    return store.read("raw", "subcategory")
+
+
+def two_full_runs(spark, sf, on_error: str = "report") -> TableStore:
+    """The whole job twice: an initial load of batch 1, then batch 2."""
+    store = new_store(spark)
+    cal = dim_date_covering(read_table(spark, sf, "orders"), "o_orderdate")
+    for run, initial in ((1, True), (2, False)):
+        root = new_scratch_path(spark, f"landed-run{run}")
+        for spec in ENTITY_ORDER:
+            raw = raw_table(spark, sf, spec.name, run)
+            land_responses(to_pages(raw, spec), f"{root}/{spec.name}")
+        full_run(store, root, ctx(run, initial), cal if initial else None, on_error=on_error)
+    return store
+
+
+def q_warehouse_build(spark, sf):
+    return two_full_runs(spark, sf).read("warehouse", "fact_transaction")
+
+
+def q_dq_failures(spark, sf):
+    store = two_full_runs(spark, sf)
+    parts = [store.read("dbt_test_error", c.name).agg(F.count(F.lit(1)).alias("stored_rows"))
+             .select(F.lit(c.name).alias("test_name"), "stored_rows")
+             for c in STAGING_CHECKS if store.exists("dbt_test_error", c.name)]
+    return reduce(DataFrame.unionByName, parts).filter("stored_rows > 0")
+
+
+# ---------------------------------------------------------------- streaming
+def q_stream_landing_upsert(spark, sf):
+    store = new_store(spark)
+    spec = ENTITIES["subcategory"]
+    land = new_scratch_path(spark, "stream-landing")
+    chk = new_scratch_path(spark, "stream-checkpoint")
+    for run in (1, 2):
+        land_responses(to_pages(raw_table(spark, sf, "subcategory", run), spec), f"{land}/run={run}")
+        q = start_ingest(store, spec, f"{land}/run=*", chk, RUN_TS[2], trigger_once=True)
+        q.awaitTermination()
+    return store.read("raw", "subcategory").drop("load_date")
+
+
 QUERIES = {
     **{n: q_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": q_stg_year_month,
@@ -468,4 +604,16 @@ QUERIES = {
     "stats_wh_loaded": q_stats_wh_loaded,
     "stats_wh_closed": q_stats_wh_closed,
     "stats_by_table": q_stats_by_table,
+    "page_explode": q_page_explode,
+    "page_pruned": q_page_pruned,
+    **{f"map_{e}": q_map(e) for e in ("account", "category", "subcategory", "budget", "transaction")},
+    "map_year_month": q_map_year_month,
+    "ids_audit": q_ids_audit,
+    "json_path": q_json_path,
+    "bronze_roundtrip": q_bronze_roundtrip,
+    "bronze_replay": q_bronze_replay,
+    "entity_load": q_entity_load,
+    "warehouse_build": q_warehouse_build,
+    "dq_failures": q_dq_failures,
+    "stream_landing_upsert": q_stream_landing_upsert,
 }

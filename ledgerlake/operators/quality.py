@@ -86,18 +86,41 @@ def failures(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+_ROW_CHECKS = ("not_null", "expression")
+
+
+def _bad_row(c: Check):
+    return F.col(c.columns[0]).isNull() if c.kind == "not_null" else F.expr(c.condition)
+
+
 def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: ``test_name, table_name, severity, failures, status``
-    (status ``pass``, ``warn`` or ``fail``)."""
+    (status ``pass``, ``warn`` or ``fail``).
+
+    Row-level checks (not_null, expression) on the same table share one scan:
+    a single aggregate of ``count_if`` per check, unpivoted to rows.  Other
+    checks count their own violation rows.
+    """
+    def lit_row(c: Check, n: str) -> str:
+        return f"'{c.name}', '{c.table}', '{c.severity}', {n}"
+
     parts = []
+    by_table: dict[str, list[Check]] = {}
     for c in checks:
-        n = failures(c, tables).agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(n.select(
-            F.lit(c.name).alias("test_name"), F.lit(c.table).alias("table_name"),
-            F.lit(c.severity).alias("severity"), F.col("failures"),
-            F.when(F.col("failures") == 0, "pass")
-             .when(F.lit(c.severity) == "warn", "warn").otherwise("fail").alias("status")))
-    return reduce(DataFrame.unionByName, parts)
+        if c.kind in _ROW_CHECKS:
+            by_table.setdefault(c.table, []).append(c)
+        else:
+            n = failures(c, tables).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(n.selectExpr(f"stack(1, {lit_row(c, 'n')}) AS (test_name, table_name, severity, failures)"))
+    for t, cs in by_table.items():
+        agg = tables[t].agg(*[F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(cs)])
+        rows = ", ".join(lit_row(c, f"c{i}") for i, c in enumerate(cs))
+        parts.append(agg.selectExpr(f"stack({len(cs)}, {rows}) AS (test_name, table_name, severity, failures)"))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.select(
+        "test_name", "table_name", "severity", F.col("failures").cast("bigint").alias("failures"),
+        F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn")
+         .otherwise("fail").alias("status"))
 
 
 def gate(summary_df: DataFrame) -> list[str]:

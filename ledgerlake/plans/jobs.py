@@ -69,7 +69,7 @@ def replace_audit_slice(store: TableStore, entity: str, live: DataFrame) -> None
 
 
 def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContext,
-                bronze_root: str | None = None) -> LoadCounts:
+                bronze_root: str | None = None, record: bool = True) -> LoadCounts:
     """Watermark -> incremental read -> bronze -> upsert -> live ids ->
     hard-delete sync -> stats, for one entity."""
     spark = store.spark
@@ -102,9 +102,18 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
                   .filter(F.col("__live").isNotNull()).drop("__live"))
     store.publish(kept, "raw", spec.name)
     deleted = int(ob_del.get["deleted"])
-    task = S.task_name(spec.name)
-    record_counts(store, ctx, [(task, "ntn_extracted", n), (task, "raw_loaded", n), (task, "raw_deleted", deleted)])
-    return LoadCounts(spec.name, n, n, deleted)
+    counts = LoadCounts(spec.name, n, n, deleted)
+    if record:
+        record_counts(store, ctx, load_count_rows([counts]))
+    return counts
+
+
+def load_count_rows(loads: list[LoadCounts]) -> list[tuple[str, str, int]]:
+    out = []
+    for c in loads:
+        task = S.task_name(c.entity)
+        out += [(task, "ntn_extracted", c.extracted), (task, "raw_loaded", c.loaded), (task, "raw_deleted", c.deleted)]
+    return out
 
 
 @dataclass
@@ -112,7 +121,7 @@ class BuildResult:
     published: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     failed_checks: list[str] = field(default_factory=list)
-    summaries: list[DataFrame] = field(default_factory=list)
+    summaries: list[list] = field(default_factory=list)
 
 
 def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result: BuildResult) -> set[str]:
@@ -122,10 +131,9 @@ def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result:
     checks = [c for c in checks if c.table in tables and (c.parent is None or c.parent in tables)]
     if not checks:
         return set()
-    scratch_dir(store.spark)
-    summ = Q.summary(checks, tables).checkpoint(eager=True)
-    result.summaries.append(summ)
-    bad = {r["test_name"]: r["status"] for r in summ.filter("failures > 0").collect()}
+    rows = Q.summary(checks, tables).collect()          # one row per check
+    result.summaries.append(rows)
+    bad = {r["test_name"]: r["status"] for r in rows if r["failures"] > 0}
     by_name = {c.name: c for c in checks}
     for c in checks:
         # a passing check empties a failures table left by an earlier run
@@ -215,6 +223,7 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
 def full_run(store: TableStore, landed_root: str, ctx: RunContext, calendar: DataFrame | None = None,
              bronze_root: str | None = None, on_error: str = "stop") -> tuple[list[LoadCounts], BuildResult]:
     """The seven entity loads in order, one run id, then the build."""
-    loads = [entity_load(store, spec, f"{landed_root.rstrip('/')}/{spec.name}", ctx, bronze_root)
+    loads = [entity_load(store, spec, f"{landed_root.rstrip('/')}/{spec.name}", ctx, bronze_root, record=False)
              for spec in ENTITY_ORDER]
+    record_counts(store, ctx, load_count_rows(loads))
     return loads, warehouse_build(store, ctx, calendar, on_error)

@@ -25,6 +25,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self._versions: dict[tuple[str, str], int] = {}   # versions this store published
         for s in schemas:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(s)} LOCATION '{self.root}/_catalog/{s}'")
 
@@ -35,6 +36,8 @@ class TableStore:
         return self.spark.catalog.tableExists(f"{self.db(schema)}.{table}")
 
     def version(self, schema: str, table: str) -> int | None:
+        if (schema, table) in self._versions:
+            return self._versions[(schema, table)]
         if not self.exists(schema, table):
             return None
         props = {r["key"]: r["value"] for r in
@@ -78,6 +81,7 @@ class TableStore:
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
         self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION_PROP}' = '{nxt}')")
         self.spark.catalog.refreshTable(name)
+        self._versions[(schema, table)] = nxt
         return nxt
 
     def count(self, schema: str, table: str) -> int:

@@ -49,11 +49,30 @@ def initial_snapshot(source: DataFrame, spec: SnapshotSpec, ctx: RunContext) ->
         ts_literal(OPEN_END).alias(VALID_TO))
 
 
+def validate_source(source: DataFrame, key: str) -> None:
+    """Guard: the source key must be unique and not null (one aggregate)."""
+    r = (source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+               .agg(F.count_if(F.col(key).isNull()).alias("null_keys"),
+                    F.count_if(F.col("n") > 1).alias("dup_keys")).first())
+    if r["null_keys"] or r["dup_keys"]:
+        raise ValueError(f"snapshot source key {key!r}: {r['null_keys']} null, {r['dup_keys']} duplicated")
+
+
 def scd2_merge(history: DataFrame | None, source: DataFrame, spec: SnapshotSpec,
-               ctx: RunContext) -> DataFrame:
-    """Next snapshot version.  ``history`` None or empty-typed means first run."""
+               ctx: RunContext, validate: bool = False) -> DataFrame:
+    """Next snapshot version.  ``history`` None means first run.
+
+    ``validate`` runs the key guard first (the build's unique/not-null tests
+    on the staging model do the same job before a snapshot runs).  An initial
+    load onto existing history is refused: it would close versions before
+    they begin.
+    """
+    if validate:
+        validate_source(source, spec.key)
     if history is None:
         return initial_snapshot(source, spec, ctx)
+    if ctx.is_initial_load:
+        raise ValueError(f"initial load of {spec.name} onto existing history")
 
     data_cols = [c for c in source.columns]
     hist_cols = data_cols + [DK, UPDATED_AT, VALID_FROM, VALID_TO]

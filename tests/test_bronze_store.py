@@ -33,3 +33,26 @@ def test_store_versions(spark):
                          "raw", "x") == 2
     assert sorted(r["id"] for r in store.read("raw", "x").collect()) == ["a", "b"]
     assert store.version("raw", "x") == 2
+
+
+def test_bronze_table_by_sql(spark):
+    from ledgerlake.sources.bronze import register_bronze
+    root = new_scratch_path(spark, "bronze-sql")
+    df = spark.createDataFrame([("a", "x", 1.0, dt.datetime(2026, 1, 1))], SCHEMA)
+    write_bronze(df, root, "e", 7)
+    write_bronze(df, root, "e", 8)
+    register_bronze(spark, root, "e", df.schema, "bronze_e_test")
+    r = spark.sql("SELECT run_id, count(*) AS n FROM bronze_e_test GROUP BY run_id ORDER BY run_id").collect()
+    assert [(x["run_id"], x["n"]) for x in r] == [(7, 1), (8, 1)]
+
+
+def test_typed_seed(spark):
+    from ledgerlake.sources.seeds import read_seed
+    path = new_scratch_path(spark, "seed")
+    spark.createDataFrame([("20260101", "2026-01-01", "Thursday-long", "01")],
+                          "dk string, date string, `day_of_week` string, `calendar_year-month` string") \
+        .coalesce(1).write.option("header", "true").csv(path)
+    r = read_seed(spark, path, {"dk": "varchar(10)", "date": "date", "day_of_week": "varchar(9)",
+                                "calendar_year-month": "numeric(2)"}).first()
+    assert (r["dk"], r["date"], r["day_of_week"], r["calendar_year-month"]) == \
+        ("20260101", dt.date(2026, 1, 1), "Thursday-", 1)

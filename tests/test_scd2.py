@@ -79,3 +79,15 @@ def test_merge_plan_shuffles_each_side_once(spark):
 def test_history_missing_columns_raises(spark):
     with pytest.raises(ValueError):
         scd2_merge(src(spark, [("a", "A", E1, E1)]), src(spark, [("a", "A", E1, E1)]), SPEC, ctx(R1))
+
+
+def test_guards(spark):
+    dup = src(spark, [("a", "A", E1, E1), ("a", "B", E1, E1)])
+    with pytest.raises(ValueError, match="duplicated"):
+        scd2_merge(None, dup, SPEC, ctx(R1), validate=True)
+    nullk = src(spark, [(None, "A", E1, E1)])
+    with pytest.raises(ValueError, match="null"):
+        scd2_merge(None, nullk, SPEC, ctx(R1), validate=True)
+    h = scd2_merge(None, src(spark, [("a", "A", E1, E1)]), SPEC, ctx(R1))
+    with pytest.raises(ValueError, match="initial load"):
+        scd2_merge(h, src(spark, [("a", "A", E1, E1)]), SPEC, ctx(R2, initial=True))

@@ -26,7 +26,8 @@ from ledgerlake.sources.pages import map_pages, read_pages, skinny_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import EntitySpec, RunContext
 
-AUDIT_TABLE = "notion_ids_audit"
+AUDIT_TABLE = "ids_audit"
+FAILURES_SCHEMA = "test_failures"          # one table of failing rows per data test
 STATS_TABLE = "sys_etl_stats"
 
 
@@ -126,7 +127,7 @@ class BuildResult:
 
 def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result: BuildResult) -> set[str]:
     """Q10 + K9: summarise the checks (one job), store the failing rows of
-    each failing check under ``dbt_test_error``, return the tables with a
+    each failing check under ``test_failures``, return the tables with a
     failed error-severity check."""
     checks = [c for c in checks if c.table in tables and (c.parent is None or c.parent in tables)]
     if not checks:
@@ -137,8 +138,8 @@ def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result:
     by_name = {c.name: c for c in checks}
     for c in checks:
         # a passing check empties a failures table left by an earlier run
-        if c.name in bad or store.exists("dbt_test_error", c.name):
-            store.publish(Q.failures(c, tables), "dbt_test_error", c.name)
+        if c.name in bad or store.exists(FAILURES_SCHEMA, c.name):
+            store.publish(Q.failures(c, tables), FAILURES_SCHEMA, c.name)
     failed = [n for n, st in bad.items() if st == "fail"]
     result.failed_checks += failed
     return {by_name[n].table for n in failed}

@@ -24,7 +24,7 @@ from ledgerlake.plans.budget import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNA
                                      TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
-from ledgerlake.plans.jobs import AUDIT_TABLE, entity_load, full_run, replace_audit_slice
+from ledgerlake.plans.jobs import AUDIT_TABLE, FAILURES_SCHEMA, entity_load, full_run, replace_audit_slice
 from ledgerlake.session import new_scratch_path
 from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
 from ledgerlake.sources.pages import land_responses, map_pages, prop_value, read_pages, to_pages
@@ -544,9 +544,9 @@ def q_warehouse_build(spark, sf):
 
 def q_dq_failures(spark, sf):
     store = two_full_runs(spark, sf)
-    parts = [store.read("dbt_test_error", c.name).agg(F.count(F.lit(1)).alias("stored_rows"))
+    parts = [store.read(FAILURES_SCHEMA, c.name).agg(F.count(F.lit(1)).alias("stored_rows"))
              .select(F.lit(c.name).alias("test_name"), "stored_rows")
-             for c in STAGING_CHECKS if store.exists("dbt_test_error", c.name)]
+             for c in STAGING_CHECKS if store.exists(FAILURES_SCHEMA, c.name)]
     return reduce(DataFrame.unionByName, parts).filter("stored_rows > 0")
 
 

@@ -20,7 +20,7 @@ VERSION_PROP = "ledgerlake.version"
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str,
-                 schemas=("raw", "staging", "warehouse", "dbt_test_error"), prefix: str = ""):
+                 schemas=("raw", "staging", "warehouse", "test_failures"), prefix: str = ""):
         """``prefix`` namespaces the databases (e.g. one store per test)."""
         self.spark = spark
         self.root = root.rstrip("/")

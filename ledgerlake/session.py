@@ -8,7 +8,6 @@ slice of a partitioned table.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,18 +60,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SCRATCH_KEY = "ledgerlake.scratch.dir"
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder).  Only when
-    the session has none (a local test) is a local one made and set.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared folder) or the
+    context's checkpoint directory.  Only when the session names none (a local
+    test) is a local folder made; it is kept under our own key, since a core
+    setting cannot be changed on a running session.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
+         or spark.sparkContext.getCheckpointDir())
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerlake-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(SCRATCH_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
@@ -82,7 +85,3 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared scratch folder (never reused)."""
     import uuid
     return f"{scratch_dir(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path_exists(path: str) -> bool:  # test helper only
-    return os.path.exists(path)

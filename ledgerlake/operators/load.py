@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import ts_literal
@@ -75,6 +75,20 @@ def hard_delete(target: DataFrame, live_ids: DataFrame, key: str = "id",
     return kept, removed
 
 
+def sync_deletes(target: DataFrame, live_ids: DataFrame, key: str = "id",
+                 live_key: str | None = None) -> tuple[DataFrame, Observation]:
+    """Single-pass hard-delete sync for a job: the rows to keep, plus an
+    ``Observation`` whose ``deleted`` metric is filled while that result is
+    written.  One LEFT join instead of a semi join and an anti join."""
+    lk = live_key or key
+    live = live_ids.select(F.col(lk).alias("__live")).filter(F.col("__live").isNotNull()).distinct()
+    marked = target.join(live, F.col(key) == F.col("__live"), "left")
+    obs = Observation()
+    kept = (marked.observe(obs, F.count_if(F.col("__live").isNull()).alias("deleted"))
+                  .filter(F.col("__live").isNotNull()).drop("__live"))
+    return kept, obs
+
+
 def skinny(pages_or_raw: DataFrame, entity: str, key: str = "id", title: str = "title") -> DataFrame:
     """(id, title, source_name) of every live row: the delete audit's input."""
     return pages_or_raw.select(F.col(key).alias("id"), F.col(title).alias("title"),

@@ -43,16 +43,15 @@ def accepted_values(df: DataFrame, col: str, values) -> DataFrame:
 
 
 def primary_key(df: DataFrame, cols) -> DataFrame:
-    """Unique + not null: ``key_value, n_records, problem``."""
+    """Unique + not null: ``key_value, n_records, problem``; all rows with a
+    null key part form one ``null`` group.  One grouped count."""
     cols = list(cols)
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in cols]) if len(cols) > 1 else F.col(cols[0]).cast("string")
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    nulls = (df.filter(any_null).agg(F.count(F.lit(1)).alias("n_records"))
-               .filter("n_records > 0")
-               .select(F.lit(None).cast("string").alias("key_value"), "n_records", F.lit("null").alias("problem")))
-    dups = (df.filter(~any_null).groupBy(key.alias("key_value")).agg(F.count(F.lit(1)).alias("n_records"))
-              .filter("n_records > 1").withColumn("problem", F.lit("duplicate")))
-    return dups.unionByName(nulls)
+    g = (df.select(F.when(any_null, F.lit(None).cast("string")).otherwise(key).alias("key_value"))
+           .groupBy("key_value").agg(F.count(F.lit(1)).alias("n_records")))
+    problem = F.when(F.col("key_value").isNull(), F.lit("null")).when(F.col("n_records") > 1, F.lit("duplicate"))
+    return g.withColumn("problem", problem).filter(F.col("problem").isNotNull())
 
 
 def foreign_key(child: DataFrame, col: str, parent: DataFrame, parent_col: str,

@@ -10,19 +10,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
-from ledgerlake.operators.load import incremental, reset_dates, source_filter, upsert, watermark_value
+from ledgerlake.operators.load import (incremental, reset_dates, source_filter, sync_deletes, upsert,
+                                       watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
-from ledgerlake.plans.budget import (ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING, STAGING_CHECKS,
-                                     WAREHOUSE_CHECKS)
+from ledgerlake.plans.budget import ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING_CHECKS, WAREHOUSE_CHECKS
 from ledgerlake.plans.warehouse import build_facts, stage_all
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.bronze import write_bronze
-from ledgerlake.sources.pages import map_pages, read_pages, skinny_pages
+from ledgerlake.sources.pages import map_pages, read_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import EntitySpec, RunContext
 
@@ -96,13 +96,9 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
     replace_audit_slice(store, spec.name, live)
 
     audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
-    ids = audit.select(F.col("id").alias("__live")).filter(F.col("__live").isNotNull()).distinct()
-    marked = upserted.join(ids, F.col(spec.key) == F.col("__live"), "left")
-    ob_del = Observation(f"deleted_{spec.name}")
-    kept = (marked.observe(ob_del, F.count_if(F.col("__live").isNull()).alias("deleted"))
-                  .filter(F.col("__live").isNotNull()).drop("__live"))
+    kept, obs = sync_deletes(upserted, audit, spec.key)
     store.publish(kept, "raw", spec.name)
-    deleted = int(ob_del.get["deleted"])
+    deleted = int(obs.get["deleted"])
     counts = LoadCounts(spec.name, n, n, deleted)
     if record:
         record_counts(store, ctx, load_count_rows([counts]))

@@ -864,6 +864,7 @@ ORACLE = {
     "warehouse_build": o_warehouse_build,
     "dq_failures": o_dq_failures,
     "stream_landing_upsert": o_stream_landing_upsert,
+    "stream_bronze_append": o_stream_landing_upsert,
 }
 
 

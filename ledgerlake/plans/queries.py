@@ -30,7 +30,7 @@ from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
 from ledgerlake.sources.pages import land_responses, map_pages, prop_value, read_pages, to_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import DimRef, EntitySpec, RunContext
-from ledgerlake.streaming.landing import start_ingest
+from ledgerlake.streaming.landing import start_bronze_append, start_ingest
 
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
 ENTITY_NAMES = tuple(e.name for e in ENTITY_ORDER)
@@ -563,6 +563,31 @@ def q_stream_landing_upsert(spark, sf):
     return store.read("raw", "subcategory").drop("load_date")
 
 
+def q_stream_bronze_append(spark, sf):
+    """Stream both batches' landed pages into bronze, then replay bronze."""
+    spec = ENTITIES["subcategory"]
+    land = new_scratch_path(spark, "stream-landing")
+    bronze = new_scratch_path(spark, "stream-bronze")
+    chk = new_scratch_path(spark, "stream-checkpoint")
+    for run in (1, 2):
+        land_responses(to_pages(raw_table(spark, sf, "subcategory", run), spec), f"{land}/run={run}")
+        start_bronze_append(spark, spec, f"{land}/run=*", f"{bronze}/subcategory", chk,
+                            trigger_once=True).awaitTermination()
+    schema = mapped_schema(spec)
+    return replay(read_bronze(spark, bronze, "subcategory", schema)).drop("load_date")
+
+
+def mapped_schema(spec: EntitySpec):
+    empty = spark_empty_pages(spec)
+    return map_pages(empty, spec, "1970-01-01 00:00:00").schema
+
+
+def spark_empty_pages(spec: EntitySpec):
+    from pyspark.sql import SparkSession
+    from ledgerlake.sources.pages import page_schema
+    return SparkSession.getActiveSession().createDataFrame([], page_schema(spec.props))
+
+
 QUERIES = {
     **{n: q_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": q_stg_year_month,
@@ -616,4 +641,5 @@ QUERIES = {
     "warehouse_build": q_warehouse_build,
     "dq_failures": q_dq_failures,
     "stream_landing_upsert": q_stream_landing_upsert,
+    "stream_bronze_append": q_stream_bronze_append,
 }

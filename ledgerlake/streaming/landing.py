@@ -7,6 +7,15 @@ upserts them into the raw table.  The stream checkpoint records which files
 were processed; the upsert is idempotent (replace by key), so a batch replayed
 after a failure gives the same table.  The hard-delete sync needs the full
 live-id set and stays in the batch job (``plans.jobs.entity_load``).
+
+Two sinks:
+
+* ``start_ingest``: foreachBatch upsert into the versioned raw table (each
+  micro-batch publishes a new raw version; for small tables or long triggers);
+* ``start_bronze_append``: the built-in CSV file sink appends mapped rows to
+  the bronze layer, partitioned by the micro-batch's run id.  Append-only, so
+  its cost grows with the new rows, not with the table; its metadata log makes
+  it exactly-once.  ``sources.bronze.replay`` rebuilds the raw state from it.
 """
 
 from __future__ import annotations
@@ -16,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.load import source_filter, upsert
+from ledgerlake.sources.bronze import CSV_OPTIONS
 from ledgerlake.sources.pages import map_pages, response_schema
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import EntitySpec
@@ -46,3 +56,20 @@ def start_ingest(store: TableStore, spec: EntitySpec, landed: str, checkpoint: s
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def start_bronze_append(spark, spec: EntitySpec, landed: str, bronze_entity_dir: str, checkpoint: str,
+                        trigger_once: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Append each micro-batch's mapped, filtered rows under
+    ``<bronze_entity_dir>/run_id=<micro-batch time in microseconds>/`` (a
+    finer run id than the batch jobs' yyyyMMddHHmmss, so two micro-batches in
+    one second still replay in order)."""
+    batch_ts = F.current_timestamp()          # one value per micro-batch
+    rows = (source_filter(map_pages(page_stream(spark, landed, spec, max_files_per_trigger), spec,
+                                    "1970-01-01 00:00:00"), spec)
+            .withColumn("load_date", batch_ts.cast("timestamp_ntz"))
+            .withColumn("run_id", F.unix_micros(batch_ts)))
+    w = (rows.writeStream.format("csv").options(**CSV_OPTIONS).partitionBy("run_id")
+             .option("path", bronze_entity_dir).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if trigger_once else w.trigger(processingTime="30 seconds")
+    return w.start()

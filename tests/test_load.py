@@ -53,3 +53,11 @@ def test_reset_dates_and_slice(spark):
     audit = spark.createDataFrame([("a", "t", "account"), ("b", "t", "category")], "id string, title string, source_name string")
     new = replace_slice(audit, spark.createDataFrame([], "id string, title string, source_name string"), "account")
     assert [r["id"] for r in new.collect()] == ["b"]
+
+
+def test_sync_deletes_single_pass(spark):
+    from ledgerlake.operators.load import sync_deletes
+    target = spark.createDataFrame([("a", "x", T1), ("b", "y", T1), (None, "z", T1)], SCHEMA)
+    kept, obs = sync_deletes(target, spark.createDataFrame([("a",), ("c",)], "id string"))
+    assert [r["id"] for r in kept.collect()] == ["a"]
+    assert obs.get["deleted"] == 2

@@ -1,15 +1,17 @@
 """Jobs (R1-R4): the steps of a run, against a ``TableStore``.
 
 Only the watermark, row counts and check results reach the driver; every
-step over data is a Spark plan.  Counts come from ``Observation`` metrics
-collected while a step's output is written, so no step is computed twice.
+step over data is a Spark plan.  The deleted-row count is an ``Observation``
+collected while the new raw version is written, so that step runs once.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,49 +58,55 @@ def record_counts(store: TableStore, ctx: RunContext, counts: list[tuple[str, st
 
 
 def replace_audit_slice(store: TableStore, entity: str, live: DataFrame) -> None:
-    """Replace one entity's slice of the live-id table (K4): dynamic partition
-    overwrite of ``source_name=<entity>``; the partition is dropped first so
-    an empty slice empties it."""
+    """Replace one entity's slice of the live-id table (K4), atomically: the
+    new slice is written to its own directory, then only the partition
+    ``source_name=<entity>`` is repointed at it.  Readers see the old or the
+    new slice, never none; an empty slice empties the partition."""
+    spark = store.spark
     name = f"{store.db('raw')}.{AUDIT_TABLE}"
-    live = live.select("id", "title", F.lit(entity).alias("source_name"))
+    base = f"{store.root}/raw/{AUDIT_TABLE}"
     if not store.exists("raw", AUDIT_TABLE):
-        store.publish(live, "raw", AUDIT_TABLE, partition_by=["source_name"])
-        return
-    store.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (source_name = '{entity}')")
-    live.write.mode("overwrite").insertInto(name)
-    store.spark.catalog.refreshTable(name)
+        spark.sql(f"CREATE TABLE {name} (id STRING, title STRING, source_name STRING) USING parquet "
+                  f"PARTITIONED BY (source_name) LOCATION '{base}/_table'")
+    path = f"{base}/source_name={entity}/v={uuid.uuid4().hex}"
+    live.select("id", "title").write.parquet(path)
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    if f"source_name={entity}" in known:
+        spark.sql(f"ALTER TABLE {name} PARTITION (source_name = '{entity}') SET LOCATION '{path}'")
+    else:
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION (source_name = '{entity}') LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
 
 
 def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContext,
                 bronze_root: str | None = None, record: bool = True) -> LoadCounts:
     """Watermark -> incremental read -> bronze -> upsert -> live ids ->
-    hard-delete sync -> stats, for one entity."""
+    hard-delete sync -> stats, for one entity.
+
+    The landed pages are the source's current state; they are parsed once and
+    kept (memory, spilling to disk) while both the incremental batch and the
+    live-id set are taken from them.
+    """
     spark = store.spark
     scratch_dir(spark)
     raw = store.read("raw", spec.name)
     wm = None if raw is None else watermark_value(raw)
-    pages = read_pages(spark, landed, spec)
-    incr = incremental(source_filter(map_pages(pages, spec, ctx.run_ts), spec), "last_edited_time", wm)
-    batch = incr.checkpoint(eager=True)           # read and map the pages once
-    n = batch.count()
-    if bronze_root and n:
-        write_bronze(batch, bronze_root, spec.name, ctx.run_id)
-    target = raw if raw is not None else spark.createDataFrame([], batch.schema)
-    upserted = upsert(target, batch)
-
-    # skinny read: title plus the properties the source filter needs
-    filter_props = [p.name for p in spec.props if p.column in {c for c, _ in spec.exclude_equal}]
-    sk_pages = read_pages(spark, landed, spec, only=[spec.title_prop, *filter_props])
-    sk = map_pages(sk_pages, EntitySpec(spec.name, tuple(p for p in spec.props
-                                                         if p.name in {spec.title_prop, *filter_props}),
-                                        spec.title_prop, spec.key, spec.exclude_equal), ctx.run_ts)
-    live = source_filter(sk, spec).select("id", "title")
-    replace_audit_slice(store, spec.name, live)
-
-    audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
-    kept, obs = sync_deletes(upserted, audit, spec.key)
-    store.publish(kept, "raw", spec.name)
-    deleted = int(obs.get["deleted"])
+    mapped = source_filter(map_pages(read_pages(spark, landed, spec), spec, ctx.run_ts), spec)
+    mapped = mapped.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        batch = incremental(mapped, "last_edited_time", wm)
+        n = batch.count()
+        if bronze_root and n:
+            write_bronze(batch, bronze_root, spec.name, ctx.run_id)
+        replace_audit_slice(store, spec.name, mapped.select("id", "title"))
+        target = raw if raw is not None else spark.createDataFrame([], batch.schema)
+        upserted = upsert(target, batch)
+        audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
+        kept, obs = sync_deletes(upserted, audit, spec.key)
+        store.publish(kept, "raw", spec.name)
+        deleted = int(obs.get["deleted"])
+    finally:
+        mapped.unpersist()
     counts = LoadCounts(spec.name, n, n, deleted)
     if record:
         record_counts(store, ctx, load_count_rows([counts]))

@@ -25,7 +25,7 @@ from ledgerlake.plans.budget import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNA
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
 from ledgerlake.plans.jobs import AUDIT_TABLE, FAILURES_SCHEMA, entity_load, full_run, replace_audit_slice
-from ledgerlake.session import new_scratch_path
+from ledgerlake.session import new_scratch_path, scratch_dir
 from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
 from ledgerlake.sources.pages import land_responses, map_pages, prop_value, read_pages, to_pages
 from ledgerlake.sources.store import TableStore
@@ -371,18 +371,37 @@ def q_dq_summary(spark, sf):
 
 
 # -------------------------------------------------------------------- stats
+def load_counts(spark, sf) -> DataFrame:
+    """(run, entity, extracted, deleted) of both loads of all seven entities:
+    one aggregate over tagged rows, checkpointed (a small table) so the stats
+    updates below do not re-plan the load chains."""
+    parts = []
+    for e in ENTITY_NAMES:
+        r1, r2 = two_loads(spark, sf, e)
+        for run, r in ((1, r1), (2, r2)):
+            for part in ("incr", "removed"):
+                parts.append(r[part].select(F.lit(run).alias("run"), F.lit(e).alias("entity"),
+                                            F.lit(part).alias("tag")))
+    tagged = reduce(DataFrame.unionByName, parts)
+    counts = tagged.groupBy("run", "entity").agg(F.count_if(F.col("tag") == "incr").alias("extracted"),
+                                                 F.count_if(F.col("tag") == "removed").alias("deleted"))
+    scratch_dir(spark)
+    return counts.checkpoint(eager=True)
+
+
 def loads_with_stats(spark, sf):
     """sys_etl_stats after two runs of all seven entity loads."""
     stats = empty_stats(spark)
-    runs = {e: two_loads(spark, sf, e) for e in ENTITY_NAMES}
-    for i, run in ((0, 1), (1, 2)):
+    counts = load_counts(spark, sf)
+    for run in (1, 2):
         c = ctx(run)
-        run_date = RUN_TS[run][:10]
-        for column, part in (("ntn_extracted", "incr"), ("raw_loaded", "incr"), ("raw_deleted", "removed")):
-            upd = reduce(DataFrame.unionByName, [
-                S.count_as(runs[e][i][part], c.run_id, run_date, c.dag_name, S.task_name(e)) for e in ENTITY_NAMES])
-            stats = S.upsert_counter(stats, upd, column)
-    return stats, runs
+        per_run = counts.filter(F.col("run") == run).select(
+            F.lit(c.run_id).cast("bigint").alias("run_id"), F.lit(RUN_TS[run][:10]).cast("date").alias("run_date"),
+            F.lit(c.dag_name).alias("dag_name"), F.concat(F.lit("extract_and_load_"), "entity").alias("task_name"),
+            "extracted", "deleted")
+        for column, src in (("ntn_extracted", "extracted"), ("raw_loaded", "extracted"), ("raw_deleted", "deleted")):
+            stats = S.upsert_counter(stats, per_run.withColumn("value", F.col(src)), column)
+    return stats, counts
 
 
 def q_stats_upsert(spark, sf):

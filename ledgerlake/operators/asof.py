@@ -48,11 +48,12 @@ def date_key_join(fact: DataFrame, dim_date: DataFrame, as_of: str, out: str,
                   fallback: str = SYSTEM_KEY) -> DataFrame:
     """LEFT equi join to the calendar on the date (J5); missing -> ``fallback``.
 
-    The calendar has one row per day of a fixed range, a proven size bound, so
-    it is always broadcast.
+    The calendar has one row per day of its range; it is broadcast after the
+    same row-count check as any dimension (a range built from bad dates could
+    be long).
     """
-    d = F.broadcast(dim_date.filter(F.col("date").isNotNull())
-                    .select(F.col("date").alias(f"__{out}_d"), F.col(DK).alias(f"__{out}_dk")))
+    d, _ = maybe_broadcast(dim_date.filter(F.col("date").isNotNull())
+                           .select(F.col("date").alias(f"__{out}_d"), F.col(DK).alias(f"__{out}_dk")))
     joined = fact.join(d, F.col(as_of) == F.col(f"__{out}_d"), "left")
     return joined.select(*[F.col(c) for c in fact.columns],
                          F.coalesce(F.col(f"__{out}_dk"), F.lit(fallback)).alias(out))

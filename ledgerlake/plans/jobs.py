@@ -158,7 +158,6 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
     test failed (as a build does); ``'report'`` only records the failures.
     """
     res = BuildResult()
-    spark = store.spark
     entities = [e.name for e in ENTITY_ORDER if store.exists("raw", e.name)]
     if ctx.is_initial_load:
         for e in entities:                                   # K6

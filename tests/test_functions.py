@@ -2,7 +2,6 @@ import datetime as dt
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import (bool_text, entity_of_table, first_or_null, run_id_expr, run_id_value,
                                          scd_key, text, to_date, to_ts)

@@ -50,8 +50,10 @@ def table(spark, name):
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Store an input as a table of CPUS*2 files, so scans are parallel (the
+    driver's test files hold a single row group each, which one task reads)."""
     path = new_scratch_path(df.sparkSession, f"bench-{name}")
-    df.write.parquet(path)
+    df.repartition(CPUS * 2).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

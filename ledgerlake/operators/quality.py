@@ -97,24 +97,43 @@ def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     (status ``pass``, ``warn`` or ``fail``).
 
     Row-level checks (not_null, expression) on the same table share one scan:
-    a single aggregate of ``count_if`` per check, unpivoted to rows.  Other
-    checks count their own violation rows.
+    a single aggregate of ``count_if`` per check, unpivoted to rows.  The
+    foreign keys of one child table share one scan too.  Other checks count
+    their own violation rows.
     """
     def lit_row(c: Check, n: str) -> str:
         return f"'{c.name}', '{c.table}', '{c.severity}', {n}"
 
     parts = []
     by_table: dict[str, list[Check]] = {}
+    fks: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in _ROW_CHECKS:
             by_table.setdefault(c.table, []).append(c)
+        elif c.kind == "foreign_key":
+            fks.setdefault(c.table, []).append(c)
         else:
             n = failures(c, tables).agg(F.count(F.lit(1)).alias("n"))
             parts.append(n.selectExpr(f"stack(1, {lit_row(c, 'n')}) AS (test_name, table_name, severity, failures)"))
-    for t, cs in by_table.items():
-        agg = tables[t].agg(*[F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(cs)])
+
+    def stacked(agg: DataFrame, cs: list[Check]) -> DataFrame:
         rows = ", ".join(lit_row(c, f"c{i}") for i, c in enumerate(cs))
-        parts.append(agg.selectExpr(f"stack({len(cs)}, {rows}) AS (test_name, table_name, severity, failures)"))
+        return agg.selectExpr(f"stack({len(cs)}, {rows}) AS (test_name, table_name, severity, failures)")
+
+    for t, cs in by_table.items():
+        parts.append(stacked(tables[t].agg(*[F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(cs)]), cs))
+    for t, cs in fks.items():
+        # all foreign keys of one child in one scan: LEFT join to each parent's
+        # distinct key set (broadcast when its size is checked), then count
+        df = tables[t].select(*dict.fromkeys(c.columns[0] for c in cs))
+        for i, c in enumerate(cs):
+            keys = (tables[c.parent].select(F.col(c.parent_columns[0]).alias(f"__pk{i}"))
+                    .filter(F.col(f"__pk{i}").isNotNull()).distinct())
+            keys, _ = maybe_broadcast(keys)
+            df = df.join(keys, F.col(c.columns[0]) == F.col(f"__pk{i}"), "left")
+        agg = df.agg(*[F.count_if(F.col(c.columns[0]).isNotNull() & F.col(f"__pk{i}").isNull()).alias(f"c{i}")
+                       for i, c in enumerate(cs)])
+        parts.append(stacked(agg, cs))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(
         "test_name", "table_name", "severity", F.col("failures").cast("bigint").alias("failures"),

@@ -48,3 +48,15 @@ def test_stats_insert_then_update(spark):
                               "task_name string, value bigint")
     st2 = S.update_by_task(st, w, 20260705183600, "wh_loaded")
     assert [(r["task_name"], r["wh_loaded"]) for r in st2.collect()] == [("extract_and_load_account", 3)]
+
+
+def test_summary_folds_foreign_keys(spark):
+    child = spark.createDataFrame([("1", "x"), ("9", "x"), (None, "q"), ("2", "nope")], "a string, b string")
+    pa = spark.createDataFrame([("1",), ("2",), ("2",)], "k string")
+    pb = spark.createDataFrame([("x",)], "k string")
+    checks = [Check("fk_a", "c", "foreign_key", ("a",), parent="pa", parent_columns=("k",)),
+              Check("fk_b", "c", "foreign_key", ("b",), parent="pb", parent_columns=("k",))]
+    tables = {"c": child, "pa": pa, "pb": pb}
+    got = {r["test_name"]: r["failures"] for r in Q.summary(checks, tables).collect()}
+    assert got == {"fk_a": 1, "fk_b": 2}
+    assert got == {c.name: Q.failures(c, tables).count() for c in checks}

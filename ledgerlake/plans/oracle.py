@@ -493,7 +493,7 @@ FROM customer"""
 
 def o_cast_decimal() -> str:
     return """SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(27,2)) AS amount,
-       CAST(o_totalprice AS DECIMAL(27,2)) * 3 - CAST(o_totalprice AS DECIMAL(27,2)) AS amount_expr
+       CAST(CAST(o_totalprice AS DECIMAL(27,2)) * 3 - CAST(o_totalprice AS DECIMAL(27,2)) AS DECIMAL(27,2)) AS amount_expr
 FROM orders"""
 
 

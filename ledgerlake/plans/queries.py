@@ -268,7 +268,7 @@ def q_cast_text(spark, sf):
 def q_cast_decimal(spark, sf):
     o = read_table(spark, sf, "orders")
     amount = money("o_totalprice")
-    return o.select("o_orderkey", amount.alias("amount"), (amount * 3 - amount).alias("amount_expr"))
+    return o.select("o_orderkey", amount.alias("amount"), money(amount * 3 - amount).alias("amount_expr"))
 
 
 OFFSETS = ("Z", "+02:00", "-05:30")

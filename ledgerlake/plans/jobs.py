@@ -8,6 +8,7 @@ collected while the new raw version is written, so that step runs once.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -66,7 +67,7 @@ def replace_audit_slice(store: TableStore, entity: str, live: DataFrame) -> None
     name = f"{store.db('raw')}.{AUDIT_TABLE}"
     base = f"{store.root}/raw/{AUDIT_TABLE}"
     if not store.exists("raw", AUDIT_TABLE):
-        spark.sql(f"CREATE TABLE {name} (id STRING, title STRING, source_name STRING) USING parquet "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (id STRING, title STRING, source_name STRING) USING parquet "
                   f"PARTITIONED BY (source_name) LOCATION '{base}/_table'")
     path = f"{base}/source_name={entity}/v={uuid.uuid4().hex}"
     live.select("id", "title").write.parquet(path)
@@ -150,12 +151,14 @@ def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result:
 
 
 def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | None = None,
-                    on_error: str = "stop") -> BuildResult:
+                    on_error: str = "stop", workers: int = 4) -> BuildResult:
     """(initial load: date reset + calendar seed) -> staging -> tests ->
     snapshots -> tests -> stats -> facts -> tests, in dependency order.
 
     ``on_error='stop'`` skips the dependants of a model whose error-severity
     test failed (as a build does); ``'report'`` only records the failures.
+    Independent snapshots are submitted concurrently (``workers`` threads), so
+    their Spark jobs share the cluster instead of running one after another.
     """
     res = BuildResult()
     entities = [e.name for e in ENTITY_ORDER if store.exists("raw", e.name)]
@@ -175,12 +178,20 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
         blocked = set()
 
     dims: dict[str, DataFrame] = {}
+    todo = []
     for name, spec in SNAPSHOTS.items():
         if spec.source not in stg or spec.source in blocked:
             res.skipped.append(name)
-            continue
+        else:
+            todo.append((name, spec))
+
+    def merge_one(item):
+        name, spec = item
         hist = store.read("warehouse", name)
         store.publish(scd2_merge(hist, stg[spec.source], spec, ctx), "warehouse", name)
+        return name
+
+    for name in _run_all(merge_one, todo, workers):       # independent snapshots run concurrently
         res.published.append(name)
         dims[name] = store.read("warehouse", name)
     dim_blocked = run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in dims], dims, res)
@@ -224,10 +235,23 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
     return res
 
 
+def _run_all(fn, items, workers: int) -> list:
+    """Apply ``fn`` to ``items``, ``workers`` at a time; results in input order.
+    The first error is raised after all submitted work has finished."""
+    if workers <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = [pool.submit(fn, x) for x in items]
+        return [f.result() for f in futures]
+
+
 def full_run(store: TableStore, landed_root: str, ctx: RunContext, calendar: DataFrame | None = None,
-             bronze_root: str | None = None, on_error: str = "stop") -> tuple[list[LoadCounts], BuildResult]:
-    """The seven entity loads in order, one run id, then the build."""
-    loads = [entity_load(store, spec, f"{landed_root.rstrip('/')}/{spec.name}", ctx, bronze_root, record=False)
-             for spec in ENTITY_ORDER]
+             bronze_root: str | None = None, on_error: str = "stop",
+             workers: int = 4) -> tuple[list[LoadCounts], BuildResult]:
+    """The seven entity loads (independent of each other, so submitted
+    concurrently), one run id, their counts recorded once, then the build."""
+    def load(spec):
+        return entity_load(store, spec, f"{landed_root.rstrip('/')}/{spec.name}", ctx, bronze_root, record=False)
+    loads = _run_all(load, list(ENTITY_ORDER), workers)
     record_counts(store, ctx, load_count_rows(loads))
-    return loads, warehouse_build(store, ctx, calendar, on_error)
+    return loads, warehouse_build(store, ctx, calendar, on_error, workers)

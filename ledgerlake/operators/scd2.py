@@ -71,19 +71,31 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, spec: SnapshotSpec,
         validate_source(source, spec.key)
     if history is None:
         return initial_snapshot(source, spec, ctx)
-    if ctx.is_initial_load:
-        raise ValueError(f"initial load of {spec.name} onto existing history")
+    hist_cols = _hist_cols(history, source, spec)
+    closed = history.filter(F.col(VALID_TO) != ts_literal(OPEN_END)).select(*hist_cols)
+    return closed.unionByName(scd2_changes(history, source, spec, ctx))
 
-    data_cols = [c for c in source.columns]
-    hist_cols = data_cols + [DK, UPDATED_AT, VALID_FROM, VALID_TO]
+
+def _hist_cols(history: DataFrame, source: DataFrame, spec: SnapshotSpec) -> list[str]:
+    hist_cols = list(source.columns) + [DK, UPDATED_AT, VALID_FROM, VALID_TO]
     missing = [c for c in hist_cols if c not in history.columns]
     if missing:
         raise ValueError(f"history of {spec.name} lacks columns {missing}")
+    return hist_cols
+
 
+def scd2_changes(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx: RunContext) -> DataFrame:
+    """The open versions after this run plus the versions this run closes.
+
+    Reads only the open versions of ``history`` (pass just those when the
+    storage keeps them apart); closed versions are not touched.
+    """
+    if ctx.is_initial_load:
+        raise ValueError(f"initial load of {spec.name} onto existing history")
+    data_cols = list(source.columns)
+    hist_cols = _hist_cols(history, source, spec)
     open_end = ts_literal(OPEN_END)
-    is_open = F.col(VALID_TO) == open_end
-    opened = history.filter(is_open).select(*hist_cols)
-    closed = history.filter(~is_open).select(*hist_cols)
+    opened = history.filter(F.col(VALID_TO) == open_end).select(*hist_cols)
 
     h = opened.select(*[F.col(c).alias(f"h_{c}") for c in hist_cols])
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in data_cols],
@@ -109,8 +121,7 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, spec: SnapshotSpec,
         scd_key(sk, upd).alias(DK), upd.alias(UPDATED_AT), upd.alias(VALID_FROM),
         open_end.alias(VALID_TO)))
 
-    merged = j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
-    return closed.unionByName(merged)
+    return j.select(F.inline(F.filter(F.array(old, new), lambda x: x.isNotNull())))
 
 
 def open_versions(history: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
 from ledgerlake.operators.load import (incremental, reset_dates, source_filter, sync_deletes, upsert,
                                        watermark_value)
-from ledgerlake.operators.scd2 import scd2_merge
+from ledgerlake.operators.scd2 import scd2_changes, scd2_merge
 from ledgerlake.plans.budget import ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING_CHECKS, WAREHOUSE_CHECKS
 from ledgerlake.plans.warehouse import build_facts, stage_all
 from ledgerlake.session import scratch_dir
@@ -187,13 +187,15 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
 
     def merge_one(item):
         name, spec = item
-        hist = store.read("warehouse", name)
-        store.publish(scd2_merge(hist, stg[spec.source], spec, ctx), "warehouse", name)
+        current = store.read_snapshot(name, open_only=True)
+        changes = (scd2_merge(None, stg[spec.source], spec, ctx) if current is None
+                   else scd2_changes(current, stg[spec.source], spec, ctx))
+        store.publish_snapshot(changes, name, ctx.run_id)
         return name
 
     for name in _run_all(merge_one, todo, workers):       # independent snapshots run concurrently
         res.published.append(name)
-        dims[name] = store.read("warehouse", name)
+        dims[name] = store.read_snapshot(name)
     dim_blocked = run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in dims], dims, res)
     if not report:
         blocked |= dim_blocked

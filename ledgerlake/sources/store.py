@@ -12,10 +12,18 @@ One writer per table.  The root must be a shared folder on a cluster.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlake.functions.scalar import ts_literal
+from ledgerlake.spec import OPEN_END, VALID_TO
+
 VERSION_PROP = "ledgerlake.version"
+OPEN_RUN_PROP = "ledgerlake.open_run"
+SEGMENT = "scd2_segment"
+OPEN_SEGMENT = "open"
 
 
 class TableStore:
@@ -88,3 +96,73 @@ class TableStore:
         """Row count of the current version (parquet footers only)."""
         df = self.read(schema, table)
         return 0 if df is None else df.count()
+
+    # ------------------------------------------------------------ snapshots
+    # A snapshot table is partitioned by ``scd2_segment``: 'open' holds the
+    # current versions and is repointed to a new directory on every run;
+    # 'c<run_id>' holds the versions closed by that run, written once.  A run
+    # reads only the open partition and writes open versions + its closures,
+    # so its cost does not grow with the length of the history.
+    #
+    # Commit order: write both directories -> add the closed partition ->
+    # repoint 'open' -> record ``open_run``.  A closed partition newer than
+    # ``open_run`` belongs to an unfinished run and is dropped on the next
+    # publish (its versions are still open in 'open'); a run already recorded
+    # is not applied twice.
+
+    def _props(self, name: str) -> dict:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+    def _segments(self, name: str) -> set[str]:
+        return {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+    def snapshot_open_run(self, table: str) -> int | None:
+        if not self.exists("warehouse", table):
+            return None
+        v = self._props(f"{self.db('warehouse')}.{table}").get(OPEN_RUN_PROP)
+        return int(v) if v is not None else None
+
+    def publish_snapshot(self, changes: DataFrame, table: str, run_id: int) -> bool:
+        """Commit one run of a snapshot: ``changes`` holds the open versions
+        after the run and the versions it closed.  Returns False when this run
+        was already committed (nothing is written)."""
+        name = f"{self.db('warehouse')}.{table}"
+        base = f"{self.root}/warehouse/{table}"
+        if not self.exists("warehouse", table):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changes.schema.fields)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}, {SEGMENT} STRING) USING parquet "
+                           f"PARTITIONED BY ({SEGMENT}) LOCATION '{base}/_table' "
+                           f"TBLPROPERTIES ('{OPEN_RUN_PROP}' = '0')")
+        done = int(self._props(name).get(OPEN_RUN_PROP, "0"))
+        if run_id <= done:
+            return False
+        segments = self._segments(name)
+        for seg in segments:                                  # roll back an unfinished run
+            if seg.startswith("c") and int(seg[1:]) > done:
+                self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({SEGMENT} = '{seg}')")
+        rows = changes.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            is_open = F.col(VALID_TO) == ts_literal(OPEN_END)
+            closed_dir, open_dir = f"{base}/closed/run={run_id}", f"{base}/open/run={run_id}"
+            rows.filter(~is_open).write.mode("overwrite").parquet(closed_dir)
+            rows.filter(is_open).write.mode("overwrite").parquet(open_dir)
+        finally:
+            rows.unpersist()
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({SEGMENT} = 'c{run_id}') "
+                       f"LOCATION '{closed_dir}'")
+        if OPEN_SEGMENT in segments:
+            self.spark.sql(f"ALTER TABLE {name} PARTITION ({SEGMENT} = '{OPEN_SEGMENT}') SET LOCATION '{open_dir}'")
+        else:
+            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({SEGMENT} = '{OPEN_SEGMENT}') LOCATION '{open_dir}'")
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_RUN_PROP}' = '{run_id}')")
+        self.spark.catalog.refreshTable(name)
+        return True
+
+    def read_snapshot(self, table: str, open_only: bool = False) -> DataFrame | None:
+        """The whole history (or, pruned to one partition, the open versions)."""
+        df = self.read("warehouse", table)
+        if df is None:
+            return None
+        if open_only:
+            df = df.filter(F.col(SEGMENT) == OPEN_SEGMENT)
+        return df.drop(SEGMENT)

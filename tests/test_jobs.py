@@ -41,12 +41,12 @@ def three_runs(spark, sf):
 @pytest.mark.parametrize("dim", ["dim_account", "dim_category", "dim_subcategory", "dim_year", "dim_month"])
 def test_dimensions_match_composition(spark, sf, three_runs, dim):
     store, _ = three_runs
-    assert _bag(store.read("warehouse", dim)) == _bag(Qs.snapshot_runs(spark, sf, dim, Qs.THREE_RUNS))
+    assert _bag(store.read_snapshot(dim)) == _bag(Qs.snapshot_runs(spark, sf, dim, Qs.THREE_RUNS))
 
 
 def test_revived_key_has_a_new_version(spark, three_runs):
     store, _ = three_runs
-    d = store.read("warehouse", "dim_subcategory")
+    d = store.read_snapshot("dim_subcategory")
     # key 17 (k % 17 = 0) was deleted in run 2 and is back in run 3
     versions = d.filter("subcategory_id_bk = '17'").orderBy("scd2_valid_from").collect()
     assert len(versions) == 2

@@ -28,12 +28,14 @@ def unknown_member(dim: DataFrame, dim_key: str) -> Column:
 
 
 def asof_left_join(fact: DataFrame, dim: DataFrame, ref: DimRef, as_of: str,
-                   broadcast: bool | None = None, fallback: bool = True) -> DataFrame:
-    """Add ``ref.out`` = dk of the ``dim`` version valid at ``fact[as_of]``."""
+                   broadcast: bool | None = None, fallback: bool = True,
+                   dim_rows: int | None = None) -> DataFrame:
+    """Add ``ref.out`` = dk of the ``dim`` version valid at ``fact[as_of]``.
+    ``dim_rows``: the dimension's known row count, if stored."""
     p = f"__{ref.out}"
     d = dim.select(F.col(ref.dim_key).alias(f"{p}_k"), F.col(VALID_FROM).alias(f"{p}_vf"),
                    F.col(VALID_TO).alias(f"{p}_vt"), F.col(DK).alias(f"{p}_dk"))
-    d, is_bc = maybe_broadcast(d, broadcast)
+    d, is_bc = maybe_broadcast(d, broadcast, rows=dim_rows)
     at = F.col(as_of).cast("timestamp_ntz")     # a date compares as its midnight
     probe = F.col(ref.fact_key) if is_bc else spread_null_key(fact, ref.fact_key)
     cond = (probe == F.col(f"{p}_k")) & (F.col(f"{p}_vf") <= at) & (F.col(f"{p}_vt") > at)
@@ -45,7 +47,7 @@ def asof_left_join(fact: DataFrame, dim: DataFrame, ref: DimRef, as_of: str,
 
 
 def date_key_join(fact: DataFrame, dim_date: DataFrame, as_of: str, out: str,
-                  fallback: str = SYSTEM_KEY) -> DataFrame:
+                  fallback: str = SYSTEM_KEY, dim_rows: int | None = None) -> DataFrame:
     """LEFT equi join to the calendar on the date (J5); missing -> ``fallback``.
 
     The calendar has one row per day of its range; it is broadcast after the
@@ -53,7 +55,8 @@ def date_key_join(fact: DataFrame, dim_date: DataFrame, as_of: str, out: str,
     be long).
     """
     d, _ = maybe_broadcast(dim_date.filter(F.col("date").isNotNull())
-                           .select(F.col("date").alias(f"__{out}_d"), F.col(DK).alias(f"__{out}_dk")))
+                           .select(F.col("date").alias(f"__{out}_d"), F.col(DK).alias(f"__{out}_dk")),
+                           rows=dim_rows)
     joined = fact.join(d, F.col(as_of) == F.col(f"__{out}_d"), "left")
     return joined.select(*[F.col(c) for c in fact.columns],
                          F.coalesce(F.col(f"__{out}_dk"), F.lit(fallback)).alias(out))

@@ -16,20 +16,23 @@ from ledgerlake.spec import FactSpec
 
 def build_fact(source: DataFrame, dims: dict[str, DataFrame], spec: FactSpec,
                dim_date: DataFrame | None = None,
-               broadcast: dict[str, bool | None] | None = None) -> DataFrame:
+               broadcast: dict[str, bool | None] | None = None,
+               dim_rows: dict[str, int | None] | None = None) -> DataFrame:
     """Full rebuild of ``spec``'s fact from its staging model.
 
-    ``dims`` maps snapshot table name -> snapshot DataFrame.
+    ``dims`` maps snapshot table name -> snapshot DataFrame; ``dim_rows`` their
+    known row counts (stored tables), which size the broadcasts without a job.
     """
+    dim_rows = dim_rows or {}
     key_cols = {r.fact_key for r in spec.dims}
     keep = list(dict.fromkeys([*spec.attributes, spec.as_of, *key_cols]))
     df = source.select(*keep)
     for ref in spec.dims:
         df = asof_left_join(df, dims[ref.dim], ref, spec.as_of,
-                            broadcast=(broadcast or {}).get(ref.dim))
+                            broadcast=(broadcast or {}).get(ref.dim), dim_rows=dim_rows.get(ref.dim))
     if spec.date_dim_out:
         if dim_date is None:
             raise ValueError(f"{spec.name} needs the calendar dimension")
-        df = date_key_join(df, dim_date, spec.as_of, spec.date_dim_out)
+        df = date_key_join(df, dim_date, spec.as_of, spec.date_dim_out, dim_rows=dim_rows.get("dim_date"))
     outs = [r.out for r in spec.dims] + ([spec.date_dim_out] if spec.date_dim_out else [])
     return df.select(*[F.col(c) for c in spec.attributes], *[F.col(c) for c in outs])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000     # ~100 MB for a dimension's 4 narrow columns
 NULL_SALT_PREFIX = "\u0001null:"   # a business key never starts with \x01
 
 
@@ -25,15 +25,21 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.  Reads at most n+1 rows."""
+    """True when ``df`` has at most ``n`` rows.  Reads at most n+1 rows per
+    partition; prefer a recorded row count (``rows=``) for stored tables."""
     return df.limit(n + 1).count() <= n
 
 
 def maybe_broadcast(df: DataFrame, broadcast: bool | None = None,
-                    max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` when asked, or when its checked size is under the bound."""
+                    max_rows: int | None = None, rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` when asked, or when its size is under the bound.
+
+    ``rows`` is a known row count (a stored table records it when written), so
+    no job runs; otherwise at most bound+1 rows are read to check.
+    """
     if broadcast is None:
-        broadcast = has_at_most(df, max_rows or max_broadcast_rows(df))
+        bound = max_rows or max_broadcast_rows(df)
+        broadcast = rows <= bound if rows is not None else has_at_most(df, bound)
     return (F.broadcast(df), True) if broadcast else (df, False)
 
 

@@ -225,7 +225,8 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
             res.skipped.append(name)
             continue
         facts_ok[name] = f
-    for name, df in build_facts(stg, dims, cal, list(facts_ok)).items():
+    rows = {n: store.rows("warehouse", n) for n in [*dims, "dim_date"]}     # recorded at write time
+    for name, df in build_facts(stg, dims, cal, list(facts_ok), dim_rows=rows).items():
         store.publish(df, "warehouse", name)
         res.published.append(name)
     facts = {n: store.read("warehouse", n) for n in facts_ok}

@@ -37,8 +37,9 @@ def snapshot_all(history: dict[str, DataFrame] | None, stg: dict[str, DataFrame]
 
 def build_facts(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
                 dim_date: DataFrame | None, names=None,
-                broadcast: dict[str, bool | None] | None = None) -> dict[str, DataFrame]:
+                broadcast: dict[str, bool | None] | None = None,
+                dim_rows: dict[str, int | None] | None = None) -> dict[str, DataFrame]:
     names = names or [n for n, f in FACTS.items() if f.source in stg]
     return {n: build_fact(stg[FACTS[n].source], dims, FACTS[n],
-                          dim_date if FACTS[n].date_dim_out else None, broadcast)
+                          dim_date if FACTS[n].date_dim_out else None, broadcast, dim_rows)
             for n in names}

@@ -13,7 +13,7 @@ One writer per table.  The root must be a shared folder on a cluster.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,6 +21,8 @@ from ledgerlake.functions.scalar import ts_literal
 from ledgerlake.spec import OPEN_END, VALID_TO
 
 VERSION_PROP = "ledgerlake.version"
+ROWS_PROP = "ledgerlake.rows"              # row count of the current version, observed while writing
+OPEN_ROWS_PROP = "ledgerlake.open_rows"
 OPEN_RUN_PROP = "ledgerlake.open_run"
 SEGMENT = "scd2_segment"
 OPEN_SEGMENT = "open"
@@ -71,7 +73,8 @@ class TableStore:
         cur = self.version(schema, table)
         nxt = 1 if cur is None else cur + 1
         p = self.path(schema, table, nxt)
-        w = df.write.mode(mode)
+        obs = Observation()
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(p)
@@ -87,11 +90,19 @@ class TableStore:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{p}'")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION_PROP}' = '{nxt}')")
+        rows = int(obs.get["rows"])
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION_PROP}' = '{nxt}', '{ROWS_PROP}' = '{rows}')")
         self.spark.catalog.refreshTable(name)
         self._versions[(schema, table)] = nxt
         return nxt
 
+    def rows(self, schema: str, table: str) -> int | None:
+        """Row count recorded when the current version was written (no job)."""
+        if not self.exists(schema, table):
+            return None
+        v = self._props(f"{self.db(schema)}.{table}").get(ROWS_PROP)
+        return int(v) if v is not None else None
+
     def count(self, schema: str, table: str) -> int:
         """Row count of the current version (parquet footers only)."""
         df = self.read(schema, table)
@@ -140,21 +151,29 @@ class TableStore:
         for seg in segments:                                  # roll back an unfinished run
             if seg.startswith("c") and int(seg[1:]) > done:
                 self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({SEGMENT} = '{seg}')")
+        props = self._props(name)
+        closed_before = int(props.get(ROWS_PROP, "0")) - int(props.get(OPEN_ROWS_PROP, "0"))
         rows = changes.persist(StorageLevel.MEMORY_AND_DISK)
+        ob_closed, ob_open = Observation(), Observation()
         try:
             is_open = F.col(VALID_TO) == ts_literal(OPEN_END)
             closed_dir, open_dir = f"{base}/closed/run={run_id}", f"{base}/open/run={run_id}"
-            rows.filter(~is_open).write.mode("overwrite").parquet(closed_dir)
-            rows.filter(is_open).write.mode("overwrite").parquet(open_dir)
+            (rows.filter(~is_open).observe(ob_closed, F.count(F.lit(1)).alias("n"))
+                 .write.mode("overwrite").parquet(closed_dir))
+            (rows.filter(is_open).observe(ob_open, F.count(F.lit(1)).alias("n"))
+                 .write.mode("overwrite").parquet(open_dir))
         finally:
             rows.unpersist()
+        n_open = int(ob_open.get["n"])
+        n_total = closed_before + int(ob_closed.get["n"]) + n_open
         self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({SEGMENT} = 'c{run_id}') "
                        f"LOCATION '{closed_dir}'")
         if OPEN_SEGMENT in segments:
             self.spark.sql(f"ALTER TABLE {name} PARTITION ({SEGMENT} = '{OPEN_SEGMENT}') SET LOCATION '{open_dir}'")
         else:
             self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({SEGMENT} = '{OPEN_SEGMENT}') LOCATION '{open_dir}'")
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_RUN_PROP}' = '{run_id}')")
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_RUN_PROP}' = '{run_id}', "
+                       f"'{ROWS_PROP}' = '{n_total}', '{OPEN_ROWS_PROP}' = '{n_open}')")
         self.spark.catalog.refreshTable(name)
         return True
 

@@ -56,3 +56,10 @@ def test_typed_seed(spark):
                                 "calendar_year-month": "numeric(2)"}).first()
     assert (r["dk"], r["date"], r["day_of_week"], r["calendar_year-month"]) == \
         ("20260101", dt.date(2026, 1, 1), "Thursday-", 1)
+
+
+def test_store_records_row_counts(spark):
+    store = TableStore(spark, new_scratch_path(spark, "store-rows"), prefix="rows_")
+    store.publish(spark.range(7).selectExpr("cast(id as string) AS id"), "raw", "x")
+    assert store.rows("raw", "x") == 7
+    assert store.rows("raw", "missing") is None

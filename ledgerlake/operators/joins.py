@@ -55,12 +55,13 @@ def spread_null_key(df: DataFrame, key: str, salt_cols: list[str] | None = None)
 
 
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                columns: dict[str, Column], broadcast: bool | None = None) -> DataFrame:
+                columns: dict[str, Column], broadcast: bool | None = None,
+                right_rows: int | None = None) -> DataFrame:
     """``left LEFT JOIN right ON right_key = left_key``, adding ``columns``
     (expressions over ``right``'s columns) to every left row."""
     tmp = f"__lk_{right_key}"
     r = right.select(F.col(right_key).alias(tmp), *[e.alias(f"__lv_{n}") for n, e in columns.items()])
-    r, is_bc = maybe_broadcast(r, broadcast)
+    r, is_bc = maybe_broadcast(r, broadcast, rows=right_rows)
     probe = F.col(left_key) if is_bc else spread_null_key(left, left_key)
     out = left.join(r, probe == F.col(tmp), "left")
     out = out.select(*[F.col(c) for c in left.columns],

@@ -51,13 +51,13 @@ def watermark_value(df: DataFrame, col: str = "load_date"):
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str = "id",
-           broadcast_batch: bool | None = None) -> DataFrame:
+           broadcast_batch: bool | None = None, batch_rows: int | None = None) -> DataFrame:
     """Replace target rows whose key is in the batch, then append the batch
     (K2).  Duplicate keys inside the batch are all kept; an empty batch leaves
     the target unchanged.  The batch's key set is broadcast only when its size
-    is checked to be small."""
+    is checked to be small (``batch_rows``, when known, bounds it without a job)."""
     ids = batch.select(key).filter(F.col(key).isNotNull()).distinct()
-    ids, _ = maybe_broadcast(ids, broadcast_batch)
+    ids, _ = maybe_broadcast(ids, broadcast_batch, rows=batch_rows)
     kept = target.join(ids, key, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 

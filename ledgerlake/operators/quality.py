@@ -92,14 +92,16 @@ def _bad_row(c: Check):
     return F.col(c.columns[0]).isNull() if c.kind == "not_null" else F.expr(c.condition)
 
 
-def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+def summary(checks: list[Check], tables: dict[str, DataFrame],
+            rows: dict[str, int | None] | None = None) -> DataFrame:
     """One row per check: ``test_name, table_name, severity, failures, status``
     (status ``pass``, ``warn`` or ``fail``).
 
     Row-level checks (not_null, expression) on the same table share one scan:
     a single aggregate of ``count_if`` per check, unpivoted to rows.  The
     foreign keys of one child table share one scan too.  Other checks count
-    their own violation rows.
+    their own violation rows.  ``rows``: known row counts of the tables (size
+    the parent broadcasts without a job).
     """
     def lit_row(c: Check, n: str) -> str:
         return f"'{c.name}', '{c.table}', '{c.severity}', {n}"
@@ -129,7 +131,7 @@ def summary(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
         for i, c in enumerate(cs):
             keys = (tables[c.parent].select(F.col(c.parent_columns[0]).alias(f"__pk{i}"))
                     .filter(F.col(f"__pk{i}").isNotNull()).distinct())
-            keys, _ = maybe_broadcast(keys)
+            keys, _ = maybe_broadcast(keys, rows=(rows or {}).get(c.parent))
             df = df.join(keys, F.col(c.columns[0]) == F.col(f"__pk{i}"), "left")
         agg = df.agg(*[F.count_if(F.col(c.columns[0]).isNotNull() & F.col(f"__pk{i}").isNull()).alias(f"c{i}")
                        for i, c in enumerate(cs)])

@@ -40,7 +40,7 @@ def system_row(spark: SparkSession, spec: StagingSpec) -> DataFrame:
 
 
 def stage(raw: DataFrame, spec: StagingSpec, parent: DataFrame | None = None,
-          broadcast_parent: bool | None = None) -> DataFrame:
+          broadcast_parent: bool | None = None, parent_rows: int | None = None) -> DataFrame:
     """Typed 1:1 view of ``raw`` per ``spec``.
 
     ``parent`` is the raw parent table for a spec with a lookup (LEFT join on
@@ -57,7 +57,7 @@ def stage(raw: DataFrame, spec: StagingSpec, parent: DataFrame | None = None,
         df = left_lookup(
             df, parent, fk, pk,
             {f"__p_{t}": text(F.col(pcol), n) for t, (pcol, n) in wanted.items()},
-            broadcast=broadcast_parent)
+            broadcast=broadcast_parent, right_rows=parent_rows)
     cols = []
     for c in spec.columns:
         if c.target in lookup_targets:

@@ -101,7 +101,7 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
             write_bronze(batch, bronze_root, spec.name, ctx.run_id)
         replace_audit_slice(store, spec.name, mapped.select("id", "title"))
         target = raw if raw is not None else spark.createDataFrame([], batch.schema)
-        upserted = upsert(target, batch)
+        upserted = upsert(target, batch, batch_rows=n)
         audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
         kept, obs = sync_deletes(upserted, audit, spec.key)
         store.publish(kept, "raw", spec.name)
@@ -130,16 +130,17 @@ class BuildResult:
     summaries: list[list] = field(default_factory=list)
 
 
-def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result: BuildResult) -> set[str]:
+def run_checks(store: TableStore, checks, tables: dict[str, DataFrame], result: BuildResult,
+               rows: dict[str, int | None] | None = None) -> set[str]:
     """Q10 + K9: summarise the checks (one job), store the failing rows of
     each failing check under ``test_failures``, return the tables with a
     failed error-severity check."""
     checks = [c for c in checks if c.table in tables and (c.parent is None or c.parent in tables)]
     if not checks:
         return set()
-    rows = Q.summary(checks, tables).collect()          # one row per check
-    result.summaries.append(rows)
-    bad = {r["test_name"]: r["status"] for r in rows if r["failures"] > 0}
+    summary_rows = Q.summary(checks, tables, rows).collect()          # one row per check
+    result.summaries.append(summary_rows)
+    bad = {r["test_name"]: r["status"] for r in summary_rows if r["failures"] > 0}
     by_name = {c.name: c for c in checks}
     for c in checks:
         # a passing check empties a failures table left by an earlier run
@@ -169,7 +170,7 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
             store.publish(calendar, "warehouse", "dim_date")
             res.published.append("dim_date")
     raw = {e: store.read("raw", e) for e in entities}
-    stg = stage_all(raw)
+    stg = stage_all(raw, rows={e: store.rows("raw", e) for e in entities})
     for n, df in stg.items():
         df.createOrReplaceTempView(f"{store.prefix}{n}")
     report = on_error == "report"
@@ -234,7 +235,7 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
         tables = {**dims, **facts}
         if cal is not None:
             tables["dim_date"] = cal
-        run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in facts], tables, res)
+        run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in facts], tables, res, rows)
     return res
 
 

@@ -16,16 +16,18 @@ from ledgerlake.plans.budget import FACTS, SNAPSHOTS, STAGING
 from ledgerlake.spec import RunContext
 
 
-def stage_one(name: str, raw: dict[str, DataFrame]) -> DataFrame:
+def stage_one(name: str, raw: dict[str, DataFrame], rows: dict[str, int | None] | None = None) -> DataFrame:
     spec = STAGING[name]
     parent = raw.get(spec.lookup[0]) if spec.lookup else None
-    return stage(raw[spec.raw_table], spec, parent)
+    parent_rows = (rows or {}).get(spec.lookup[0]) if spec.lookup else None
+    return stage(raw[spec.raw_table], spec, parent, parent_rows=parent_rows)
 
 
-def stage_all(raw: dict[str, DataFrame], names=None) -> dict[str, DataFrame]:
+def stage_all(raw: dict[str, DataFrame], names=None, rows: dict[str, int | None] | None = None) -> dict[str, DataFrame]:
+    """``rows``: known row counts of the raw tables (size the lookups' broadcasts)."""
     names = names or [n for n, s in STAGING.items()
                       if s.raw_table in raw and (not s.lookup or s.lookup[0] in raw)]
-    return {n: stage_one(n, raw) for n in names}
+    return {n: stage_one(n, raw, rows) for n in names}
 
 
 def snapshot_all(history: dict[str, DataFrame] | None, stg: dict[str, DataFrame],

@@ -56,3 +56,40 @@ def test_two_system_versions_raise(spark):
     with pytest.raises((PySparkException, CapturedException, Exception)) as e:
         asof_left_join(facts, bad, REF, "d", broadcast=True).collect()
     assert "more than one row" in str(e.value).lower() or "SCALAR_SUBQUERY_TOO_MANY_ROWS" in str(e.value)
+
+
+def _final_plan(df):
+    rows = df.collect()           # executes this DataFrame's own plan
+    return plan_text(df), rows    # after execution: the final adaptive plan
+
+
+def test_shuffled_path_salts_null_keys_and_splits_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    n = 30000
+    # a third of the facts on one key, a third with a null key, the rest spread
+    facts = spark.range(n).select(
+        F.col("id").cast("string").alias("fid"),
+        F.when(F.col("id") % 3 == 0, F.lit("a"))
+         .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+         .otherwise((F.col("id") % 997).cast("string")).alias("key"),
+        F.lit("2026-02-15").cast("date").alias("d")).repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = asof_left_join(facts, dim(spark), REF, "d", broadcast=False)
+        plan, rows = _final_plan(out)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "xxhash64" in plan                         # null keys salted, not piled up
+    assert "skew=true" in plan                        # AQE split the hot key's partition
+    from collections import Counter
+    counts = Counter(r["out_dk"] for r in rows)
+    assert counts["a2"] == n // 3                     # every hot-key fact matched once
+    assert counts["unknown"] == n - n // 3            # null and orphan keys fall back
+    assert len(rows) == n                             # no row lost or repeated

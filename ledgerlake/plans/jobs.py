@@ -21,7 +21,7 @@ from ledgerlake.operators import stats as S
 from ledgerlake.operators.load import (incremental, reset_dates, source_filter, sync_deletes, upsert,
                                        watermark_value)
 from ledgerlake.operators.scd2 import scd2_changes, scd2_merge
-from ledgerlake.plans.budget import ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING_CHECKS, WAREHOUSE_CHECKS
+from ledgerlake.plans.specs import ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING_CHECKS, WAREHOUSE_CHECKS
 from ledgerlake.plans.warehouse import build_facts, stage_all
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.bronze import write_bronze

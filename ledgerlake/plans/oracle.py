@@ -6,7 +6,7 @@ snapshot run), so the long chains stay readable.
 
 from __future__ import annotations
 
-from ledgerlake.plans import budget as B
+from ledgerlake.plans import specs as B
 from ledgerlake.sources.testdata import (BATCH1_EDIT, BATCH2_EDIT, BATCH3_EDIT, BATCH_CHANGES,
                                          CHECKED_CHANGE, NEW_KEY_OFFSET, RUN_TS, UNCHECKED_CHANGE)
 from ledgerlake.spec import OPEN_END, SYSTEM_TIME

@@ -20,7 +20,7 @@ from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, sk
                                        watermark, watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
 from ledgerlake.operators.stats import empty_stats
-from ledgerlake.plans.budget import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
+from ledgerlake.plans.specs import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
                                      TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table

@@ -1,4 +1,4 @@
-"""Specs of the budget warehouse: seven source entities, their staging models,
+"""Specs of the warehouse: seven source entities, their staging models,
 snapshots, facts and data tests.  The operators are generic; everything
 entity-specific is here.
 """

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ledgerlake.operators.facts import build_fact
 from ledgerlake.operators.scd2 import scd2_merge
 from ledgerlake.operators.staging import stage
-from ledgerlake.plans.budget import FACTS, SNAPSHOTS, STAGING
+from ledgerlake.plans.specs import FACTS, SNAPSHOTS, STAGING
 from ledgerlake.spec import RunContext
 
 

@@ -9,7 +9,7 @@ import pytest
 
 from ledgerlake.operators.calendar import dim_date_covering
 from ledgerlake.plans import queries as Qs
-from ledgerlake.plans.budget import ENTITY_ORDER
+from ledgerlake.plans.specs import ENTITY_ORDER
 from ledgerlake.plans.jobs import STATS_TABLE, full_run
 from ledgerlake.session import new_scratch_path
 from ledgerlake.sources.pages import land_responses, to_pages

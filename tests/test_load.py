@@ -2,7 +2,7 @@ import datetime as dt
 
 from ledgerlake.operators.load import (hard_delete, incremental, replace_slice, reset_dates, source_filter, upsert,
                                        watermark_value)
-from ledgerlake.plans.budget import TRANSACTION
+from ledgerlake.plans.specs import TRANSACTION
 
 SCHEMA = "id string, title string, load_date timestamp_ntz"
 T1, T2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)

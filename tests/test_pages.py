@@ -1,7 +1,7 @@
 import datetime as dt
 import json
 
-from ledgerlake.plans.budget import SUBCATEGORY, TRANSACTION
+from ledgerlake.plans.specs import SUBCATEGORY, TRANSACTION
 from ledgerlake.session import new_scratch_path
 from ledgerlake.sources.pages import map_pages, read_pages, skinny_pages
 

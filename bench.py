@@ -126,6 +126,7 @@ def main() -> None:
     batch = materialise(target.filter(F.pmod(h, F.lit(10)) == 0).withColumn("l_quantity", F.col("l_quantity") + 1),
                         "raw_batch")
     live = materialise(target.filter(F.pmod(h, F.lit(20)) != 0).select("id"), "live_ids")
+    n_target = target.count()
 
     ent = EntitySpec("orders", (Prop("Name", "title", "title"), Prop("Status", "status", "select"),
                                 Prop("Amount", "amount", "number"), Prop("Date", "date", "date"),
@@ -165,7 +166,7 @@ def main() -> None:
         Q.summary(checks, {"fact": fact_tbl, **dims}).collect()
 
     def hard_delete_sync():
-        kept, obs = sync_deletes(target, live)        # the job's single pass
+        kept, obs = sync_deletes(target, live, target_rows=n_target)   # as the job sizes it
         noop(kept)
         assert obs.get["deleted"] > 0
 

@@ -75,18 +75,55 @@ def hard_delete(target: DataFrame, live_ids: DataFrame, key: str = "id",
     return kept, removed
 
 
+NARROW_FIRST_MIN_ROWS = 5_000_000
+
+
 def sync_deletes(target: DataFrame, live_ids: DataFrame, key: str = "id",
-                 live_key: str | None = None) -> tuple[DataFrame, Observation]:
-    """Single-pass hard-delete sync for a job: the rows to keep, plus an
-    ``Observation`` whose ``deleted`` metric is filled while that result is
-    written.  One LEFT join instead of a semi join and an anti join."""
+                 live_key: str | None = None, target_rows: int | None = None,
+                 narrow_min_rows: int = NARROW_FIRST_MIN_ROWS) -> tuple[DataFrame, "_DeletedCount"]:
+    """Hard-delete sync for a job: the rows to keep, plus an object whose
+    ``get["deleted"]`` is filled while they are written (``Observation``s).
+
+    Large targets (``target_rows`` unknown or >= ``narrow_min_rows``) go
+    narrow first:
+
+    1. keys of ``target`` not in the live set: an anti join of the key columns
+       only (a narrow shuffle), materialised with ``checkpoint()``;
+    2. ``target`` minus those keys (and null keys): a broadcast anti join when
+       the delete set is under the bound, so the wide rows are not shuffled;
+       a shuffled anti join otherwise.
+
+    Deletions are usually a small share, so the wide table is scanned, not
+    shuffled.  Small targets take one LEFT join instead (the extra pass would
+    cost more than the shuffle it saves).  ``deleted`` = rows in - rows kept.
+    """
     lk = live_key or key
-    live = live_ids.select(F.col(lk).alias("__live")).filter(F.col("__live").isNotNull()).distinct()
-    marked = target.join(live, F.col(key) == F.col("__live"), "left")
-    obs = Observation()
-    kept = (marked.observe(obs, F.count_if(F.col("__live").isNull()).alias("deleted"))
-                  .filter(F.col("__live").isNotNull()).drop("__live"))
-    return kept, obs
+    live = live_ids.select(F.col(lk).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    ob_in, ob_out = Observation(), Observation()
+    src = target.observe(ob_in, F.count(F.lit(1)).alias("n"))
+    if target_rows is not None and target_rows < narrow_min_rows:
+        marked = src.join(live.withColumnRenamed(key, "__live"), F.col(key) == F.col("__live"), "left")
+        kept = marked.filter(F.col("__live").isNotNull()).drop("__live")
+    else:
+        from ledgerlake.session import scratch_dir
+        gone = (target.select(key).filter(F.col(key).isNotNull()).distinct()
+                      .join(live, key, "left_anti"))
+        scratch_dir(target.sparkSession)
+        gone = gone.checkpoint(eager=True)
+        gone_b, _ = maybe_broadcast(gone, rows=gone.count())
+        kept = src.filter(F.col(key).isNotNull()).join(gone_b, key, "left_anti")
+    return kept.observe(ob_out, F.count(F.lit(1)).alias("n")), _DeletedCount(ob_in, ob_out)
+
+
+class _DeletedCount:
+    """``get["deleted"]`` once the kept rows have been written."""
+
+    def __init__(self, ob_in: Observation, ob_out: Observation):
+        self._in, self._out = ob_in, ob_out
+
+    @property
+    def get(self) -> dict:
+        return {"deleted": int(self._in.get["n"]) - int(self._out.get["n"])}
 
 
 def skinny(pages_or_raw: DataFrame, entity: str, key: str = "id", title: str = "title") -> DataFrame:

@@ -103,7 +103,8 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
         target = raw if raw is not None else spark.createDataFrame([], batch.schema)
         upserted = upsert(target, batch, batch_rows=n)
         audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
-        kept, obs = sync_deletes(upserted, audit, spec.key)
+        raw_rows = store.rows("raw", spec.name) or 0
+        kept, obs = sync_deletes(upserted, audit, spec.key, target_rows=raw_rows + n)
         store.publish(kept, "raw", spec.name)
         deleted = int(obs.get["deleted"])
     finally:

@@ -55,9 +55,14 @@ def test_reset_dates_and_slice(spark):
     assert [r["id"] for r in new.collect()] == ["b"]
 
 
-def test_sync_deletes_single_pass(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("target_rows", [None, 3])        # narrow-first, single pass
+def test_sync_deletes(spark, target_rows):
     from ledgerlake.operators.load import sync_deletes
-    target = spark.createDataFrame([("a", "x", T1), ("b", "y", T1), (None, "z", T1)], SCHEMA)
-    kept, obs = sync_deletes(target, spark.createDataFrame([("a",), ("c",)], "id string"))
-    assert [r["id"] for r in kept.collect()] == ["a"]
+    target = spark.createDataFrame([("a", "x", T1), ("a", "x2", T1), ("b", "y", T1), (None, "z", T1)], SCHEMA)
+    kept, obs = sync_deletes(target, spark.createDataFrame([("a",), ("c",), (None,)], "id string"),
+                             target_rows=target_rows)
+    assert sorted(r["title"] for r in kept.collect()) == ["x", "x2"]
     assert obs.get["deleted"] == 2

@@ -84,14 +84,78 @@ def _hist_cols(history: DataFrame, source: DataFrame, spec: SnapshotSpec) -> lis
     return hist_cols
 
 
-def scd2_changes(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx: RunContext) -> DataFrame:
+NARROW_FIRST_MIN_ROWS = 5_000_000
+
+
+def scd2_changes(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx: RunContext,
+                 strategy: str = "auto", history_rows: int | None = None,
+                 narrow_min_rows: int = NARROW_FIRST_MIN_ROWS) -> DataFrame:
     """The open versions after this run plus the versions this run closes.
 
     Reads only the open versions of ``history`` (pass just those when the
     storage keeps them apart); closed versions are not touched.
+
+    ``strategy``: ``wide`` = one full outer join of the open versions with the
+    source; ``narrow`` = find the affected keys from fingerprints first (see
+    ``_changes_narrow``); ``auto`` = narrow when the open history is large
+    (``history_rows`` unknown or >= ``narrow_min_rows``).
     """
     if ctx.is_initial_load:
         raise ValueError(f"initial load of {spec.name} onto existing history")
+    if strategy == "narrow" or (strategy == "auto" and (history_rows is None or history_rows >= narrow_min_rows)):
+        out = _changes_narrow(history, source, spec, ctx)
+        if out is not None:
+            return out
+    return _changes_wide(history, source, spec, ctx)
+
+
+def _fingerprint(cols: tuple[str, ...]) -> Column:
+    """Typed, null-aware encoding of the check columns, hashed (128 bits)."""
+    return F.md5(F.to_json(F.struct(*[F.col(c) for c in cols])))
+
+
+def _changes_narrow(history: DataFrame, source: DataFrame, spec: SnapshotSpec,
+                    ctx: RunContext) -> DataFrame | None:
+    """Narrow first: a full outer join of (key, fingerprint) pairs finds the
+    new, changed and deleted keys (a narrow shuffle); that key set is
+    checkpointed and, when under the broadcast bound, broadcast, so unchanged
+    open versions pass through without being shuffled and only affected rows
+    are rewritten.  Returns None when the key set is too large to broadcast
+    (the wide join is then the cheaper plan)."""
+    from ledgerlake.operators.joins import max_broadcast_rows
+    from ledgerlake.session import scratch_dir
+    k = spec.key
+    hist_cols = _hist_cols(history, source, spec)
+    data_cols = list(source.columns)
+    open_end = ts_literal(OPEN_END)
+    opened = history.filter(F.col(VALID_TO) == open_end).select(*hist_cols)
+    h = opened.select(F.col(k).alias("__k"), _fingerprint(spec.check_cols).alias("__hfp"))
+    s = source.select(F.col(k).alias("__k"), _fingerprint(spec.check_cols).alias("__sfp"))
+    kind = (F.when(F.col("__hfp").isNull(), F.lit("new"))
+             .when(F.col("__sfp").isNull(), F.lit("deleted"))
+             .when(F.col("__hfp") != F.col("__sfp"), F.lit("changed")))
+    spark = source.sparkSession
+    scratch_dir(spark)
+    affected = (h.join(s, "__k", "full_outer").select("__k", kind.alias("__kind"))
+                 .filter(F.col("__kind").isNotNull()).checkpoint(eager=True))
+    if affected.count() > max_broadcast_rows(affected):
+        return None
+    aff = F.broadcast(affected)
+    upd = ts_literal(ctx.run_ts)
+    # null keys behave as in the wide join: neither an open version nor a
+    # source row with a null key is carried into the result
+    unaffected = opened.filter(F.col(k).isNotNull()).join(aff, F.col(k) == F.col("__k"), "left_anti")
+    closed_now = (opened.join(aff.filter(F.col("__kind") != "new"), F.col(k) == F.col("__k"), "inner")
+                  .withColumn(VALID_TO, upd)          # changed: the new version's updated_at; deleted: run time
+                  .select(*hist_cols))
+    new_keys = aff.filter(F.col("__kind") != "deleted")
+    new = (source.join(new_keys, F.col(k) == F.col("__k"), "left_semi")
+           .select(*[F.col(c) for c in data_cols], scd_key(F.col(k), upd).alias(DK), upd.alias(UPDATED_AT),
+                   upd.alias(VALID_FROM), open_end.alias(VALID_TO)))
+    return unaffected.unionByName(closed_now).unionByName(new)
+
+
+def _changes_wide(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx: RunContext) -> DataFrame:
     data_cols = list(source.columns)
     hist_cols = _hist_cols(history, source, spec)
     open_end = ts_literal(OPEN_END)

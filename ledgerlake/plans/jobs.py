@@ -191,7 +191,8 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
         name, spec = item
         current = store.read_snapshot(name, open_only=True)
         changes = (scd2_merge(None, stg[spec.source], spec, ctx) if current is None
-                   else scd2_changes(current, stg[spec.source], spec, ctx))
+                   else scd2_changes(current, stg[spec.source], spec, ctx,
+                                     history_rows=store.snapshot_open_rows(name)))
         store.publish_snapshot(changes, name, ctx.run_id)
         return name
 

@@ -177,6 +177,13 @@ class TableStore:
         self.spark.catalog.refreshTable(name)
         return True
 
+    def snapshot_open_rows(self, table: str) -> int | None:
+        """Open versions of the current snapshot (recorded when committed)."""
+        if not self.exists("warehouse", table):
+            return None
+        v = self._props(f"{self.db('warehouse')}.{table}").get(OPEN_ROWS_PROP)
+        return int(v) if v is not None else None
+
     def read_snapshot(self, table: str, open_only: bool = False) -> DataFrame | None:
         """The whole history (or, pruned to one partition, the open versions)."""
         df = self.read("warehouse", table)

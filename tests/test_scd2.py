@@ -30,7 +30,15 @@ def src(spark, data):
     return spark.createDataFrame(data, SCHEMA)
 
 
-def test_initial_and_all_cases(spark):
+@pytest.fixture(params=["wide", "narrow"])
+def strategy(request, monkeypatch):
+    import ledgerlake.operators.scd2 as m
+    orig = m.scd2_changes
+    monkeypatch.setattr(m, "scd2_changes", lambda *a, **kw: orig(*a, **{**kw, "strategy": request.param}))
+    return request.param
+
+
+def test_initial_and_all_cases(spark, strategy):
     t1 = dt.datetime(2026, 1, 1)
     t2 = dt.datetime(2026, 2, 1)
     s1 = src(spark, [("a", "A", E1, E1), ("b", "B", E1, E1), ("c", "C", E1, E1), ("d", None, E1, E1)])
@@ -62,18 +70,25 @@ def test_initial_load_uses_last_edited_time(spark):
     assert r["scd2_valid_from"] == E1 and r["scd2_updated_at"] == E1 and r["scd2_valid_to"] == OPEN
 
 
-def test_merge_plan_shuffles_each_side_once(spark):
-    s1 = src(spark, [("a", "A", E1, E1)])
+def test_merge_plan_shapes(spark):
+    from ledgerlake.operators.scd2 import scd2_changes
+    s1 = src(spark, [("a", "A", E1, E1), ("b", "B", E1, E1)])
     first = scd2_merge(None, s1, SPEC, ctx(R1))
     hist = spark.createDataFrame(first.collect(), first.schema)
+    s2 = src(spark, [("a", "A2", E1, E1)])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_text(scd2_merge(hist, s1, SPEC, ctx(R2)))
+        wide = plan_text(scd2_changes(hist, s2, SPEC, ctx(R2), strategy="wide"))
+        narrow = plan_text(scd2_changes(hist, s2, SPEC, ctx(R2), strategy="narrow"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "FullOuter" in plan
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    # wide: one full outer join, one exchange per side
+    assert "FullOuter" in wide and wide.count("Exchange hashpartitioning") == 2
+    # narrow: the affected keys were found (narrow, checkpointed) beforehand; the
+    # open versions meet only their broadcast set, so no wide row is shuffled
+    assert "Exchange hashpartitioning" not in narrow and "BroadcastHashJoin" in narrow
+    for p in (wide, narrow):
+        assert "PythonUDF" not in p and "BatchEvalPython" not in p
 
 
 def test_history_missing_columns_raises(spark):
@@ -124,3 +139,12 @@ def test_segmented_snapshot_store(spark):
 def _bag_rows(df):
     from collections import Counter
     return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_null_keys_same_in_both_strategies(spark):
+    from ledgerlake.operators.scd2 import scd2_changes
+    h = scd2_merge(None, src(spark, [("a", "A", E1, E1), (None, "N", E1, E1)]), SPEC, ctx(R1))
+    s2 = src(spark, [("a", "A2", E2, E2), (None, "M", E2, E2)])
+    wide = _bag_rows(scd2_changes(h, s2, SPEC, ctx(R2), strategy="wide"))
+    narrow = _bag_rows(scd2_changes(h, s2, SPEC, ctx(R2), strategy="narrow"))
+    assert wide == narrow

@@ -39,7 +39,9 @@ def build_session(master: str | None = None, app_name: str = "ledgerlake",
         builder = builder.master(master)
     conf = {**REQUIRED_CONF, **PERFORMANCE_CONF,
             "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false"}
+            "spark.ui.showConsoleProgress": "false",
+            # lineage cuts are small and many; drop their files once unreferenced
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -91,7 +91,9 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
     spark = store.spark
     scratch_dir(spark)
     raw = store.read("raw", spec.name)
-    wm = None if raw is None else watermark_value(raw)
+    known, wm = store.watermark("raw", spec.name)       # recorded at write time: no scan
+    if not known:
+        wm = watermark_value(raw)
     mapped = source_filter(map_pages(read_pages(spark, landed, spec), spec, ctx.run_ts), spec)
     mapped = mapped.persist(StorageLevel.MEMORY_AND_DISK)
     try:

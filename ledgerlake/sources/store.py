@@ -22,6 +22,7 @@ from ledgerlake.spec import OPEN_END, VALID_TO
 
 VERSION_PROP = "ledgerlake.version"
 ROWS_PROP = "ledgerlake.rows"              # row count of the current version, observed while writing
+WATERMARK_PROP = "ledgerlake.max_load_date"  # max(load_date) of the current version, observed while writing
 OPEN_ROWS_PROP = "ledgerlake.open_rows"
 OPEN_RUN_PROP = "ledgerlake.open_run"
 SEGMENT = "scd2_segment"
@@ -74,7 +75,10 @@ class TableStore:
         nxt = 1 if cur is None else cur + 1
         p = self.path(schema, table, nxt)
         obs = Observation()
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "load_date" in df.columns:
+            metrics.append(F.max("load_date").cast("string").alias("wm"))
+        w = df.observe(obs, *metrics).write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(p)
@@ -90,12 +94,25 @@ class TableStore:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{p}'")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
-        rows = int(obs.get["rows"])
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{VERSION_PROP}' = '{nxt}', '{ROWS_PROP}' = '{rows}')")
+        got = obs.get
+        props = f"'{VERSION_PROP}' = '{nxt}', '{ROWS_PROP}' = '{int(got['rows'])}'"
+        if "wm" in got:
+            props += f", '{WATERMARK_PROP}' = '{got['wm'] or ''}'"
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
         self.spark.catalog.refreshTable(name)
         self._versions[(schema, table)] = nxt
         return nxt
 
+    def watermark(self, schema: str, table: str) -> tuple[bool, str | None]:
+        """(known, max(load_date)) recorded when the current version was
+        written; an empty table records an empty value (no watermark)."""
+        if not self.exists(schema, table):
+            return True, None
+        props = self._props(f"{self.db(schema)}.{table}")
+        if WATERMARK_PROP not in props:
+            return False, None
+        return True, (props[WATERMARK_PROP] or None)
+
     def rows(self, schema: str, table: str) -> int | None:
         """Row count recorded when the current version was written (no job)."""
         if not self.exists(schema, table):

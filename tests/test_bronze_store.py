@@ -63,3 +63,14 @@ def test_store_records_row_counts(spark):
     store.publish(spark.range(7).selectExpr("cast(id as string) AS id"), "raw", "x")
     assert store.rows("raw", "x") == 7
     assert store.rows("raw", "missing") is None
+
+
+def test_store_records_watermark(spark):
+    store = TableStore(spark, new_scratch_path(spark, "store-wm"), prefix="wm_")
+    df = spark.createDataFrame([("a", dt.datetime(2026, 1, 1)), ("b", dt.datetime(2026, 2, 1, 3, 4, 5))],
+                               "id string, load_date timestamp_ntz")
+    store.publish(df, "raw", "x")
+    assert store.watermark("raw", "x") == (True, "2026-02-01 03:04:05")
+    store.publish(df.filter("false"), "raw", "x")
+    assert store.watermark("raw", "x") == (True, None)
+    assert store.watermark("raw", "missing") == (True, None)

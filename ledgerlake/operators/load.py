@@ -126,6 +126,30 @@ class _DeletedCount:
         return {"deleted": int(self._in.get["n"]) - int(self._out.get["n"])}
 
 
+def latest_per_key(df: DataFrame, key: str, order: list[str], one_per_key: bool = False) -> DataFrame:
+    """Rows holding, per key, the greatest ``order`` tuple (ties all kept, so
+    true duplicates stay as the upsert keeps them); null keys pass through.
+    ``one_per_key`` keeps exactly one row per key instead (the tie is broken
+    by the rest of the row, deterministically).
+
+    A grouped max of a struct (partial aggregation: many copies of one key
+    collapse map-side), then a null-safe semi join; never a window over a key.
+    """
+    if one_per_key:
+        rest = [c for c in df.columns if c != key and c not in order]
+        best = (df.filter(F.col(key).isNotNull()).groupBy(key)
+                  .agg(F.max(F.struct(*[F.col(c) for c in [*order, *rest]])).alias("__m"))
+                  .select(key, *[F.col(f"__m.{c}").alias(c) for c in [*order, *rest]]))
+        return best.select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
+    m = (df.filter(F.col(key).isNotNull()).groupBy(key)
+           .agg(F.max(F.struct(*[F.col(c) for c in order])).alias("__m"))
+           .select(F.col(key).alias("__lk"), *[F.col(f"__m.{c}").alias(f"__lo_{c}") for c in order]))
+    cond = F.col(key) == F.col("__lk")
+    for c in order:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__lo_{c}"))
+    return df.join(m, cond, "left_semi").unionByName(df.filter(F.col(key).isNull()))
+
+
 def skinny(pages_or_raw: DataFrame, entity: str, key: str = "id", title: str = "title") -> DataFrame:
     """(id, title, source_name) of every live row: the delete audit's input."""
     return pages_or_raw.select(F.col(key).alias("id"), F.col(title).alias("title"),

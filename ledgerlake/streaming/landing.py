@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators.load import source_filter, upsert
+from ledgerlake.operators.load import latest_per_key, source_filter, upsert
 from ledgerlake.sources.bronze import CSV_OPTIONS
 from ledgerlake.sources.pages import map_pages, response_schema
 from ledgerlake.sources.store import TableStore
@@ -41,7 +41,9 @@ def page_stream(spark, landed: str, spec: EntitySpec, max_files_per_trigger: int
 def upsert_batch(store: TableStore, spec: EntitySpec, run_ts: str):
     """foreachBatch body: map, filter and upsert one micro-batch."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = source_filter(map_pages(batch, spec, run_ts), spec)
+        # a micro-batch may hold several landed states of one page: keep the latest
+        rows = latest_per_key(source_filter(map_pages(batch, spec, run_ts), spec), spec.key,
+                              ["last_edited_time"], one_per_key=True)
         raw = store.read("raw", spec.name)
         target = raw if raw is not None else store.spark.createDataFrame([], rows.schema)
         store.publish(upsert(target, rows), "raw", spec.name)

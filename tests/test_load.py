@@ -66,3 +66,13 @@ def test_sync_deletes(spark, target_rows):
                              target_rows=target_rows)
     assert sorted(r["title"] for r in kept.collect()) == ["x", "x2"]
     assert obs.get["deleted"] == 2
+
+
+def test_latest_per_key(spark):
+    from ledgerlake.operators.load import latest_per_key
+    df = spark.createDataFrame([("a", "x", T1), ("a", "y", T2), ("a", "y2", T2), ("b", "z", T1), ("b", "z", T1),
+                                (None, "n", T1)], SCHEMA.replace("load_date", "t"))
+    got = sorted((r["id"] or "", r["title"]) for r in latest_per_key(df, "id", ["t"]).collect())
+    assert got == [("", "n"), ("a", "y"), ("a", "y2"), ("b", "z"), ("b", "z")]        # ties kept
+    one = sorted((r["id"] or "", r["title"]) for r in latest_per_key(df, "id", ["t"], one_per_key=True).collect())
+    assert one == [("", "n"), ("a", "y2"), ("b", "z")]

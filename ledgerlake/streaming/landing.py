@@ -11,7 +11,9 @@ live-id set and stays in the batch job (``plans.jobs.entity_load``).
 Two sinks:
 
 * ``start_ingest``: foreachBatch upsert into the versioned raw table (each
-  micro-batch publishes a new raw version; for small tables or long triggers);
+  micro-batch publishes a new raw version; for small tables or long triggers).
+  A micro-batch may hold several landed states of one page; only the latest
+  (by ``last_edited_time``) is upserted, as one source pull would return it;
 * ``start_bronze_append``: the built-in CSV file sink appends mapped rows to
   the bronze layer, partitioned by the micro-batch's run id.  Append-only, so
   its cost grows with the new rows, not with the table; its metadata log makes

@@ -255,11 +255,13 @@ def _run_all(fn, items, workers: int) -> list:
 
 def full_run(store: TableStore, landed_root: str, ctx: RunContext, calendar: DataFrame | None = None,
              bronze_root: str | None = None, on_error: str = "stop",
-             workers: int = 4) -> tuple[list[LoadCounts], BuildResult]:
+             workers: int = 4, layout: str = "{root}/{entity}") -> tuple[list[LoadCounts], BuildResult]:
     """The seven entity loads (independent of each other, so submitted
-    concurrently), one run id, their counts recorded once, then the build."""
+    concurrently), one run id, their counts recorded once, then the build.
+    ``layout`` locates an entity's landed responses under ``landed_root``."""
     def load(spec):
-        return entity_load(store, spec, f"{landed_root.rstrip('/')}/{spec.name}", ctx, bronze_root, record=False)
+        path = layout.format(root=landed_root.rstrip("/"), entity=spec.name)
+        return entity_load(store, spec, path, ctx, bronze_root, record=False)
     loads = _run_all(load, list(ENTITY_ORDER), workers)
     record_counts(store, ctx, load_count_rows(loads))
     return loads, warehouse_build(store, ctx, calendar, on_error, workers)

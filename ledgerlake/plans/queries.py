@@ -27,7 +27,7 @@ from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
 from ledgerlake.plans.jobs import AUDIT_TABLE, FAILURES_SCHEMA, entity_load, full_run, replace_audit_slice
 from ledgerlake.session import new_scratch_path, scratch_dir
 from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
-from ledgerlake.sources.pages import land_responses, map_pages, prop_value, read_pages, to_pages
+from ledgerlake.sources.pages import land_many, land_responses, map_pages, prop_value, read_pages, to_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import DimRef, EntitySpec, RunContext
 from ledgerlake.streaming.landing import start_bronze_append, start_ingest
@@ -550,10 +550,9 @@ def two_full_runs(spark, sf, on_error: str = "report") -> TableStore:
     cal = dim_date_covering(read_table(spark, sf, "orders"), "o_orderdate")
     for run, initial in ((1, True), (2, False)):
         root = new_scratch_path(spark, f"landed-run{run}")
-        for spec in ENTITY_ORDER:
-            raw = raw_table(spark, sf, spec.name, run)
-            land_responses(to_pages(raw, spec), f"{root}/{spec.name}")
-        full_run(store, root, ctx(run, initial), cal if initial else None, on_error=on_error)
+        land_many({spec.name: to_pages(raw_table(spark, sf, spec.name, run), spec) for spec in ENTITY_ORDER}, root)
+        full_run(store, root, ctx(run, initial), cal if initial else None, on_error=on_error,
+                 layout="{root}/entity={entity}")
     return store
 
 

@@ -134,13 +134,27 @@ def to_pages(raw: DataFrame, spec: EntitySpec) -> DataFrame:
         F.struct(*[_prop_doc(p) for p in spec.props]).alias("properties"))
 
 
-def land_responses(pages: DataFrame, path: str, page_size: int = 100) -> None:
-    """Write pages as API responses of at most ``page_size`` pages each, one
-    JSON response per line.  Pages are grouped within their partition (no
-    global ordering), so landing is parallel."""
+def _responses(pages: DataFrame, page_size: int) -> DataFrame:
     grp = F.floor(F.monotonically_increasing_id() / page_size)
-    resp = (pages.withColumn("__g", grp).groupBy("__g")
+    return (pages.withColumn("__g", grp).groupBy("__g")
                  .agg(F.collect_list(F.struct(*[F.col(c) for c in pages.columns])).alias("results"))
                  .select(F.lit("list").alias("object"), "results", F.lit(False).alias("has_more"),
                          F.lit(None).cast("string").alias("next_cursor")))
-    resp.write.mode("overwrite").json(path)
+
+
+def land_many(pages_by_entity: dict[str, DataFrame], root: str, page_size: int = 100) -> None:
+    """Land several entities' pages in one job: one JSON response per line
+    under ``<root>/entity=<name>/``."""
+    from functools import reduce
+    parts = [_responses(p, page_size).select(F.lit(name).alias("entity"),
+                                             F.to_json(F.struct("object", "results", "has_more", "next_cursor"))
+                                             .alias("value"))
+             for name, p in pages_by_entity.items()]
+    reduce(DataFrame.unionByName, parts).write.mode("overwrite").partitionBy("entity").text(root)
+
+
+def land_responses(pages: DataFrame, path: str, page_size: int = 100) -> None:
+    """Write pages as API responses of at most ``page_size`` pages each, one
+    JSON response per line.  Pages are grouped within their partition (no
+    global ordering), so landing is parallel."""
+    _responses(pages, page_size).write.mode("overwrite").json(path)

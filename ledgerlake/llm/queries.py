@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, huffman, langid, linededup, neardup, packing, quality, topk, toxicity
+from ledgerlake.llm import decontaminate, huffman, langid, linededup, neardup, packing, pii, quality, topk, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.learning import labelled_sample
 
@@ -30,6 +30,10 @@ def piece_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(table(spark, sf_dir, "documents"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = huffman.write_ids(table(spark, sf_dir, "documents"), byte_vocabulary)
     return huffman.read_ids(spark, path, with_ids=False)
@@ -80,7 +84,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_token_ids, op3_decontaminate, op4_toxicity, op5_quality, op6_top_k, op7_near_duplicates, op8_packing,
+    for f in (op1_pii, op2_token_ids, op3_decontaminate, op4_toxicity, op5_quality, op6_top_k, op7_near_duplicates, op8_packing,
               op9_line_dedup, op10_language)
 }
 

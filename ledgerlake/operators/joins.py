@@ -25,9 +25,10 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.  Reads at most n+1 rows per
-    partition; prefer a recorded row count (``rows=``) for stored tables."""
-    return df.limit(n + 1).count() <= n
+    """True when ``df`` has at most ``n`` rows: a distributed count (a limit
+    would send up to n+1 rows of every partition to one task); prefer a
+    recorded row count (``rows=``) for stored tables."""
+    return df.count() <= n
 
 
 def maybe_broadcast(df: DataFrame, broadcast: bool | None = None,
@@ -35,7 +36,7 @@ def maybe_broadcast(df: DataFrame, broadcast: bool | None = None,
     """Broadcast ``df`` when asked, or when its size is under the bound.
 
     ``rows`` is a known row count (a stored table records it when written), so
-    no job runs; otherwise at most bound+1 rows are read to check.
+    no job runs; otherwise the rows are counted.
     """
     if broadcast is None:
         bound = max_rows or max_broadcast_rows(df)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalar import ts_literal
@@ -78,52 +78,42 @@ def hard_delete(target: DataFrame, live_ids: DataFrame, key: str = "id",
 NARROW_FIRST_MIN_ROWS = 5_000_000
 
 
+class EmptyLiveSet(ValueError):
+    """The live-id set is empty: syncing would delete every row."""
+
+
 def sync_deletes(target: DataFrame, live_ids: DataFrame, key: str = "id",
                  live_key: str | None = None, target_rows: int | None = None,
-                 narrow_min_rows: int = NARROW_FIRST_MIN_ROWS) -> tuple[DataFrame, "_DeletedCount"]:
-    """Hard-delete sync for a job: the rows to keep, plus an object whose
-    ``get["deleted"]`` is filled while they are written (``Observation``s).
-
-    Large targets (``target_rows`` unknown or >= ``narrow_min_rows``) go
-    narrow first:
-
-    1. keys of ``target`` not in the live set: an anti join of the key columns
-       only (a narrow shuffle), materialised with ``checkpoint()``;
-    2. ``target`` minus those keys (and null keys): a broadcast anti join when
-       the delete set is under the bound, so the wide rows are not shuffled;
-       a shuffled anti join otherwise.
-
-    Deletions are usually a small share, so the wide table is scanned, not
-    shuffled.  Small targets take one LEFT join instead (the extra pass would
-    cost more than the shuffle it saves).  ``deleted`` = rows in - rows kept.
+                 narrow_min_rows: int = NARROW_FIRST_MIN_ROWS, allow_empty: bool = True) -> tuple[DataFrame, int]:
+    """Hard-delete sync for a job: the rows to keep, and how many go.
+
+    The keys alone decide (a narrow shuffle): ``deleted`` counts the rows whose
+    key is not live or null.  Nothing to delete leaves ``target`` as it is.  On
+    large targets (``target_rows`` unknown or >= ``narrow_min_rows``) the
+    deleted keys, usually few, are written apart; when they are under the
+    broadcast bound the wide rows are scanned, not shuffled.  Otherwise the
+    live set is semi-joined.  All ways keep the same rows.
+
+    ``allow_empty=False`` refuses an empty live set, which would delete all.
     """
     lk = live_key or key
     live = live_ids.select(F.col(lk).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    ob_in, ob_out = Observation(), Observation()
-    src = target.observe(ob_in, F.count(F.lit(1)).alias("n"))
+    if not allow_empty and live.isEmpty():
+        raise EmptyLiveSet("no live ids; pass allow_empty=True to delete every row")
+    gone = target.select(key).join(live, key, "left_anti")
     if target_rows is not None and target_rows < narrow_min_rows:
-        marked = src.join(live.withColumnRenamed(key, "__live"), F.col(key) == F.col("__live"), "left")
-        kept = marked.filter(F.col("__live").isNotNull()).drop("__live")
-    else:
-        from ledgerlake.session import scratch_dir
-        gone = (target.select(key).filter(F.col(key).isNotNull()).distinct()
-                      .join(live, key, "left_anti"))
-        scratch_dir(target.sparkSession)
-        gone = gone.checkpoint(eager=True)
-        gone_b, _ = maybe_broadcast(gone, rows=gone.count())
-        kept = src.filter(F.col(key).isNotNull()).join(gone_b, key, "left_anti")
-    return kept.observe(ob_out, F.count(F.lit(1)).alias("n")), _DeletedCount(ob_in, ob_out)
-
-
-class _DeletedCount:
-    """``get["deleted"]`` once the kept rows have been written."""
-
-    def __init__(self, ob_in: Observation, ob_out: Observation):
-        self._in, self._out = ob_in, ob_out
-
-    @property
-    def get(self) -> dict:
-        return {"deleted": int(self._in.get["n"]) - int(self._out.get["n"])}
+        deleted = gone.count()
+        return (target if deleted == 0 else target.join(live, key, "left_semi")), deleted
+    from ledgerlake.session import scratch_dir
+    scratch_dir(target.sparkSession)
+    counts = gone.groupBy(key).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    r = counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys")).first()
+    if not r["rows"]:
+        return target, 0
+    keys, small = maybe_broadcast(counts.select(key).filter(F.col(key).isNotNull()), rows=r["keys"])
+    kept = (target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti") if small
+            else target.join(live, key, "left_semi"))
+    return kept, int(r["rows"])
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], one_per_key: bool = False) -> DataFrame:

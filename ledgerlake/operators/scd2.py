@@ -96,7 +96,7 @@ def scd2_changes(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx:
     storage keeps them apart); closed versions are not touched.
 
     ``strategy``: ``wide`` = one full outer join of the open versions with the
-    source; ``narrow`` = find the affected keys from fingerprints first (see
+    source; ``narrow`` = find the affected keys from the check columns first (see
     ``_changes_narrow``); ``auto`` = narrow when the open history is large
     (``history_rows`` unknown or >= ``narrow_min_rows``).
     """
@@ -109,15 +109,10 @@ def scd2_changes(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx:
     return _changes_wide(history, source, spec, ctx)
 
 
-def _fingerprint(cols: tuple[str, ...]) -> Column:
-    """Typed, null-aware encoding of the check columns, hashed (128 bits)."""
-    return F.md5(F.to_json(F.struct(*[F.col(c) for c in cols])))
-
-
 def _changes_narrow(history: DataFrame, source: DataFrame, spec: SnapshotSpec,
                     ctx: RunContext) -> DataFrame | None:
-    """Narrow first: a full outer join of (key, fingerprint) pairs finds the
-    new, changed and deleted keys (a narrow shuffle); that key set is
+    """Narrow first: a full outer join of the keys and check columns, compared
+    as in the wide join, finds the new, changed and deleted keys (a narrow shuffle); that key set is
     checkpointed and, when under the broadcast bound, broadcast, so unchanged
     open versions pass through without being shuffled and only affected rows
     are rewritten.  Returns None when the key set is too large to broadcast
@@ -129,15 +124,17 @@ def _changes_narrow(history: DataFrame, source: DataFrame, spec: SnapshotSpec,
     data_cols = list(source.columns)
     open_end = ts_literal(OPEN_END)
     opened = history.filter(F.col(VALID_TO) == open_end).select(*hist_cols)
-    h = opened.select(F.col(k).alias("__k"), _fingerprint(spec.check_cols).alias("__hfp"))
-    s = source.select(F.col(k).alias("__k"), _fingerprint(spec.check_cols).alias("__sfp"))
-    kind = (F.when(F.col("__hfp").isNull(), F.lit("new"))
-             .when(F.col("__sfp").isNull(), F.lit("deleted"))
-             .when(F.col("__hfp") != F.col("__sfp"), F.lit("changed")))
+    # null keys match nothing in either path: they go before the shuffle
+    h = opened.filter(F.col(k).isNotNull()).select(F.col(k).alias("__k"), F.struct(*spec.check_cols).alias("__h"))
+    s = source.filter(F.col(k).isNotNull()).select(F.col(k).alias("__k"), F.struct(*spec.check_cols).alias("__s"))
+    differ = changed_any([(F.col(f"__h.{c}"), F.col(f"__s.{c}")) for c in spec.check_cols])
+    kind = (F.when(F.col("__h").isNull(), F.lit("new"))
+             .when(F.col("__s").isNull(), F.lit("deleted"))
+             .when(differ, F.lit("changed")))
     spark = source.sparkSession
     scratch_dir(spark)
     affected = (h.join(s, "__k", "full_outer").select("__k", kind.alias("__kind"))
-                 .filter(F.col("__kind").isNotNull()).checkpoint(eager=True))
+                 .filter(F.col("__kind").isNotNull()).distinct().checkpoint(eager=True))
     if affected.count() > max_broadcast_rows(affected):
         return None
     aff = F.broadcast(affected)
@@ -165,7 +162,7 @@ def _changes_wide(history: DataFrame, source: DataFrame, spec: SnapshotSpec, ctx
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in data_cols],
                       _updated_at(source, ctx).alias("s__upd"))
     hk, sk = F.col(f"h_{spec.key}"), F.col(f"s_{spec.key}")
-    j = h.join(s, hk == sk, "full_outer")
+    j = h.filter(hk.isNotNull()).join(s.filter(sk.isNotNull()), hk == sk, "full_outer")
 
     both = hk.isNotNull() & sk.isNotNull()
     changed = both & changed_any([(F.col(f"h_{c}"), F.col(f"s_{c}")) for c in spec.check_cols])

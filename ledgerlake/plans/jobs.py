@@ -1,8 +1,7 @@
 """Jobs (R1-R4): the steps of a run, against a ``TableStore``.
 
 Only the watermark, row counts and check results reach the driver; every
-step over data is a Spark plan.  The deleted-row count is an ``Observation``
-collected while the new raw version is written, so that step runs once.
+step over data is a Spark plan.
 """
 
 from __future__ import annotations
@@ -18,14 +17,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
-from ledgerlake.operators.load import (incremental, reset_dates, source_filter, sync_deletes, upsert,
+from ledgerlake.operators.load import (EmptyLiveSet, incremental, reset_dates, source_filter, sync_deletes, upsert,
                                        watermark_value)
 from ledgerlake.operators.scd2 import scd2_changes, scd2_merge
 from ledgerlake.plans.specs import ENTITY_ORDER, FACTS, SNAPSHOTS, STAGING_CHECKS, WAREHOUSE_CHECKS
 from ledgerlake.plans.warehouse import build_facts, stage_all
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources.bronze import write_bronze
-from ledgerlake.sources.pages import map_pages, read_pages
+from ledgerlake.sources.pages import map_pages, read_pages, require_complete
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import EntitySpec, RunContext
 
@@ -80,16 +79,21 @@ def replace_audit_slice(store: TableStore, entity: str, live: DataFrame) -> None
 
 
 def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContext,
-                bronze_root: str | None = None, record: bool = True) -> LoadCounts:
+                bronze_root: str | None = None, record: bool = True, allow_empty: bool = False) -> LoadCounts:
     """Watermark -> incremental read -> bronze -> upsert -> live ids ->
     hard-delete sync -> stats, for one entity.
 
+    An unreadable or incomplete pull raises before anything is written, and so
+    does an empty one that would delete every raw row, unless ``allow_empty``.
+    A run that changes nothing writes no new version.
+
     The landed pages are the source's current state; they are parsed once and
     kept (memory, spilling to disk) while both the incremental batch and the
     live-id set are taken from them.
     """
     spark = store.spark
     scratch_dir(spark)
+    require_complete(spark, landed, spec)
     raw = store.read("raw", spec.name)
     known, wm = store.watermark("raw", spec.name)       # recorded at write time: no scan
     if not known:
@@ -99,6 +103,8 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
     try:
         batch = incremental(mapped, "last_edited_time", wm)
         n = batch.count()
+        if not allow_empty and (store.rows("raw", spec.name) or 0) and mapped.isEmpty():
+            raise EmptyLiveSet(f"{spec.name}: the pull holds no page; pass allow_empty=True to delete every row")
         if bronze_root and n:
             write_bronze(batch, bronze_root, spec.name, ctx.run_id)
         replace_audit_slice(store, spec.name, mapped.select("id", "title"))
@@ -106,9 +112,9 @@ def entity_load(store: TableStore, spec: EntitySpec, landed: str, ctx: RunContex
         upserted = upsert(target, batch, batch_rows=n)
         audit = store.read("raw", AUDIT_TABLE).filter(F.col("source_name") == spec.name)
         raw_rows = store.rows("raw", spec.name) or 0
-        kept, obs = sync_deletes(upserted, audit, spec.key, target_rows=raw_rows + n)
-        store.publish(kept, "raw", spec.name)
-        deleted = int(obs.get["deleted"])
+        kept, deleted = sync_deletes(upserted, audit, spec.key, target_rows=raw_rows + n)
+        if n or deleted or raw is None:
+            store.publish(kept, "raw", spec.name)
     finally:
         mapped.unpersist()
     counts = LoadCounts(spec.name, n, n, deleted)
@@ -201,12 +207,14 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
     for name in _run_all(merge_one, todo, workers):       # independent snapshots run concurrently
         res.published.append(name)
         dims[name] = store.read_snapshot(name)
-    dim_blocked = run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in dims], dims, res)
+    cal = store.read("warehouse", "dim_date")
+    checked = dims if cal is None else {**dims, "dim_date": cal}
+    dim_blocked = run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in checked], checked, res)
     if not report:
         blocked |= dim_blocked
 
     # Counts of this run's versions, by the entity's task
-    lo, hi = S.window_between(ctx.run_ts)
+    lo, hi = S.window_between(ctx.run_ts, minutes=0)      # versions of this run alone
     audit = store.read("raw", AUDIT_TABLE)
     loaded, closed = [], []
     for name, d in dims.items():
@@ -222,7 +230,6 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
             st = S.update_by_task(st, reduce(DataFrame.unionByName, closed), ctx.run_id, "wh_closed")
         store.publish(st, "warehouse", STATS_TABLE)
 
-    cal = store.read("warehouse", "dim_date")
     facts_ok = {}
     for name, f in FACTS.items():
         needs = {f.source} | {r.dim for r in f.dims}
@@ -231,15 +238,18 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
             continue
         facts_ok[name] = f
     rows = {n: store.rows("warehouse", n) for n in [*dims, "dim_date"]}     # recorded at write time
-    for name, df in build_facts(stg, dims, cal, list(facts_ok), dim_rows=rows).items():
-        store.publish(df, "warehouse", name)
-        res.published.append(name)
-    facts = {n: store.read("warehouse", n) for n in facts_ok}
-    if facts:
-        tables = {**dims, **facts}
-        if cal is not None:
-            tables["dim_date"] = cal
-        run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in facts], tables, res, rows)
+    # written, checked, and only then made current: a failing fact leaves the old version
+    written = {n: store.write(df, "warehouse", n) for n, df in build_facts(stg, dims, cal, list(facts_ok), dim_rows=rows).items()}
+    failed: set[str] = set()
+    if written:
+        tables = {**checked, **{n: w.read(store.spark) for n, w in written.items()}}
+        failed = run_checks(store, [c for c in WAREHOUSE_CHECKS if c.table in written], tables, res, rows)
+    for name, w in written.items():
+        if name in failed and not report:
+            res.skipped.append(name)
+        else:
+            store.commit(w, "warehouse", name)
+            res.published.append(name)
     return res
 
 

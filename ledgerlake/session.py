@@ -69,13 +69,15 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster's shared folder) or the
-    context's checkpoint directory.  Only when the session names none (a local
-    test) is a local folder made; it is kept under our own key, since a core
+    context's checkpoint directory.  When the session names none, a local
+    master gets a local folder and any other is refused; the folder is kept under our own key, since a core
     setting cannot be changed on a running session.
     """
     d = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
          or spark.sparkContext.getCheckpointDir())
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set(SCRATCH_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:

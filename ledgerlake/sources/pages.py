@@ -63,10 +63,29 @@ def _props(spec: EntitySpec, only: list[str] | None) -> list[Prop]:
 def read_pages(spark: SparkSession, path: str, spec: EntitySpec, only: list[str] | None = None,
                multi_line: bool = False) -> DataFrame:
     """All pages of all landed responses under ``path`` (S1); ``only`` limits
-    the properties read (S2).  Response order is not kept."""
-    props = _props(spec, only)
-    resp = spark.read.schema(response_schema(props)).option("multiLine", multi_line).json(path)
-    return resp.select(F.explode("results").alias("p")).select("p.*")
+    the properties read (S2).  Response order is not kept.  An unreadable
+    response fails the read: a page dropped here would be deleted as gone."""
+    return read_responses(spark, path, spec, only, multi_line).select(F.explode("results").alias("p")).select("p.*")
+
+
+def read_responses(spark: SparkSession, path: str, spec: EntitySpec, only: list[str] | None = None,
+                   multi_line: bool = False) -> DataFrame:
+    schema = response_schema(_props(spec, only))
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).json(path)
+
+
+class IncompletePull(ValueError):
+    """The landed responses don't hold a whole pull."""
+
+
+def require_complete(spark: SparkSession, path: str, spec: EntitySpec) -> None:
+    """Raises unless every landed response has results and a pull's last page
+    (``has_more`` false) is among them.  Unreadable responses fail as well."""
+    resp = read_responses(spark, path, spec)
+    r = resp.agg(F.count_if(F.col("results").isNull()).alias("without"),
+                 F.count_if(~F.col("has_more")).alias("last")).first()
+    if r["without"] or not r["last"]:
+        raise IncompletePull(f"{spec.name}: {r['without']} responses without results, {r['last']} last pages under {path}")
 
 
 def prop_value(prop: Prop) -> Column:

@@ -1,17 +1,25 @@
 """Versioned tables (K8, K9): plain Spark catalog tables over parquet.
 
 Stock Spark cannot MERGE/UPDATE parquet or overwrite a path it is reading.
-So every publish writes a new version directory
-``<root>/<schema>/<table>/v=<n>`` and then repoints the catalog table at it
-(``ALTER TABLE ... SET LOCATION``).  Readers see either the old or the new
-version, never a partial one; a failed write leaves the old version current.
-Reading a published table also cuts the lineage of the plan that built it.
+So every publish writes a directory of its own,
+``<root>/<schema>/<table>/v=<n>-<random>``, and then repoints the catalog table
+at it (``ALTER TABLE ... SET LOCATION``), which alone makes it current.  What is
+recorded about a version (row count, watermark) is stored before that, under the
+directory's name, and counts only while the table points there; so a job may
+stop after any statement: readers see the old or the new version, a directory is
+never written twice, and the next publish goes on from the one that is current.
+Of versions no longer current the latest ``KEEP_OLD`` are kept, for readers that
+still use them.  Reading a published table also cuts the lineage of its plan.
 
 One writer per table.  The root must be a shared folder on a cluster.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,15 +28,28 @@ from pyspark.sql.types import StructType
 from ledgerlake.functions.scalar import ts_literal
 from ledgerlake.spec import OPEN_END, VALID_TO
 
-VERSION_PROP = "ledgerlake.version"
-ROWS_PROP = "ledgerlake.rows"              # row count of the current version, observed while writing
-WATERMARK_PROP = "ledgerlake.max_load_date"  # max(load_date) of the current version, observed while writing
+META_PROP = "ledgerlake.meta"              # directory name, rows and max(load_date) of a version, counted while writing
+KEEP_OLD = 1
+ROWS_PROP = "ledgerlake.rows"              # of a snapshot
 OPEN_ROWS_PROP = "ledgerlake.open_rows"
 OPEN_RUN_PROP = "ledgerlake.open_run"
 SEGMENT = "scd2_segment"
 OPEN_SEGMENT = "open"
 
 
+@dataclass(frozen=True)
+class Written:
+    """A version that is written but not current."""
+
+    path: str
+    schema: StructType
+    meta: str
+    partition_by: tuple[str, ...]
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str,
                  schemas=("raw", "staging", "warehouse", "test_failures"), prefix: str = ""):
@@ -36,7 +57,6 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
-        self._versions: dict[tuple[str, str], int] = {}   # versions this store published
         for s in schemas:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db(s)} LOCATION '{self.root}/_catalog/{s}'")
 
@@ -46,18 +66,28 @@ class TableStore:
     def exists(self, schema: str, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.db(schema)}.{table}")
 
-    def version(self, schema: str, table: str) -> int | None:
-        if (schema, table) in self._versions:
-            return self._versions[(schema, table)]
+    def location(self, schema: str, table: str) -> str | None:
+        """Name of the current version's directory."""
         if not self.exists(schema, table):
             return None
-        props = {r["key"]: r["value"] for r in
-                 self.spark.sql(f"SHOW TBLPROPERTIES {self.db(schema)}.{table}").collect()}
-        v = props.get(VERSION_PROP)
-        return int(v) if v is not None else None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.db(schema)}.{table}").filter("col_name = 'Location'").collect()
+        return rows[0]["data_type"].rstrip("/").rsplit("/", 1)[-1]
+
+    def version(self, schema: str, table: str) -> int | None:
+        """The current version's number, from its directory."""
+        name = self.location(schema, table)
+        return int(name[2:].split("-")[0]) if name and name.startswith("v=") else None
 
     def path(self, schema: str, table: str, version: int) -> str:
-        return f"{self.root}/{schema}/{table}/v={version:06d}"
+        """A new directory for a version; no two writes share one."""
+        return f"{self.root}/{schema}/{table}/v={version:06d}-{uuid.uuid4().hex[:8]}"
+
+    def _meta(self, schema: str, table: str) -> dict:
+        """What was recorded about the current version; nothing, if the record
+        belongs to a publish that did not end."""
+        name = self.location(schema, table)
+        meta = json.loads(self._props(f"{self.db(schema)}.{table}").get(META_PROP, "{}")) if name else {}
+        return meta if meta.get("dir") == name else {}
 
     def read(self, schema: str, table: str) -> DataFrame | None:
         if not self.exists(schema, table):
@@ -68,57 +98,72 @@ class TableStore:
         df = self.read(schema, table)
         return df if df is not None else self.spark.createDataFrame([], struct)
 
-    def publish(self, df: DataFrame, schema: str, table: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite") -> int:
-        """Write ``df`` as the next version and make it current."""
-        cur = self.version(schema, table)
-        nxt = 1 if cur is None else cur + 1
-        p = self.path(schema, table, nxt)
+    def write(self, df: DataFrame, schema: str, table: str, partition_by: list[str] | None = None) -> Written:
+        """Write ``df`` as a version that is not current yet."""
+        p = self.path(schema, table, (self.version(schema, table) or 0) + 1)
         obs = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
         if "load_date" in df.columns:
             metrics.append(F.max("load_date").cast("string").alias("wm"))
-        w = df.observe(obs, *metrics).write.mode(mode)
+        w = df.observe(obs, *metrics).write
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(p)
+        got = obs.get
+        meta = {"dir": p.rsplit("/", 1)[-1], "rows": int(got["rows"])} | ({"wm": got["wm"] or ""} if "wm" in got else {})
+        return Written(p, df.schema, json.dumps(meta), tuple(partition_by or ()))
+
+    def commit(self, w: Written, schema: str, table: str) -> int:
+        """Make a written version current, and drop versions past ``KEEP_OLD``."""
         name = f"{self.db(schema)}.{table}"
-        if cur is None:
-            parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
-                             if not partition_by or f.name not in partition_by)
-            pcols = (", " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields
-                                      if f.name in partition_by)) if partition_by else ""
-            self.spark.sql(f"CREATE TABLE {name} ({cols}{pcols}) USING parquet {parts}LOCATION '{p}'")
+        if not self.exists(schema, table):
+            parts = f"PARTITIONED BY ({', '.join(w.partition_by)}) " if w.partition_by else ""
+            fields = ([f for f in w.schema.fields if f.name not in w.partition_by]
+                      + [f for f in w.schema.fields if f.name in w.partition_by])
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {parts}LOCATION '{w.path}' "
+                           f"TBLPROPERTIES ('{META_PROP}' = '{w.meta}')")
         else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{p}'")
-        if partition_by:
+            self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{META_PROP}' = '{w.meta}')")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{w.path}'")
+        if w.partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
-        got = obs.get
-        props = f"'{VERSION_PROP}' = '{nxt}', '{ROWS_PROP}' = '{int(got['rows'])}'"
-        if "wm" in got:
-            props += f", '{WATERMARK_PROP}' = '{got['wm'] or ''}'"
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
         self.spark.catalog.refreshTable(name)
-        self._versions[(schema, table)] = nxt
-        return nxt
+        self._drop_old(schema, table)
+        return self.version(schema, table)
+
+    def _drop_old(self, schema: str, table: str) -> None:
+        """Delete what is neither current nor among the ``KEEP_OLD`` versions
+        before it (a later number is a publish that did not end)."""
+        jvm, jsc = self.spark._jvm, self.spark._jsc
+        top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{schema}/{table}")
+        fs = top.getFileSystem(jsc.hadoopConfiguration())
+        current = self.location(schema, table)
+        names = sorted(st.getPath().getName() for st in fs.listStatus(top) if st.getPath().getName().startswith("v="))
+        old = [n for n in names if n < current and n.split("-")[0] != current.split("-")[0]]
+        for n in set(names) - {current} - set(old[-KEEP_OLD:] if KEEP_OLD else []):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(top, n), True)
+
+    def publish(self, df: DataFrame, schema: str, table: str, partition_by: list[str] | None = None) -> int:
+        """Write ``df`` as the next version and make it current."""
+        return self.commit(self.write(df, schema, table, partition_by), schema, table)
 
     def watermark(self, schema: str, table: str) -> tuple[bool, str | None]:
         """(known, max(load_date)) recorded when the current version was
         written; an empty table records an empty value (no watermark)."""
         if not self.exists(schema, table):
             return True, None
-        props = self._props(f"{self.db(schema)}.{table}")
-        if WATERMARK_PROP not in props:
-            return False, None
-        return True, (props[WATERMARK_PROP] or None)
+        meta = self._meta(schema, table)
+        return "wm" in meta, meta.get("wm") or None
 
     def rows(self, schema: str, table: str) -> int | None:
         """Row count recorded when the current version was written (no job)."""
         if not self.exists(schema, table):
             return None
-        v = self._props(f"{self.db(schema)}.{table}").get(ROWS_PROP)
-        return int(v) if v is not None else None
+        props = self._props(f"{self.db(schema)}.{table}")
+        if ROWS_PROP in props:                       # a snapshot
+            return int(props[ROWS_PROP])
+        return self._meta(schema, table).get("rows")
 
     def count(self, schema: str, table: str) -> int:
         """Row count of the current version (parquet footers only)."""

@@ -65,7 +65,7 @@ def test_sync_deletes(spark, target_rows):
     kept, obs = sync_deletes(target, spark.createDataFrame([("a",), ("c",), (None,)], "id string"),
                              target_rows=target_rows)
     assert sorted(r["title"] for r in kept.collect()) == ["x", "x2"]
-    assert obs.get["deleted"] == 2
+    assert obs == 2
 
 
 def test_latest_per_key(spark):

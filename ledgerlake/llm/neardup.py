@@ -9,11 +9,12 @@ threshold allows, have a similarity common / (a + b - common) >= ``THRESHOLD``.
 
 Equal texts are one node from the start.  Candidates share a sketch value.  A
 bucket is worked off without pairing its members: all are compared with a
-centre; the linked ones are compared with those left whose distance from the
-centre differs by no more than the link distance (the Jaccard distance is a
-metric, so nothing else can be linked), and so on until nothing new is linked;
-what is left gets new centres, until every member has left.  So no link
-between candidates is lost, and a group of copies costs one comparison each.
+centre; the linked ones are compared, those closest to it first, with those
+left whose distance from the centre differs by no more than a link's (the
+Jaccard distance is a metric, so nothing else can be linked), and so on until
+nothing new is linked; what is left gets new centres, until every member has
+left or all are in one component.  So no class loses a link between candidates,
+and a group of copies costs a few comparisons each.
 
 A text with fewer than ``K`` words has one k-mer.  Null texts and texts without
 a word are nobody's copy.  Rows equal in id and text share a result; of a class
@@ -41,8 +42,9 @@ K = 5
 L = 5
 HASHES = 28
 THRESHOLD = 0.8
-CENTRES = (1, 4, 16, 64)
-BROADCAST_NODES = 100_000
+REACH = 1 - THRESHOLD + 1e-9
+CENTRES = (1, 8, 64)
+BROADCAST_PAIRS = 100_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,11 +149,11 @@ def sketched(docs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, d (Jaccard distance) and linked of every pair."""
     pairs = stored(pairs.distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    nodes = stored(nodes, "pair-nodes")
-    own = texts.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes, "node", "left_semi")
-    left = own.select(F.col("node").alias("a"), F.col("codes").alias("codes_a"))
-    right = own.select(F.col("node").alias("b"), F.col("codes").alias("codes_b"))
+    left, right = texts, texts
+    if pairs.count() <= BROADCAST_PAIRS:  # few pairs: their ends pick the texts before anything is shuffled
+        left, right = (texts.join(F.broadcast(pairs.select(F.col(c).alias("node")).distinct()), "node", "left_semi") for c in "ab")
+    left = left.select(F.col("node").alias("a"), F.col("codes").alias("codes_a"))
+    right = right.select(F.col("node").alias("b"), F.col("codes").alias("codes_b"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -170,6 +172,19 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(joined.mapInArrow(run, "a binary, b binary, d double, linked boolean"), "verified")
 
 
+def first_of(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
+    """At most n rows of each group, limited before they are shuffled."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def apart(left: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows (key, node) of keys whose nodes are not all joined by edges yet."""
+    known = left.join(components(edges), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    ends = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    return stored(left.join(ends, "key", "left_semi"), "buckets")
+
+
 def links(rows: DataFrame) -> DataFrame:
     """a, b of linked nodes, enough to join every candidate link's ends."""
     members = rows.filter(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key")).distinct()
@@ -177,46 +192,67 @@ def links(rows: DataFrame) -> DataFrame:
     left = stored(members.join(ends, "key", "left_semi"), "buckets")
     texts = rows.filter(F.col("node").isNotNull()).select("node", "codes").join(left.select("node").distinct(), "node", "left_semi")
     texts = stored(texts.groupBy("node").agg(F.first("codes").alias("codes")), "texts")
-    found, turn = [], 0
+    none = texts.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
+    found, turn = [none], 0
     while left.head(1):
-        centres = CENTRES[min(turn, len(CENTRES) - 1)]
+        n = CENTRES[min(turn, len(CENTRES) - 1)]
         turn += 1
-        if centres == 1:
-            chosen = left.groupBy("key").agg(F.min("node").alias("centre"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            chosen = left.withColumn("rank", rank).filter(F.col("rank") <= centres).select("key", F.col("node").alias("centre"))
+        chosen = (left.groupBy("key").agg(F.min("node").alias("centre")) if n == 1
+                  else first_of(left, ["key"], ["node"], n).select("key", F.col("node").alias("centre")))
         met = left.join(chosen, "key").filter(F.col("node") != F.col("centre"))
         checked = verified(met.select(F.col("centre").alias("a"), F.col("node").alias("b")), texts)
         found.append(checked.filter("linked").select("a", "b"))
-        met = stored(met.join(checked.select(F.col("a").alias("centre"), F.col("b").alias("node"), "d", "linked"), ["centre", "node"]), "met")
+        met = stored(met.join(checked.withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"]), "met")
         gone = met.filter("linked").select("key", "node").union(chosen.select("key", F.col("centre").alias("node"))).distinct()
-        front = met.filter("linked").select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
-        rest = stored(met.join(gone, ["key", "node"], "left_anti").select("key", "centre", "node", "d"), "rest")
-        while rest.head(1):
-            # the distance of a link is at most 1 - THRESHOLD, and distances from a centre differ by no more
-            near = rest.join(front, ["key", "centre"]).filter(F.abs(F.col("d") - F.col("da")) <= 1 - THRESHOLD + 1e-9)
-            near = stored(near.select("key", "centre", "node", "d", "a"), "near")
-            if not near.head(1):
-                break
-            checked = verified(near.select("a", F.col("node").alias("b")), texts).filter("linked").select("a", "b")
-            found.append(checked)
-            new = stored(near.join(checked.withColumnRenamed("b", "node"), ["a", "node"]).select("key", "centre", "node", "d").distinct(), "new")
-            if not new.head(1):
-                break
-            rest = stored(rest.join(new.select("key", "node").distinct(), ["key", "node"], "left_anti"), "rest")
-            front = new.select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
-        left = rest.select("key", "node").distinct()
-        ends = left.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-        left = stored(left.join(ends, "key", "left_semi"), "buckets")
-    if not found:
-        return texts.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        left = stored(left.join(gone, ["key", "node"], "left_anti"), "left")
+        if not left.head(1):
+            break
+        grown, settled = spread(met, left, texts, reduce(DataFrame.union, found))
+        found += grown
+        if settled is not None:
+            left = left.join(settled, ["key", "node"], "left_anti")
+        left = apart(left, reduce(DataFrame.union, found))
     return stored(reduce(DataFrame.union, found).distinct(), "links")
 
 
+def spread(met: DataFrame, left: DataFrame, texts: DataFrame, edges: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Links between what is ``left`` of each bucket and what left it, found
+    from the centres outwards; and the rows (key, node) that got linked."""
+    roots = components(edges)
+    of_centre = roots.withColumnsRenamed({"node": "centre", "root": "centre_root"})
+    front = met.filter("linked").select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
+    # who already is in the centre's component has nothing to gain from it
+    rest = (met.join(left, ["key", "node"], "left_semi").join(front.select("key", "centre").distinct(), ["key", "centre"], "left_semi")
+            .join(roots, "node", "left").join(of_centre, "centre", "left")
+            .filter(F.coalesce("root", "node") != F.coalesce("centre_root", "centre")).select("key", "centre", "node", "d"))
+    rest = stored(rest, "rest")
+    found, settled, batch = [], [], 8
+    while (waiting := rest.count()):
+        if not found and not settled:
+            front = stored(front.join(rest.select("key", "centre").distinct(), ["key", "centre"], "left_semi"), "front")
+        sizes = [x.groupBy("key", "centre").agg(F.count(F.lit(1)).alias(c)) for x, c in ((rest, "r"), (front, "f"))]
+        pairs = sizes[0].join(sizes[1], ["key", "centre"]).agg(F.sum(F.col("r") * F.col("f"))).head()[0]
+        if not pairs:
+            break
+        # all at once when that is linear work; else the part of the front that is closest to the centre.
+        # A link's distance is at most 1 - THRESHOLD, and distances from a centre differ by no more
+        part = front if pairs <= 4 * (waiting + batch) else stored(first_of(front, ["key", "centre"], ["da", "a"], batch), "part")
+        near = rest.join(part, ["key", "centre"]).filter(F.abs(F.col("d") - F.col("da")) <= REACH).select("key", "centre", "node", "d", "a")
+        checked = verified(near.select("a", F.col("node").alias("b")), texts).filter("linked").select("a", "b")
+        found.append(checked)
+        new = stored(near.join(checked.withColumnRenamed("b", "node"), ["a", "node"]).select("key", "centre", "node", "d").distinct(), "new")
+        settled.append(new.select("key", "node"))
+        done = part.select("key", "centre", "a")
+        behind = front.filter("false") if part is front else front.join(done, ["key", "centre", "a"], "left_anti")
+        front = stored(behind.union(new.select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))), "front")
+        rest = stored(rest.join(new.select("key", "node").distinct(), ["key", "node"], "left_anti"), "rest")
+        batch *= 4
+    return found, reduce(DataFrame.union, settled).distinct() if settled else None
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the least node of its component) of every linked node."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")), "both-ways")
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "both-ways")
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("root")), "labels")
     while True:

@@ -117,9 +117,10 @@ def exact_columns(queries, own, data, ids, k, out_ids, out):
     rows = [[int(x) for x in r] for r in data]
     for q, (vec, mine) in enumerate(zip(queries, own)):
         v = [int(x) for x in vec]
-        scores = sorted((-sum(a * b for a, b in zip(v, r)), int(i)) for r, i in zip(rows, ids) if i != mine)[:k]
-        for j, (s, i) in enumerate(scores):
-            out_ids[q, j], out[q, j] = i, max(NONE + 1, min(-s, np.iinfo(np.int64).max))
+        scores = ((sum(a * b for a, b in zip(v, r)), int(i)) for r, i in zip(rows, ids) if i != mine)
+        held = sorted((-max(NONE + 1, min(s, np.iinfo(np.int64).max)), i) for s, i in scores)[:k]
+        for j, (s, i) in enumerate(held):
+            out_ids[q, j], out[q, j] = i, -s
     return out_ids, out
 
 

@@ -98,9 +98,8 @@ def summary(checks: list[Check], tables: dict[str, DataFrame],
     (status ``pass``, ``warn`` or ``fail``).
 
     Row-level checks (not_null, expression) on the same table share one scan:
-    a single aggregate of ``count_if`` per check, unpivoted to rows.  The
-    foreign keys of one child table share one scan too.  Other checks count
-    their own violation rows.  ``rows``: known row counts of the tables (size
+    a single aggregate of ``count_if`` per check, unpivoted to rows.  A foreign
+    key reads its column alone.  Other checks count their own violation rows.  ``rows``: known row counts of the tables (size
     the parent broadcasts without a job).
     """
     def lit_row(c: Check, n: str) -> str:
@@ -125,17 +124,15 @@ def summary(checks: list[Check], tables: dict[str, DataFrame],
     for t, cs in by_table.items():
         parts.append(stacked(tables[t].agg(*[F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(cs)]), cs))
     for t, cs in fks.items():
-        # all foreign keys of one child in one scan: LEFT join to each parent's
-        # distinct key set (broadcast when its size is checked), then count
-        df = tables[t].select(*dict.fromkeys(c.columns[0] for c in cs))
-        for i, c in enumerate(cs):
-            keys = (tables[c.parent].select(F.col(c.parent_columns[0]).alias(f"__pk{i}"))
-                    .filter(F.col(f"__pk{i}").isNotNull()).distinct())
+        # a key's rows are counted before any join: hot and repeated keys shrink
+        # to a row a task, null keys go, and what is joined is narrow
+        for c in cs:
+            keys = tables[c.parent].select(F.col(c.parent_columns[0]).alias("__pk")).filter(F.col("__pk").isNotNull())
             keys, _ = maybe_broadcast(keys, rows=(rows or {}).get(c.parent))
-            df = df.join(keys, F.col(c.columns[0]) == F.col(f"__pk{i}"), "left")
-        agg = df.agg(*[F.count_if(F.col(c.columns[0]).isNotNull() & F.col(f"__pk{i}").isNull()).alias(f"c{i}")
-                       for i, c in enumerate(cs)])
-        parts.append(stacked(agg, cs))
+            used = (tables[t].select(F.col(c.columns[0]).alias("__fk")).filter(F.col("__fk").isNotNull())
+                    .groupBy("__fk").agg(F.count(F.lit(1)).alias("n")))
+            n = used.join(keys, F.col("__fk") == F.col("__pk"), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("c0"))
+            parts.append(stacked(n, [c]))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(
         "test_name", "table_name", "severity", F.col("failures").cast("bigint").alias("failures"),

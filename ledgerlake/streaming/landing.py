@@ -22,6 +22,8 @@ Two sinks:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,22 +39,30 @@ def page_stream(spark, landed: str, spec: EntitySpec, max_files_per_trigger: int
     r = spark.readStream.schema(response_schema(spec.props))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(landed).select(F.explode("results").alias("p")).select("p.*")
+    return r.option("mode", "FAILFAST").json(landed).select(F.explode("results").alias("p")).select("p.*")
 
 
-def upsert_batch(store: TableStore, spec: EntitySpec, run_ts: str):
-    """foreachBatch body: map, filter and upsert one micro-batch."""
+def upsert_batch(store: TableStore, spec: EntitySpec, run_ts: str | None = None):
+    """foreachBatch body: map, filter and upsert one micro-batch.  Without
+    ``run_ts`` its load time is its own; a state older than the stored one
+    (it landed late) is left out, and a batch without news writes nothing."""
     def run(batch: DataFrame, epoch_id: int) -> None:
+        ts = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         # a micro-batch may hold several landed states of one page: keep the latest
-        rows = latest_per_key(source_filter(map_pages(batch, spec, run_ts), spec), spec.key,
+        rows = latest_per_key(source_filter(map_pages(batch, spec, ts), spec), spec.key,
                               ["last_edited_time"], one_per_key=True)
         raw = store.read("raw", spec.name)
+        if raw is not None:
+            stored = raw.select(F.col(spec.key).alias("__k"), F.col("last_edited_time").alias("__t"))
+            rows = rows.join(stored, (F.col(spec.key) == F.col("__k")) & (F.col("__t") > F.col("last_edited_time")), "left_anti")
+            if rows.isEmpty():
+                return
         target = raw if raw is not None else store.spark.createDataFrame([], rows.schema)
         store.publish(upsert(target, rows), "raw", spec.name)
     return run
 
 
-def start_ingest(store: TableStore, spec: EntitySpec, landed: str, checkpoint: str, run_ts: str,
+def start_ingest(store: TableStore, spec: EntitySpec, landed: str, checkpoint: str, run_ts: str | None = None,
                  trigger_once: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``trigger_once`` processes what is there and stops."""
     w = (page_stream(store.spark, landed, spec, max_files_per_trigger).writeStream

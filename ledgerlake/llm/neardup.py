@@ -178,9 +178,9 @@ def first_of(rows: DataFrame, group: list[str], order: list[str], n: int) -> Dat
     return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def apart(left: DataFrame, edges: DataFrame) -> DataFrame:
-    """The rows (key, node) of keys whose nodes are not all joined by edges yet."""
-    known = left.join(components(edges), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+def apart(left: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (key, node) of keys whose nodes are not all in one component yet."""
+    known = left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     ends = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     return stored(left.join(ends, "key", "left_semi"), "buckets")
 
@@ -207,18 +207,18 @@ def links(rows: DataFrame) -> DataFrame:
         left = stored(left.join(gone, ["key", "node"], "left_anti"), "left")
         if not left.head(1):
             break
-        grown, settled = spread(met, left, texts, reduce(DataFrame.union, found))
+        roots = components(reduce(DataFrame.union, found))
+        grown, settled = spread(met, left, texts, roots)
         found += grown
         if settled is not None:
             left = left.join(settled, ["key", "node"], "left_anti")
-        left = apart(left, reduce(DataFrame.union, found))
+        left = apart(left, roots)
     return stored(reduce(DataFrame.union, found).distinct(), "links")
 
 
-def spread(met: DataFrame, left: DataFrame, texts: DataFrame, edges: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+def spread(met: DataFrame, left: DataFrame, texts: DataFrame, roots: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
     """Links between what is ``left`` of each bucket and what left it, found
     from the centres outwards; and the rows (key, node) that got linked."""
-    roots = components(edges)
     of_centre = roots.withColumnsRenamed({"node": "centre", "root": "centre_root"})
     front = met.filter("linked").select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
     # who already is in the centre's component has nothing to gain from it

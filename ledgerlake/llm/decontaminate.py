@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import batches, small_batches, stored
-from ledgerlake.llm.neardup import ODD, mix, word_hashes
+from ledgerlake.llm.neardup import ODD, flat_hashes, mix, word_hashes
 
 # The words that a seed looks at.
 MASKS = ("111111", "11011011", "1101000111", "1010011011")
@@ -42,10 +42,10 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     n = len(words) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(n, MASKS.index(mask) + 1, np.uint64)
+    h, mixed = np.full(n, MASKS.index(mask) + 1, np.uint64), mix(words)
     for j, bit in enumerate(mask):
         if bit == "1":
-            h = h * ODD + mix(words[j:j + n])
+            h = h * ODD + mixed[j:j + n]
     return mix(h)
 
 
@@ -106,14 +106,18 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def rows() -> Iterator[dict]:
             for b in it:
-                for doc_id, x, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), word_hashes(b.column(2))):
-                    own = codes(words)
-                    for mask in MASKS:
-                        s = seeds(words, mask)
-                        for p in np.flatnonzero(known(bits, s)).tolist():
-                            start = max(0, p - WINDOW + 1)
-                            yield {"seed": int(s[p].view(np.int64)), "doc_id": doc_id, "x": x, "at": p - start,
-                                   "around": own[start:p + WINDOW].tobytes()}
+                ids, xs = b.column(0).to_pylist(), b.column(1).to_pylist()
+                words, ends = flat_hashes(b.column(2))
+                own = codes(words)
+                for mask in MASKS:
+                    s = seeds(words, mask)
+                    at = np.flatnonzero(known(bits, s))
+                    doc = np.searchsorted(ends, at, side="right") - 1
+                    inside = at + len(mask) <= ends[doc + 1]
+                    for p, d in zip(at[inside].tolist(), doc[inside].tolist()):
+                        start, end = max(int(ends[d]), p - WINDOW + 1), min(int(ends[d + 1]), p + WINDOW)
+                        yield {"seed": int(s[p].view(np.int64)), "doc_id": ids[d], "x": xs[d], "at": p - start,
+                               "around": own[start:end].tobytes()}
 
         yield from batches(rows(), pa.schema([("seed", pa.int64()), ("doc_id", pa.int64()), ("x", pa.int64()), ("at", pa.int32()),
                                               ("around", pa.binary())]))

@@ -56,8 +56,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: pa.Array) -> list[np.ndarray]:
     """64-bit hashes of each text's words, in order."""
+    flat, ends = flat_hashes(texts)
+    return np.split(flat, ends[1:-1]) if len(texts) else []
+
+
+def flat_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all texts' words end to end, and the bounds of each text."""
     if not len(texts):
-        return []
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     lower = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
     split = pc.split_pattern_regex(lower, r"[^\p{L}\p{N}]+")
     ends = split.offsets.to_numpy() - split.offsets[0].as_py()
@@ -66,8 +72,7 @@ def word_hashes(texts: pa.Array) -> list[np.ndarray]:
     hashes = pd.util.hash_array(np.array(spelled, dtype=object), categorize=False)
     at = words.indices.to_numpy()
     real = np.array([w != "" for w in spelled])[at]
-    ends = np.r_[0, np.cumsum(real)][ends]
-    return np.split(hashes[at[real]], ends[1:-1])
+    return hashes[at[real]], np.r_[0, np.cumsum(real)][ends]
 
 
 def kmers(words: np.ndarray) -> np.ndarray:

@@ -13,14 +13,16 @@ from ledgerlake.session import new_scratch_path
 # Rows of one Arrow batch.  Texts may be long, so batches are kept short; this
 # bounds a Python worker's memory and changes no result.
 ARROW_ROWS = 256
+ARROW_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

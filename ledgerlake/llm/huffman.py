@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import batches, partitions, small_batches, stored
+from ledgerlake.llm.tokens import TEXTS, encoder
 from ledgerlake.session import new_scratch_path
 
 MAX_BITS = 16
 BLOCK = 512
-GROUP_IDS = 200_000
+GROUP_IDS = 1_000_000
 END_ID = 2
 
 GROUPS = pa.schema([
@@ -59,7 +60,7 @@ class Code:
 
     def table(self) -> tuple[np.ndarray, np.ndarray]:
         """For every 16-bit window: the id it starts with, and its bits."""
-        ids, bits = np.zeros(1 << MAX_BITS, np.uint32), np.ones(1 << MAX_BITS, np.uint8)
+        ids, bits = np.zeros(1 << MAX_BITS, np.uint16), np.ones(1 << MAX_BITS, np.uint8)
         for i in np.flatnonzero(self.lengths):
             n = int(self.lengths[i])
             lo = int(self.words[i]) << (MAX_BITS - n)
@@ -116,56 +117,59 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n_ids: int,
            table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The ids of a group; every block advances by one id in each step."""
     if not n_ids:
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint16)
     ids_of, bits_of = table
     b = np.frombuffer(payload + b"\0\0\0", np.uint8).astype(np.uint32)
     window = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
     at, last = checkpoints.astype(np.int64), len(window) - 1
-    out = np.empty((len(at), BLOCK), np.uint32)
-    for step in range(min(BLOCK, n_ids)):
+    out = np.empty((min(BLOCK, n_ids), len(at)), np.uint16)
+    for step in range(len(out)):
         peek = (window[np.minimum(at >> 3, last)] >> (8 - (at & 7)).astype(np.uint32)) & 0xFFFF
-        out[:, step] = ids_of[peek]
+        out[step] = ids_of[peek]
         at += bits_of[peek]
-    return out.reshape(-1)[:n_ids]
+    return out.T.reshape(-1)[:n_ids]
 
 
 def tokenized(docs: DataFrame, vocabulary: Callable[[], str] | str, end_id: int = END_ID) -> DataFrame:
     """doc_id and ids (little-endian 16-bit numbers, end id included), in
-    ascending order over the partitions."""
+    ascending order over the partitions; and, apart (``counts``), a row for
+    each partition with how often it holds each of the 65,536 possible ids."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, TEXTS)
     n = partitions(spark)
     rows = docs.select("doc_id", "text").repartitionByRange(n, "doc_id", F.xxhash64("text"))
     rows = rows.sortWithinPartitions("doc_id", "text")
     end = np.array([end_id], "<u2")
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from ledgerlake.llm.tokens import encoder
-
         e = encoder(vocabulary() if callable(vocabulary) else vocabulary, False)
         part, n = TaskContext.get().partitionId(), 0
+        total = np.zeros(1 << 16, np.int64)
         for b in it:
             ids = [np.concatenate([x, end]).tobytes() for x in e.encode(b.column(1))]
+            total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=1 << 16)
             rows = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([part] * rows, pa.int32()), pa.array(range(n, n + rows), pa.int64()),
-                 pa.array(ids, pa.binary())], names=["doc_id", "shard", "place", "ids"])
+                 pa.array(ids, pa.binary()), pa.array([False] * rows)], names=["doc_id", "shard", "place", "ids", "counts"])
             n += rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None], pa.int64()), pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()]),
+             pa.array([True])], names=["doc_id", "shard", "place", "ids", "counts"])
 
-    return rows.mapInArrow(encode, "doc_id bigint, shard int, place bigint, ids binary")
+    return rows.mapInArrow(encode, "doc_id bigint, shard int, place bigint, ids binary, counts boolean")
 
 
-def id_counts(tokens: DataFrame) -> np.ndarray:
-    """How often each id occurs in all documents (65,536 numbers at most)."""
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
+def id_counts(counted: DataFrame) -> np.ndarray:
+    """How often each id occurs in all documents, from the partitions' counts."""
+    def spread(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=1 << 16)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
+            total = sum((np.frombuffer(x, "<i8") for x in b.column(0).to_pylist()), np.zeros(1 << 16, np.int64))
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
 
     counts = np.zeros(1 << 16, np.int64)
-    for r in tokens.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in counted.select("ids").mapInArrow(spread, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
     return counts
 
@@ -175,8 +179,12 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
     """Writes the groups under ``path`` and the code's lengths beside them."""
     spark = docs.sparkSession
     path = path or new_scratch_path(spark, "token-ids")
-    tokens = stored(tokenized(docs, vocabulary, end_id), "ids")
-    code = Code.of_lengths(code_lengths(id_counts(tokens)))
+    path_of_ids = new_scratch_path(spark, "ids")
+    tokenized(docs, vocabulary, end_id).write.partitionBy("counts").parquet(path_of_ids)
+    small_batches(spark)
+    both = spark.read.schema("doc_id bigint, shard int, place bigint, ids binary, counts boolean").parquet(path_of_ids)
+    tokens = both.filter(~F.col("counts")).drop("counts")
+    code = Code.of_lengths(code_lengths(id_counts(both.filter("counts"))))
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups() -> Iterator[dict]:
@@ -202,7 +210,7 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
             return {"shard": shard, "group": group, "n_ids": len(ids), "doc_ids": [d for d, _ in held],
                     "lengths": [len(x) // 2 for _, x in held], "checkpoints": checkpoints, "payload": payload}
 
-        yield from batches(groups(), GROUPS, 8)
+        yield from batches(groups(), GROUPS, 1)
 
     tokens.mapInArrow(encode, GROUPS_DDL).write.parquet(f"{path}/groups")
     spark.createDataFrame([(code.lengths.tolist(),)], "lengths array<bigint>").coalesce(1).write.parquet(f"{path}/code")
@@ -211,7 +219,7 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document of the files."""
-    small_batches(spark)
+    small_batches(spark, 4)
     groups = spark.read.schema(GROUPS_DDL).parquet(f"{path}/groups")
     lengths = np.array(spark.read.parquet(f"{path}/code").head()["lengths"], np.int64)
     out = pa.schema([("shard", pa.int32()), ("group", pa.int32()), ("doc_id", pa.int64()), ("inside", pa.int64()),

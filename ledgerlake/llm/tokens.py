@@ -24,7 +24,9 @@ LOWER_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LAST_PLAIN = "\u024f"
 WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 UNSAFE_SPACE = rf"{WHITE} (?:{WHITE}|\z)"
-CACHED_PIECES, CACHED_WORDS = 800_000, 800_000
+CACHED_PIECES, CACHED_WORDS = 1_000_000, 1_000_000
+# Texts encoded at once: the more, the fewer times a word is looked up.
+TEXTS = 2048
 
 
 def byte_letters() -> dict[int, str]:
@@ -50,6 +52,7 @@ class Encoder:
         self.lower = lower
         self.words = regex.compile(LOWER_WORDS if lower else BYTE_WORDS)
         self.letters = byte_letters()
+        self.marks = tuple(".,;:!?")
         self.of_piece: dict[str, bytes] = {}
         self.of_word: dict[str, bytes] = {}
 
@@ -90,32 +93,45 @@ class Encoder:
         return np.split(ids, begin[starts][1:])
 
     def _known(self, pieces: list[str]) -> list[bytes]:
-        if len(self.of_piece) > CACHED_PIECES:
-            self.of_piece.clear()
-        if len(self.of_word) > CACHED_WORDS:
-            self.of_word.clear()
-        known, out = self.of_piece, []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                ids = known[p] = self._piece(p)
-            out.append(ids)
-        return out
-
-    def _library(self, text: str) -> bytes:
-        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
+        known = self.of_piece
+        new = [p for p in pieces if p not in known]
+        if not new:
+            return [known[p] for p in pieces]
+        words = [self._words(p) for p in new]
+        fresh = self._encoded({w for own in words if own is not None for w in own})
+        of_word = self.of_word
+        own = {p: b"".join([of_word.get(w) or fresh[w] for w in ws]) if ws is not None else self._library(p) for p, ws in zip(new, words)}
+        if len(known) < CACHED_PIECES:
+            known.update(own)
+        if len(of_word) < CACHED_WORDS:
+            of_word.update(fresh)
+        return [known.get(p) or own.get(p, b"") for p in pieces]
+
+    def _words(self, piece: str) -> list[str] | None:
+        """The words of a piece; None: only the library knows."""
         if not piece.isascii() and max(piece) > LAST_PLAIN:
-            return self._library(piece)
+            return None
         if self.lower:
             piece = piece.lower() if piece.isascii() else self.normalizer.normalize_str(piece)
-        return b"".join([self.of_word.get(w) or self._word(w) for w in self.words.findall(piece)])
+        body = piece if self.lower or piece[:1] != " " else piece[1:]
+        if body.isalpha():
+            return [piece]
+        if body[-1:] in self.marks and body[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return self.words.findall(piece)
+
+    def _encoded(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that are not known yet."""
+        tokenize, spell, known = self.model.tokenize, self._spelled, self.of_word
+        return {w: array("H", [t.id for t in tokenize(spell(w))]).tobytes() for w in words if w not in known}
+
+    def _spelled(self, word: str) -> str:
+        if word.isascii() and word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
+            return self.letters[32] + word[1:] if word[0] == " " else word
+        return word.encode().decode("latin-1").translate(self.letters)
 
-    def _word(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(self.letters)
-        ids = self.of_word[word] = array("H", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        return ids
+    def _library(self, text: str) -> bytes:
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=4)

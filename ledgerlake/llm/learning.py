@@ -20,12 +20,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     doc_id) picks, chosen by the text's hash; equal texts count once."""
     learn = fold(F.col("doc_id"), 5) != 0 if learn is None else learn
     own = labels.filter(F.col(label).isin(0, 1) & learn).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
-    texts = docs.filter(learn & F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text")
-    found = texts.join(own, "doc_id").select("text", "label", F.xxhash64("text").alias("h"))
-    out, seen = [], set()
-    for value in (0, 1):
-        for r in found.filter(F.col("label") == value).orderBy("h", "text").limit(rows).collect():
-            if (r["text"], value) not in seen:
-                seen.add((r["text"], value))
-                out.append((r["text"], value))
+    texts = docs.filter(learn & F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    # ids and hashes choose; only the chosen texts, 2 * rows at most, are then read
+    able = texts.select("doc_id", "h").join(own, "doc_id").select("h", "label").distinct()
+    chosen = able.filter("label = 0").orderBy("h").limit(rows).unionByName(able.filter("label = 1").orderBy("h").limit(rows))
+    found = texts.select("h", "text").join(F.broadcast(chosen), "h").groupBy("h", "label").agg(F.min("text").alias("text"))
+    out = [(r["text"], r["label"]) for r in found.orderBy("label", "h").collect()]
     return [t for t, _ in out], np.array([v for _, v in out], np.int64)

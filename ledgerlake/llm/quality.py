@@ -26,6 +26,7 @@ PASSAGE = 64
 CODE = 16
 GATE = 8
 EPOCHS = 30
+LEAST_STEPS = 500
 BATCH = 64
 COUNTED = (r"\p{Lu}", r"\p{L}", r"\p{N}", r"[^\p{L}\p{N}]", r"[|<>{}\[\]]", r"[!?*#$%&~^]")
 
@@ -124,7 +125,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     adam = Adam(p, 0.01)
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
     share = labels.mean()
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))):
         order = rng.permutation(len(texts))
         for s in range(0, len(order), BATCH):
             docs = order[s:s + BATCH]

@@ -32,6 +32,7 @@ WINDOW = 24
 STEP = 12
 HIDDEN = 8
 EPOCHS = 8
+LEAST_STEPS = 500
 BATCH = 128
 INPUTS = 9
 CHUNK = 4096
@@ -167,8 +168,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     p = new_params(rng)
     adam = Adam(p, 0.01)
     chosen = None
-    for epoch in range(EPOCHS):
-        if epoch in (0, EPOCHS // 2):
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // (2 * len(texts))))
+    for epoch in range(epochs):
+        if epoch in (0, epochs // 2):
             value = telling if epoch == 0 else logits(p, x, seq)
             order = np.lexsort((rng.random(len(seq)), -value, owner))
             top = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]

@@ -59,7 +59,7 @@ def validate_source(source: DataFrame, key: str) -> None:
 
 
 def scd2_merge(history: DataFrame | None, source: DataFrame, spec: SnapshotSpec,
-               ctx: RunContext, validate: bool = False) -> DataFrame:
+               ctx: RunContext, validate: bool = False, strategy: str = "auto") -> DataFrame:
     """Next snapshot version.  ``history`` None means first run.
 
     ``validate`` runs the key guard first (the build's unique/not-null tests
@@ -73,7 +73,7 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, spec: SnapshotSpec,
         return initial_snapshot(source, spec, ctx)
     hist_cols = _hist_cols(history, source, spec)
     closed = history.filter(F.col(VALID_TO) != ts_literal(OPEN_END)).select(*hist_cols)
-    return closed.unionByName(scd2_changes(history, source, spec, ctx))
+    return closed.unionByName(scd2_changes(history, source, spec, ctx, strategy=strategy))
 
 
 def _hist_cols(history: DataFrame, source: DataFrame, spec: SnapshotSpec) -> list[str]:

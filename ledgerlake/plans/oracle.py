@@ -815,6 +815,7 @@ ORACLE = {
     **{n: o_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": o_stg_year_month,
     **{n: o_scd2_case(n) for n in SCD2_CASES},
+    **{f"scd2_changes_{s}": o_scd2_case("scd2_two_batches") for s in ("wide", "narrow")},
     **{f"scd2_{n}": o_scd2_spec(n) for n in ("dim_account", "dim_category", "dim_subcategory")},
     "scd2_dim_year_month": o_scd2_dim_year_month,
     "scd2_transaction_log": o_scd2_spec("fact_transaction_audit_log"),
@@ -833,6 +834,8 @@ ORACLE = {
     "raw_upsert": o_load_step("subcategory", "ups2"),
     "raw_upsert_empty": o_load_step("subcategory", "ups2", NONE),
     "hard_delete_keep": o_load_step("subcategory", "kept2"),
+    "sync_deletes_small": o_load_step("subcategory", "kept2"),
+    "sync_deletes_large": o_load_step("subcategory", "kept2"),
     "hard_delete_removed": o_load_step("subcategory", "removed2"),
     "reset_dates": o_reset_dates,
     "cast_text": o_cast_text,

@@ -16,7 +16,7 @@ from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
 from ledgerlake.operators.asof import asof_left_join, unknown_member
 from ledgerlake.operators.calendar import dim_date_covering
-from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, skinny, source_filter, upsert,
+from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, skinny, source_filter, sync_deletes, upsert,
                                        watermark, watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
 from ledgerlake.operators.stats import empty_stats
@@ -63,13 +63,13 @@ def staged(spark, sf, name: str, batch: int = 1, reset: bool = False, changes=No
     return stage_one(name, raw_batch(spark, sf, staging_inputs(name), batch, reset, changes))
 
 
-def snapshot_runs(spark, sf, snap: str, runs) -> DataFrame:
+def snapshot_runs(spark, sf, snap: str, runs, strategy: str = "auto") -> DataFrame:
     """History of ``snap`` after ``runs``: a list of (changes, run, initial)."""
     spec = SNAPSHOTS[snap]
     hist = None
     for changes, run, initial in runs:
         stg = staged(spark, sf, spec.source, run, reset=initial, changes=changes)
-        hist = scd2_merge(hist, stg, spec, ctx(run, initial))
+        hist = scd2_merge(hist, stg, spec, ctx(run, initial), strategy=strategy)
     return hist
 
 
@@ -119,6 +119,13 @@ def q_scd2_case(case):
     return q
 
 
+def q_scd2_strategy(strategy):
+    """All kinds of change at once, by one of the two merge plans."""
+    def q(spark, sf):
+        return snapshot_runs(spark, sf, "dim_subcategory", SCD2_CASES["scd2_two_batches"], strategy)
+    return q
+
+
 def q_scd2_spec(snap):
     def q(spark, sf):
         return snapshot_runs(spark, sf, snap, THREE_RUNS)
@@ -245,6 +252,14 @@ def q_raw_upsert_empty(spark, sf):
     return two_loads(spark, sf, "subcategory", changes2=NONE)[1]["upserted"]
 
 
+def q_sync_deletes(target_rows):
+    """What a job keeps, by the plan for small (1) or large (None) targets."""
+    def q(spark, sf):
+        step = two_loads(spark, sf, "subcategory")[1]
+        return sync_deletes(step["upserted"], step["live"], target_rows=target_rows)[0]
+    return q
+
+
 def q_hard_delete_keep(spark, sf):
     return two_loads(spark, sf, "subcategory")[1]["kept"]
 
@@ -610,6 +625,7 @@ QUERIES = {
     **{n: q_stg(n) for n in ("stg_account", "stg_category", "stg_subcategory", "stg_transaction", "stg_budget")},
     "stg_year_month": q_stg_year_month,
     **{n: q_scd2_case(n) for n in SCD2_CASES},
+    **{f"scd2_changes_{s}": q_scd2_strategy(s) for s in ("wide", "narrow")},
     **{f"scd2_{n}": q_scd2_spec(n) for n in ("dim_account", "dim_category", "dim_subcategory")},
     "scd2_dim_year_month": q_scd2_dim_year_month,
     "scd2_transaction_log": q_scd2_spec("fact_transaction_audit_log"),
@@ -628,6 +644,8 @@ QUERIES = {
     "raw_upsert": q_raw_upsert,
     "raw_upsert_empty": q_raw_upsert_empty,
     "hard_delete_keep": q_hard_delete_keep,
+    "sync_deletes_small": q_sync_deletes(1),
+    "sync_deletes_large": q_sync_deletes(None),
     "hard_delete_removed": q_hard_delete_removed,
     "reset_dates": q_reset_dates,
     "cast_text": q_cast_text,

@@ -23,6 +23,8 @@ empty table gives no rows.  Other columns pass through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,10 @@ def halves(key: Column, rest: Column, role: int) -> list[Column]:
                      left(rest, F.greatest(n - second, F.lit(0))).alias("rest"))]
 
 
+def halver(role: int) -> Callable[[Column], Column]:
+    return lambda s: F.array(*halves(s["key"], s["rest"], role))
+
+
 def shared(rows: DataFrame, key: str, member: list[str]) -> DataFrame:
     """The rows whose key belongs to more than one member."""
     ends = rows.groupBy(key).agg(*(f(F.xxhash64(*member)).alias(n) for f, n in ((F.min, "lo"), (F.max, "hi"))))
@@ -92,7 +98,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
         own = F.array(*(F.when(F.col("mask").bitwiseAND(1 << (2 * role + side)) != 0, start[side]) for side in (0, 1)))
         own = F.filter(own, lambda s: s.isNotNull())
         for _ in range(HALVINGS):
-            own = F.flatten(F.transform(own, lambda s, r=role: F.array(*halves(s["key"], s["rest"], r))))
+            own = F.flatten(F.transform(own, halver(role)))
         rests.append(texts.select("at", F.lit(role).alias("role"), F.inline(own)))
     rests = stored(rests[0].unionByName(rests[1]), "rests")
     rests = stored(shared(rests, "key", ["at"]), "shared-rests")

@@ -235,13 +235,15 @@ def spread(met: DataFrame, left: DataFrame, texts: DataFrame, roots: DataFrame)
     while (waiting := rest.count()):
         if not found and not settled:
             front = stored(front.join(rest.select("key", "centre").distinct(), ["key", "centre"], "left_semi"), "front")
-        sizes = [x.groupBy("key", "centre").agg(F.count(F.lit(1)).alias(c)) for x, c in ((rest, "r"), (front, "f"))]
-        pairs = sizes[0].join(sizes[1], ["key", "centre"]).agg(F.sum(F.col("r") * F.col("f"))).head()[0]
+        # how many pairs lie within reach, at most, from counts by distance
+        ring = lambda x, d, c: x.groupBy("key", "centre", F.floor(F.col(d) * 20).alias(f"{c}_ring")).agg(F.count(F.lit(1)).alias(c))
+        pairs = (ring(rest, "d", "r").join(ring(front, "da", "f"), ["key", "centre"])
+                 .filter(F.abs(F.col("r_ring") - F.col("f_ring")) <= 5).agg(F.sum(F.col("r") * F.col("f"))).head()[0])
         if not pairs:
             break
         # all at once when that is linear work; else the part of the front that is closest to the centre.
         # A link's distance is at most 1 - THRESHOLD, and distances from a centre differ by no more
-        part = front if pairs <= 4 * (waiting + batch) else stored(first_of(front, ["key", "centre"], ["da", "a"], batch), "part")
+        part = front if pairs <= 8 * (waiting + batch) else stored(first_of(front, ["key", "centre"], ["da", "a"], batch), "part")
         near = rest.join(part, ["key", "centre"]).filter(F.abs(F.col("d") - F.col("da")) <= REACH).select("key", "centre", "node", "d", "a")
         checked = verified(near.select("a", F.col("node").alias("b")), texts).filter("linked").select("a", "b")
         found.append(checked)

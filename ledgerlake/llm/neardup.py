@@ -193,8 +193,11 @@ def apart(left: DataFrame, roots: DataFrame) -> DataFrame:
 def links(rows: DataFrame) -> DataFrame:
     """a, b of linked nodes, enough to join every candidate link's ends."""
     members = rows.filter(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key")).distinct()
-    ends = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    left = stored(members.join(ends, "key", "left_semi"), "buckets")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    left = stored(members.join(sizes, "key"), "buckets")
+    # who meets the most others is most likely what they are copies of: the best centre
+    met_in_all = left.groupBy("node").agg(F.sum("size").alias("meets"))
+    left = stored(left.drop("size").join(met_in_all, "node"), "buckets")
     texts = rows.filter(F.col("node").isNotNull()).select("node", "codes").join(left.select("node").distinct(), "node", "left_semi")
     texts = stored(texts.groupBy("node").agg(F.first("codes").alias("codes")), "texts")
     none = texts.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
@@ -202,9 +205,9 @@ def links(rows: DataFrame) -> DataFrame:
     while left.head(1):
         n = CENTRES[min(turn, len(CENTRES) - 1)]
         turn += 1
-        chosen = (left.groupBy("key").agg(F.min("node").alias("centre")) if n == 1
-                  else first_of(left, ["key"], ["node"], n).select("key", F.col("node").alias("centre")))
-        met = left.join(chosen, "key").filter(F.col("node") != F.col("centre"))
+        chosen = (left.groupBy("key").agg(F.max(F.struct("meets", "node")).alias("m")).select("key", F.col("m.node").alias("centre"))
+                  if n == 1 else first_of(left, ["key"], [F.desc("meets"), "node"], n).select("key", F.col("node").alias("centre")))
+        met = left.drop("meets").join(chosen, "key").filter(F.col("node") != F.col("centre"))
         checked = verified(met.select(F.col("centre").alias("a"), F.col("node").alias("b")), texts)
         found.append(checked.filter("linked").select("a", "b"))
         met = stored(met.join(checked.withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"]), "met")
@@ -231,7 +234,7 @@ def spread(met: DataFrame, left: DataFrame, texts: DataFrame, roots: DataFrame)
             .join(roots, "node", "left").join(of_centre, "centre", "left")
             .filter(F.coalesce("root", "node") != F.coalesce("centre_root", "centre")).select("key", "centre", "node", "d"))
     rest = stored(rest, "rest")
-    found, settled, batch = [], [], 8
+    found, settled, batch = [], [], 1
     while (waiting := rest.count()):
         if not found and not settled:
             front = stored(front.join(rest.select("key", "centre").distinct(), ["key", "centre"], "left_semi"), "front")

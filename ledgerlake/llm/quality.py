@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ledgerlake.llm.wordstats import Adam, Evidence, sigmoid, split_words
+from ledgerlake.llm.wordstats import TEXTS, Adam, Evidence, sigmoid, split_words
 
 PASSAGE = 64
 CODE = 16
@@ -115,7 +115,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
         return Model(None, None, float(labels.mean()) if len(labels) else 0.0)
     rng = np.random.default_rng(seed)
     evidence = Evidence.learn(texts, labels)
-    f, owner = passages(evidence, pa.array(texts, pa.large_string()))
+    parts = [passages(evidence, pa.array(texts[s:s + TEXTS], pa.large_string())) for s in range(0, len(texts), TEXTS)]
+    f = np.vstack([x for x, _ in parts])
+    owner = np.concatenate([own + k * TEXTS for k, (_, own) in enumerate(parts)])
 
     def make(*shape: int) -> np.ndarray:
         return rng.standard_normal(shape) / np.sqrt(shape[0])

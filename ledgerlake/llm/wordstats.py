@@ -15,6 +15,7 @@ GRAMS = (3, 4, 5)
 BUCKETS = 1 << 18
 WORD_BUCKETS = 1 << 18
 RARE = 5
+TEXTS, WORDS = 100, 20_000
 PRIOR = 2.0
 PRIME = np.uint64(0x100000001B3)
 
@@ -66,37 +67,47 @@ class Evidence:
 
     @staticmethod
     def learn(texts: list[str], labels: np.ndarray) -> Evidence:
-        """By the number of documents of either label that hold a bucket."""
-        ends, at, words = split_words(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        """By the number of documents of either label that hold a bucket; some
+        texts at a time, so memory does not follow the sample."""
+        words, grams = np.zeros((2, WORD_BUCKETS), np.int64), np.zeros((2, BUCKETS), np.int64)
+        for s in range(0, len(texts), TEXTS):
+            own = (labels[s:s + TEXTS] == 1).astype(np.int64)
+            Evidence._count(texts[s:s + TEXTS], own, words, grams)
+        n = np.array([(labels != 1).sum(), (labels == 1).sum()])
+        return Evidence(Evidence._odds(words, n).astype(np.float32), Evidence._odds(grams, n).astype(np.float32))
+
+    @staticmethod
+    def _count(texts: list[str], labels: np.ndarray, words: np.ndarray, grams: np.ndarray) -> None:
+        """Adds the documents that hold each bucket, by label."""
+        ends, at, names = split_words(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        if not len(at):
+            return
         owner = np.repeat(np.arange(len(texts)), np.diff(ends))
-        pairs = np.unique(owner * (len(words) + 1) + at)
-        doc, word = pairs // (len(words) + 1), pairs % (len(words) + 1)
-        of_word = word_buckets(words) if words else np.zeros(0, np.int64)
-        w = Evidence._odds(np.unique(doc * WORD_BUCKETS + of_word[word]), WORD_BUCKETS, labels)
-        keys = []
-        if words:
-            grams, starts = gram_buckets(words)
-            of = np.repeat(np.arange(len(words)), np.diff(np.r_[starts, grams.shape[1]]))
-            by_word = np.argsort(word, kind="stable")
-            first = np.searchsorted(word[by_word], np.arange(len(words) + 1))
-            for row in grams:
-                pairs = np.unique(of[row >= 0] * BUCKETS + row[row >= 0])
-                n = np.diff(first)[pairs // BUCKETS]
-                docs = doc[by_word[np.repeat(first[pairs // BUCKETS] - (np.cumsum(n) - n), n) + np.arange(n.sum())]]
-                keys.append(np.unique(docs * BUCKETS + np.repeat(pairs % BUCKETS, n)))
-        g = Evidence._odds(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64), BUCKETS, labels)
-        return Evidence(w.astype(np.float32), g.astype(np.float32))
+        pairs = np.unique(owner * len(names) + at)
+        doc, word = pairs // len(names), pairs % len(names)
+        own = np.unique(doc * WORD_BUCKETS + word_buckets(names)[word])
+        np.add.at(words, (labels[own // WORD_BUCKETS], own % WORD_BUCKETS), 1)
+        found, starts = gram_buckets(names)
+        of = np.repeat(np.arange(len(names)), np.diff(np.r_[starts, found.shape[1]]))
+        by_word = np.argsort(word, kind="stable")
+        first = np.searchsorted(word[by_word], np.arange(len(names) + 1))
+        for row in found:
+            runs = np.unique(of[row >= 0] * BUCKETS + row[row >= 0])
+            n = np.diff(first)[runs // BUCKETS]
+            docs = doc[by_word[np.repeat(first[runs // BUCKETS] - (np.cumsum(n) - n), n) + np.arange(n.sum())]]
+            own = np.unique(docs * BUCKETS + np.repeat(runs % BUCKETS, n))
+            np.add.at(grams, (labels[own // BUCKETS], own % BUCKETS), 1)
 
     @staticmethod
-    def _odds(pairs: np.ndarray, size: int, labels: np.ndarray) -> np.ndarray:
-        hold = labels[pairs // size] == 1
-        yes = np.bincount(pairs[hold] % size, minlength=size)
-        no = np.bincount(pairs[~hold] % size, minlength=size)
-        odds = np.log((yes + PRIOR) / ((labels == 1).sum() + 2 * PRIOR)) - np.log((no + PRIOR) / ((labels != 1).sum() + 2 * PRIOR))
+    def _odds(held: np.ndarray, n: np.ndarray) -> np.ndarray:
+        no, yes = held
+        odds = np.log((yes + PRIOR) / (n[1] + 2 * PRIOR)) - np.log((no + PRIOR) / (n[0] + 2 * PRIOR))
         return np.where(yes + no >= RARE, np.clip(odds, -5, 5), 0)
 
     def features(self, words: list[str]) -> np.ndarray:
         """Per word: its log odds; the largest, smallest and mean of its runs'."""
+        if len(words) > WORDS:
+            return np.vstack([self.features(words[s:s + WORDS]) for s in range(0, len(words), WORDS)])
         out = np.zeros((len(words), 4), np.float32)
         if not words:
             return out

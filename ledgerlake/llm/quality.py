@@ -127,7 +127,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     adam = Adam(p, 0.01)
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
     share = labels.mean()
-    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))):
+    for _ in range(max(EPOCHS, LEAST_STEPS // -(-len(texts) // BATCH))):
         order = rng.permutation(len(texts))
         for s in range(0, len(order), BATCH):
             docs = order[s:s + BATCH]

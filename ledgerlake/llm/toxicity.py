@@ -168,7 +168,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     p = new_params(rng)
     adam = Adam(p, 0.01)
     chosen = None
-    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // (2 * len(texts))))
+    epochs = max(EPOCHS, LEAST_STEPS // -(-2 * len(texts) // BATCH))
     for epoch in range(epochs):
         if epoch in (0, epochs // 2):
             value = telling if epoch == 0 else logits(p, x, seq)

@@ -180,7 +180,9 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
     spark = docs.sparkSession
     path = path or new_scratch_path(spark, "token-ids")
     path_of_ids = new_scratch_path(spark, "ids")
-    tokenized(docs, vocabulary, end_id).write.partitionBy("counts").parquet(path_of_ids)
+    # not partitioned by ``counts``: such a write sorts each task by it, and a sort that spills
+    # does not keep the order of the documents
+    tokenized(docs, vocabulary, end_id).write.parquet(path_of_ids)
     small_batches(spark)
     both = spark.read.schema("doc_id bigint, shard int, place bigint, ids binary, counts boolean").parquet(path_of_ids)
     tokens = both.filter(~F.col("counts")).drop("counts")
@@ -192,7 +194,8 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
             size, shard, group = 0, None, 0
             for b in it:
                 for doc_id, s, place, ids in zip(*(c.to_pylist() for c in b.columns)):
-                    if held and (s != shard or size >= GROUP_IDS):
+                    # a group is documents without a gap, so that its start is the sum of those before it
+                    if held and (s != shard or place != group + len(held) or size >= GROUP_IDS):
                         yield row(held, shard, group)
                         held, size = [], 0
                     if s != shard:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlake.llm import huffman, packing
@@ -29,6 +30,22 @@ def test_ids_round_trip(spark, make_docs):
     assert got == want
 
 
+def test_ids_keep_their_order_when_sorts_spill(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.format_string("text %d", "id").alias("text"))
+    conf = spark._jvm.org.apache.spark.SparkEnv.get().conf()
+    conf.set("spark.shuffle.spill.numElementsForceSpillThreshold", "500")
+    try:
+        path, _ = huffman.write_ids(docs.repartition(7), Q.byte_vocabulary)
+    finally:
+        conf.remove("spark.shuffle.spill.numElementsForceSpillThreshold")
+    rows = [tuple(r) for r in huffman.read_ids(spark, path, False).orderBy("start").select("doc_id", "start", "n_tokens").collect()]
+    assert [d for d, _, _ in rows] == list(range(20_000))
+    assert all(a[1] + a[2] == b[1] for a, b in zip(rows, rows[1:]))
+    groups = spark.read.schema(huffman.GROUPS_DDL).parquet(f"{path}/groups").orderBy("shard", "group").select("doc_ids").collect()
+    assert [d for g in groups for d in g["doc_ids"]] == list(range(20_000))
+    assert len(groups) <= 20  # whole groups, not one for each backward step
+
+
 def test_ids_empty_table(spark, make_docs):
     path, _ = huffman.write_ids(make_docs([]), Q.byte_vocabulary)
     assert huffman.read_ids(spark, path).count() == 0

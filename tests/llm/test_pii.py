@@ -64,6 +64,25 @@ def test_contexts_find_unseen_identifiers(make_docs):
     assert all(rows[d] == "" for d, _ in other) and all(rows[d].count("email") == 1 for d, _ in seeds)
 
 
+def test_contexts_of_phones_and_spaced_cards(make_docs):
+    def card(i):
+        d = f"4041 8949 74{i // 100:02d} 87{i % 100:02d}"[:-1]
+        return next(d + str(c) for c in range(10) if luhn(re.sub(" ", "", d + str(c))))
+    seeds = [(i, f"we wrote please call me on +1 (974) 555-{i:04d}. today") for i in range(30)]
+    seeds += [(50 + i, f"it said charge my card {card(i * 10)} right now") for i in range(30)]
+    new = {100: ("phone", "(974) 555 7000", "we wrote please call me on {} today"), 101: ("phone", "974 555 7001", "please call me on {}, today"),
+           102: ("phone", "974-555-7002", "please call me on {} today"),
+           103: ("card", "4041 8949 7460 8796", "it said charge my card {} right now")}  # no Luhn number: no base span
+    other = [(200 + i, f"the total was then {i:02d}17 50021 88 apples in all") for i in range(30)]
+    out = pii.extract(make_docs(seeds + [(d, t.format(v)) for d, (_, v, t) in new.items()] + other)).collect()
+    rows = {r["doc_id"]: r["spans"] for r in out}
+    for d, (kind, v, t) in new.items():
+        start = t.index("{}")
+        assert rows[d] == f"{kind}:{start}:{start + len(v)}", (d, rows[d])
+    assert all(rows[d] == "" for d, _ in other)
+    assert all(rows[d].count(":") == 2 for d, _ in seeds)
+
+
 def test_empty_table(make_docs):
     assert pii.extract(make_docs([])).count() == 0
 

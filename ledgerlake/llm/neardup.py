@@ -7,8 +7,9 @@ them in text order, so texts must agree in order to agree in a value.  Two
 texts are linked if their k-mers, aligned in order within the widest shift the
 threshold allows, have a similarity common / (a + b - common) >= ``THRESHOLD``.
 
-Equal texts are one node from the start.  Candidates share a sketch value.  A
-bucket is worked off without pairing its members: all are compared with a
+Equal texts are one node from the start.  Candidates share a sketch value; texts
+of at most ``SHORT`` k-mers, of which a sketch takes too large a part, have keys
+besides by which no link between two of them is missed.  A bucket is worked off without pairing its members: all are compared with a
 centre; the linked ones are compared, those closest to it first, with those
 left whose distance from the centre differs by no more than a link's (the
 Jaccard distance is a metric, so nothing else can be linked), and so on until
@@ -25,6 +26,7 @@ gives no rows.  Other columns pass through.
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
@@ -41,6 +43,7 @@ from ledgerlake.llm.common import small_batches, stored
 K = 5
 L = 5
 HASHES = 28
+SHORT = 50
 THRESHOLD = 0.8
 REACH = 1 - THRESHOLD + 1e-9
 CENTRES = (1, 8, 64)
@@ -106,6 +109,14 @@ def sketch(labelled: np.ndarray) -> np.ndarray:
     return out
 
 
+def exact_keys(labelled: np.ndarray) -> np.ndarray:
+    """The k-mers of least hash, so many that texts of similarity ``THRESHOLD``
+    share one: of n k-mers at least THRESHOLD * n are common, so the rest and
+    one more hold a common one, and the least common one is among both texts'."""
+    n = len(labelled)
+    return mix(np.sort(labelled)[:n - math.ceil(THRESHOLD * n - 1e-9) + 1] ^ ODD)
+
+
 def compare(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, bool]:
     """Jaccard similarity of the labelled k-mers, and whether the alignment in
     order reaches the threshold."""
@@ -142,7 +153,9 @@ def sketched(docs: DataFrame) -> DataFrame:
                 nodes.append(hashlib.md5(words.tobytes()).digest())
                 own = (words >> np.uint64(48)).astype("<u2")
                 codes.append(own.tobytes())
-                keys.append(sketch(kmers(own)).view(np.int64))
+                labelled = kmers(own)
+                more = [exact_keys(labelled)] * (len(labelled) <= SHORT)
+                keys.append(np.concatenate([sketch(labelled), *more]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(nodes, pa.binary()), pa.array(codes, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "x", "node", "codes", "keys"])

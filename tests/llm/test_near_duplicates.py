@@ -68,6 +68,18 @@ def test_chain_through_a_member_of_the_centres_class(make_docs):
     assert {r["class_id"] for r in out} == {0}
 
 
+def test_short_texts_match_all_pairs(make_docs):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for n in [*range(6, 16)] * 12 + [30, 44, 50]:
+        own = [word() for _ in range(n)]
+        rows += [own, [*own, word()], [word(), *own], own[:-1], own[1:], [*own[:-1], word()], [word(), word(), *own]][:rng.choice([2, 3, 7])]
+    rows = list(enumerate(" ".join(r) for r in rows))
+    out = neardup.classes(make_docs(rows)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_class"]) for r in out} == brute(rows)
+
+
 def test_dedup_keeps_one_of_each(make_docs):
     rows = [(1, "the same few words here now"), (2, "the same few words here now"), (2, "the same few words here now"),
             (3, "quite another text than that one"), (None, None), (4, ""), (5, "")]

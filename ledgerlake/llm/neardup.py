@@ -10,10 +10,11 @@ threshold allows, have a similarity common / (a + b - common) >= ``THRESHOLD``.
 Equal texts are one node from the start.  Candidates share a sketch value; texts
 of at most ``SHORT`` k-mers, of which a sketch takes too large a part, have keys
 besides by which no link between two of them is missed.  A bucket is worked off without pairing its members: all are compared with a
-centre; the linked ones are compared, those closest to it first, with those
-left whose distance from the centre differs by no more than a link's (the
+centre; the linked ones are compared, those closest to it first, with all others
+whose distance from the centre differs by no more than a link's (the
 Jaccard distance is a metric, so nothing else can be linked), and so on until
-nothing new is linked; what is left gets new centres, until every member has
+nothing new is linked; what is left gets new centres (several, each of which is
+worked off against all the turn began with), until every member has
 left or all are in one component.  So no class loses a link between candidates,
 and a group of copies costs a few comparisons each.
 
@@ -229,7 +230,7 @@ def links(rows: DataFrame) -> DataFrame:
         if not left.head(1):
             break
         roots = components(reduce(DataFrame.union, found))
-        grown, settled = spread(met, left, texts, roots)
+        grown, settled = spread(met, texts, roots)
         found += grown
         if settled is not None:
             left = left.join(settled, ["key", "node"], "left_anti")
@@ -237,13 +238,15 @@ def links(rows: DataFrame) -> DataFrame:
     return stored(reduce(DataFrame.union, found).distinct(), "links")
 
 
-def spread(met: DataFrame, left: DataFrame, texts: DataFrame, roots: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links between what is ``left`` of each bucket and what left it, found
-    from the centres outwards; and the rows (key, node) that got linked."""
+def spread(met: DataFrame, texts: DataFrame, roots: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Links between the members of each bucket that a centre is linked to and
+    all others, found from each centre outwards; and the rows (key, node) that
+    got linked to a centre's front."""
     of_centre = roots.withColumnsRenamed({"node": "centre", "root": "centre_root"})
     front = met.filter("linked").select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
-    # who already is in the centre's component has nothing to gain from it
-    rest = (met.join(left, ["key", "node"], "left_semi").join(front.select("key", "centre").distinct(), ["key", "centre"], "left_semi")
+    # also those that left with another centre: a class may hang on a link between two fronts.
+    # Who already is in the centre's component has nothing to gain from it
+    rest = (met.filter("not linked").join(front.select("key", "centre").distinct(), ["key", "centre"], "left_semi")
             .join(roots, "node", "left").join(of_centre, "centre", "left")
             .filter(F.coalesce("root", "node") != F.coalesce("centre_root", "centre")).select("key", "centre", "node", "d"))
     rest = stored(rest, "rest")
@@ -268,7 +271,7 @@ def spread(met: DataFrame, left: DataFrame, texts: DataFrame, roots: DataFrame)
         done = part.select("key", "centre", "a")
         behind = front.filter("false") if part is front else front.join(done, ["key", "centre", "a"], "left_anti")
         front = stored(behind.union(new.select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))), "front")
-        rest = stored(rest.join(new.select("key", "node").distinct(), ["key", "node"], "left_anti"), "rest")
+        rest = stored(rest.join(new.select("key", "centre", "node"), ["key", "centre", "node"], "left_anti"), "rest")
         batch *= 4
     return found, reduce(DataFrame.union, settled).distinct() if settled else None
 

@@ -80,6 +80,23 @@ def test_short_texts_match_all_pairs(make_docs):
     assert {r["doc_id"]: (r["class_id"], r["n_class"]) for r in out} == brute(rows)
 
 
+def test_links_between_the_fronts_of_two_centres(spark):
+    # one bucket; of each chain c1 ~ x ~ z ~ c2 the ends are centres of the same turn, and all hangs on x ~ z
+    rng, members, chains = np.random.default_rng(7), {}, []
+    for k in range(14):
+        words = rng.integers(0, 1 << 16, 140).astype("<u2")
+        turn = "a" if k < 4 else "b"
+        names = [f"{turn}{k:02}1", f"x{k:02}1", f"x{k:02}2", f"{turn}{k:02}2"]
+        members |= {n: words[at:at + 104] for n, at in zip(names, (0, 9, 20, 29))}
+        chains.append(names)
+    members |= {f"u{k:02}": rng.integers(0, 1 << 16, 104).astype("<u2") for k in range(75)}
+    rows = [(bytearray(n.encode()), bytearray(w.tobytes()), [1]) for n, w in members.items()]
+    found = neardup.links(spark.createDataFrame(rows, "node binary, codes binary, keys array<bigint>"))
+    roots = {bytes(r["node"]).decode(): bytes(r["root"]).decode() for r in neardup.components(found).collect()}
+    assert all({roots[n] for n in names} == {min(names)} for names in chains)
+    assert len(roots) == 4 * len(chains)
+
+
 def test_dedup_keeps_one_of_each(make_docs):
     rows = [(1, "the same few words here now"), (2, "the same few words here now"), (2, "the same few words here now"),
             (3, "quite another text than that one"), (None, None), (4, ""), (5, "")]

@@ -1,7 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
 Each mask of ``MASKS`` hashes the words it marks with 1 and ignores the others,
-so a seed still hits when an ignored word was replaced.  Hashes of all
+so a seed still hits when an ignored word was replaced.  The masks depend on the
+item's length, and no overlap escapes all of them; training texts are searched
+with those that some item needs.  Hashes of all
 positions of benchmark and training texts are joined; around a hit the two
 texts are laid on top of each other, and a document overlaps an item when some
 ``WINDOW`` consecutive words of the item (all of them, if it has fewer) agree
@@ -12,7 +14,7 @@ keeps training positions without a partner out of the join.  What goes into it
 carries the words around the position, so no text is shuffled.
 
 Words are lower-case runs of letters and digits.  Null texts have none.  Items
-of fewer than ``SHORTEST`` words are not searched for.  Rows equal in id and
+without a word are not searched for.  Rows equal in id and
 text share a result.  Empty tables give no overlaps.  Other columns pass
 through.
 """
@@ -29,20 +31,27 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import batches, small_batches, stored
 from ledgerlake.llm.neardup import ODD, flat_hashes, mix, word_hashes
 
-# The words that a seed looks at.
-MASKS = ("111111", "11011011", "1101000111", "1010011011")
-SHORTEST = 6
+# The words that a seed looks at, for items from so many words on.  Wherever the
+# words that may differ (3 of 15 and 16, 2 of 10, 1 of 5) stand, one mask fits between.
+MASKS = {15: ("1110111", "111000010011", "110100100001001"), 10: ("11111", "111011", "11010011"), 6: ("1111", "110011"),
+         5: ("1111", "11011", "10111", "11101"), 4: ("1111",), 3: ("111",), 2: ("11",), 1: ("1",)}
+SHORTEST = 1
 WINDOW = 16
 IDENTITY = 0.8
 BITS = 26
 HITS_DDL = "seed bigint, doc_id bigint, x bigint, at int, around binary"
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks for an item of n words."""
+    return next((masks for least, masks in MASKS.items() if n >= least), ())
+
+
 def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     n = len(words) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h, mixed = np.full(n, MASKS.index(mask) + 1, np.uint64), mix(words)
+    h, mixed = np.full(n, int(mask, 2), np.uint64), mix(words)
     for j, bit in enumerate(mask):
         if bit == "1":
             h = h * ODD + mixed[j:j + n]
@@ -60,7 +69,7 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
             for b in it:
                 for item, words in zip(b.column(0).to_pylist(), word_hashes(b.column(1))):
                     own = codes(words).tobytes()
-                    for mask in MASKS if len(words) >= SHORTEST else ():
+                    for mask in masks_of(len(words)):
                         for pos, seed in enumerate(seeds(words, mask).view(np.int64).tolist()):
                             yield {"seed": seed, "item_id": item, "pos": pos, "words": own}
 
@@ -100,6 +109,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = stored(benchmark_seeds(benchmark), "seeds")
     # bitmap_bucket_number counts from 1, positions from 0: bit v is bit (v - 1) of the array
     shared = spark.sparkContext.broadcast(bitmap(found))
+    sizes = found.select(F.least(F.floor(F.length("words") / 2), F.lit(WINDOW)).alias("n")).distinct().collect()
+    masks = sorted({mask for r in sizes for mask in masks_of(r["n"])})
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -109,7 +120,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ids, xs = b.column(0).to_pylist(), b.column(1).to_pylist()
                 words, ends = flat_hashes(b.column(2))
                 own = codes(words)
-                for mask in MASKS:
+                for mask in masks:
                     s = seeds(words, mask)
                     at = np.flatnonzero(known(bits, s))
                     doc = np.searchsorted(ends, at, side="right") - 1

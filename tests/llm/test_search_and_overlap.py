@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -102,6 +103,38 @@ def test_overlaps_match_brute_force(spark, make_docs):
     assert len(rows) == len(docs) and {r["doc_id"] for r in rows if r["contaminated"]} == {f for f, _ in found}
 
 
+def test_every_overlap_is_found(spark, make_docs):
+    # items of 1 to 17 words with all placements of the words that may differ, and one more
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(1, 18)]
+    docs, want = [], set()
+    for n, text in items:
+        size = min(n, decontaminate.WINDOW)
+        may = size - math.ceil(0.8 * size)
+        for more in (0, 1):
+            for at in list(itertools.combinations(range(size), may + more))[:600 if not more else 20]:
+                words = [f"v{len(docs)}x{k}" if k in at else w for k, w in enumerate(text.split()[:size])]
+                docs.append((len(docs), " ".join(["before it", *words, "and after"])))
+                if not more:
+                    want.add((docs[-1][0], n))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminations(make_docs(docs), bench).collect()}
+    assert found == want
+
+
+def test_overlaps_equal_brute_force(spark, make_docs):
+    rng = random.Random(9)
+    items = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 40)))) for i in range(30)]
+    docs = []
+    for d in range(60):
+        part = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(0, len(part) // 4 + 1)):
+            part[rng.randrange(len(part))] = rng.choice("abcdefgh")
+        docs.append((d, " ".join([rng.choice("abcdefgh") for _ in range(rng.randrange(9))] + part)))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminations(make_docs(docs), bench).collect()}
+    assert found == overlap_brute(docs, items)
+
+
 def test_overlaps_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.report(make_docs([]), none).count() == 0

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import small_batches, stored
 
 WORD = 48
-LONGEST = 8
+LONGEST = WORD + 1  # a word and its mark
 ROUNDS = 2
 SMOOTH = 0.05
 UNKNOWN = 1e-9
@@ -47,6 +47,7 @@ class Pieces:
         names = {sp.id_to_piece(i).lower() for i in range(sp.get_piece_size())
                  if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
         names = sorted(n for n in names if 1 <= len(n) <= LONGEST)
+        self.longest = max(map(len, names))
         keys = np.array([self.key(n) for n in names], np.uint64)
         self.order = np.argsort(keys, kind="stable")
         self.keys, self.size = keys[self.order], len(names)
@@ -64,7 +65,7 @@ class Pieces:
         out = {}
         for s in range(length):
             h = np.zeros(n, np.uint64)
-            for t in range(s + 1, min(length, s + LONGEST) + 1):
+            for t in range(s + 1, min(length, s + self.longest) + 1):
                 h = h * BASE + codes[:, t - 1] + np.uint64(1)
                 at = np.minimum(np.searchsorted(self.keys, h), self.size - 1)
                 hit = self.keys[at] == h
@@ -94,7 +95,7 @@ def forward(p: Pieces, edges: dict, length: int, n: int, probs: np.ndarray) -> n
     alpha[0] = 1
     table = probs.T
     for t in range(1, length + 1):
-        for s in range(max(0, t - LONGEST), t):
+        for s in range(max(0, t - p.longest), t):
             e = edges.get((s, t))
             if e is not None:
                 own = table[e]
@@ -123,7 +124,7 @@ def expected(p: Pieces, words: list[str], counts: np.ndarray, probs: np.ndarray)
         beta[length] = 1
         weight = counts[at] / np.maximum(alpha[length], 1e-300)
         for s in range(length - 1, -1, -1):
-            for t in range(s + 1, min(length, s + LONGEST) + 1):
+            for t in range(s + 1, min(length, s + p.longest) + 1):
                 e = edges.get((s, t))
                 if e is not None:
                     own = probs[e]

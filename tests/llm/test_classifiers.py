@@ -114,3 +114,10 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(langid.word_scores(p, [word], probs)[0], np.log([total(word, 0), total(word, 1)]))
     uses = langid.expected(p, [word], np.array([3.0]), probs[0])
     assert uses.sum() >= 3
+
+
+def test_long_pieces_count():
+    p = langid.pieces(Q.piece_vocabulary())
+    for word in ("▁function", "▁something", "▁information"):
+        edges = p.edges(np.array([[ord(c) for c in word]], np.uint64))
+        assert (0, len(word)) in edges and edges[0, len(word)][0] < p.size

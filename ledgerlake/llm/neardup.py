@@ -9,8 +9,8 @@ threshold allows, have a similarity common / (a + b - common) >= ``THRESHOLD``.
 
 Equal texts are one node from the start.  Candidates share a sketch value; texts
 of at most ``SHORT`` k-mers, of which a sketch takes too large a part, have keys
-besides by which no link between two of them is missed.  A bucket is worked off without pairing its members: all are compared with a
-centre; the linked ones are compared, those closest to it first, with all others
+besides by which no link between two of them is missed.  A bucket is worked off
+without pairing its members: all are compared with a centre; the linked ones are compared, those closest to it first, with all others
 whose distance from the centre differs by no more than a link's (the
 Jaccard distance is a metric, so nothing else can be linked), and so on until
 nothing new is linked; what is left gets new centres (several, each of which is

@@ -14,6 +14,8 @@ from ledgerlake.session import new_scratch_path
 # bounds a Python worker's memory and changes no result.
 ARROW_ROWS = 256
 ARROW_BYTES = 32 << 20
+# Text that is worked on at once where whole blocks are counted (see ``blocks``).
+BLOCK_BYTES = 12 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,29 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def blocks(it: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches gathered until the column holds ``most`` bytes: what is counted
+    or looked up by block is done less often.  Empty batches are left out."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in it:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.column(column).nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for a broadcast if it is counted to hold at most ``rows`` rows;
+    else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Column lists, gathered into record batches of at least ``size`` rows."""
     held: dict[str, list] = {f.name: [] for f in schema}

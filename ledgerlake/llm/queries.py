@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, huffman, langid, linededup, neardup, packing, pii, quality, topk, toxicity
+from ledgerlake.llm import align, decontaminate, huffman, langid, linededup, neardup, packing, pii, quality, topk, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.learning import labelled_sample
 
@@ -82,10 +82,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), byte_vocabulary, piece_vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_pii, op2_token_ids, op3_decontaminate, op4_toxicity, op5_quality, op6_top_k, op7_near_duplicates, op8_packing,
-              op9_line_dedup, op10_language)
+              op9_line_dedup, op10_language, op13_alignment)
 }
 
 TOP_K_SQL = """

@@ -7,9 +7,9 @@ both id lists into groups, and each group links all its A ids with all its B
 ids.  The count of a linked id pair is the number of documents that hold it.
 
 Neither tokenizer has a token across a single space between non-spaces, so
-both end a token there: texts are cut at such spaces and a stretch that comes
-again in a worker's texts is aligned once.  Stretches of any length are
-allowed (a text without such a space is one).
+both end a token there: texts are cut at such spaces, and a stretch that comes
+again in a block of texts is aligned once, many stretches in one call.
+Stretches of any length are allowed (a text without such a space is one).
 
 A text that is null or empty, or whose bytes the tokens of A or B do not spell
 again, has no tokens: zeros and the empty ``groups_sha256``.  Rows equal in id
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
-from itertools import accumulate
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import blocks, broadcast_up_to, stored
+from ledgerlake.llm.common import blocks, broadcast_up_to, small_batches, stored
 from ledgerlake.llm.spans import Texts, of_bytes, slices, text_of_each
 from ledgerlake.llm.tokens import byte_letters
 
-# Stretches kept by a worker, and the longest one kept.
-KEPT, KEPT_BYTES = 60_000, 64
+# Stretches encoded in one call, and the text worked on at once.  They bound memory.
+CALL, BLOCK = 4096, 4 << 20
 # The id pairs' counts are broadcast up to so many rows (24 bytes each); else joined by shuffle.
 BROADCAST_PAIRS = 2_000_000
 PLAIN = of_bytes(*range(33, 127))
@@ -42,30 +42,58 @@ LEAD_2 = of_bytes(*range(0xC3, 0xE0))
 LEAD_3 = of_bytes(*range(0xE4, 0xF0))
 LEAD_4 = of_bytes(*range(0xF0, 0xF5))
 
-Group = tuple[list[int], list[int]]
 
-
-def ends(tokens: Sequence[bytes]) -> list[int]:
-    return list(accumulate(map(len, tokens)))
-
-
-def groups(ids_a: Sequence[int], ends_a: Sequence[int], ids_b: Sequence[int], ends_b: Sequence[int]) -> list[Group]:
-    """The id lists cut where both have a token's end."""
-    place_a = {end: i + 1 for i, end in enumerate(ends_a)}
-    place_b = {end: i + 1 for i, end in enumerate(ends_b)}
-    out, a, b = [], 0, 0
-    for end in sorted(place_a.keys() & place_b.keys()):
-        out.append((list(ids_a[a:place_a[end]]), list(ids_b[b:place_b[end]])))
-        a, b = place_a[end], place_b[end]
-    return out
-
-
-def links(own: list[Group]) -> list[tuple[int, int]]:
-    return [(a, b) for of_a, of_b in own for a in of_a for b in of_b]
-
-
-def written(own: list[Group]) -> str:
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in own)
+def common_ends(ends_a: Sequence[int], ends_b: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
+    """The ends both lists have, ascending, and how many tokens of each list lie before them."""
+    place_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    place_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    ends = sorted(place_a.keys() & place_b.keys())
+    return ends, [place_a[e] for e in ends], [place_b[e] for e in ends]
+
+
+@dataclass
+class Groups:
+    """The groups of consecutive stretches: ids, group sizes, and the groups up to each stretch's end."""
+
+    ids_a: np.ndarray
+    ids_b: np.ndarray
+    cut_a: np.ndarray
+    cut_b: np.ndarray
+    until: np.ndarray
+
+    def numbers(self) -> np.ndarray:
+        """Of each stretch: tokens of A and B, groups and links."""
+        links = np.cumsum(self.sizes_a * self.sizes_b)
+        totals = np.stack([self.cut_a, self.cut_b, np.arange(1, len(self.cut_a) + 1), links], axis=1)
+        return np.diff(np.vstack([np.zeros((1, 4), np.int64), totals[self.until - 1]]), axis=0)
+
+    @property
+    def sizes_a(self) -> np.ndarray:
+        return np.diff(self.cut_a, prepend=0)
+
+    @property
+    def sizes_b(self) -> np.ndarray:
+        return np.diff(self.cut_b, prepend=0)
+
+    def links(self) -> np.ndarray:
+        """All pairs of each group in turn, as A id * 2^16 + B id."""
+        a, b = self.sizes_a, self.sizes_b
+        of = np.repeat(np.arange(len(a)), a * b)
+        inside = expand(np.zeros(len(a), np.int64), a * b)
+        return self.ids_a[(self.cut_a - a)[of] + inside // b[of]] << 16 | self.ids_b[(self.cut_b - b)[of] + inside % b[of]]
+
+    def written(self, spelled: pa.Array, n_a: int) -> tuple[bytes, np.ndarray]:
+        """The groups as text, each with a ``;`` behind it, and the text's length up to each
+        stretch's end.  ``spelled`` has each id with what follows it inside and at the end of its list."""
+        a, b = self.sizes_a, self.sizes_b
+        order = np.empty(len(self.ids_a) + len(self.ids_b), np.int64)
+        last_a, last_b = np.zeros(len(self.ids_a), np.int64), np.zeros(len(self.ids_b), np.int64)
+        last_a[self.cut_a - 1], last_b[self.cut_b - 1] = 1, 1
+        order[np.arange(len(last_a)) + np.repeat(self.cut_b - b, a)] = 2 * self.ids_a + last_a
+        order[np.arange(len(last_b)) + np.repeat(self.cut_a, b)] = 2 * (n_a + self.ids_b) + last_b
+        text = spelled.take(pa.array(order))
+        at = np.frombuffer(text.buffers()[1], np.int64)
+        return text.buffers()[2].to_pybytes(), at[(self.cut_a + self.cut_b)[self.until - 1]]
 
 
 class Pair:
@@ -79,62 +107,106 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of_letter = {c: b for b, c in byte_letters().items()}
-        self.bytes_a = {i: bytes(of_letter[c] for c in s) if all(c in of_letter for c in s) else s.encode()
-                        for s, i in self.a.get_vocab(with_added_tokens=False).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for s, i in vocabulary.items():
+            self.bytes_a[i] = bytes(of_letter[c] for c in s) if all(c in of_letter for c in s) else s.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         # a piece with a space after something else could cross a cut
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[bytes, tuple] = {}
-
-    def groups(self, spaced: Sequence[str]) -> list[list[Group] | None]:
-        """The groups of each text, given with the space before it; None: its bytes are not spelled again."""
-        out: list[list[Group] | None] = []
-        of_a = self.a.encode_batch(list(spaced), add_special_tokens=False)
-        of_b = self.b.encode([s[1:] for s in spaced])
-        for text, a, ids_b in zip(spaced, of_a, of_b):
-            ids_a, raw = a.ids, text.encode()
-            spelled_a, spelled_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            if b"".join(spelled_a) != raw or b"".join(spelled_b) != raw:
-                out.append(None)
-            else:
-                out.append(groups(ids_a, ends(spelled_a), ids_b, ends(spelled_b)))
-        return out
-
-    def stretches(self, spelled: list[bytes]) -> list[tuple]:
-        """Of each stretch: tokens of A and B, groups, links, the groups written, and its id pairs (A id * 2^16 + B id);
-        -1 and nothing else if it is not spelled again."""
-        known = self.known
-        new = [s for s in spelled if s not in known]
-        fresh = {}
-        for s, own in zip(new, self.groups([s.decode() for s in new])):
-            if own is None:
-                fresh[s] = (-1, 0, 0, 0, b"", b"")
+        self.size_a, self.size_b = (np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b))
+        self.spelled = pa.array([f"{i}{c}" for i in range(len(self.bytes_a)) for c in ",|"]
+                                + [f"{i}{c}" for i in range(len(self.bytes_b)) for c in ",;"], pa.large_string())
+
+    def groups(self, stretches: list[bytes]) -> Groups | None:
+        """The groups of stretches that stand one after the other; None if the
+        tokens do not spell them again."""
+        raw = b"".join(stretches)
+        text = raw.decode()
+        ids_a, ids_b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
+            return None
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        ends, cut_a, cut_b = common_ends(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
+        stops, ends = np.cumsum([len(s) for s in stretches]), np.array(ends)
+        until = np.searchsorted(ends, stops)
+        if (ends[np.minimum(until, len(ends) - 1)] != stops).any():
+            raise ValueError("a token crosses a cut")
+        return Groups(a, b, np.array(cut_a), np.array(cut_b), until + 1)
+
+    def stretches(self, spelled: pa.Array) -> Stretches:
+        raws = spelled.to_pylist()
+        plain = plain_stretches(spelled)
+        alone = [[i] for i in np.flatnonzero(~plain).tolist()]
+        joint = np.flatnonzero(plain).tolist()
+        todo = [joint[at:at + CALL] for at in range(0, len(joint), CALL)] + alone
+        numbers, first, slot = (np.zeros((len(raws), 4), np.int64), np.zeros(len(raws), np.int64), np.zeros(len(raws), np.int64))
+        pairs, texts, bounds, n_pairs, n_text, n_slots = [], [], [np.zeros(1, np.int64)], 0, 0, 0
+        while todo:
+            own = todo.pop()
+            groups = self.groups([raws[i] for i in own])
+            if groups is None:
+                if len(own) > 1:
+                    todo += [[i] for i in own]
+                else:
+                    numbers[own[0], 0] = -1
                 continue
-            pairs = np.array([a << 16 | b for a, b in links(own)], np.int64)
-            fresh[s] = (sum(len(a) for a, _ in own), sum(len(b) for _, b in own), len(own), len(pairs), written(own).encode(),
-                        pairs.tobytes())
-        out = [known.get(s) or fresh[s] for s in spelled]
-        if len(known) > KEPT:
-            known.clear()
-        known.update((s, v) for s, v in fresh.items() if len(s) <= KEPT_BYTES)
-        return out
+            numbers[own] = groups.numbers()
+            links = groups.links()
+            first[own] = n_pairs + np.cumsum(numbers[own, 3]) - numbers[own, 3]
+            slot[own] = n_slots + np.arange(len(own))
+            text, until = groups.written(self.spelled, len(self.bytes_a))
+            pairs.append(links), texts.append(text), bounds.append(n_text + until)
+            n_pairs, n_text, n_slots = n_pairs + len(links), n_text + len(text), n_slots + len(own)
+        offsets = np.concatenate(bounds)
+        written = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n_slots, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(texts))])
+        return Stretches(numbers, np.concatenate(pairs) if pairs else np.zeros(0, np.int64), first, written, slot)
+
+
+@dataclass
+class Stretches:
+    """Of distinct stretches: their ``numbers`` (-1 first: not spelled again), their id ``pairs`` from
+    ``first`` on, and the groups ``written``, at ``slot``."""
+
+    numbers: np.ndarray
+    pairs: np.ndarray
+    first: np.ndarray
+    written: pa.Array
+    slot: np.ndarray
+
+
+def solid_before(d: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends at each place is certainly no white space (nor the sign B writes a space with)."""
+    one, two, three, four = (d[at - k] for k in (1, 2, 3, 4))
+    tail = lambda x: (x & 0xC0) == 0x80
+    return PLAIN[one] | tail(one) & (LEAD_2[two] | tail(two) & (LEAD_3[three] | tail(three) & LEAD_4[four]))
+
+
+def solid_after(d: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The same of the character that starts there."""
+    x = d[np.minimum(at, len(d) - 1)] if len(d) else d[at]
+    return PLAIN[x] | LEAD_2[x] | LEAD_3[x] | LEAD_4[x]
 
 
 def cuts(texts: Texts) -> np.ndarray:
-    """Where stretches start: each text's start, and each space between two
-    characters that are certainly no white space (the rest is left uncut)."""
-    d = texts.data
-    at = np.flatnonzero(d == 32)
-    at = at[(at > 3) & (at + 1 < len(d))]
-    before, second, third, fourth, after = d[at - 1], d[at - 2], d[at - 3], d[at - 4], d[np.minimum(at + 1, len(d) - 1)]
-    tail = lambda x: (x & 0xC0) == 0x80
-    left = PLAIN[before] | tail(before) & (LEAD_2[second] | tail(second) & (LEAD_3[third] | tail(third) & LEAD_4[fourth]))
-    at = at[left & (PLAIN[after] | LEAD_2[after] | LEAD_3[after] | LEAD_4[after])]
+    """Where stretches start: each text's start, and each space between two characters that are certainly no white space."""
+    at = np.flatnonzero(texts.data == 32)
+    at = at[(at > 3) & (at + 1 < len(texts.data))]
+    at = at[solid_before(texts.data, at) & solid_after(texts.data, at + 1)]
     return np.union1d(at, texts.bounds[:-1][np.diff(texts.bounds) > 0])
 
 
+def plain_stretches(spelled: pa.Array) -> np.ndarray:
+    """Which stretches may stand side by side with a cut between them: a space first, then and last something solid."""
+    bounds = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset:spelled.offset + len(spelled) + 1]
+    data = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
+    # four bytes ahead, so that a look back stays inside
+    data, start, stop = np.r_[np.zeros(4, np.uint8), data], bounds[:-1] + 4, bounds[1:] + 4
+    return (stop - start > 1) & (data[np.minimum(start, len(data) - 1)] == 32) & solid_after(data, start + 1) & solid_before(data, stop)
+
+
 def expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each range, ``sizes`` long."""
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
@@ -162,28 +234,26 @@ def aligned_block(pair: Pair, doc_ids: pa.Array, texts: pa.Array, first_row: int
     stops = np.minimum(np.r_[starts[1:], len(t.data)], t.bounds[of + 1])
     coded = slices(t.data, starts, stops)
     code = coded.indices.to_numpy().astype(np.int64)
-    own = pair.stretches(coded.dictionary.to_pylist())
-    numbers = np.array([s[:4] for s in own], np.int64).reshape(-1, 4)
+    own = pair.stretches(coded.dictionary)
     bad = np.zeros(n, bool)
-    bad[of[numbers[code, 0] < 0]] = True
-    of_good = ~bad[of]
-    of, code = of[of_good], code[of_good]
-    n_a, n_b, n_groups, n_links = (sums(numbers[code, c], of, n) for c in range(4))
-    text_groups = [s[4] for s in own]
+    bad[of[own.numbers[code, 0] < 0]] = True
+    good = ~bad[of]
+    of, code = of[good], code[good]
+    n_a, n_b, n_groups, n_links = (sums(own.numbers[code, c], of, n) for c in range(4))
     hashes = []
-    bounds = np.searchsorted(of, np.arange(n + 1)).tolist()
-    codes = code.tolist()
-    for lo, hi in zip(bounds, bounds[1:]):
-        hashes.append(hashlib.sha256(b";".join([text_groups[c] for c in codes[lo:hi]])).hexdigest() if hi > lo else "")
+    for lo, hi in document_blocks(of, n):  # few documents at a time: their groups are written out
+        at = np.searchsorted(of, [lo, hi])
+        text = own.written.take(pa.array(own.slot[code[at[0]:at[1]]]))
+        bounds = np.frombuffer(text.buffers()[1], np.int64)[np.searchsorted(of[at[0]:at[1]], np.arange(lo, hi + 1))].tolist()
+        view = memoryview(text.buffers()[2]) if text.buffers()[2] is not None else memoryview(b"")
+        hashes += [hashlib.sha256(view[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
     # each document's id pairs: distinct stretches first, then distinct pairs
-    pairs = np.frombuffer(b"".join(s[5] for s in own), np.int64)
-    key, times = np.unique(of * len(own) + code, return_counts=True) if len(own) else (np.zeros(0, np.int64),) * 2
-    doc, code = (key // len(own), key % len(own)) if len(own) else (key, key)
-    many = numbers[code, 3]
+    key = of * max(1, len(own.numbers)) + code
+    key, times = np.unique(key, return_counts=True)
+    doc, code = key // max(1, len(own.numbers)), key % max(1, len(own.numbers))
+    many = own.numbers[code, 3]
     doc, times = np.repeat(doc, many), np.repeat(times, many)
-    first = np.cumsum(np.maximum(numbers[:, 3], 0)) - np.maximum(numbers[:, 3], 0)
-    own_pairs = pairs[expand(first[code], many)]
-    key = doc << 32 | own_pairs
+    key = doc << 32 | own.pairs[expand(own.first[code], many)]
     order = np.argsort(key, kind="stable")
     key, times = key[order], times[order]
     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
@@ -196,13 +266,26 @@ def aligned_block(pair: Pair, doc_ids: pa.Array, texts: pa.Array, first_row: int
          pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))], schema=ROWS)
 
 
+def document_blocks(of: np.ndarray, n: int, stretches: int = 200_000) -> Iterator[tuple[int, int]]:
+    """Ranges of documents that hold at most so many stretches, or one document each."""
+    until = np.searchsorted(of, np.arange(1, n + 1))
+    lo = 0
+    while lo < n:
+        before = until[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(until, before + stretches, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def aligned(docs: DataFrame, path_a: Callable[[], str] | str, path_b: Callable[[], str] | str) -> DataFrame:
     """A row for each document: its numbers and groups' hash, and its distinct
     id ``pairs`` with the ``times`` each occurs."""
+    small_batches(docs.sparkSession, 64)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(*(p() if callable(p) else p for p in (path_a, path_b)))
         row = TaskContext.get().partitionId() << 40
-        for b in blocks(it, "text"):
+        for b in blocks(it, "text", BLOCK):
             yield aligned_block(pair, b.column("doc_id"), b.column("text"), row)
             row += b.num_rows
 

@@ -15,7 +15,7 @@ from ledgerlake.session import new_scratch_path
 ARROW_ROWS = 256
 ARROW_BYTES = 32 << 20
 # Text that is worked on at once where whole blocks are counted (see ``blocks``).
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -88,9 +89,11 @@ def test_blocks_of_any_size_agree():
 
 
 def test_groups_by_hand():
-    assert align.groups([1, 2, 3], [2, 5, 6], [7, 8], [5, 6]) == [([1, 2], [7]), ([3], [8])]
-    assert align.groups([], [], [], []) == []
-    assert align.links([([1, 2], [3, 4])]) == [(1, 3), (1, 4), (2, 3), (2, 4)]
+    assert align.common_ends([2, 5, 6], [5, 6]) == ([5, 6], [2, 3], [1, 2])
+    assert align.common_ends([], []) == ([], [], [])
+    groups = align.Groups(np.array([1, 2, 3]), np.array([7, 8, 9]), np.array([2, 3]), np.array([2, 3]), np.array([1, 2]))
+    assert groups.links().tolist() == [1 << 16 | 7, 1 << 16 | 8, 2 << 16 | 7, 2 << 16 | 8, 3 << 16 | 9]
+    assert groups.numbers().tolist() == [[2, 2, 1, 4], [1, 1, 1, 1]]
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (2, None)]])

@@ -20,8 +20,10 @@ gives no rows.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import blocks, broadcast_up_to, small_batches, stored
 from ledgerlake.llm.spans import Texts, of_bytes, slices, text_of_each
-from ledgerlake.llm.tokens import byte_letters
+from ledgerlake.llm.tokens import BYTE_WORDS, byte_letters
 
 # Stretches encoded in one call, and the text worked on at once.  They bound memory.
 CALL, BLOCK = 4096, 4 << 20
@@ -41,6 +43,8 @@ PLAIN = of_bytes(*range(33, 127))
 LEAD_2 = of_bytes(*range(0xC3, 0xE0))
 LEAD_3 = of_bytes(*range(0xE4, 0xF0))
 LEAD_4 = of_bytes(*range(0xF0, 0xF5))
+# ASCII that is no control character but tab and line ends, and U+00C0 to U+024F
+COMMON = of_bytes(9, 10, 13, *range(32, 127), *range(0x80, 0xC0), *range(0xC3, 0xC9))
 
 
 def common_ends(ends_a: Sequence[int], ends_b: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
@@ -114,18 +118,34 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.fast = self.ranked(path_a)
         # a piece with a space after something else could cross a cut
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
         self.size_a, self.size_b = (np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b))
         self.spelled = pa.array([f"{i}{c}" for i in range(len(self.bytes_a)) for c in ",|"]
                                 + [f"{i}{c}" for i in range(len(self.bytes_b)) for c in ",;"], pa.large_string())
 
-    def groups(self, stretches: list[bytes]) -> Groups | None:
+    def ranked(self, path: str):
+        """A's vocabulary as ranks, for a faster library that gives the same ids
+        on common letters; None if its ids do not ascend with its merges."""
+        import tiktoken
+
+        with open(path) as f:
+            model = json.load(f)["model"]
+        made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if made != sorted(set(made)):
+            return None
+        ranks = {self.bytes_a[i]: i for i in model["vocab"].values() if i not in self.a.get_added_tokens_decoder()}
+        return tiktoken.Encoding("ranked", pat_str=BYTE_WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def groups(self, stretches: list[bytes], alike: bool = False) -> Groups | None:
         """The groups of stretches that stand one after the other; None if the
-        tokens do not spell them again."""
+        tokens do not spell them again.  ``alike``: A's fast form may be used."""
         raw = b"".join(stretches)
         text = raw.decode()
-        ids_a, ids_b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        ids_a = self.fast.encode_ordinary(text) if alike else self.a.encode(text, add_special_tokens=False).ids
+        # a call on a list is several times faster than one on a long text
+        ids_b = list(chain.from_iterable(self.b.encode([x[1:].decode() for x in stretches], num_threads=1)))
         if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
             return None
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
@@ -139,17 +159,19 @@ class Pair:
     def stretches(self, spelled: pa.Array) -> Stretches:
         raws = spelled.to_pylist()
         plain = plain_stretches(spelled)
-        alone = [[i] for i in np.flatnonzero(~plain).tolist()]
-        joint = np.flatnonzero(plain).tolist()
-        todo = [joint[at:at + CALL] for at in range(0, len(joint), CALL)] + alone
+        alike = plain & common_letters(spelled) & (self.fast is not None)
+        todo = [([i], False) for i in np.flatnonzero(~plain).tolist()]
+        for kind in (False, True):
+            joint = np.flatnonzero(plain & (alike == kind)).tolist()
+            todo += [(joint[at:at + CALL], kind) for at in range(0, len(joint), CALL)]
         numbers, first, slot = (np.zeros((len(raws), 4), np.int64), np.zeros(len(raws), np.int64), np.zeros(len(raws), np.int64))
         pairs, texts, bounds, n_pairs, n_text, n_slots = [], [], [np.zeros(1, np.int64)], 0, 0, 0
         while todo:
-            own = todo.pop()
-            groups = self.groups([raws[i] for i in own])
+            own, kind = todo.pop()
+            groups = self.groups([raws[i] for i in own], kind)
             if groups is None:
                 if len(own) > 1:
-                    todo += [[i] for i in own]
+                    todo += [([i], kind) for i in own]
                 else:
                     numbers[own[0], 0] = -1
                 continue
@@ -198,10 +220,20 @@ def cuts(texts: Texts) -> np.ndarray:
     return np.union1d(at, texts.bounds[:-1][np.diff(texts.bounds) > 0])
 
 
+def raw_of(spelled: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    bounds = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset:spelled.offset + len(spelled) + 1]
+    return np.frombuffer(spelled.buffers()[2] or b"", np.uint8), bounds
+
+
+def common_letters(spelled: pa.Array) -> np.ndarray:
+    """Which values hold only characters that every library sorts alike into letters, digits, signs and space."""
+    data, bounds = raw_of(spelled)
+    return np.diff(np.r_[0, np.cumsum(~COMMON[data])][bounds]) == 0
+
+
 def plain_stretches(spelled: pa.Array) -> np.ndarray:
     """Which stretches may stand side by side with a cut between them: a space first, then and last something solid."""
-    bounds = np.frombuffer(spelled.buffers()[1], np.int64)[spelled.offset:spelled.offset + len(spelled) + 1]
-    data = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
+    data, bounds = raw_of(spelled)
     # four bytes ahead, so that a look back stays inside
     data, start, stop = np.r_[np.zeros(4, np.uint8), data], bounds[:-1] + 4, bounds[1:] + 4
     return (stop - start > 1) & (data[np.minimum(start, len(data) - 1)] == 32) & solid_after(data, start + 1) & solid_before(data, stop)

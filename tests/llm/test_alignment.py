@@ -88,6 +88,14 @@ def test_blocks_of_any_size_agree():
     assert whole == apart
 
 
+def test_both_forms_of_a_agree(spark, sf):
+    pair = align.Pair(Q.byte_vocabulary(), Q.piece_vocabulary())
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts += ["".join(map(chr, [*range(32, 127), 10, 9, 32, 13, *range(0xC0, 0x240)])), "a\n\n b \t\t c  d   e\r\n", "I'LL I'll 12 3,4 ×÷"]
+    for text in texts:
+        assert pair.fast.encode_ordinary(text) == pair.a.encode(text, add_special_tokens=False).ids
+
+
 def test_groups_by_hand():
     assert align.common_ends([2, 5, 6], [5, 6]) == ([5, 6], [2, 3], [1, 2])
     assert align.common_ends([], []) == ([], [], [])

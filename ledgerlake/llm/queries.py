@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import align, collocations, decontaminate, huffman, langid, linededup, neardup, packing, pii, quality, topk, toxicity
+from ledgerlake.llm import align, collocations, decontaminate, huffman, jaccard, langid, linededup, neardup, packing, pii, quality, topk, toxicity
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.learning import labelled_sample
 
@@ -82,6 +82,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.ranked(table(spark, sf_dir, "documents"))
 
@@ -93,7 +97,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_pii, op2_token_ids, op3_decontaminate, op4_toxicity, op5_quality, op6_top_k, op7_near_duplicates, op8_packing,
-              op9_line_dedup, op10_language, op12_collocations, op13_alignment)
+              op9_line_dedup, op10_language, op11_jaccard_join, op12_collocations, op13_alignment)
 }
 
 TOP_K_SQL = """
@@ -111,5 +115,6 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 ORACLE: dict[str, str] = {
     "op6_top_k": TOP_K_SQL,
     "op9_line_dedup": linededup.LINE_REPORT_SQL,
+    "op11_jaccard_join": jaccard.JOINED_SQL,
     "op12_collocations": collocations.PHRASES_SQL,
 }

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import blocks, broadcast_up_to, small_batches, stored
+from ledgerlake.llm.decontaminate import bitmap, known
 from ledgerlake.llm.neardup import ODD, components, mix
 from ledgerlake.llm.spans import Texts, lower, of_bytes, runs, slices, text_of_each
 
@@ -51,7 +52,9 @@ CHUNK = 1 << 14
 MOST_MATCHES = 8
 # What a comparison of two sets costs, in runs looked up.
 COMPARISON = 16
+# Centres of each run's nodes, by turn; no further turn if less than so many of a turn's pairs link.
 CENTRES = (1, 4, 16)
+FRUITFUL = 0.1
 # Nodes of a run that one task compares with the rest of them.
 PART = 256
 BROADCAST_ROWS = 500_000
@@ -153,11 +156,11 @@ def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> Da
     """A row for each document: its set's size and digest (null without runs), the shared
     runs it asks for, and its prefix."""
     small_batches(docs.sparkSession, 64)
-    known = docs.sparkSession.sparkContext.broadcast(counts)
+    of_class = docs.sparkSession.sparkContext.broadcast(counts)
     usual = int(counts.mean())
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, row = known.value, TaskContext.get().partitionId() << 40
+        counts, row = of_class.value, TaskContext.get().partitionId() << 40
         for b in blocks(it, "text"):
             h, bounds = shingles(b.column("text"))
             n, size = np.diff(bounds), b.num_rows
@@ -279,21 +282,55 @@ def all_pairs(own: DataFrame, percent: int) -> DataFrame:
     return ends.groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("times")).filter("times >= least").select("a", "b")
 
 
+MEMBERS_DDL = "node bigint, n bigint, matches int, meets int, pos int, run bigint"
+
+
+def members_of(nodes: DataFrame, percent: int) -> DataFrame:
+    """node, n, matches, meets, pos and run of the prefixes' runs that other nodes have too (a few that none
+    has come along); ``meets`` counts those of the node."""
+    small_batches(nodes.sparkSession, 1024)
+    own = nodes.select(F.explode("prefix").alias("run"), "n")
+    sizes = own.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
+    # two alone must be of sizes that may link
+    useful = sizes.filter((F.col("size") > 2) | ((F.col("size") == 2) & (F.lit(100) * F.col("least") >= F.lit(percent) * F.col("most"))))
+    shared_runs = nodes.sparkSession.sparkContext.broadcast(bitmap(useful.select(F.col("run").alias("seed"))))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared_runs.value, np.uint8)
+        for b in it:
+            prefix = b.column("prefix")
+            own = prefix.values.to_numpy()[prefix.offsets[0].as_py():prefix.offsets[-1].as_py()]
+            length = np.diff(prefix.offsets.to_numpy())
+            at = np.flatnonzero(known(bits, own.view(np.uint64)))
+            of = np.repeat(np.arange(b.num_rows), length)[at]
+            first = np.cumsum(length) - length
+            meets = np.bincount(of, minlength=b.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c).take(pa.array(of)) for c in ("node", "n", "matches")]
+                + [pa.array(meets[of], pa.int32()), pa.array(at - first[of], pa.int32()), pa.array(own[at])],
+                names=["node", "n", "matches", "meets", "pos", "run"])
+
+    return nodes.select("node", "n", "matches", "prefix").mapInArrow(run, MEMBERS_DDL)
+
+
+def found_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link; only the sets of their nodes are made again."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets_of(docs, nodes.select("node", "doc_id", "x").join(ends, "node", "left_semi"))
+    return stored(linked(pairs, stored(sets.dropDuplicates(["node"]), "sets"), percent), "links")
+
+
 def node_components(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """node and root of every node that is linked with another."""
-    own = nodes.select("node", "n", "matches", F.posexplode("prefix").alias("pos", "run"))
-    sizes = own.groupBy("run").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = stored(own.join(sizes, "run"), "members")
-    # who meets the most others is most likely what they are copies of
-    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
-    members = stored(members.drop("size").join(meets, "node"), "members")
-    sets = stored(sets_of(docs, nodes.join(members.select("node").distinct(), "node", "left_semi")).dropDuplicates(["node"]), "sets")
+    members = stored(members_of(nodes, percent), "members")
     labels = None
     for centres in CENTRES:
-        found = stored(linked(star_pairs(open_runs(members, labels), centres, percent), sets, percent), "links")
+        pairs = stored(star_pairs(open_runs(members, labels), centres, percent), "star-pairs")
+        found = found_links(docs, nodes, pairs, percent)
         labels = with_links(labels, found)
-    found = stored(linked(all_pairs(open_runs(members, labels), percent), sets, percent), "links")
-    return with_links(labels, found)
+        if found.count() < FRUITFUL * pairs.count():  # the rest are hardly copies of each other
+            break
+    return with_links(labels, found_links(docs, nodes, stored(all_pairs(open_runs(members, labels), percent), "pairs"), percent))
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:

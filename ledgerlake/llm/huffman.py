@@ -215,7 +215,10 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
 
         yield from batches(groups(), GROUPS, 1)
 
-    tokens.mapInArrow(encode, GROUPS_DDL).write.parquet(f"{path}/groups")
+    # Spark deals out the ids' files as it likes, so the coded groups, a row each, are put in order
+    # before they go to the result's files
+    groups = stored(tokens.mapInArrow(encode, GROUPS_DDL), "groups")
+    groups.repartitionByRange(partitions(spark), "shard", "group").sortWithinPartitions("shard", "group").write.parquet(f"{path}/groups")
     spark.createDataFrame([(code.lengths.tolist(),)], "lengths array<bigint>").coalesce(1).write.parquet(f"{path}/code")
     return path, code
 

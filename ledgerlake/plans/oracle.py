@@ -822,6 +822,8 @@ ORACLE = {
     "scd2_budget_log": o_scd2_spec("fact_budget_audit_log"),
     "asof_single": o_asof_single,
     "asof_boundary": o_asof_boundary,
+    "asof_sorted": o_asof_single,
+    "asof_sorted_boundary": o_asof_boundary,
     "unknown_member": o_unknown_member,
     "fact_transaction": o_fact_transaction,
     "fact_budget": o_fact_budget,
@@ -864,6 +866,9 @@ ORACLE = {
     "bronze_roundtrip": o_bronze_roundtrip,
     "bronze_replay": o_load_step("subcategory", "ups2"),
     "entity_load": o_load_step("subcategory", "kept2"),
+    "upsert_bucketed": o_load_step("subcategory", "ups2"),
+    "delete_sync_bucketed": o_load_step("subcategory", "kept2"),
+    "entity_load_bucketed": o_load_step("subcategory", "kept2"),
     "warehouse_build": o_warehouse_build,
     "dq_failures": o_dq_failures,
     "stream_landing_upsert": o_stream_landing_upsert,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.scalar import bool_text, json_path, money, run_id_expr, text, to_date, to_ts
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import stats as S
-from ledgerlake.operators.asof import asof_left_join, unknown_member
+from ledgerlake.operators.asof import asof_left_join, asof_sorted_join, unknown_member
 from ledgerlake.operators.calendar import dim_date_covering
 from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, skinny, source_filter, sync_deletes, upsert,
                                        watermark, watermark_value)
@@ -24,9 +24,10 @@ from ledgerlake.plans.specs import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNAP
                                      TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
-from ledgerlake.plans.jobs import AUDIT_TABLE, FAILURES_SCHEMA, entity_load, full_run, replace_audit_slice
+from ledgerlake.plans.jobs import AUDIT_TABLE, FAILURES_SCHEMA, bucketed_entity_load, entity_load, full_run, replace_audit_slice
 from ledgerlake.session import new_scratch_path, scratch_dir
 from ledgerlake.sources.bronze import read_bronze, replay, write_bronze
+from ledgerlake.sources.buckets import BucketedTable
 from ledgerlake.sources.pages import land_many, land_responses, map_pages, prop_value, read_pages, to_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import DimRef, EntitySpec, RunContext
@@ -167,18 +168,39 @@ def q_asof_single(spark, sf):
                           "transaction_date")
 
 
+# Fixed: so few rows that keys of the test tables are cut into time slices.
+TEST_SLICE_ROWS = 4
+
+
+def q_asof_sorted(spark, sf):
+    dim = snapshot_runs(spark, sf, "dim_subcategory", TWO_RUNS)
+    t = fact_transaction_source(spark, sf)["stg_transaction"]
+    ref = DimRef("dim_subcategory", "subcategory_id_bk", "subcategory_id", "subcategory_dk")
+    return asof_sorted_join(t.select("transaction_id_bk", "transaction_date", "subcategory_id"), dim, ref, "transaction_date",
+                            slice_rows=TEST_SLICE_ROWS)
+
+
+def q_asof_sorted_boundary(spark, sf):
+    probes, dim, ref = boundary_probes(spark, sf)
+    return asof_sorted_join(probes, dim, ref, "probe_date")
+
+
 # Fixed probe dates around the fixture's version boundaries.
 BOUNDARY_DATES = ("1989-12-31", "1990-01-01", "1998-05-31", "1998-06-01", "1999-12-31", "2000-01-01",
                   "2000-01-02", None)
 
 
-def q_asof_boundary(spark, sf):
+def boundary_probes(spark, sf) -> tuple[DataFrame, DataFrame, DimRef]:
     dim = snapshot_runs(spark, sf, "dim_subcategory", THREE_RUNS)
     keys = staged(spark, sf, "stg_subcategory", 3, changes=ALL | {"revive"}).select(
         F.col("subcategory_id_bk").alias("subcategory_id"))
     probes = keys.select("subcategory_id", F.explode(F.array(
         *[F.lit(d).cast("date") for d in BOUNDARY_DATES])).alias("probe_date"))
-    ref = DimRef("dim_subcategory", "subcategory_id_bk", "subcategory_id", "subcategory_dk")
+    return probes, dim, DimRef("dim_subcategory", "subcategory_id_bk", "subcategory_id", "subcategory_dk")
+
+
+def q_asof_boundary(spark, sf):
+    probes, dim, ref = boundary_probes(spark, sf)
     return asof_left_join(probes, dim, ref, "probe_date")
 
 
@@ -559,6 +581,37 @@ def q_entity_load(spark, sf):
     return store.read("raw", "subcategory")
 
 
+# Fixed: few enough for the test tables; a job takes them from the table's size.
+TEST_BUCKETS = 8
+
+
+def two_bucketed_loads(spark, sf, with_deletes: bool) -> DataFrame:
+    """Both loads of the subcategory into a raw table kept in key buckets."""
+    table = BucketedTable(new_store(spark), "raw", "subcategory", buckets=TEST_BUCKETS)
+    for run in (1, 2):
+        src = raw_batch(spark, sf, ["subcategory"], run)["subcategory"]
+        live = skinny(src, "subcategory")
+        # the first load deletes what is not live in any case, as the plain load does
+        table.load(incremental(src, "last_edited_time", table.watermark()), live if with_deletes or run == 1 else None)
+    return table.read()
+
+
+def q_upsert_bucketed(spark, sf):
+    return two_bucketed_loads(spark, sf, False)
+
+
+def q_delete_sync_bucketed(spark, sf):
+    return two_bucketed_loads(spark, sf, True)
+
+
+def q_entity_load_bucketed(spark, sf):
+    store = new_store(spark)
+    spec = ENTITIES["subcategory"]
+    for run in (1, 2):
+        bucketed_entity_load(store, spec, landed(spark, sf, "subcategory", run), ctx(run), TEST_BUCKETS)
+    return store.read("raw", "subcategory")
+
+
 def two_full_runs(spark, sf, on_error: str = "report") -> TableStore:
     """The whole job twice: an initial load of batch 1, then batch 2."""
     store = new_store(spark)
@@ -632,6 +685,8 @@ QUERIES = {
     "scd2_budget_log": q_scd2_spec("fact_budget_audit_log"),
     "asof_single": q_asof_single,
     "asof_boundary": q_asof_boundary,
+    "asof_sorted": q_asof_sorted,
+    "asof_sorted_boundary": q_asof_sorted_boundary,
     "unknown_member": q_unknown_member,
     "fact_transaction": q_fact_transaction,
     "fact_budget": q_fact_budget,
@@ -674,6 +729,9 @@ QUERIES = {
     "bronze_roundtrip": q_bronze_roundtrip,
     "bronze_replay": q_bronze_replay,
     "entity_load": q_entity_load,
+    "upsert_bucketed": q_upsert_bucketed,
+    "delete_sync_bucketed": q_delete_sync_bucketed,
+    "entity_load_bucketed": q_entity_load_bucketed,
     "warehouse_build": q_warehouse_build,
     "dq_failures": q_dq_failures,
     "stream_landing_upsert": q_stream_landing_upsert,

@@ -63,12 +63,19 @@ class TableStore:
     def db(self, schema: str) -> str:
         return f"{self.prefix}{schema}"
 
+    def bucketed(self, schema: str, table: str):
+        """The table's bucketed form, if it is kept in buckets (see ``sources.buckets``)."""
+        from ledgerlake.sources.buckets import BucketedTable
+        if not self.spark.catalog.tableExists(f"{self.db(schema)}.{table}__head"):
+            return None
+        return BucketedTable(self, schema, table)
+
     def exists(self, schema: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.db(schema)}.{table}")
+        return self.bucketed(schema, table) is not None or self.spark.catalog.tableExists(f"{self.db(schema)}.{table}")
 
     def location(self, schema: str, table: str) -> str | None:
         """Name of the current version's directory."""
-        if not self.exists(schema, table):
+        if not self.exists(schema, table) or self.bucketed(schema, table):
             return None
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.db(schema)}.{table}").filter("col_name = 'Location'").collect()
         return rows[0]["data_type"].rstrip("/").rsplit("/", 1)[-1]
@@ -92,6 +99,8 @@ class TableStore:
     def read(self, schema: str, table: str) -> DataFrame | None:
         if not self.exists(schema, table):
             return None
+        if (b := self.bucketed(schema, table)) is not None:
+            return b.read()
         return self.spark.table(f"{self.db(schema)}.{table}")
 
     def read_or_empty(self, schema: str, table: str, struct: StructType) -> DataFrame:
@@ -146,6 +155,9 @@ class TableStore:
 
     def publish(self, df: DataFrame, schema: str, table: str, partition_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version and make it current."""
+        if (b := self.bucketed(schema, table)) is not None:
+            b.replace(df)
+            return b.head()["number"]
         return self.commit(self.write(df, schema, table, partition_by), schema, table)
 
     def watermark(self, schema: str, table: str) -> tuple[bool, str | None]:
@@ -153,6 +165,8 @@ class TableStore:
         written; an empty table records an empty value (no watermark)."""
         if not self.exists(schema, table):
             return True, None
+        if (b := self.bucketed(schema, table)) is not None:
+            return True, b.watermark()
         meta = self._meta(schema, table)
         return "wm" in meta, meta.get("wm") or None
 
@@ -160,6 +174,8 @@ class TableStore:
         """Row count recorded when the current version was written (no job)."""
         if not self.exists(schema, table):
             return None
+        if (b := self.bucketed(schema, table)) is not None:
+            return b.rows()
         props = self._props(f"{self.db(schema)}.{table}")
         if ROWS_PROP in props:                       # a snapshot
             return int(props[ROWS_PROP])

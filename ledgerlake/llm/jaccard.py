@@ -58,6 +58,8 @@ FRUITFUL = 0.1
 # Nodes of a run that one task compares with the rest of them.
 PART = 256
 BROADCAST_ROWS = 500_000
+CLASS_BITS = 7
+CLASSES = 1 << CLASS_BITS
 
 
 def shared(n, m, percent: int = PERCENT):
@@ -70,8 +72,8 @@ def reach(n, percent: int = PERCENT):
     return n - shared(n, (percent * n + 99) // 100, percent)
 
 
-def shingles(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct runs of each text, ascending, end to end, and the bounds of each text."""
+def all_runs(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the runs of all texts, and the text of each."""
     t = Texts.of(texts)
     data = lower(t.data)
     starts, stops = runs(BREAKS[data], t.bounds)
@@ -93,7 +95,12 @@ def shingles(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         for j in range(size):
             h = mix(h * ODD ^ words[at + j])
         found.append(h), owner.append(doc)
-    h, doc = np.concatenate(found), np.concatenate(owner)
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def shingles(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct runs of each text, ascending, end to end, and the bounds of each text."""
+    h, doc = all_runs(texts, k)
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
@@ -102,13 +109,13 @@ def shingles(texts: pa.Array, k: int = K) -> tuple[np.ndarray, np.ndarray]:
 
 
 def run_counts(docs: DataFrame) -> np.ndarray:
-    """How often all texts hold the runs of each of the ``COUNTERS`` classes of hashes."""
+    """How often all texts hold the runs (each as often as it comes) of each of the ``COUNTERS`` classes of hashes."""
     small_batches(docs.sparkSession, 64)
 
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for b in blocks(it, "text"):
-            h, _ = shingles(b.column("text"))
+            h, _ = all_runs(b.column("text"))
             total += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
         yield from chunks(total, TaskContext.get().partitionId())
 
@@ -147,9 +154,22 @@ def matches(costs: np.ndarray, first: np.ndarray, n: np.ndarray, percent: int, m
     return np.argmin(np.where(able, cost, np.inf), axis=0) + 1
 
 
+def class_counts(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """How many runs of each set fall into each of ``CLASSES`` classes of hashes.  The sum over the classes of the
+    smaller counts of two sets is never less than what they share."""
+    n = len(bounds) - 1
+    of = np.repeat(np.arange(n), np.diff(bounds))
+    counts = np.bincount(of * CLASSES + (h >> np.uint64(64 - CLASS_BITS)).astype(np.int64), minlength=n * CLASSES).reshape(n, CLASSES)
+    return [c.astype("<u2" if c.max() < 1 << 16 else "<u4").tobytes() for c in counts]
+
+
+def counts_of(classes: bytes) -> np.ndarray:
+    return np.frombuffer(classes, "<u2" if len(classes) == 2 * CLASSES else "<u4").astype(np.int64)
+
+
 ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                  ("matches", pa.int32()), ("prefix", pa.list_(pa.int64()))])
-ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, prefix array<bigint>"
+                  ("matches", pa.int32()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, classes binary, prefix array<bigint>"
 
 
 def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> DataFrame:
@@ -173,7 +193,7 @@ def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> Da
             at = np.repeat(bounds[:-1] - (ends - length), length) + np.arange(length.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size)), b.column("doc_id"), b.column("x"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(asks, pa.int32()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
+                 pa.array(asks, pa.int32()), pa.array(class_counts(h, bounds), pa.binary()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
                 schema=ROWS)
             row += size
 
@@ -313,8 +333,23 @@ def members_of(nodes: DataFrame, percent: int) -> DataFrame:
     return nodes.select("node", "n", "matches", "prefix").mapInArrow(run, MEMBERS_DDL)
 
 
+def able(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may share enough runs, by their sets' class counts: no pair that links goes."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = counts_of(x), counts_of(y)
+                ok.append(np.minimum(x, y).sum() >= shared(x.sum(), y.sum(), percent))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("classes").alias(f"classes_{c}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "classes_a", "classes_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def found_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link; only the sets of their nodes are made again."""
+    """The pairs that link; only the sets of nodes in pairs that may link are made again."""
+    pairs = stored(able(pairs, nodes, percent), "able")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = sets_of(docs, nodes.select("node", "doc_id", "x").join(ends, "node", "left_semi"))
     return stored(linked(pairs, stored(sets.dropDuplicates(["node"]), "sets"), percent), "links")
@@ -336,8 +371,8 @@ def node_components(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
 def joined(docs: DataFrame, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     rows = stored(prefixed(docs, run_counts(docs), percent, most), "prefixes")
-    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "prefix"), "row").alias("s"))
-    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.prefix"), "nodes")
+    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "classes", "prefix"), "row").alias("s"))
+    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.classes", "s.prefix"), "nodes")
     labels = node_components(docs, nodes, percent)
     roots = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     own = stored(rows.select("doc_id", "n", "digest").join(roots, "digest", "left").select("doc_id", "n", "root"), "roots")

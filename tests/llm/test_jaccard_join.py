@@ -106,6 +106,17 @@ def test_prefix_filter_loses_nothing(percent):
                 assert len(both) >= k
 
 
+def test_class_counts_never_lose_a_link():
+    rng = np.random.default_rng(2)
+    for n in (1, 3, 40, 3000, 70_000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+        b = np.unique(np.r_[a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, n // 20 + 1, dtype=np.uint64)])
+        x, y = (jaccard.counts_of(c) for c in jaccard.class_counts(np.r_[a, b], np.array([0, len(a), len(a) + len(b)])))
+        assert x.sum() == len(a) and np.minimum(x, y).sum() >= jaccard.common(a, b)
+    one = jaccard.class_counts(np.zeros(70_000, np.uint64), np.array([0, 70_000]))[0]
+    assert jaccard.counts_of(one)[0] == 70_000
+
+
 def test_no_pairs_within_a_group(make_docs, spark):
     """Copies with one word changed each, and texts with a long head in common and no link."""
     rng = random.Random(5)

@@ -2,7 +2,7 @@
 
 ``write_ids`` tokenizes every text, counts ids over all documents, derives a
 canonical code of at most 16 bits by package-merge, and writes shards in
-ascending document order.  A file row is a group of whole documents: their ids
+ascending document order, by name.  A file row is a group of whole documents: their ids
 and lengths, the coded payload, and the bit offset at which each block of
 ``BLOCK`` ids starts.  Blocks need nothing but the code's lengths, so a reader
 may start at any of them.  ``read_ids`` decodes all blocks of a group side by
@@ -35,9 +35,9 @@ GROUP_IDS = 1_000_000
 END_ID = 2
 
 GROUPS = pa.schema([
-    ("shard", pa.int32()), ("group", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("run", pa.string()), ("shard", pa.int32()), ("group", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
     ("lengths", pa.list_(pa.int64())), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
-GROUPS_DDL = ("shard int, group int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
+GROUPS_DDL = ("run string, shard int, group int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, "
               "checkpoints array<bigint>, payload binary")
 
 
@@ -191,34 +191,34 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups() -> Iterator[dict]:
             held: list[tuple[int | None, bytes]] = []
-            size, shard, group = 0, None, 0
+            size, shard, group, run = 0, None, 0, ""
             for b in it:
                 for doc_id, s, place, ids in zip(*(c.to_pylist() for c in b.columns)):
                     # a group is documents without a gap, so that its start is the sum of those before it
-                    if held and (s != shard or place != group + len(held) or size >= GROUP_IDS):
-                        yield row(held, shard, group)
+                    gap = s != shard or place != group + len(held)
+                    if held and (gap or size >= GROUP_IDS):
+                        yield row(held, shard, group, run)
                         held, size = [], 0
-                    if s != shard:
-                        shard = s
+                    if gap:  # a run has a directory of its own, and their names ascend with the documents
+                        shard, run = s, f"{s:06d}-{place:012d}"
                     if not held:
                         group = place
                     held.append((doc_id, ids))
                     size += len(ids) // 2
             if held:
-                yield row(held, shard, group)
+                yield row(held, shard, group, run)
 
-        def row(held: list, shard: int, group: int) -> dict:
+        def row(held: list, shard: int, group: int, run: str) -> dict:
             ids = np.frombuffer(b"".join(x for _, x in held), "<u2")
             payload, checkpoints = pack(ids, code)
-            return {"shard": shard, "group": group, "n_ids": len(ids), "doc_ids": [d for d, _ in held],
+            return {"run": run, "shard": shard, "group": group, "n_ids": len(ids), "doc_ids": [d for d, _ in held],
                     "lengths": [len(x) // 2 for _, x in held], "checkpoints": checkpoints, "payload": payload}
 
         yield from batches(groups(), GROUPS, 1)
 
-    # Spark deals out the ids' files as it likes, so the coded groups, a row each, are put in order
-    # before they go to the result's files
-    groups = stored(tokens.mapInArrow(encode, GROUPS_DDL), "groups")
-    groups.repartitionByRange(partitions(spark), "shard", "group").sortWithinPartitions("shard", "group").write.parquet(f"{path}/groups")
+    # Spark deals out the ids' files as it likes; the runs keep each task's documents apart
+    groups = tokens.mapInArrow(encode, GROUPS_DDL).sortWithinPartitions("run", "group")
+    groups.write.partitionBy("run").parquet(f"{path}/groups")
     spark.createDataFrame([(code.lengths.tolist(),)], "lengths array<bigint>").coalesce(1).write.parquet(f"{path}/code")
     return path, code
 
@@ -226,7 +226,7 @@ def write_ids(docs: DataFrame, vocabulary: Callable[[], str] | str, path: str |
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document of the files."""
     small_batches(spark, 4)
-    groups = spark.read.schema(GROUPS_DDL).parquet(f"{path}/groups")
+    groups = spark.read.schema(GROUPS_DDL).parquet(f"{path}/groups").drop("run")
     lengths = np.array(spark.read.parquet(f"{path}/code").head()["lengths"], np.int64)
     out = pa.schema([("shard", pa.int32()), ("group", pa.int32()), ("doc_id", pa.int64()), ("inside", pa.int64()),
                      ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]

@@ -50,7 +50,7 @@ def test_ids_keep_their_order_when_sorts_spill(spark):
 
 def in_file_order(path):
     """The doc_ids as a reader meets them that takes the part files by name and sorts nothing."""
-    files = sorted(glob.glob(f"{path.removeprefix('file://')}/groups/part-*.parquet"))
+    files = sorted(glob.glob(f"{path.removeprefix('file://')}/groups/run=*/part-*.parquet"))
     return [d for f in files for own in pq.read_table(f, columns=["doc_ids"]).column(0).to_pylist() for d in own]
 
 

@@ -38,8 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.bitmaps import bitmap, known
 from ledgerlake.llm.common import blocks, broadcast_up_to, partitions, small_batches, stored
-from ledgerlake.llm.decontaminate import bitmap, known
 from ledgerlake.llm.spans import Texts, lower, of_bytes, runs, slices, text_of_each
 
 WORDS = 5

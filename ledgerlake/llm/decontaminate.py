@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.bitmaps import BITS, bitmap, known
 from ledgerlake.llm.common import batches, small_batches, stored
 from ledgerlake.llm.neardup import ODD, flat_hashes, mix, word_hashes
 
@@ -38,7 +39,6 @@ MASKS = {15: ("1110111", "111000010011", "110100100001001"), 10: ("11111", "1110
 SHORTEST = 1
 WINDOW = 16
 IDENTITY = 0.8
-BITS = 26
 HITS_DDL = "seed bigint, doc_id bigint, x bigint, at int, around binary"
 
 
@@ -79,18 +79,6 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
         run, "seed bigint, item_id bigint, pos int, words binary")
 
 
-def bitmap(found: DataFrame) -> bytes:
-    """One bit per value of the seeds' low ``BITS`` bits: 8 MB at most."""
-    low = F.col("seed").bitwiseAND((1 << BITS) - 1)
-    rows = (found.groupBy(F.bitmap_bucket_number(low).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(low)).alias("bits")).collect())
-    size = 1 << 12
-    out = bytearray((1 << BITS) // 8 + 2 * size)
-    for r in rows:
-        out[r["bucket"] * size:(r["bucket"] + 1) * size] = r["bits"]
-    return bytes(out)
-
-
 def overlaps(item: np.ndarray, pos: int, around: np.ndarray, at: int) -> bool:
     """``around[at]`` is the document's word on the item's word ``pos``."""
     shift = at - pos
@@ -146,14 +134,6 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return pairs.mapInArrow(verify, "doc_id bigint, x bigint, item_id bigint").distinct()
 
 
-def known(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """Whether the bitmap has each seed's low bits."""
-    low = (s & np.uint64((1 << BITS) - 1)).astype(np.int64)
-    # value v > 0 is position (v - 1) of the buckets that count from 1; 0 is bit 0 of bucket 0
-    at = np.where(low > 0, low - 1 + (1 << 15), 0)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-
-
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items and item_ids (ascending, comma-joined) of every document."""
     own = contaminations(docs, benchmark).groupBy("doc_id", "x").agg(

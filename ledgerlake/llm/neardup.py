@@ -7,16 +7,20 @@ them in text order, so texts must agree in order to agree in a value.  Two
 texts are linked if their k-mers, aligned in order within the widest shift the
 threshold allows, have a similarity common / (a + b - common) >= ``THRESHOLD``.
 
+Words are compared by 16 bits of their hashes: of two texts that differ in a word, one
+in 65,536 pairs seems not to.
+
 Equal texts are one node from the start.  Candidates share a sketch value; texts
 of at most ``SHORT`` k-mers, of which a sketch takes too large a part, have keys
-besides by which no link between two of them is missed.  A bucket is worked off
-without pairing its members: all are compared with a centre; the linked ones are compared, those closest to it first, with all others
-whose distance from the centre differs by no more than a link's (the
-Jaccard distance is a metric, so nothing else can be linked), and so on until
-nothing new is linked; what is left gets new centres (several, each of which is
-worked off against all the turn began with), until every member has
-left or all are in one component.  So no class loses a link between candidates,
-and a group of copies costs a few comparisons each.
+besides by which no link between two of them is missed.  A bucket's members are
+not paired: first all are compared with a centre, so that groups of copies become
+components.  Where at most ``FEW`` nodes are left outside a bucket's largest
+component, those are compared with all of other components.  The nodes of the
+other buckets (texts that share a passage, mostly) meet by a prefix filter
+instead: of n k-mers, the fifth that is rarest, and one more, hold a common one
+if the similarity is 0.8.  Pairs whose k-mers, counted by class of hash, cannot
+agree so far are left out before any text is fetched.  Every candidate link
+between different components is found; what joins them needs no more comparing.
 
 A text with fewer than ``K`` words has one k-mer.  Null texts and texts without
 a word are nobody's copy.  Rows equal in id and text share a result; of a class
@@ -36,26 +40,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import small_batches, stored
+from ledgerlake.llm.groups import (ODD, able, all_pairs, class_counts, components, members_of, mix, open_runs, reach, star_pairs, totals,
+                                   with_links)
 
 K = 5
 L = 5
 HASHES = 28
 SHORT = 50
+# Hashes of a text's k-mers held at once; a longer text is sketched one hash at a time.
+AT_ONCE = 1 << 18
 THRESHOLD = 0.8
-REACH = 1 - THRESHOLD + 1e-9
-CENTRES = (1, 8, 64)
+PERCENT = 80
+# Buckets with at most so many nodes outside their largest component are worked off pair by pair.
+FEW = 64
+COUNTERS = 1 << 20
 BROADCAST_PAIRS = 100_000
-ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
 
 def word_hashes(texts: pa.Array) -> list[np.ndarray]:
@@ -100,8 +103,11 @@ def sketch(labelled: np.ndarray) -> np.ndarray:
     """One number per hash: its L least k-mers, in text order."""
     seeds = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * ODD)
     if len(labelled) > L:
-        values = mix(labelled[None, :] ^ seeds[:, None])
-        least = np.sort(np.argpartition(values, L - 1, axis=1)[:, :L], axis=1)
+        least = np.empty((HASHES, L), np.int64)
+        some = max(1, AT_ONCE // len(labelled))
+        for at in range(0, HASHES, some):
+            values = mix(labelled[None, :] ^ seeds[at:at + some, None])
+            least[at:at + some] = np.sort(np.argpartition(values, L - 1, axis=1)[:, :L], axis=1)
     else:
         least = np.tile(np.arange(len(labelled)), (HASHES, 1))
     out = seeds.copy()
@@ -165,9 +171,25 @@ def sketched(docs: DataFrame) -> DataFrame:
         run, "doc_id bigint, x bigint, node binary, codes binary, keys array<bigint>")
 
 
+def texts_of(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """node, codes, n (k-mers) and classes (their counts by class) of the nodes among the members."""
+    texts = rows.filter(F.col("node").isNotNull()).select("node", "codes").join(members.select("node").distinct(), "node", "left_semi")
+    texts = texts.groupBy("node").agg(F.first("codes").alias("codes"))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            own = [kmers(np.frombuffer(c, "<u2")) for c in b.column("codes").to_pylist()]
+            bounds = np.cumsum([0, *map(len, own)])
+            flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("codes"), pa.array(np.diff(bounds), pa.int64()),
+                                              pa.array(class_counts(flat, bounds), pa.binary())], names=["node", "codes", "n", "classes"])
+
+    return texts.mapInArrow(run, "node binary, codes binary, n bigint, classes binary")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, d (Jaccard distance) and linked of every pair."""
-    pairs = stored(pairs.distinct(), "pairs")
+    """The pairs (a, b) that link: those whose class counts allow it are aligned."""
+    pairs = stored(able(pairs, texts, PERCENT), "pairs")
     left, right = texts, texts
     if pairs.count() <= BROADCAST_PAIRS:  # few pairs: their ends pick the texts before anything is shuffled
         left, right = (texts.join(F.broadcast(pairs.select(F.col(c).alias("node")).distinct()), "node", "left_semi") for c in "ab")
@@ -176,125 +198,81 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            d, linked = [], []
             known: dict[bytes, np.ndarray] = {}
+            ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 for t in (x, y):
                     if t not in known:
                         known[t] = kmers(np.frombuffer(t, "<u2"))
-                j, ok = compare(known[x], known[y])
-                d.append(1 - j), linked.append(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, pa.float64()), pa.array(linked)],
-                                             names=["a", "b", "d", "linked"])
+                ok.append(compare(known[x], known[y])[1])
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "codes_a", "codes_b")
-    return stored(joined.mapInArrow(run, "a binary, b binary, d double, linked boolean"), "verified")
+    return stored(joined.mapInArrow(run, "a binary, b binary"), "verified")
 
 
-def first_of(rows: DataFrame, group: list[str], order: list[str], n: int) -> DataFrame:
-    """At most n rows of each group, limited before they are shuffled."""
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+def prefixes(texts: DataFrame) -> DataFrame:
+    """node, n, matches and prefix: so many of its k-mers, rare ones first, that texts of similarity ``THRESHOLD``
+    share one.  k-mers are ranked by their counts over these texts."""
+    def hashes(it: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for b in it:
+            yield from (kmers(np.frombuffer(c, "<u2")) for c in b.column(0).to_pylist())
 
+    counts = texts.sparkSession.sparkContext.broadcast(totals(texts.select("codes"), hashes, COUNTERS))
 
-def apart(left: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows (key, node) of keys whose nodes are not all in one component yet."""
-    known = left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    ends = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    return stored(left.join(ends, "key", "left_semi"), "buckets")
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            found = []
+            for c in b.column("codes").to_pylist():
+                h = kmers(np.frombuffer(c, "<u2"))
+                order = np.lexsort((h, counts.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                found.append(h[order][:reach(len(h), PERCENT) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array([1] * b.num_rows, pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["node", "n", "matches", "prefix"])
+
+    return texts.select("node", "n", "codes").mapInArrow(run, "node binary, n bigint, matches int, prefix array<bigint>")
 
 
 def links(rows: DataFrame) -> DataFrame:
     """a, b of linked nodes, enough to join every candidate link's ends."""
-    members = rows.filter(F.col("node").isNotNull()).select("node", F.explode("keys").alias("key")).distinct()
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    left = stored(members.join(sizes, "key"), "buckets")
+    return linked(rows)[0]
+
+
+def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links, and node and root of every node they join, in a fixed number of steps."""
+    small_batches(rows.sparkSession)
+    keyed = rows.filter(F.col("node").isNotNull()).select("node", F.explode("keys").alias("run")).distinct()
+    sizes = keyed.groupBy("run").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = stored(keyed.join(sizes, "run"), "buckets")
+    texts = stored(texts_of(rows, members), "texts")
     # who meets the most others is most likely what they are copies of: the best centre
-    met_in_all = left.groupBy("node").agg(F.sum("size").alias("meets"))
-    left = stored(left.drop("size").join(met_in_all, "node"), "buckets")
-    texts = rows.filter(F.col("node").isNotNull()).select("node", "codes").join(left.select("node").distinct(), "node", "left_semi")
-    texts = stored(texts.groupBy("node").agg(F.first("codes").alias("codes")), "texts")
-    none = texts.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
-    found, turn = [none], 0
-    while left.head(1):
-        n = CENTRES[min(turn, len(CENTRES) - 1)]
-        turn += 1
-        chosen = (left.groupBy("key").agg(F.max(F.struct("meets", "node")).alias("m")).select("key", F.col("m.node").alias("centre"))
-                  if n == 1 else first_of(left, ["key"], [F.desc("meets"), "node"], n).select("key", F.col("node").alias("centre")))
-        met = left.drop("meets").join(chosen, "key").filter(F.col("node") != F.col("centre"))
-        checked = verified(met.select(F.col("centre").alias("a"), F.col("node").alias("b")), texts)
-        found.append(checked.filter("linked").select("a", "b"))
-        met = stored(met.join(checked.withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"]), "met")
-        gone = met.filter("linked").select("key", "node").union(chosen.select("key", F.col("centre").alias("node"))).distinct()
-        left = stored(left.join(gone, ["key", "node"], "left_anti"), "left")
-        if not left.head(1):
-            break
-        roots = components(reduce(DataFrame.union, found))
-        grown, settled = spread(met, texts, roots)
-        found += grown
-        if settled is not None:
-            left = left.join(settled, ["key", "node"], "left_anti")
-        left = apart(left, roots)
-    return stored(reduce(DataFrame.union, found).distinct(), "links")
-
-
-def spread(met: DataFrame, texts: DataFrame, roots: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links between the members of each bucket that a centre is linked to and
-    all others, found from each centre outwards; and the rows (key, node) that
-    got linked to a centre's front."""
-    of_centre = roots.withColumnsRenamed({"node": "centre", "root": "centre_root"})
-    front = met.filter("linked").select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))
-    # also those that left with another centre: a class may hang on a link between two fronts.
-    # Who already is in the centre's component has nothing to gain from it
-    rest = (met.filter("not linked").join(front.select("key", "centre").distinct(), ["key", "centre"], "left_semi")
-            .join(roots, "node", "left").join(of_centre, "centre", "left")
-            .filter(F.coalesce("root", "node") != F.coalesce("centre_root", "centre")).select("key", "centre", "node", "d"))
-    rest = stored(rest, "rest")
-    found, settled, batch = [], [], 1
-    while (waiting := rest.count()):
-        if not found and not settled:
-            front = stored(front.join(rest.select("key", "centre").distinct(), ["key", "centre"], "left_semi"), "front")
-        # how many pairs lie within reach, at most, from counts by distance
-        ring = lambda x, d, c: x.groupBy("key", "centre", F.floor(F.col(d) * 20).alias(f"{c}_ring")).agg(F.count(F.lit(1)).alias(c))
-        pairs = (ring(rest, "d", "r").join(ring(front, "da", "f"), ["key", "centre"])
-                 .filter(F.abs(F.col("r_ring") - F.col("f_ring")) <= 5).agg(F.sum(F.col("r") * F.col("f"))).head()[0])
-        if not pairs:
-            break
-        # all at once when that is linear work; else the part of the front that is closest to the centre.
-        # A link's distance is at most 1 - THRESHOLD, and distances from a centre differ by no more
-        part = front if pairs <= 8 * (waiting + batch) else stored(first_of(front, ["key", "centre"], ["da", "a"], batch), "part")
-        near = rest.join(part, ["key", "centre"]).filter(F.abs(F.col("d") - F.col("da")) <= REACH).select("key", "centre", "node", "d", "a")
-        checked = verified(near.select("a", F.col("node").alias("b")), texts).filter("linked").select("a", "b")
-        found.append(checked)
-        new = stored(near.join(checked.withColumnRenamed("b", "node"), ["a", "node"]).select("key", "centre", "node", "d").distinct(), "new")
-        settled.append(new.select("key", "node"))
-        done = part.select("key", "centre", "a")
-        behind = front.filter("false") if part is front else front.join(done, ["key", "centre", "a"], "left_anti")
-        front = stored(behind.union(new.select("key", "centre", F.col("node").alias("a"), F.col("d").alias("da"))), "front")
-        rest = stored(rest.join(new.select("key", "centre", "node"), ["key", "centre", "node"], "left_anti"), "rest")
-        batch *= 4
-    return found, reduce(DataFrame.union, settled).distinct() if settled else None
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """node and root (the least node of its component) of every linked node."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "both-ways")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("root")), "labels")
-    while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("n")).agg(F.min("root").alias("m"))
-        step = labels.join(near, F.col("node") == F.col("n")).select("node", "root", F.least("root", "m").alias("low"))
-        up = labels.select(F.col("node").alias("n"), F.col("root").alias("m"))
-        step = stored(step.join(up, F.col("low") == F.col("n")).select("node", F.least("low", "m").alias("new"), "root"), "labels")
-        labels = step.select("node", F.col("new").alias("root"))
-        if not step.filter("new <> root").head(1):
-            return labels
+    meets = members.groupBy("node").agg(F.sum("size").alias("meets")).join(texts.select("node", "n"), "node")
+    # a sketch value has no place in an order: any partner of a size within reach counts
+    members = stored(members.drop("size").join(meets, "node").withColumns({"matches": F.lit(1), "pos": F.lit(-1 << 30)}), "members")
+    found = [verified(star_pairs(open_runs(members, None), 1, PERCENT), texts)]
+    labels = with_links(None, found[0])
+
+    left = open_runs(members, labels)
+    outside = left.groupBy("run").agg(F.count_if(~F.col("major")).alias("outside"))
+    few = left.join(outside.filter(F.col("outside") <= FEW).select("run"), "run", "left_semi")
+    found.append(verified(all_pairs(few, PERCENT), texts))
+    labels = with_links(labels, found[1])
+
+    # large buckets of texts that are hardly alike: only those that share a k-mer of their prefixes can link
+    many = left.join(outside.filter(F.col("outside") > FEW).select("run"), "run", "left_semi").select("node").distinct()
+    many = stored(texts.join(many, "node", "left_semi"), "many")
+    if many.head(1):
+        members = stored(members_of(prefixes(many), PERCENT), "prefix-members")
+        for pairs in (lambda own: star_pairs(own, 1, PERCENT), lambda own: all_pairs(own, PERCENT)):
+            found.append(verified(pairs(open_runs(members, labels)), texts))
+            labels = with_links(labels, found[-1])
+    return reduce(DataFrame.union, found), labels
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, x, root (None: nobody's copy), class_id and n_class of every row."""
     rows = stored(sketched(docs), "sketches")
-    roots = components(links(rows))
+    roots = linked(rows)[1]
     own = rows.select("doc_id", "x", "node").join(roots, "node", "left").select(
         "doc_id", "x", F.coalesce("root", "node").alias("root"))
     own = stored(own, "roots")

@@ -113,5 +113,33 @@ def test_order_counts():
     assert j > 0.8 and not linked
 
 
+def test_texts_with_a_common_head_are_not_paired(make_docs, monkeypatch):
+    """800 texts that share 150 words and no link: few of the 319,600 pairs are compared."""
+    rng = random.Random(9)
+    head = " ".join(f"h{i}" for i in range(150))
+    near = [f"n{i}" for i in range(200)]
+    rows = [(i, head + " " + " ".join(f"t{rng.randrange(10**9)}" for _ in range(100))) for i in range(800)]
+    rows += [(1000 + i, " ".join(near[:i] + [f"x{i}"] + near[i + 1:])) for i in range(150)]
+    compared = []
+    real = neardup.able
+
+    def counting(pairs, texts, percent):
+        kept = real(pairs, texts, percent)
+        compared.append((pairs.count(), kept.count()))
+        return kept
+
+    monkeypatch.setattr(neardup, "able", counting)
+    out = {r["doc_id"]: (r["class_id"], r["n_class"]) for r in neardup.classes(make_docs(rows)).collect()}
+    assert all(out[i] == (i, 1) for i in range(800)) and all(out[1000 + i] == (1000, 150) for i in range(150))
+    assert sum(k for _, k in compared) < 5000 and sum(m for m, _ in compared) < 40_000, compared
+
+
+def test_sketch_of_long_texts(monkeypatch):
+    labelled = neardup.kmers(np.random.default_rng(1).integers(0, 1 << 16, 5000).astype("<u2"))
+    whole = neardup.sketch(labelled)
+    monkeypatch.setattr(neardup, "AT_ONCE", 1)
+    assert (neardup.sketch(labelled) == whole).all()
+
+
 def test_empty_table(make_docs):
     assert neardup.classes(make_docs([])).count() == 0

@@ -1,11 +1,15 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A word's input is what the word itself and what its letter runs say about the
-label in the learning sample, with their signs and sizes.  The network reads
-every overlapping window of ``WINDOW`` words in both directions; attention
-weighs its states; a logistic layer scores the window, and a text has the score
-of its worst one.  Training, in numpy on a bounded sample, looks at each
-text's most telling window and at one more of each clean text.
+A word's input is a learned vector of the word, the mean of the learned vectors
+of its letter runs (both hashed), and what the word and its runs say about the
+label in the learning sample, with signs and sizes; a text in training sees what
+the other folds' texts say, never its own label.  The network reads every
+overlapping window of ``WINDOW`` words in both directions; attention weighs its
+states; a logistic layer scores the window, and a text has the score of its
+worst one.  Training, in numpy on a bounded sample, looks at each text's most
+telling window and at more of the clean texts; it stops at the epoch that did
+best on a fold kept aside, and the score's zero lies where that fold is best
+told apart.
 
 Null texts are empty.  A text without a word has the score of an empty window.
 Without samples of both labels every score is the labels' mean (0 without
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ledgerlake.llm.common import small_batches
-from ledgerlake.llm.wordstats import Adam, Evidence, sigmoid, split_words
+from ledgerlake.llm.wordstats import Adam, Evidence, gram_buckets, sigmoid, split_words, word_buckets
 
 WINDOW = 24
 STEP = 12
@@ -34,16 +38,67 @@ HIDDEN = 8
 EPOCHS = 8
 LEAST_STEPS = 500
 BATCH = 128
-INPUTS = 9
+# Inputs of a word: what the sample says of it, and the learned vectors of the word and of its letter runs.
+EVIDENCE, VECTOR = 9, 4
+INPUTS = EVIDENCE + 2 * VECTOR
+VECTORS = 1 << 13
+FOLDS = 5
+DECAY = 1e-3
 CHUNK = 4096
 
 
-def inputs(evidence: Evidence, words: list[str]) -> np.ndarray:
+def evidence_inputs(evidence: Evidence, words: list[str]) -> np.ndarray:
     """A row for each word, and a last row of zeros for the window's padding."""
     f = evidence.features(words) / 5
     known = np.ones((len(words), 1), np.float32)
     x = np.hstack([f, np.maximum(f[:, :2] - 0.3, 0) * 2, np.maximum(-f[:, [0, 2]] - 0.3, 0), known])
-    return np.vstack([x, np.zeros((1, INPUTS), np.float32)]).astype(np.float32)
+    return np.vstack([x, np.zeros((1, EVIDENCE), np.float32)]).astype(np.float32)
+
+
+@dataclass(frozen=True)
+class Letters:
+    """The vectors' numbers of each word and of its letter runs (word i has ``runs`` from ``first[i]`` on)."""
+
+    word: np.ndarray
+    runs: np.ndarray
+    first: np.ndarray
+
+    @staticmethod
+    def of(words: list[str]) -> Letters:
+        if not words:
+            return Letters(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+        found, starts = gram_buckets(words)
+        of = np.repeat(np.arange(len(words)), np.diff(np.r_[starts, found.shape[1]]))
+        inside = found >= 0
+        owner = np.concatenate([of[i] for i in inside])
+        runs = np.concatenate([row[i] for row, i in zip(found, inside)]) % VECTORS
+        order = np.argsort(owner, kind="stable")
+        return Letters(word_buckets(words) % VECTORS, runs[order], np.searchsorted(owner[order], np.arange(len(words) + 1)))
+
+    def some(self, at: np.ndarray) -> Letters:
+        size = np.diff(self.first)[at]
+        ends = np.cumsum(size)
+        runs = self.runs[np.repeat(self.first[at] - (ends - size), size) + np.arange(size.sum())]
+        return Letters(self.word[at], runs, np.r_[0, ends])
+
+    def vectors(self, v: dict[str, np.ndarray]) -> np.ndarray:
+        """A row for each word: its vector, and the mean of its runs' vectors."""
+        until = np.vstack([np.zeros((1, VECTOR), np.float32), np.cumsum(v["runs"][self.runs], 0)])
+        size = np.maximum(1, np.diff(self.first))[:, None]
+        return np.hstack([v["word"][self.word], (until[self.first[1:]] - until[self.first[:-1]]) / size]).astype(np.float32)
+
+    def gradients(self, d: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the vectors, from those of the rows."""
+        g = {k: np.zeros((VECTORS, VECTOR), np.float32) for k in ("word", "runs")}
+        np.add.at(g["word"], self.word, d[:, :VECTOR])
+        size = np.diff(self.first)
+        np.add.at(g["runs"], self.runs, np.repeat(d[:, VECTOR:] / np.maximum(1, size)[:, None], size, 0))
+        return g
+
+
+def inputs(evidence: Evidence, vectors: dict, words: list[str]) -> np.ndarray:
+    x = evidence_inputs(evidence, words)
+    return np.hstack([x, np.vstack([Letters.of(words).vectors(vectors), np.zeros((1, 2 * VECTOR), np.float32)])])
 
 
 def windows(ends: np.ndarray, at: np.ndarray, padding: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +161,8 @@ def logits(p: dict, x: np.ndarray, seq: np.ndarray) -> np.ndarray:
     return out
 
 
-def gradients(p: dict, x: np.ndarray, seq: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
+def gradients(p: dict, x: np.ndarray, seq: np.ndarray, y: np.ndarray, weight: np.ndarray, of_inputs: np.ndarray | None = None) -> dict:
+    """Of the weighted loss by parameter; adds those of the rows of ``x`` to ``of_inputs``, if given."""
     tables = {d: x @ p[f"W{d}"] + p[f"b{d}"] for d in "fb"}
     runs = {d: run_gru(p, d, tables[d], seq, True) for d in "fb"}
     states = np.concatenate([runs[d][0] for d in "fb"], 2)
@@ -133,6 +189,8 @@ def gradients(p: dict, x: np.ndarray, seq: np.ndarray, y: np.ndarray, weight: np
             d_g = np.hstack([d_zr, d_c])
             g[f"W{d}"] += x[seq[:, i]].T @ d_g
             g[f"b{d}"] += d_g.sum(0)
+            if of_inputs is not None:
+                np.add.at(of_inputs, seq[:, i], d_g @ p[f"W{d}"].T)
             g[f"U{d}"] += h.T @ d_zr
             g[f"C{d}"] += (r * h).T @ d_c
             d_h = d_h * (1 - z) + d_rh * r + d_zr @ p[f"U{d}"].T
@@ -144,6 +202,7 @@ class Model:
     evidence: Evidence | None
     params: dict | None
     mean: float = 0.0
+    vectors: dict | None = None
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         if self.params is None:
@@ -151,38 +210,97 @@ class Model:
         ends, at, words = split_words(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
         seq, owner = windows(ends, at, len(words))
         out = np.full(len(texts), -np.inf)
-        np.maximum.at(out, owner, logits(self.params, inputs(self.evidence, words), seq))
+        np.maximum.at(out, owner, logits(self.params, inputs(self.evidence, self.vectors, words), seq))
         return sigmoid(out)
 
 
+def worst(value: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    out = np.full(n, -np.inf)
+    np.maximum.at(out, owner, value)
+    return out
+
+
+def best_zero(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """The value that tells the labels apart with the fewest mistakes (the middle of the widest
+    such gap), and the share told right."""
+    order = np.argsort(value, kind="stable")
+    v, own = value[order], y[order]
+    right = np.r_[own.sum(), own.sum() + np.cumsum(1 - 2 * own)]   # the first i are taken for 0
+    best = np.flatnonzero(right == right.max())
+    low, high = np.r_[v[0] - 1, v][best], np.r_[v, v[-1] + 1][best]
+    k = int(np.argmax(high - low))
+    return float((low[k] + high[k]) / 2), float(right.max() / len(y))
+
+
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     """Learns from a bounded sample, on one machine."""
     if len(set(labels.tolist())) < 2:
         return Model(None, None, float(labels.mean()) if len(labels) else 0.0)
     rng = np.random.default_rng(seed)
-    evidence = Evidence.learn(texts, labels)
+    fold = np.empty(len(texts), np.int64)
+    for label in (0, 1):  # either label in every fold, as far as it goes
+        own = rng.permutation(np.flatnonzero(labels == label))
+        fold[own] = np.arange(len(own)) % FOLDS
+    evidence, others = Evidence.of_folds(texts, labels, fold, FOLDS)
     ends, at, words = split_words(pc.utf8_lower(pa.array(texts, pa.large_string())))
-    x = inputs(evidence, words)
+    letters = Letters.of(words)
     seq, owner = windows(ends, at, len(words))
-    telling = x[:, :2].max(1)[seq].max(1)
+    # rows of the inputs: all words as each fold sees them, and at last the padding
+    seen = np.vstack([*(evidence_inputs(e, words)[:-1] for e in others), np.zeros((1, EVIDENCE), np.float32)])
+    padding = len(words)
+    seq = np.where(seq == padding, len(seen) - 1, seq + fold[owner][:, None] * len(words))
     p = new_params(rng)
-    adam = Adam(p, 0.01)
-    chosen = None
+    vectors = {k: (rng.standard_normal((VECTORS, VECTOR)) * 0.05).astype(np.float32) for k in ("word", "runs")}
+    adam, adam_v = Adam(p, 0.01), Adam(vectors, 0.003)
+
+    def rows_of(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, Letters, np.ndarray]:
+        """Inputs of the words of some windows, the windows over these rows, and the words' letters and rows."""
+        used, within = np.unique(part, return_inverse=True)
+        real = used < len(seen) - 1
+        own = letters.some(used[real] % max(1, len(words)))
+        v = np.zeros((len(used), 2 * VECTOR), np.float32)
+        v[real] = own.vectors(vectors)
+        return np.hstack([seen[used], v]), within.reshape(part.shape), own, real
+
+    def value(at: np.ndarray) -> np.ndarray:
+        return np.concatenate([logits(p, *rows_of(seq[at[s:s + CHUNK]])[:2]) for s in range(0, len(at), CHUNK)] or [np.zeros(0, np.float32)])
+
+    apart = np.flatnonzero(fold[owner] == 0)                  # tells when to stop
+    learned = np.flatnonzero(fold[owner] != 0)
+    if len(set(labels[fold == 0].tolist())) < 2 or len(set(labels[fold != 0].tolist())) < 2:
+        apart = learned = np.arange(len(seq))
+    held = np.unique(owner[apart])
+    best: tuple = (np.inf,)
     epochs = max(EPOCHS, LEAST_STEPS // -(-2 * len(texts) // BATCH))
     for epoch in range(epochs):
-        if epoch in (0, epochs // 2):
-            value = telling if epoch == 0 else logits(p, x, seq)
-            order = np.lexsort((rng.random(len(seq)), -value, owner))
-            top = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
-            clean = np.flatnonzero(labels[owner] == 0)
+        if epoch in (0, epochs // 3):
+            now = seen[:, :2].max(1)[seq[learned]].max(1) if epoch == 0 else value(learned)
+            order = np.lexsort((rng.random(len(learned)), -now, owner[learned]))
+            of = owner[learned][order]
+            top = learned[order][np.r_[True, of[1:] != of[:-1]]]
+            clean = learned[labels[owner[learned]] == 0]
             chosen = np.concatenate([top, rng.choice(clean, min(len(clean), len(texts)), replace=False)])
         rng.shuffle(chosen)
         y = labels[owner[chosen]].astype(np.float32)
         weight = np.where(y == 1, len(y) / 2 / max(1, y.sum()), len(y) / 2 / max(1, (1 - y).sum())).astype(np.float32)
         for s in range(0, len(chosen), BATCH):
-            rows = slice(s, s + BATCH)
-            adam.step(gradients(p, x, seq[chosen[rows]], y[rows], weight[rows]))
-    return Model(evidence, p)
+            own = slice(s, s + BATCH)
+            x, part, of_words, real = rows_of(seq[chosen[own]])
+            of_inputs = np.zeros_like(x)
+            grads = gradients(p, x, part, y[own], weight[own], of_inputs)
+            adam.step({k: g + DECAY * p[k] for k, g in grads.items()})
+            grads = of_words.gradients(of_inputs[real][:, EVIDENCE:])
+            adam_v.step({k: g + DECAY * vectors[k] for k, g in grads.items()})
+        if (epoch + 1) % max(1, epochs // 10) == 0:
+            out = worst(value(apart), owner[apart], len(texts))[held]
+            zero, right = best_zero(out, labels[held])
+            y_held = labels[held]
+            loss = -right + 0.01 * float(np.logaddexp(0, np.where(y_held == 1, zero - out, out - zero)).mean())
+            if loss < best[0]:
+                best = (loss, zero, {k: v.copy() for k, v in p.items()}, {k: v.copy() for k, v in vectors.items()})
+    _, zero, p, vectors = best
+    p["ob"] = p["ob"] - np.float32(zero)
+    return Model(evidence, p, 0.0, vectors)
 
 
 def score(docs: DataFrame, model, keep: list[Column]) -> DataFrame:

@@ -69,12 +69,25 @@ class Evidence:
     def learn(texts: list[str], labels: np.ndarray) -> Evidence:
         """By the number of documents of either label that hold a bucket; some
         texts at a time, so memory does not follow the sample."""
-        words, grams = np.zeros((2, WORD_BUCKETS), np.int64), np.zeros((2, BUCKETS), np.int64)
-        for s in range(0, len(texts), TEXTS):
-            own = (labels[s:s + TEXTS] == 1).astype(np.int64)
-            Evidence._count(texts[s:s + TEXTS], own, words, grams)
-        n = np.array([(labels != 1).sum(), (labels == 1).sum()])
-        return Evidence(Evidence._odds(words, n).astype(np.float32), Evidence._odds(grams, n).astype(np.float32))
+        return Evidence.of_folds(texts, labels, np.zeros(len(texts), np.int64), 1)[0]
+
+    @staticmethod
+    def of_folds(texts: list[str], labels: np.ndarray, fold: np.ndarray, folds: int) -> tuple[Evidence, list[Evidence]]:
+        """The evidence of all texts, and for each fold that of the texts outside it."""
+        words, grams = np.zeros((folds, 2, WORD_BUCKETS), np.int32), np.zeros((folds, 2, BUCKETS), np.int32)
+        n = np.zeros((folds, 2), np.int64)
+        for k in range(folds):
+            own = np.flatnonzero(fold == k)
+            for s in range(0, len(own), TEXTS):
+                some = own[s:s + TEXTS]
+                Evidence._count([texts[i] for i in some], (labels[some] == 1).astype(np.int64), words[k], grams[k])
+            n[k] = (labels[own] != 1).sum(), (labels[own] == 1).sum()
+
+        def made(words: np.ndarray, grams: np.ndarray, n: np.ndarray) -> Evidence:
+            return Evidence(Evidence._odds(words, n).astype(np.float32), Evidence._odds(grams, n).astype(np.float32))
+
+        every = words.sum(0), grams.sum(0), n.sum(0)
+        return made(*every), [made(every[0] - words[k], every[1] - grams[k], every[2] - n[k]) for k in range(folds)]
 
     @staticmethod
     def _count(texts: list[str], labels: np.ndarray, words: np.ndarray, grams: np.ndarray) -> None:

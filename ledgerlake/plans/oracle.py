@@ -873,6 +873,7 @@ ORACLE = {
     "dq_failures": o_dq_failures,
     "stream_landing_upsert": o_stream_landing_upsert,
     "stream_bronze_append": o_stream_landing_upsert,
+    "scd2_stream": o_scd2_case("scd2_two_batches"),
 }
 
 

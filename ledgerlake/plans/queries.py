@@ -31,6 +31,7 @@ from ledgerlake.sources.buckets import BucketedTable
 from ledgerlake.sources.pages import land_many, land_responses, map_pages, prop_value, read_pages, to_pages
 from ledgerlake.sources.store import TableStore
 from ledgerlake.spec import DimRef, EntitySpec, RunContext
+from ledgerlake.streaming.history import changes_between, history_of, land, start_history
 from ledgerlake.streaming.landing import start_bronze_append, start_ingest
 
 DIM_ENTITIES = ("account", "category", "subcategory", "year", "month")
@@ -663,6 +664,20 @@ def q_stream_bronze_append(spark, sf):
     return replay(read_bronze(spark, bronze, "subcategory", schema)).drop("load_date")
 
 
+def q_scd2_stream(spark, sf):
+    """The three source states landed, then read by one stream; the versions it tells of."""
+    spec = SNAPSHOTS["dim_subcategory"]
+    land_at, out, chk = (new_scratch_path(spark, f"history-{x}") for x in ("landing", "events", "checkpoint"))
+    before = None
+    for changes, run, _ in SCD2_CASES["scd2_two_batches"]:
+        now = staged(spark, sf, spec.source, run, changes=changes)
+        landed_rows = changes_between(before, now, spec.key, RUN_TS[run])
+        land(landed_rows, land_at, ctx(run).run_id)
+        before = now
+    start_history(spark, land_at, landed_rows.schema, spec, out, chk).awaitTermination()
+    return history_of(spark.read.parquet(out), spec)
+
+
 def mapped_schema(spec: EntitySpec):
     empty = spark_empty_pages(spec)
     return map_pages(empty, spec, "1970-01-01 00:00:00").schema
@@ -736,4 +751,5 @@ QUERIES = {
     "dq_failures": q_dq_failures,
     "stream_landing_upsert": q_stream_landing_upsert,
     "stream_bronze_append": q_stream_bronze_append,
+    "scd2_stream": q_scd2_stream,
 }

@@ -14,10 +14,10 @@ Equal texts are one node from the start.  Candidates share a sketch value; texts
 of at most ``SHORT`` k-mers, of which a sketch takes too large a part, have keys
 besides by which no link between two of them is missed.  A bucket's members are
 not paired: first all are compared with a centre, so that groups of copies become
-components.  Where at most ``FEW`` nodes are left outside a bucket's largest
-component, those are compared with all of other components.  The nodes of the
-other buckets (texts that share a passage, mostly) meet by a prefix filter
-instead: of n k-mers, the fifth that is rarest, and one more, hold a common one
+components.  Where a bucket has at most ``FEW`` pairs of a node outside its largest
+component and another, those of different components are compared.  The nodes of
+the other buckets (of large groups, or texts that share a passage) meet by a prefix
+filter instead: of n k-mers, the fifth that is rarest, and one more, hold a common one
 if the similarity is 0.8.  Pairs whose k-mers, counted by class of hash, cannot
 agree so far are left out before any text is fetched.  Every candidate link
 between different components is found; what joins them needs no more comparing.
@@ -55,8 +55,8 @@ SHORT = 50
 AT_ONCE = 1 << 18
 THRESHOLD = 0.8
 PERCENT = 80
-# Buckets with at most so many nodes outside their largest component are worked off pair by pair.
-FEW = 64
+# Buckets with at most so many pairs of a node outside their largest component are worked off pair by pair.
+FEW = 256
 COUNTERS = 1 << 20
 BROADCAST_PAIRS = 100_000
 
@@ -253,18 +253,19 @@ def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = with_links(None, found[0])
 
     left = open_runs(members, labels)
-    outside = left.groupBy("run").agg(F.count_if(~F.col("major")).alias("outside"))
-    few = left.join(outside.filter(F.col("outside") <= FEW).select("run"), "run", "left_semi")
+    pairs = left.groupBy("run").agg((F.count_if(~F.col("major")) * F.first("nodes")).alias("pairs"))
+    few = left.join(pairs.filter(F.col("pairs") <= FEW).select("run"), "run", "left_semi")
     found.append(verified(all_pairs(few, PERCENT), texts))
     labels = with_links(labels, found[1])
 
-    # large buckets of texts that are hardly alike: only those that share a k-mer of their prefixes can link
-    many = left.join(outside.filter(F.col("outside") > FEW).select("run"), "run", "left_semi").select("node").distinct()
+    # the other buckets, of large groups or of texts that are hardly alike: only nodes that share a k-mer of
+    # their prefixes can link
+    many = left.join(pairs.filter(F.col("pairs") > FEW).select("run"), "run", "left_semi").select("node").distinct()
     many = stored(texts.join(many, "node", "left_semi"), "many")
     if many.head(1):
         members = stored(members_of(prefixes(many), PERCENT), "prefix-members")
-        for pairs in (lambda own: star_pairs(own, 1, PERCENT), lambda own: all_pairs(own, PERCENT)):
-            found.append(verified(pairs(open_runs(members, labels)), texts))
+        for pairs_of in (lambda own: star_pairs(own, 1, PERCENT), lambda own: all_pairs(own, PERCENT)):
+            found.append(verified(pairs_of(open_runs(members, labels)), texts))
             labels = with_links(labels, found[-1])
     return reduce(DataFrame.union, found), labels
 

@@ -827,6 +827,8 @@ ORACLE = {
     "unknown_member": o_unknown_member,
     "fact_transaction": o_fact_transaction,
     "fact_budget": o_fact_budget,
+    "fact_transaction_feed": o_fact_transaction,
+    "fact_budget_feed": o_fact_budget,
     "dim_date": o_dim_date,
     "watermark": o_watermark,
     "incremental_filter": o_load_step("subcategory", "incr2"),

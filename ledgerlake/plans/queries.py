@@ -20,7 +20,8 @@ from ledgerlake.operators.load import (hard_delete, incremental, reset_dates, sk
                                        watermark, watermark_value)
 from ledgerlake.operators.scd2 import scd2_merge
 from ledgerlake.operators.stats import empty_stats
-from ledgerlake.plans.specs import (ENTITIES, ENTITY_ORDER, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
+from ledgerlake.plans.incremental import changed_keys, fact_load, read_fact
+from ledgerlake.plans.specs import (ENTITIES, ENTITY_ORDER, FACTS, PLANNED_STATUS, SNAPSHOTS, STAGING, STAGING_CHECKS,
                                      TRANSACTION, WAREHOUSE_CHECKS)
 from ledgerlake.plans.warehouse import build_facts, stage_all, stage_one
 from ledgerlake.sources.testdata import RUN_TS, raw_table, read_table
@@ -613,6 +614,28 @@ def q_entity_load_bucketed(spark, sf):
     return store.read("raw", "subcategory")
 
 
+def fact_after_feeds(spark, sf, name: str, entity: str, dim_entities) -> DataFrame:
+    """The fact built after the initial run, then brought up to the second run from the dimensions' feeds."""
+    store, spec = new_store(spark), FACTS[name]
+    for run in (1, 2):
+        raw = raw_batch(spark, sf, ["subcategory"], run)
+        raw[entity] = raw_batch(spark, sf, [entity], 1)[entity]
+        stg = stage_all(raw, [spec.source])
+        dims = {f"dim_{e}": snapshot_runs(spark, sf, f"dim_{e}", TWO_RUNS[:run]) for e in dim_entities}
+        feeds = {} if run == 1 else {r.dim: changed_keys(dims[r.dim], r.dim_key, RUN_TS[run]) for r in spec.dims}
+        cal = dim_date_covering(stg[spec.source], spec.as_of) if spec.date_dim_out else None
+        fact_load(store, spec, stg[spec.source], dims, feeds, ctx(run), cal, TEST_BUCKETS)
+    return read_fact(store, spec)
+
+
+def q_fact_transaction_feed(spark, sf):
+    return fact_after_feeds(spark, sf, "fact_transaction", "transaction", DIM_ENTITIES)
+
+
+def q_fact_budget_feed(spark, sf):
+    return fact_after_feeds(spark, sf, "fact_budget", "budget", ("category", "subcategory", "year", "month"))
+
+
 def two_full_runs(spark, sf, on_error: str = "report") -> TableStore:
     """The whole job twice: an initial load of batch 1, then batch 2."""
     store = new_store(spark)
@@ -705,6 +728,8 @@ QUERIES = {
     "unknown_member": q_unknown_member,
     "fact_transaction": q_fact_transaction,
     "fact_budget": q_fact_budget,
+    "fact_transaction_feed": q_fact_transaction_feed,
+    "fact_budget_feed": q_fact_budget_feed,
     "dim_date": q_dim_date,
     "watermark": q_watermark,
     "incremental_filter": q_incremental_filter,

@@ -1,10 +1,9 @@
 """What similarity joins share: keys that several nodes have, pairs of nodes
 from different components, and components.
 
-A join has members: rows of node, n (the size of its set), matches (how many
-keys a partner must share), meets (how many others the node meets, or the like),
-pos (the key's place in the node's order) and run (the key).  Nodes may be of
-any type that sorts.
+A join has members: rows of node, n (the size of its set), meets (how many others
+the node meets, or the like), pos (the key's place in the node's order) and run
+(the key).  Nodes may be of any type that sorts.
 """
 
 from __future__ import annotations
@@ -92,10 +91,16 @@ def counts_of(classes: bytes) -> np.ndarray:
     return np.frombuffer(classes, "<u2" if len(classes) == 2 * CLASSES else "<u4").astype(np.int64)
 
 
+def least_shared(n: str, m: str, percent: int) -> Column:
+    """``shared`` of two columns."""
+    return F.expr(f"({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent}")
+
+
 def same_run(x: str, y: str, percent: int) -> Column:
-    """Whether a run at ``pos`` of both sides counts for a pair: sizes within reach, places within the pair's prefixes."""
+    """Whether a run at ``pos`` of both sides counts for a pair: sizes within reach, places within the pair's prefixes.
+    Of all runs that a linked pair shares, the first one does."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    slack = F.least(f"{x}.matches", f"{y}.matches") - F.expr(f"({percent} * ({x}.n + {y}.n) + {99 + percent}) div {100 + percent}")
+    slack = F.lit(1) - least_shared(f"{x}.n", f"{y}.n", percent)
     return ((F.lit(percent) * n <= 100 * m) & (F.lit(percent) * m <= 100 * n)
             & (F.col(f"{x}.pos") < n + slack) & (F.col(f"{y}.pos") < m + slack))
 
@@ -130,14 +135,15 @@ def open_runs(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def star_pairs(own: DataFrame, centres: int, percent: int) -> DataFrame:
-    """Some nodes of each run that lie outside its largest component, against the others there."""
+    """The nodes of each run that lie outside its largest component against some of them, and against some of the
+    largest component's: those that meet most."""
     outside = own.filter(~F.col("major"))
-    rank = F.row_number().over(Window.partitionBy("run").orderBy(F.desc("meets"), "node"))
     if centres == 1:
-        best = outside.groupBy("run").agg(F.max(F.struct("meets", "node", "n", "matches", "pos", "comp")).alias("c")).select("run", "c.*")
+        best = own.groupBy("run", "major").agg(F.max(F.struct("meets", "node", "n", "pos", "comp")).alias("c")).select("run", "c.*")
     else:
-        best = outside.withColumn("rank", rank).filter(F.col("rank") <= centres)
-    best = best.select("run", "node", "n", "matches", "pos", "comp")
+        rank = F.row_number().over(Window.partitionBy("run", "major").orderBy(F.desc("meets"), F.desc("node")))
+        best = own.withColumn("rank", rank).filter(F.col("rank") <= centres)
+    best = best.select("run", "node", "n", "pos", "comp")
     c, o = best.alias("c"), outside.alias("o")
     met = o.join(c, "run").filter((F.col("c.comp") != F.col("o.comp")) & same_run("c", "o", percent))
     # a centre is met in many of a node's runs
@@ -145,17 +151,14 @@ def star_pairs(own: DataFrame, centres: int, percent: int) -> DataFrame:
 
 
 def all_pairs(own: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share as many runs of their prefixes as the pair needs.
-    A run with many nodes is dealt to many tasks."""
+    """Pairs of different components that share a run of their prefixes.  A run with many nodes is dealt to many tasks."""
     parts = F.greatest(F.lit(1), F.ceil(F.col("nodes") / PART)).cast("int")
     left = own.filter(~F.col("major")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).alias("l")
     right = own.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("r")
     once = F.col("r.major") | (F.col("l.node") < F.col("r.node"))
     met = left.join(right, F.expr("l.run = r.run and l.part = r.part")).filter(
         (F.col("l.comp") != F.col("r.comp")) & once & same_run("l", "r", percent))
-    least = F.least("l.matches", "r.matches")
-    ends = met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"), least.alias("least"))
-    return ends.groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("times")).filter("times >= least").select("a", "b")
+    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
 def type_of(nodes: DataFrame) -> str:
@@ -163,10 +166,11 @@ def type_of(nodes: DataFrame) -> str:
 
 
 def members_of(nodes: DataFrame, percent: int) -> DataFrame:
-    """node, n, matches, meets, pos and run of the prefixes' runs that other nodes have too (a few that none
-    has come along); ``meets`` counts those of the node."""
+    """node, n, meets, pos and run of the runs that other nodes have too (a few that none has come along), among those
+    of each prefix that a pair may share first; ``meets`` is the node's ``weight``."""
     small_batches(nodes.sparkSession, 1024)
-    own = nodes.select(F.explode("prefix").alias("run"), "n")
+    length = F.col("n") + 1 - least_shared("n", f"(({percent} * n + 99) div 100)", percent)
+    own = nodes.select(F.explode(F.slice("prefix", F.lit(1), length.cast("int"))).alias("run"), "n")
     sizes = own.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
     # two alone must be of sizes that may link
     useful = sizes.filter((F.col("size") > 2) | ((F.col("size") == 2) & (F.lit(100) * F.col("least") >= F.lit(percent) * F.col("most"))))
@@ -178,16 +182,14 @@ def members_of(nodes: DataFrame, percent: int) -> DataFrame:
             prefix = b.column("prefix")
             own = prefix.values.to_numpy()[prefix.offsets[0].as_py():prefix.offsets[-1].as_py()]
             length = np.diff(prefix.offsets.to_numpy())
-            at = np.flatnonzero(known(bits, own.view(np.uint64)))
-            of = np.repeat(np.arange(b.num_rows), length)[at]
-            first = np.cumsum(length) - length
-            meets = np.bincount(of, minlength=b.num_rows)
+            of = np.repeat(np.arange(b.num_rows), length)
+            pos = np.arange(len(own)) - np.repeat(np.cumsum(length) - length, length)
+            at = np.flatnonzero(known(bits, own.view(np.uint64)) & (pos <= reach(b.column("n").to_numpy(), percent)[of]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(c).take(pa.array(of)) for c in ("node", "n", "matches")]
-                + [pa.array(meets[of], pa.int32()), pa.array(at - first[of], pa.int32()), pa.array(own[at])],
-                names=["node", "n", "matches", "meets", "pos", "run"])
+                [b.column(c).take(pa.array(of[at])) for c in ("node", "n", "weight")] + [pa.array(pos[at], pa.int32()), pa.array(own[at])],
+                names=["node", "n", "meets", "pos", "run"])
 
-    return nodes.select("node", "n", "matches", "prefix").mapInArrow(run, f"node {type_of(nodes)}, n bigint, matches int, meets int, pos int, run bigint")
+    return nodes.select("node", "n", "weight", "prefix").mapInArrow(run, f"node {type_of(nodes)}, n bigint, meets bigint, pos int, run bigint")
 
 
 def able(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

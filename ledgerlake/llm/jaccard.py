@@ -10,9 +10,10 @@ all texts in ``COUNTERS`` counters; the order need only be the same for all).
 Two sets of n and m runs link if they share o = ceil(p (n + m) / (100 + p)).
 Then, for any l, the first n - o + l runs of one and m - o + l of the other
 share l.  With l = 1 that is the usual prefix.  Each set chooses its own l by
-the estimated cost of its candidates: l more runs are looked up, and a partner
-must share l of them before the sets themselves are compared.  A pair goes by
-the smaller l of the two.
+the estimated cost of its candidates, and a partner must share l of the longer
+prefix's runs before the sets themselves are compared.  A pair goes by the
+smaller l of the two.  (Pairs meet on the runs that may be the first they share,
+those of the usual prefix; the others are counted on the pair.)
 
 Equal sets are one node from the start.  A run's nodes are not paired with
 each other: first, a few centres of each run's nodes are compared with the
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import blocks, broadcast_up_to, small_batches, stored
-from ledgerlake.llm.groups import (ODD, able, all_pairs, class_counts, counts_of, members_of, mix, open_runs, reach, shared, star_pairs, totals,
+from ledgerlake.llm.groups import (ODD, all_pairs, class_counts, counts_of, members_of, mix, open_runs, reach, shared, star_pairs, totals,
                                    with_links)
 from ledgerlake.llm.spans import Texts, lower, of_bytes, runs, slices, text_of_each
 
@@ -50,7 +51,7 @@ COUNTERS = 1 << 20
 MOST_MATCHES = 8
 # What a comparison of two sets costs, in runs looked up.
 COMPARISON = 16
-# Centres of each run's nodes, by turn; no further turn if less than so many of a turn's pairs link.
+# Centres of each run's nodes, by turn; no further turn if less than so many of a turn's promising pairs link.
 CENTRES = (1, 4, 16)
 FRUITFUL = 0.1
 BROADCAST_ROWS = 500_000
@@ -109,8 +110,8 @@ def matches(costs: np.ndarray, first: np.ndarray, n: np.ndarray, percent: int, m
 
 
 ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                  ("matches", pa.int32()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, classes binary, prefix array<bigint>"
+                  ("matches", pa.int32()), ("weight", pa.int64()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, weight bigint, classes binary, prefix array<bigint>"
 
 
 def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> DataFrame:
@@ -129,12 +130,15 @@ def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> Da
             own = counts[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
             order = np.lexsort((h, own, np.repeat(np.arange(size), n)))
             asks = matches(np.maximum(0, own[order] - usual), bounds[:-1], n, percent, most)
+            # texts of few rare runs are what others are copies of
+            until = np.r_[0, np.cumsum(own[order])]
+            weight = until[bounds[:-1] + np.minimum(n, reach(n, percent) + 1)] - until[bounds[:-1]]
             length = np.where(n > 0, np.minimum(n, reach(n, percent) + asks), 0)
             ends = np.cumsum(length)
             at = np.repeat(bounds[:-1] - (ends - length), length) + np.arange(length.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size)), b.column("doc_id"), b.column("x"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(asks, pa.int32()), pa.array(class_counts(h, bounds), pa.binary()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
+                 pa.array(asks, pa.int32()), pa.array(weight, pa.int64()), pa.array(class_counts(h, bounds), pa.binary()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
                 schema=ROWS)
             row += size
 
@@ -177,9 +181,27 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "runs_a", "runs_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share as many runs of their lengthened prefixes as the pair asks for, and whose class counts allow
+    a link: no pair that links goes."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            ok = []
+            for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
+                ask = min(x["matches"], y["matches"])
+                spare = ask - shared(x["n"], y["n"], percent)
+                both = set(x["prefix"][:x["n"] + spare]) & set(y["prefix"][:y["n"] + spare])
+                ok.append(len(both) >= ask and np.minimum(counts_of(x["classes"]), counts_of(y["classes"])).sum()
+                          >= shared(x["n"], y["n"], percent))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    own = F.struct("n", "matches", "prefix", "classes")
+    of = lambda c: nodes.select(F.col("node").alias(c), own.alias(f"of_{c}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def found_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link; only the sets of nodes in pairs that may link are made again."""
-    pairs = stored(able(pairs, nodes, percent), "able")
+    """The pairs that link; only the sets of their nodes are made again."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = sets_of(docs, nodes.select("node", "doc_id", "x").join(ends, "node", "left_semi"))
     return stored(linked(pairs, stored(sets.dropDuplicates(["node"]), "sets"), percent), "links")
@@ -190,19 +212,19 @@ def node_components(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
     members = stored(members_of(nodes, percent), "members")
     labels = None
     for centres in CENTRES:
-        pairs = stored(star_pairs(open_runs(members, labels), centres, percent), "star-pairs")
+        pairs = stored(promising(star_pairs(open_runs(members, labels), centres, percent), nodes, percent), "star-pairs")
         found = found_links(docs, nodes, pairs, percent)
         labels = with_links(labels, found)
         if found.count() < FRUITFUL * pairs.count():  # the rest are hardly copies of each other
             break
-    return with_links(labels, found_links(docs, nodes, stored(all_pairs(open_runs(members, labels), percent), "pairs"), percent))
+    return with_links(labels, found_links(docs, nodes, stored(promising(all_pairs(open_runs(members, labels), percent), nodes, percent), "pairs"), percent))
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     rows = stored(prefixed(docs, run_counts(docs), percent, most), "prefixes")
-    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "classes", "prefix"), "row").alias("s"))
-    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.classes", "s.prefix"), "nodes")
+    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "weight", "classes", "prefix"), "row").alias("s"))
+    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.weight", "s.classes", "s.prefix"), "nodes")
     labels = node_components(docs, nodes, percent)
     roots = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     own = stored(rows.select("doc_id", "n", "digest").join(roots, "digest", "left").select("doc_id", "n", "root"), "roots")

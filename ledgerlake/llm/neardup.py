@@ -212,7 +212,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def prefixes(texts: DataFrame) -> DataFrame:
-    """node, n, matches and prefix: so many of its k-mers, rare ones first, that texts of similarity ``THRESHOLD``
+    """node, n, weight and prefix: so many of its k-mers, rare ones first, that texts of similarity ``THRESHOLD``
     share one.  k-mers are ranked by their counts over these texts."""
     def hashes(it: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in it:
@@ -222,15 +222,16 @@ def prefixes(texts: DataFrame) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            found = []
+            found, weight = [], []
             for c in b.column("codes").to_pylist():
                 h = kmers(np.frombuffer(c, "<u2"))
-                order = np.lexsort((h, counts.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]))
-                found.append(h[order][:reach(len(h), PERCENT) + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array([1] * b.num_rows, pa.int32()), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["node", "n", "matches", "prefix"])
+                often = counts.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                first = np.lexsort((h, often))[:reach(len(h), PERCENT) + 1]
+                found.append(h[first].view(np.int64)), weight.append(int(often[first].sum()))
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(weight, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["node", "n", "weight", "prefix"])
 
-    return texts.select("node", "n", "codes").mapInArrow(run, "node binary, n bigint, matches int, prefix array<bigint>")
+    return texts.select("node", "n", "codes").mapInArrow(run, "node binary, n bigint, weight bigint, prefix array<bigint>")
 
 
 def links(rows: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # who meets the most others is most likely what they are copies of: the best centre
     meets = members.groupBy("node").agg(F.sum("size").alias("meets")).join(texts.select("node", "n"), "node")
     # a sketch value has no place in an order: any partner of a size within reach counts
-    members = stored(members.drop("size").join(meets, "node").withColumns({"matches": F.lit(1), "pos": F.lit(-1 << 30)}), "members")
+    members = stored(members.drop("size").join(meets, "node").withColumn("pos", F.lit(-1 << 30)), "members")
     found = [verified(star_pairs(open_runs(members, None), 1, PERCENT), texts)]
     labels = with_links(None, found[0])
 

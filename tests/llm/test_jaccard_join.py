@@ -80,7 +80,6 @@ def test_against_all_pairs(make_docs, rows, percent):
 def test_any_number_of_matches(make_docs, rows, most, monkeypatch):
     """Few counters make runs look frequent, so that prefixes grow; the links stay."""
     monkeypatch.setattr(jaccard, "COUNTERS", 64)
-    monkeypatch.setattr(jaccard, "CHUNK", 16)
     assert found(make_docs(rows), most=most) == brute(rows)
 
 

@@ -75,7 +75,7 @@ def hard_delete(target: DataFrame, live_ids: DataFrame, key: str = "id",
     return kept, removed
 
 
-NARROW_FIRST_MIN_ROWS = 5_000_000
+NARROW_FIRST_MIN_ROWS = 100_000
 
 
 class EmptyLiveSet(ValueError):
@@ -97,7 +97,8 @@ def sync_deletes(target: DataFrame, live_ids: DataFrame, key: str = "id",
     ``allow_empty=False`` refuses an empty live set, which would delete all.
     """
     lk = live_key or key
-    live = live_ids.select(F.col(lk).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    # only whether a key is there counts, so repeated ids need not go
+    live = live_ids.select(F.col(lk).alias(key)).filter(F.col(key).isNotNull())
     if not allow_empty and live.isEmpty():
         raise EmptyLiveSet("no live ids; pass allow_empty=True to delete every row")
     gone = target.select(key).join(live, key, "left_anti")

@@ -85,6 +85,22 @@ def failures(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
+def orphans(child: DataFrame, checks: list[Check], tables: dict[str, DataFrame], rows: dict[str, int | None]) -> DataFrame:
+    """One row with the orphans of each foreign key of a table (``c0``, ``c1``, ...).  The table is scanned once: its
+    keys become (check, key) rows, which are counted before any join, so that hot and repeated keys shrink to a row a
+    task; null keys go; and one narrow anti join with all parents' keys is left."""
+    own = F.array(*[F.struct(F.lit(i).alias("check"), F.col(c.columns[0]).cast("string").alias("key")) for i, c in enumerate(checks)])
+    used = (child.select(F.inline(own)).filter(F.col("key").isNotNull())
+            .groupBy("check", "key").agg(F.count(F.lit(1)).alias("n")))
+    keys = reduce(DataFrame.unionByName, [
+        tables[c.parent].select(F.lit(i).alias("check"), F.col(c.parent_columns[0]).cast("string").alias("key")).filter(F.col("key").isNotNull())
+        for i, c in enumerate(checks)])
+    known = [rows.get(c.parent) for c in checks]
+    keys, _ = maybe_broadcast(keys, rows=None if None in known else sum(known))
+    lost = used.join(keys, ["check", "key"], "left_anti")
+    return lost.agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, F.col("n"))), F.lit(0)).alias(f"c{i}") for i in range(len(checks))])
+
+
 _ROW_CHECKS = ("not_null", "expression")
 
 
@@ -98,8 +114,8 @@ def summary(checks: list[Check], tables: dict[str, DataFrame],
     (status ``pass``, ``warn`` or ``fail``).
 
     Row-level checks (not_null, expression) on the same table share one scan:
-    a single aggregate of ``count_if`` per check, unpivoted to rows.  A foreign
-    key reads its column alone.  Other checks count their own violation rows.  ``rows``: known row counts of the tables (size
+    a single aggregate of ``count_if`` per check, unpivoted to rows, and so do its
+    foreign keys (``orphans``).  Other checks count their own violation rows.  ``rows``: known row counts of the tables (size
     the parent broadcasts without a job).
     """
     def lit_row(c: Check, n: str) -> str:
@@ -124,15 +140,7 @@ def summary(checks: list[Check], tables: dict[str, DataFrame],
     for t, cs in by_table.items():
         parts.append(stacked(tables[t].agg(*[F.count_if(_bad_row(c)).alias(f"c{i}") for i, c in enumerate(cs)]), cs))
     for t, cs in fks.items():
-        # a key's rows are counted before any join: hot and repeated keys shrink
-        # to a row a task, null keys go, and what is joined is narrow
-        for c in cs:
-            keys = tables[c.parent].select(F.col(c.parent_columns[0]).alias("__pk")).filter(F.col("__pk").isNotNull())
-            keys, _ = maybe_broadcast(keys, rows=(rows or {}).get(c.parent))
-            used = (tables[t].select(F.col(c.columns[0]).alias("__fk")).filter(F.col("__fk").isNotNull())
-                    .groupBy("__fk").agg(F.count(F.lit(1)).alias("n")))
-            n = used.join(keys, F.col("__fk") == F.col("__pk"), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("c0"))
-            parts.append(stacked(n, [c]))
+        parts.append(stacked(orphans(tables[t], cs, tables, rows or {}), cs))
     out = reduce(DataFrame.unionByName, parts)
     return out.select(
         "test_name", "table_name", "severity", F.col("failures").cast("bigint").alias("failures"),

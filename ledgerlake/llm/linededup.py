@@ -24,6 +24,7 @@ empty table gives no rows.  Other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import stored
 
 MIN_CHARS = 20
-HALVINGS = 3
+# A remainder is halved so often at once, and further while it has more characters than this.
+HALVINGS, REST = 3, 16
 SALT = 7
 LONGER, SHORTER = 0, 1
 
@@ -101,8 +103,29 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
             own = F.flatten(F.transform(own, halver(role)))
         rests.append(texts.select("at", F.lit(role).alias("role"), F.inline(own)))
     rests = stored(rests[0].unionByName(rests[1]), "rests")
-    rests = stored(shared(rests, "key", ["at"]), "shared-rests")
-    return earlier(rests)
+    return earlier(narrowed(stored(shared(rests, "key", ["at"]), "shared-rests")))
+
+
+def too_long(s: Column, role: int | Column) -> Column:
+    """Whether the longer line's remainder has more than ``REST`` characters."""
+    return F.length(s) + role > REST
+
+
+def narrowed(rests: DataFrame) -> DataFrame:
+    """The remainders of long lines halved further, while a partner is left, until they have ``REST`` characters."""
+    left_over = lambda df: df.filter(too_long(F.col("rest"), F.col("role")))
+    done = [rests.filter(~too_long(F.col("rest"), F.col("role")))]
+    while not left_over(rests).isEmpty():
+        halved = []
+        for role in (LONGER, SHORTER):
+            own = F.array(F.struct("key", "rest"))
+            for _ in range(HALVINGS):
+                halve = halver(role)
+                own = F.flatten(F.transform(own, lambda s: F.when(too_long(s["rest"], role), halve(s)).otherwise(F.array(s))))
+            halved.append(left_over(rests).filter(F.col("role") == role).select("at", "role", F.inline(own)))
+        rests = stored(shared(halved[0].unionByName(halved[1]), "key", ["at"]), "halved-rests")
+        done.append(rests.filter(~too_long(F.col("rest"), F.col("role"))))
+    return reduce(DataFrame.unionByName, done)
 
 
 def earlier(rests: DataFrame) -> DataFrame:

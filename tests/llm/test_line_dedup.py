@@ -1,4 +1,5 @@
 import random
+import time
 
 from ledgerlake.llm import linededup
 from ledgerlake.llm import queries as Q
@@ -55,6 +56,24 @@ def test_against_brute_force(make_docs):
     check(rows, linededup.line_report(make_docs(rows, ["i", "x", "kept"])).collect())
 
 
+def test_long_lines_in_linear_time(make_docs):
+    """Two lines of 400,000 characters that differ in one, and pairs of every kind of edit at many lengths."""
+    rng = random.Random(8)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(400_000))
+    rows = [(1, long), (2, long[:250_000] + "X" + long[250_001:]), (3, long[:99] + long[100:]), (4, long[::-1])]
+    start = time.time()
+    out = {r["doc_id"]: r["n_kept"] for r in linededup.line_report(make_docs(rows)).collect()}
+    assert out == {1: 1, 2: 0, 3: 0, 4: 1}
+    assert time.time() - start < 60
+    rows = []
+    for n in [*range(250, 300, 7), 511, 512, 513, 1025, 4099]:
+        line = "".join(rng.choice("abcdefgh ") for _ in range(n)) + "."
+        i = rng.randrange(n)
+        for other in (line[:i] + "X" + line[i + 1:], line[:i] + line[i + 1:], line[:i] + "Y" + line[i:], line[:i] + "ZZ" + line[i:], line[:-1], "W" + line):
+            rows += [(len(rows), line), (len(rows) + 1, other)]
+    check(rows, linededup.line_report(make_docs(rows)).collect())
+
+
 def test_query_matches_sql(spark, sf):
     ok, msg = compare(spark, "op9", Q.op9_line_dedup, Q.ORACLE["op9_line_dedup"], sf, duck(sf))
     assert ok, msg

@@ -79,6 +79,11 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+# Below this a word's probability is worked out in logs; and the log of one that has none.
+TINY = 1e-250
+IMPOSSIBLE = -1e6
+
+
 def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers and code points of the words of each length."""
     sizes = np.array([len(w) for w in words])
@@ -105,12 +110,38 @@ def forward(p: Pieces, edges: dict, length: int, n: int, probs: np.ndarray) -> n
     return alpha
 
 
+def log_steps(p: Pieces, edges: dict, length: int, probs: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The log probabilities of the pieces from s to t, for each word and each row of ``probs``."""
+    with np.errstate(divide="ignore"):
+        table = np.log(probs.T)
+    for (s, t), e in edges.items():
+        if t <= length and t - s <= p.longest:
+            yield s, t, np.where((e == p.size)[:, None] & (t > s + 1), -np.inf, table[e])
+
+
+def log_passes(p: Pieces, edges: dict, length: int, n: int, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Logs of the summed probabilities of the first t letters and of those from t on, and the steps: for words whose
+    probability is too small for a plain number."""
+    steps = sorted(log_steps(p, edges, length, probs), key=lambda x: x[:2])
+    ahead, behind = np.full((2, length + 1, n, len(probs)), -np.inf)
+    ahead[0], behind[length] = 0, 0
+    for s, t, own in sorted(steps, key=lambda x: x[1]):
+        ahead[t] = np.logaddexp(ahead[t], ahead[s] + own)
+    for s, t, own in reversed(steps):
+        behind[s] = np.logaddexp(behind[s], behind[t] + own)
+    return ahead, behind, steps
+
+
 def word_scores(p: Pieces, words: list[str], probs: np.ndarray) -> np.ndarray:
     """log P(word | language); ``probs``: a row for each language, last column: an unknown letter."""
     out = np.zeros((len(words), len(probs)))
     for at, codes in by_length(words):
         alpha = forward(p, p.edges(codes), codes.shape[1], len(at), probs)
-        out[at] = np.log(np.maximum(alpha[-1], 1e-300))
+        small = np.flatnonzero((alpha[-1] < TINY).any(1))
+        out[at] = np.log(np.maximum(alpha[-1], TINY))
+        if len(small):
+            own = log_passes(p, p.edges(codes[small]), codes.shape[1], len(small), probs)[0][-1]
+            out[at[small]] = np.maximum(own, IMPOSSIBLE)
     return out
 
 
@@ -122,7 +153,8 @@ def expected(p: Pieces, words: list[str], counts: np.ndarray, probs: np.ndarray)
         alpha = forward(p, edges, length, len(at), probs[None])[:, :, 0]
         beta = np.zeros_like(alpha)
         beta[length] = 1
-        weight = counts[at] / np.maximum(alpha[length], 1e-300)
+        small = alpha[length] < TINY
+        weight = np.where(small, 0, counts[at] / np.maximum(alpha[length], TINY))
         for s in range(length - 1, -1, -1):
             for t in range(s + 1, min(length, s + p.longest) + 1):
                 e = edges.get((s, t))
@@ -132,6 +164,15 @@ def expected(p: Pieces, words: list[str], counts: np.ndarray, probs: np.ndarray)
                         own = np.where(e == p.size, 0, own)
                     beta[s] += own * beta[t]
                     total += np.bincount(e, alpha[s] * own * beta[t] * weight, minlength=p.size + 1)
+        small = np.flatnonzero(small)
+        if len(small):
+            few = p.edges(codes[small])
+            ahead, behind, steps = log_passes(p, few, length, len(small), probs[None])
+            able = np.isfinite(ahead[length][:, 0])
+            whole = np.where(able, ahead[length][:, 0], 0)
+            for s, t, own in steps:
+                uses = np.exp(ahead[s][:, 0] + own[:, 0] + behind[t][:, 0] - whole) * able
+                total += np.bincount(few[s, t], uses * counts[at][small], minlength=p.size + 1)
     return total
 
 

@@ -116,6 +116,39 @@ def test_forward_sums_all_segmentations():
     assert uses.sum() >= 3
 
 
+def test_words_too_rare_for_plain_numbers():
+    """Long runs of rare pieces keep their evidence, in scores and in learning."""
+    p = langid.pieces(Q.piece_vocabulary())
+    word = "▁" + "qzxj" * 10
+    low = np.stack([np.full(p.size + 1, 1e-8), np.full(p.size + 1, 1e-9)])
+    scores = langid.word_scores(p, [word, "▁a"], low)
+    assert scores[0, 0] > scores[0, 1] + 30 and (scores[0] < np.log(1e-250)).any()
+    # one sum over segmentations, in logs and in exact integers
+    from fractions import Fraction
+    def total(s, prob, known={}):
+        if (s, prob) not in known:
+            known[s, prob] = Fraction(1) if not s else sum(
+                (prob * total(s[n:], prob) for n in range(1, min(langid.LONGEST, len(s)) + 1)
+                 if n == 1 or (lambda at: at < p.size and p.keys[at] == p.key(s[:n]))(np.searchsorted(p.keys, p.key(s[:n])))), Fraction(0))
+        return known[s, prob]
+    for k, prob in enumerate((Fraction(1, 10**8), Fraction(1, 10**9))):
+        exact = total(word, prob)
+        want = float(np.log(float(exact.numerator / Fraction(10) ** (len(str(exact.numerator)) - 1)))) + (len(str(exact.numerator)) - 1) * np.log(10)
+        want -= float(len(str(exact.denominator)) - 1) * np.log(10) + float(np.log(float(exact.denominator / Fraction(10) ** (len(str(exact.denominator)) - 1))))
+        assert abs(scores[0, k] - want) < 1e-6
+    uses = langid.expected(p, [word], np.array([2.0]), low[1])
+    assert abs((uses[:-1] > 0).sum()) > 3 and uses.sum() >= 2 * len(word) / p.longest and np.isfinite(uses).all()
+
+
+def test_logs_and_plain_numbers_agree(monkeypatch):
+    p = langid.pieces(Q.piece_vocabulary())
+    probs = np.random.default_rng(5).random((2, p.size + 1)) / p.size
+    words, counts = ["▁hello", "▁function", "▁über", "▁日本", "▁a"], np.array([1.0, 2, 3, 4, 5])
+    plain = langid.word_scores(p, words, probs), langid.expected(p, words, counts, probs[0])
+    monkeypatch.setattr(langid, "TINY", 1.0)
+    assert np.allclose(langid.word_scores(p, words, probs), plain[0]) and np.allclose(langid.expected(p, words, counts, probs[0]), plain[1])
+
+
 def test_long_pieces_count():
     p = langid.pieces(Q.piece_vocabulary())
     for word in ("▁function", "▁something", "▁information"):

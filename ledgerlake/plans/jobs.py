@@ -228,7 +228,7 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
         changes = (scd2_merge(None, stg[spec.source], spec, ctx) if current is None
                    else scd2_changes(current, stg[spec.source], spec, ctx,
                                      history_rows=store.snapshot_open_rows(name)))
-        store.publish_snapshot(changes, name, ctx.run_id)
+        store.publish_snapshot(changes, name, ctx.run_id, ctx.run_ts)
         return name
 
     for name in _run_all(merge_one, todo, workers):       # independent snapshots run concurrently
@@ -240,17 +240,22 @@ def warehouse_build(store: TableStore, ctx: RunContext, calendar: DataFrame | No
     if not report:
         blocked |= dim_blocked
 
-    # Counts of this run's versions, by the entity's task
-    lo, hi = S.window_between(ctx.run_ts, minutes=0)      # versions of this run alone
+    # Counts of this run's versions (a window of 0 minutes), by the entity's task.  What the run
+    # began was counted while it was written, what it closed lies in a partition of its own: no history is read
+    lo, hi = S.window_between(ctx.run_ts, minutes=0)
     audit = store.read("raw", AUDIT_TABLE)
     loaded, closed = [], []
     for name, d in dims.items():
         spec = SNAPSHOTS[name]
         task = S.task_name(spec.entity_name())
-        loaded.append(S.wh_loaded(d, lo, hi).select(F.lit(task).alias("task_name"), "value"))
+        begun = store.snapshot_begun(name, ctx.run_id)
+        begun = (S.wh_loaded(d, lo, hi).select("value") if begun is None
+                 else store.spark.createDataFrame([(begun,)], "value bigint"))
+        loaded.append(begun.select(F.lit(task).alias("task_name"), "value"))
         if audit is not None:
             live = audit.filter(F.col("source_name") == spec.entity_name())
-            closed.append(S.wh_closed(d, spec.key, live, lo, hi).select(F.lit(task).alias("task_name"), "value"))
+            own = store.read_closed(name, ctx.run_id)
+            closed.append(S.wh_closed(own, spec.key, live, lo, hi).select(F.lit(task).alias("task_name"), "value"))
     if loaded:
         st = S.update_by_task(_stats(store), reduce(DataFrame.unionByName, loaded), ctx.run_id, "wh_loaded")
         if closed:

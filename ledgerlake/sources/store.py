@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.functions.scalar import ts_literal
-from ledgerlake.spec import OPEN_END, VALID_TO
+from ledgerlake.spec import OPEN_END, VALID_FROM, VALID_TO
 
 META_PROP = "ledgerlake.meta"              # directory name, rows and max(load_date) of a version, counted while writing
 KEEP_OLD = 1
 ROWS_PROP = "ledgerlake.rows"              # of a snapshot
 OPEN_ROWS_PROP = "ledgerlake.open_rows"
 OPEN_RUN_PROP = "ledgerlake.open_run"
+BEGUN_PROP = "ledgerlake.begun"            # versions that begin at the last run
 SEGMENT = "scd2_segment"
 OPEN_SEGMENT = "open"
 
@@ -211,10 +212,11 @@ class TableStore:
         v = self._props(f"{self.db('warehouse')}.{table}").get(OPEN_RUN_PROP)
         return int(v) if v is not None else None
 
-    def publish_snapshot(self, changes: DataFrame, table: str, run_id: int) -> bool:
+    def publish_snapshot(self, changes: DataFrame, table: str, run_id: int, run_ts: str | None = None) -> bool:
         """Commit one run of a snapshot: ``changes`` holds the open versions
         after the run and the versions it closed.  Returns False when this run
-        was already committed (nothing is written)."""
+        was already committed (nothing is written).  With ``run_ts`` the versions
+        that begin at the run are counted while they are written."""
         name = f"{self.db('warehouse')}.{table}"
         base = f"{self.root}/warehouse/{table}"
         if not self.exists("warehouse", table):
@@ -235,10 +237,12 @@ class TableStore:
         ob_closed, ob_open = Observation(), Observation()
         try:
             is_open = F.col(VALID_TO) == ts_literal(OPEN_END)
+            begins = F.col(VALID_FROM) == ts_literal(run_ts) if run_ts else F.lit(False)
+            counts = [F.count(F.lit(1)).alias("n"), F.count_if(begins).alias("begun")]
             closed_dir, open_dir = f"{base}/closed/run={run_id}", f"{base}/open/run={run_id}"
-            (rows.filter(~is_open).observe(ob_closed, F.count(F.lit(1)).alias("n"))
+            (rows.filter(~is_open).observe(ob_closed, *counts)
                  .write.mode("overwrite").parquet(closed_dir))
-            (rows.filter(is_open).observe(ob_open, F.count(F.lit(1)).alias("n"))
+            (rows.filter(is_open).observe(ob_open, *counts)
                  .write.mode("overwrite").parquet(open_dir))
         finally:
             rows.unpersist()
@@ -251,10 +255,23 @@ class TableStore:
         else:
             self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({SEGMENT} = '{OPEN_SEGMENT}') LOCATION '{open_dir}'")
         self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{OPEN_RUN_PROP}' = '{run_id}', "
-                       f"'{ROWS_PROP}' = '{n_total}', '{OPEN_ROWS_PROP}' = '{n_open}')")
+                       f"'{ROWS_PROP}' = '{n_total}', '{OPEN_ROWS_PROP}' = '{n_open}', "
+                       f"'{BEGUN_PROP}' = '{int(ob_open.get['begun']) + int(ob_closed.get['begun']) if run_ts else ''}')")
         self.spark.catalog.refreshTable(name)
         return True
 
+    def snapshot_begun(self, table: str, run_id: int) -> int | None:
+        """Versions that begin at the run, counted when it wrote them; None if this run is not the last one or was not counted."""
+        if self.snapshot_open_run(table) != run_id:
+            return None
+        v = self._props(f"{self.db('warehouse')}.{table}").get(BEGUN_PROP)
+        return int(v) if v else None
+
+    def read_closed(self, table: str, run_id: int) -> DataFrame:
+        """The versions that one run closed: its own partition alone."""
+        df = self.read("warehouse", table)
+        return df.filter(F.col(SEGMENT) == f"c{run_id}").drop(SEGMENT)
+
     def snapshot_open_rows(self, table: str) -> int | None:
         """Open versions of the current snapshot (recorded when committed)."""
         if not self.exists("warehouse", table):

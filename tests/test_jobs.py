@@ -78,3 +78,35 @@ def test_gate_stops_dependants(spark, sf):
     assert "fact_transaction" in res.skipped and "fact_transaction_audit_log" in res.skipped
     assert "dim_account" in res.published
     assert store.exists("test_failures", "not_null_stg_transaction_transaction_date")
+
+
+def test_run_counts_read_no_history(spark):
+    """What a run began is counted while it is written, what it closed is read from its own partition."""
+    import datetime as dt
+    import uuid
+
+    from planutil import plan_text
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators import stats as S
+    from ledgerlake.operators.scd2 import scd2_changes, scd2_merge
+    from ledgerlake.session import new_scratch_path
+    from ledgerlake.sources.store import TableStore
+    from ledgerlake.spec import RunContext, SnapshotSpec
+
+    store = TableStore(spark, new_scratch_path(spark, "counts"), prefix=f"c{uuid.uuid4().hex[:8]}_")
+    spec = SnapshotSpec("dim_x", "stg_x", "k", ("k", "v"))
+    live = spark.createDataFrame([("a",), ("d",)], "id string")
+    runs = [[("a", 1), ("b", 1), ("c", 1)], [("a", 2), ("b", 1), ("d", 1)], [("a", 2)]]
+    for i, rows in enumerate(runs, 1):
+        now = spark.createDataFrame([(k, v, dt.datetime(1990, 1, 1)) for k, v in rows], "k string, v int, last_edited_time timestamp_ntz")
+        ctx = RunContext(i, f"2026-0{i}-01 00:00:00")
+        current = store.read_snapshot("dim_x", open_only=True)
+        changes = scd2_merge(None, now, spec, ctx) if current is None else scd2_changes(current, now, spec, ctx, strategy="wide")
+        store.publish_snapshot(changes, "dim_x", i, ctx.run_ts)
+        lo, hi = S.window_between(ctx.run_ts, minutes=0)
+        whole, closed = store.read_snapshot("dim_x"), store.read_closed("dim_x", i)
+        assert store.snapshot_begun("dim_x", i) == S.wh_loaded(whole, lo, hi).first()["value"] == (3, 2, 0)[i - 1]
+        assert S.wh_closed(closed, "k", live, lo, hi).first()["value"] == S.wh_closed(whole, "k", live, lo, hi).first()["value"] == (0, 1, 1)[i - 1]
+        assert store.snapshot_begun("dim_x", i + 1) is None
+        assert f"scd2_segment#" in plan_text(closed).split("PartitionFilters")[1][:80] and closed.agg(F.count("*")).first()[0] == (0, 2, 2)[i - 1]

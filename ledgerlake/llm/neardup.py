@@ -227,7 +227,8 @@ def prefixes(texts: DataFrame) -> DataFrame:
                 h = kmers(np.frombuffer(c, "<u2"))
                 often = counts.value[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
                 first = np.lexsort((h, often))[:reach(len(h), PERCENT) + 1]
-                found.append(h[first].view(np.int64)), weight.append(int(often[first].sum()))
+                # a k-mer that no other text's class holds has no partner (places only move ahead: no pair goes)
+                found.append(h[first][often[first] > 1].view(np.int64)), weight.append(int(often[first].sum()))
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(weight, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
                                              names=["node", "n", "weight", "prefix"])
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ledgerlake.llm.common import small_batches
-from ledgerlake.llm.wordstats import Adam, Evidence, gram_buckets, sigmoid, split_words, word_buckets
+from ledgerlake.llm.wordstats import WORDS, Adam, Evidence, gram_buckets, sigmoid, split_words, word_buckets
 
 WINDOW = 24
 STEP = 12
@@ -45,6 +45,8 @@ VECTORS = 1 << 13
 FOLDS = 5
 DECAY = 1e-3
 CHUNK = 4096
+# Texts scored at once: all their windows are held.
+TEXTS_AT_ONCE = 64
 
 
 def evidence_inputs(evidence: Evidence, words: list[str]) -> np.ndarray:
@@ -97,8 +99,9 @@ class Letters:
 
 
 def inputs(evidence: Evidence, vectors: dict, words: list[str]) -> np.ndarray:
-    x = evidence_inputs(evidence, words)
-    return np.hstack([x, np.vstack([Letters.of(words).vectors(vectors), np.zeros((1, 2 * VECTOR), np.float32)])])
+    """A row for each word, some words at a time, and a last row of zeros for the window's padding."""
+    v = [Letters.of(words[at:at + WORDS]).vectors(vectors) for at in range(0, len(words), WORDS)]
+    return np.hstack([evidence_inputs(evidence, words), np.vstack([*v, np.zeros((1, 2 * VECTOR), np.float32)])])
 
 
 def windows(ends: np.ndarray, at: np.ndarray, padding: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,7 +308,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
 
 def score(docs: DataFrame, model, keep: list[Column]) -> DataFrame:
     """``keep`` (named columns) and score of every row; ``model`` has ``scores(texts)``."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, TEXTS_AT_ONCE)
     rows = docs.select(F.col("text").alias("text"), F.struct(*keep).alias("keep"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -3,6 +3,7 @@ import datetime as dt
 from ledgerlake.operators.load import (hard_delete, incremental, replace_slice, reset_dates, source_filter, upsert,
                                        watermark_value)
 from ledgerlake.plans.specs import TRANSACTION
+from planutil import plan_text
 
 SCHEMA = "id string, title string, load_date timestamp_ntz"
 T1, T2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)
@@ -76,3 +77,23 @@ def test_latest_per_key(spark):
     assert got == [("", "n"), ("a", "y"), ("a", "y2"), ("b", "z"), ("b", "z")]        # ties kept
     one = sorted((r["id"] or "", r["title"]) for r in latest_per_key(df, "id", ["t"], one_per_key=True).collect())
     assert one == [("", "n"), ("a", "y2"), ("b", "z")]
+
+
+def test_many_ids_are_not_broadcast(spark, tmp_path):
+    """Spark takes the size of a side from its file: the ids that an explode makes of a few rows are no small side."""
+    few = str(tmp_path / "few")
+    spark.range(3).selectExpr("id AS n").write.parquet(few)
+    many = spark.read.parquet(few).selectExpr("explode(sequence(1, 1000)) AS k", "n").selectExpr("concat(n, '-', k) AS id")
+    target = spark.range(5000).selectExpr("concat(id % 4, '-', id) AS id")
+    want = target.join(many, "id", "left_semi").count()
+    kept, removed = hard_delete(target, many)
+    assert "Broadcast" not in plan_text(kept) + plan_text(removed)
+    assert kept.count() == want and removed.count() == 5000 - want and 0 < want < 5000
+    spark.conf.set("ledgerlake.broadcast.maxRows", "2999")
+    try:
+        out = upsert(target, many)
+        assert "Broadcast" not in plan_text(out) and out.count() == 5000 - want + 3000
+        spark.conf.set("ledgerlake.broadcast.maxRows", "3000")
+        assert "BroadcastHashJoin" in plan_text(upsert(target, many))
+    finally:
+        spark.conf.unset("ledgerlake.broadcast.maxRows")

@@ -3,7 +3,9 @@ import datetime as dt
 from ledgerlake.operators.load import (hard_delete, incremental, replace_slice, reset_dates, source_filter, upsert,
                                        watermark_value)
 from ledgerlake.plans.specs import TRANSACTION
+from ledgerlake.sources.testdata import budget_base
 from planutil import plan_text
+from pyspark.sql import functions as F
 
 SCHEMA = "id string, title string, load_date timestamp_ntz"
 T1, T2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 2, 1)
@@ -97,3 +99,11 @@ def test_many_ids_are_not_broadcast(spark, tmp_path):
         assert "BroadcastHashJoin" in plan_text(upsert(target, many))
     finally:
         spark.conf.unset("ledgerlake.broadcast.maxRows")
+
+
+def test_budgets_of_a_small_file_are_made_by_many_tasks(spark, tmp_path):
+    rows = spark.range(120_000).selectExpr("nullif(id % 70000, 7) AS c_custkey", "concat('c', id) AS c_name", "id / 4D AS c_acctbal")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    made = budget_base(spark, str(tmp_path))
+    per_task = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 12 * 120_000 and len(per_task) >= 3 and max(per_task) < 12 * 60_000

@@ -1,3 +1,4 @@
+import itertools
 import glob
 import zlib
 
@@ -141,3 +142,46 @@ def test_child_keeps_every_piece():
     a, b = bins.start(rng, 0.0), bins.start(rng, 0.9)
     c = bins.child(a, b, rng)
     assert (c >= 0).all() and bins.fill(c).max() <= 4096 and (bins.fill(c) > 0).all()
+
+
+def triplets(n, seed):
+    """Sizes of three pieces to a bin that fill ``n`` bins to the brim."""
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(1000, 1200, n), rng.integers(1300, 1400, n)
+    return np.concatenate([a, b, 4096 - a - b]).tolist()
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_rounds_pack_what_best_fit_does_not(spark, seed):
+    sizes = triplets(10, seed)
+    bins = packing.Bins(np.array(sizes), 4096)
+    assert bins.score(bins.start(np.random.default_rng(0), 0.0))[0] > 10 == bins.least()
+    rows = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "place bigint, length bigint")).collect()
+    assert sorted(r["place"] for r in rows) == list(range(30))
+    assert len({r["sequence_id"] for r in rows}) == 10
+    for b in {r["sequence_id"] for r in rows}:
+        assert sum(r["length"] for r in rows if r["sequence_id"] == b) == 4096
+
+
+def test_least_is_no_more_than_any_packing():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        bins = packing.Bins(rng.integers(1, int(rng.integers(2, 101)), 6), 100)
+        fewest = min(bins.score(bins.fit(np.full(6, -1), np.array(o)))[0] for o in itertools.permutations(range(6)))
+        assert bins.least() <= fewest
+    for sizes, n in (([60, 60, 60, 40], 3), ([51] * 5, 5), ([34] * 6, 3), ([100, 1], 2)):
+        assert packing.Bins(np.array(sizes), 100).least() == n
+
+
+def test_mutant_keeps_every_piece():
+    rng = np.random.default_rng(4)
+    bins = packing.Bins(rng.integers(1, 4096, 300), 4096)
+    for c in (bins.mutant(bins.start(rng, 0.5), rng) for _ in range(20)):
+        assert (c >= 0).all() and bins.fill(c).max() <= 4096 and (bins.fill(c) > 0).all()
+
+
+def test_rounds_end_when_the_bound_cannot_be_met(spark):
+    # by room alone four bins would do
+    assert packing.Bins(np.array([1366] * 9), 4096).least() == 4
+    rows = packing.pack(spark.createDataFrame([(i, 1366) for i in range(9)], "place bigint, length bigint")).collect()
+    assert len(rows) == 9 and len({r["sequence_id"] for r in rows}) == 5

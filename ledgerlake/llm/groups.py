@@ -25,6 +25,9 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 PART = 256
 CLASS_BITS = 7
 CLASSES = 1 << CLASS_BITS
+# Bits of a set's parities, and the sets whose parities are made at once.
+PARITY_BITS = 10
+PARITY_SETS = 256
 CHUNK = 1 << 14
 
 
@@ -87,6 +90,19 @@ def class_counts(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [c.astype("<u2" if c.max() < 1 << 16 else "<u4").tobytes() for c in counts]
 
 
+def parities(h: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """Whether each of ``1 << PARITY_BITS`` classes of hashes holds an odd number of each set's runs, 64 classes to a
+    number.  Two sets differ in at least as many runs as in parities."""
+    size, found = 1 << PARITY_BITS, []
+    for at in range(0, len(bounds) - 1, PARITY_SETS):
+        own = bounds[at:at + PARITY_SETS + 1]
+        of = np.repeat(np.arange(len(own) - 1), np.diff(own))
+        cell = of * size + (h[own[0]:own[-1]] >> np.uint64(64 - PARITY_BITS)).astype(np.int64)
+        found.append(np.packbits((np.bincount(cell, minlength=(len(own) - 1) * size) & 1).astype(np.uint8)).view(np.int64))
+    words = size // 64
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(bounds)) * words, pa.int32()), pa.array(np.concatenate(found or [np.zeros(0, np.int64)])))
+
+
 def counts_of(classes: bytes) -> np.ndarray:
     return np.frombuffer(classes, "<u2" if len(classes) == 2 * CLASSES else "<u4").astype(np.int64)
 
@@ -105,6 +121,13 @@ def same_run(x: str, y: str, percent: int) -> Column:
             & (F.col(f"{x}.pos") < n + slack) & (F.col(f"{y}.pos") < m + slack))
 
 
+def may_link(x: str, y: str, percent: int) -> Column:
+    """Whether the parities of both sides differ in no more places than linked sets of their sizes differ in runs: true
+    of every linked pair."""
+    differ = " + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range((1 << PARITY_BITS) // 64))
+    return F.expr(differ) <= F.col(f"{x}.n") + F.col(f"{y}.n") - 2 * least_shared(f"{x}.n", f"{y}.n", percent)
+
+
 def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return members.withColumn("comp", F.col("node"))
@@ -150,14 +173,16 @@ def star_pairs(own: DataFrame, centres: int, percent: int) -> DataFrame:
     return met.select(F.least("c.node", "o.node").alias("a"), F.greatest("c.node", "o.node").alias("b")).distinct()
 
 
-def all_pairs(own: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a run of their prefixes.  A run with many nodes is dealt to many tasks."""
+def all_pairs(own: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a run of their prefixes and may link by their parities (``bits`` of
+    ``nodes``): the many near misses of a large group never become rows.  A run with many nodes is dealt to many tasks."""
+    own = own.join(nodes.select("node", "bits"), "node")
     parts = F.greatest(F.lit(1), F.ceil(F.col("nodes") / PART)).cast("int")
     left = own.filter(~F.col("major")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).alias("l")
     right = own.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("r")
     once = F.col("r.major") | (F.col("l.node") < F.col("r.node"))
     met = left.join(right, F.expr("l.run = r.run and l.part = r.part")).filter(
-        (F.col("l.comp") != F.col("r.comp")) & once & same_run("l", "r", percent))
+        (F.col("l.comp") != F.col("r.comp")) & once & same_run("l", "r", percent) & may_link("l", "r", percent))
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 

@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import blocks, broadcast_up_to, small_batches, stored
-from ledgerlake.llm.groups import (ODD, all_pairs, class_counts, counts_of, members_of, mix, open_runs, reach, shared, star_pairs, totals,
-                                   with_links)
+from ledgerlake.llm.groups import (ODD, all_pairs, class_counts, counts_of, members_of, mix, open_runs, parities, reach, shared, star_pairs,
+                                   totals, with_links)
 from ledgerlake.llm.spans import Texts, lower, of_bytes, runs, slices, text_of_each
 
 K = 3
@@ -110,8 +110,8 @@ def matches(costs: np.ndarray, first: np.ndarray, n: np.ndarray, percent: int, m
 
 
 ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-                  ("matches", pa.int32()), ("weight", pa.int64()), ("classes", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, weight bigint, classes binary, prefix array<bigint>"
+                  ("matches", pa.int32()), ("weight", pa.int64()), ("classes", pa.binary()), ("bits", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
+ROWS_DDL = "row bigint, doc_id bigint, x bigint, n bigint, digest binary, matches int, weight bigint, classes binary, bits array<bigint>, prefix array<bigint>"
 
 
 def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> DataFrame:
@@ -138,7 +138,8 @@ def prefixed(docs: DataFrame, counts: np.ndarray, percent: int, most: int) -> Da
             at = np.repeat(bounds[:-1] - (ends - length), length) + np.arange(length.sum())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size)), b.column("doc_id"), b.column("x"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(asks, pa.int32()), pa.array(weight, pa.int64()), pa.array(class_counts(h, bounds), pa.binary()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
+                 pa.array(asks, pa.int32()), pa.array(weight, pa.int64()), pa.array(class_counts(h, bounds), pa.binary()), parities(h, bounds),
+                 pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h[order][at].view(np.int64)))],
                 schema=ROWS)
             row += size
 
@@ -217,14 +218,14 @@ def node_components(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
         labels = with_links(labels, found)
         if found.count() < FRUITFUL * pairs.count():  # the rest are hardly copies of each other
             break
-    return with_links(labels, found_links(docs, nodes, stored(promising(all_pairs(open_runs(members, labels), percent), nodes, percent), "pairs"), percent))
+    return with_links(labels, found_links(docs, nodes, stored(promising(all_pairs(open_runs(members, labels), nodes, percent), nodes, percent), "pairs"), percent))
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     rows = stored(prefixed(docs, run_counts(docs), percent, most), "prefixes")
-    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "weight", "classes", "prefix"), "row").alias("s"))
-    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.weight", "s.classes", "s.prefix"), "nodes")
+    one = rows.filter("n > 0").groupBy("digest").agg(F.min_by(F.struct("row", "doc_id", "x", "n", "matches", "weight", "classes", "bits", "prefix"), "row").alias("s"))
+    nodes = stored(one.select("digest", F.col("s.row").alias("node"), "s.doc_id", "s.x", "s.n", "s.matches", "s.weight", "s.classes", "s.bits", "s.prefix"), "nodes")
     labels = node_components(docs, nodes, percent)
     roots = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     own = stored(rows.select("doc_id", "n", "digest").join(roots, "digest", "left").select("doc_id", "n", "root"), "roots")

@@ -18,8 +18,9 @@ components.  Where a bucket has at most ``FEW`` pairs of a node outside its larg
 component and another, those of different components are compared.  The nodes of
 the other buckets (of large groups, or texts that share a passage) meet by a prefix
 filter instead: of n k-mers, the fifth that is rarest, and one more, hold a common one
-if the similarity is 0.8.  Pairs whose k-mers, counted by class of hash, cannot
-agree so far are left out before any text is fetched.  Every candidate link
+if the similarity is 0.8.  Pairs whose k-mers differ too much by the parities of
+their classes of hash are left out as they meet, and those that cannot agree so far
+by their counts before any text is fetched.  Every candidate link
 between different components is found; what joins them needs no more comparing.
 
 A text with fewer than ``K`` words has one k-mer.  Null texts and texts without
@@ -44,8 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import small_batches, stored
-from ledgerlake.llm.groups import (ODD, able, all_pairs, class_counts, components, members_of, mix, open_runs, reach, star_pairs, totals,
-                                   with_links)
+from ledgerlake.llm.groups import (ODD, able, all_pairs, class_counts, components, members_of, mix, open_runs, parities, reach, star_pairs,
+                                   totals, with_links)
 
 K = 5
 L = 5
@@ -172,7 +173,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def texts_of(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """node, codes, n (k-mers) and classes (their counts by class) of the nodes among the members."""
+    """node, codes, n (k-mers), classes (their counts by class) and bits (their parities) of the nodes among the members."""
     texts = rows.filter(F.col("node").isNotNull()).select("node", "codes").join(members.select("node").distinct(), "node", "left_semi")
     texts = texts.groupBy("node").agg(F.first("codes").alias("codes"))
 
@@ -182,9 +183,10 @@ def texts_of(rows: DataFrame, members: DataFrame) -> DataFrame:
             bounds = np.cumsum([0, *map(len, own)])
             flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("codes"), pa.array(np.diff(bounds), pa.int64()),
-                                              pa.array(class_counts(flat, bounds), pa.binary())], names=["node", "codes", "n", "classes"])
+                                              pa.array(class_counts(flat, bounds), pa.binary()), parities(flat, bounds)],
+                                             names=["node", "codes", "n", "classes", "bits"])
 
-    return texts.mapInArrow(run, "node binary, codes binary, n bigint, classes binary")
+    return texts.mapInArrow(run, "node binary, codes binary, n bigint, classes binary, bits array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,7 +259,7 @@ def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     left = open_runs(members, labels)
     pairs = left.groupBy("run").agg((F.count_if(~F.col("major")) * F.first("nodes")).alias("pairs"))
     few = left.join(pairs.filter(F.col("pairs") <= FEW).select("run"), "run", "left_semi")
-    found.append(verified(all_pairs(few, PERCENT), texts))
+    found.append(verified(all_pairs(few, texts, PERCENT), texts))
     labels = with_links(labels, found[1])
 
     # the other buckets, of large groups or of texts that are hardly alike: only nodes that share a k-mer of
@@ -266,7 +268,7 @@ def linked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = stored(texts.join(many, "node", "left_semi"), "many")
     if many.head(1):
         members = stored(members_of(prefixes(many), PERCENT), "prefix-members")
-        for pairs_of in (lambda own: star_pairs(own, 1, PERCENT), lambda own: all_pairs(own, PERCENT)):
+        for pairs_of in (lambda own: star_pairs(own, 1, PERCENT), lambda own: all_pairs(own, many, PERCENT)):
             found.append(verified(pairs_of(open_runs(members, labels)), texts))
             labels = with_links(labels, found[-1])
     return reduce(DataFrame.union, found), labels

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from ledgerlake.llm import neardup
+from ledgerlake.llm.groups import parities
 
 
 def texts(seed=3):
@@ -134,6 +135,44 @@ def test_texts_with_a_common_head_are_not_paired(make_docs, monkeypatch):
     assert sum(k for _, k in compared) < 5000 and sum(m for m, _ in compared) < 40_000, compared
 
 
+def test_near_misses_of_a_large_group_are_not_paired(make_docs, monkeypatch):
+    """90 texts that are 0.6 to 0.75 like each of 200 near copies, and no copies: hardly one of the 18,000 pairs is made."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(160)]
+
+    def changed(times):
+        own = list(base)
+        for at in rng.sample(range(16), times):
+            own[10 * at + rng.randrange(3)] = f"c{rng.randrange(10**9)}"
+        return " ".join(own)
+
+    rows = list(enumerate([changed(1) for _ in range(200)] + [changed(6) for _ in range(90)]))
+    made = []
+    real = neardup.able
+
+    def counting(pairs, texts, percent):
+        made.append(pairs.count())
+        return real(pairs, texts, percent)
+
+    monkeypatch.setattr(neardup, "able", counting)
+    out = neardup.classes(make_docs(rows)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_class"]) for r in out} == brute(rows)
+    assert len({r["class_id"] for r in out}) == 91
+    assert sum(made) < 2000, made
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)) for n in (0, 1, 40, 300, 5000)]
+    sets += [np.r_[s[:len(s) * 9 // 10], s[:len(s) // 9] + np.uint64(1 << 50)] for s in sets] * 60    # more sets than are made at once
+    bits = parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)])).to_pylist()
+    assert {len(b) for b in bits} == {16} and not any(bits[0])
+    for i in range(5):
+        for j in range(len(sets)):
+            apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(bits[i], bits[j]))
+            assert apart <= len(np.setxor1d(sets[i], sets[j]))
+
+
 def test_sketch_of_long_texts(monkeypatch):
     labelled = neardup.kmers(np.random.default_rng(1).integers(0, 1 << 16, 5000).astype("<u2"))
     whole = neardup.sketch(labelled)

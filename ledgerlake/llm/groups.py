@@ -148,12 +148,14 @@ def with_links(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def open_runs(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The members of runs that more than one component share, with ``major``: whether it is of the run's largest one."""
+    """The members of runs that more than one component share, with ``major``: whether it is of the run's largest one
+    (of two or more), and ``outside``: how many of the run's ``nodes`` are not."""
     own = labelled(members, labels)
     sizes = own.groupBy("run", "comp").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("run").agg(F.max(F.struct("size", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps"),
                                        F.sum("size").alias("nodes")).filter("comps > 1")
     own = own.join(largest, "run").withColumn("major", (F.col("comp") == F.col("largest.comp")) & (F.col("largest.size") > 1))
+    own = own.withColumn("outside", F.when(F.col("largest.size") > 1, F.col("nodes") - F.col("largest.size")).otherwise(F.col("nodes")))
     return stored(own.drop("largest", "comps"), "open-runs")
 
 
@@ -175,9 +177,9 @@ def star_pairs(own: DataFrame, centres: int, percent: int) -> DataFrame:
 
 def all_pairs(own: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a run of their prefixes and may link by their parities (``bits`` of
-    ``nodes``): the many near misses of a large group never become rows.  A run with many nodes is dealt to many tasks."""
+    ``nodes``): the many near misses of a large group never become rows.  A run with many nodes outside its largest component is dealt to many tasks."""
     own = own.join(nodes.select("node", "bits"), "node")
-    parts = F.greatest(F.lit(1), F.ceil(F.col("nodes") / PART)).cast("int")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("outside") / PART)).cast("int")
     left = own.filter(~F.col("major")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).alias("l")
     right = own.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).alias("r")
     once = F.col("r.major") | (F.col("l.node") < F.col("r.node"))

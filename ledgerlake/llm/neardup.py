@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import small_batches, stored
 from ledgerlake.llm.groups import (ODD, able, all_pairs, class_counts, components, members_of, mix, open_runs, parities, reach, star_pairs,
                                    totals, with_links)
+from ledgerlake.llm.tokens import forget
 
 K = 5
 L = 5
@@ -152,6 +153,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in it:
             nodes, codes, keys = [], [], []
             for words in word_hashes(b.column(2)):

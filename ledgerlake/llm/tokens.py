@@ -138,3 +138,9 @@ class Encoder:
 def encoder(path: str, lower: bool) -> Encoder:
     """One per Python worker, which serves many tasks; another vocabulary takes its place."""
     return Encoder(path, lower)
+
+
+def forget() -> None:
+    """Give back what an earlier job's vocabulary and batches have left in this Python worker, some 200 MB."""
+    encoder.cache_clear()
+    pa.default_memory_pool().release_unused()

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ledgerlake.llm.common import small_batches
+from ledgerlake.llm.tokens import forget
 from ledgerlake.llm.wordstats import WORDS, Adam, Evidence, gram_buckets, sigmoid, split_words, word_buckets
 
 WINDOW = 24
@@ -313,6 +314,7 @@ def score(docs: DataFrame, model, keep: list[Column]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for b in it:
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(shared.value.scores(b.column(0)), pa.float64())], names=["keep", "score"])
 

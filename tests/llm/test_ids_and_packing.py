@@ -3,12 +3,13 @@ import glob
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerlake.llm import huffman, packing
+from ledgerlake.llm import huffman, packing, tokens
 from ledgerlake.llm import queries as Q
 
 ODD = [(5, "one  two\n\n three"), (None, "no id"), (3, None), (4, ""), (7, "same text"), (7, "same text"),
@@ -185,3 +186,13 @@ def test_rounds_end_when_the_bound_cannot_be_met(spark):
     assert packing.Bins(np.array([1366] * 9), 4096).least() == 4
     rows = packing.pack(spark.createDataFrame([(i, 1366) for i in range(9)], "place bigint, length bigint")).collect()
     assert len(rows) == 9 and len({r["sequence_id"] for r in rows}) == 5
+
+
+def test_a_worker_forgets_its_vocabulary():
+    e = tokens.encoder(Q.word_vocabulary(), True)
+    before = [x.tolist() for x in e.encode(pa.array(["one two", None, "three"]))]
+    tokens.forget()
+    assert tokens.encoder.cache_info().currsize == 0
+    again = tokens.encoder(Q.word_vocabulary(), True)
+    assert again is not e and [x.tolist() for x in again.encode(pa.array(["one two", None, "three"]))] == before
+    tokens.forget()

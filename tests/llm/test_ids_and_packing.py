@@ -196,3 +196,33 @@ def test_a_worker_forgets_its_vocabulary():
     again = tokens.encoder(Q.word_vocabulary(), True)
     assert again is not e and [x.tolist() for x in again.encode(pa.array(["one two", None, "three"]))] == before
     tokens.forget()
+
+
+VOCABULARIES = [(Q.word_vocabulary, True), (Q.byte_vocabulary, False)]
+
+
+@pytest.mark.parametrize("vocabulary, lower", VOCABULARIES)
+def test_plain_pieces_are_cut_as_arrays(vocabulary, lower, monkeypatch):
+    """Letters and closing marks need no Python for each piece: it took most of the encoder's time."""
+    texts = ["first Words, of a text; WITH marks?! größer Übel. ª º", None, "", "again first words."]
+    e, t, cut = tokens.Encoder(vocabulary(), lower), Tokenizer.from_file(vocabulary()), []
+    words = tokens.Encoder._words
+    monkeypatch.setattr(tokens.Encoder, "_words", lambda self, piece: cut.append(piece) or words(self, piece))
+    for _ in range(2):
+        assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    # a text's first piece has no space before it
+    assert set(cut) <= ({""} if lower else {"first", "again", "", " "}) and len(cut) == len(set(cut))
+
+
+@pytest.mark.parametrize("vocabulary, lower", VOCABULARIES)
+def test_what_is_remembered_is_bounded_in_bytes(vocabulary, lower, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_PIECES", 8)
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 6)
+    e, t = tokens.Encoder(vocabulary(), lower), Tokenizer.from_file(vocabulary())
+    for n in range(4):
+        texts = [f"some few words, {'long' * 40}{n} {'x' * 300}{n}. then 1{n} more’s of them İ{n}\nß Ⱥ{n} end", "a  b", " lead ", None]
+        for _ in range(2):
+            assert [x.tolist() for x in e.encode(pa.array(texts))] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    for known, most in ((e.of_piece, 8), (e.of_word, 6)):
+        assert 0 < len(known.strings) <= most and known.strings.nbytes <= most * (tokens.CACHED_BYTES + 8) + 8
+        assert len(known.ids.size) == len(known.strings) and len(known.ids.flat) == known.ids.size.sum()

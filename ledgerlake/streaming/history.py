@@ -25,6 +25,7 @@ one key in one run are refused by the merge's guard; here the greater row counts
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import Any
 
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ledgerlake.functions.scalar import scd_key, ts_literal
 from ledgerlake.spec import DK, OPEN_END, UPDATED_AT, VALID_FROM, VALID_TO, SnapshotSpec
@@ -42,6 +43,9 @@ RUN = "run_micros"            # time of the run that saw the state, in microseco
 GONE = "gone"                 # a tombstone: the key is not in the source any more
 EVENT = "event"               # open | close | late
 AT = "at_micros"              # when the version begins or ends
+# Keys that share a state by their hash, so that Python is not called once for each key.  A checkpoint holds states by
+# bucket, so the number stays.
+BUCKETS = 1 << 14
 
 
 def changes_between(before: DataFrame | None, now: DataFrame, key: str, run_ts: str) -> DataFrame:
@@ -69,21 +73,32 @@ def events(changes: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """The open, close and late rows of a stream (or table) of changes."""
     data = [f for f in changes.schema.fields if f.name not in (RUN, GONE, "run_id")]
     names = [f.name for f in data]
-    # the state of a key: its last run, and its open version with the time it began (both null without one); values as
-    # they are, since Spark's state stores the row's own types
-    state = StructType([StructField("last_run", LongType()), StructField("began", LongType()), *data])
+    # the state of a bucket: of each of its keys the last run, and the open version with the time it began (both null
+    # without one); pickled, so that values stay as they are
+    state = StructType([StructField("keys", BinaryType())])
     out = StructType([*data, StructField(EVENT, StringType()), StructField(AT, LongType()), StructField("began", LongType())])
-    check = [names.index(c) for c in spec.check_cols]
+    own, check = names.index(spec.key), [names.index(c) for c in spec.check_cols]
     blank = (None,) * len(names)
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        last, began, *held = kept.get if kept.exists else (None, None, *blank)
-        version = tuple(held)
-        rows = [r for b in batches for r in zip(*(b[c].tolist() for c in (RUN, GONE, *names)))]
-        rows = [(int(r[0]), bool(r[1]), tuple(plain(v) for v in r[2:])) for r in rows]
+    def run(bucket: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        keys = pickle.loads(bytes(kept.get[0])) if kept.exists else {}
+        by_key: dict[Any, list[tuple]] = {}
+        for b in batches:
+            for at, gone, *values in zip(*(b[c].tolist() for c in (RUN, GONE, *names))):
+                values = tuple(map(plain, values))
+                by_key.setdefault(values[own], []).append((int(at), bool(gone), values))
         emitted: list[tuple] = []
-        rows.sort(key=lambda r: tuple((v is not None, str(v)) for v in r[2]), reverse=True)
-        for at, gone, values in sorted(rows, key=lambda r: r[:2]):
+        for key, rows in by_key.items():
+            keys[key] = fold(rows, *keys.get(key, (None, None, blank)), emitted)
+        kept.update((pickle.dumps(keys, pickle.HIGHEST_PROTOCOL),))
+        yield pd.DataFrame(emitted, columns=out.names, dtype=object)
+
+    def fold(rows: list[tuple], last: int | None, began: int | None, version: tuple, emitted: list[tuple]) -> tuple:
+        """The state of a key after some rows; their events go to ``emitted``."""
+        if len(rows) > 1:
+            rows.sort(key=lambda r: tuple((v is not None, str(v)) for v in r[2]), reverse=True)
+            rows.sort(key=lambda r: r[:2])
+        for at, gone, values in rows:
             if last is not None and at <= last:
                 emitted.append((*values, "late", at, None))
                 continue
@@ -95,11 +110,10 @@ def events(changes: DataFrame, spec: SnapshotSpec) -> DataFrame:
             if not gone and began is None:
                 began, version = at, values
                 emitted.append((*version, "open", at, at))
-        kept.update((last, began, *version))
-        yield pd.DataFrame(emitted, columns=out.names, dtype=object)
+        return last, began, version
 
-    keyed = changes.filter(F.col(spec.key).isNotNull()).groupBy(spec.key)
-    return keyed.applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
+    keyed = changes.filter(F.col(spec.key).isNotNull()).withColumn("__bucket", F.pmod(F.xxhash64(spec.key), F.lit(BUCKETS)))
+    return keyed.groupBy("__bucket").applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def plain(v: Any) -> Any:

@@ -115,3 +115,15 @@ def test_a_tombstone_of_an_unknown_key(spark, paths):
     assert c.filter(F.col(H.GONE)).count() == 3 == c.count()
     H.land(c, landed, 1)
     assert read(spark, landed, c.schema, chk, out).count() == 0
+
+
+def test_keys_share_states_by_bucket(spark, paths, monkeypatch):
+    """Python is called once for a bucket of keys, not for each key; a key's history is the same in any company."""
+    monkeypatch.setattr(H, "BUCKETS", 2)
+    landed, out, chk = paths
+    for i, c in enumerate(changes(spark)):
+        H.land(c, landed, i + 1)
+        q = H.start_history(spark, landed, c.schema, SPEC, out, chk)
+        q.awaitTermination()
+    assert 1 <= q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    assert rows_of(H.history_of(spark.read.parquet(out), SPEC)) == rows_of(merged(spark))

@@ -23,6 +23,8 @@ from ledgerlake.llm.common import small_batches, stored
 ODD = np.uint64(0x9E3779B97F4A7C15)
 # Nodes of a run that one task compares with the rest of them.
 PART = 256
+# Nodes of a run that are put in order of their sizes, at most.
+ORDERED = 1024
 CLASS_BITS = 7
 CLASSES = 1 << CLASS_BITS
 # Bits of a set's parities, and the sets whose parities are made at once.
@@ -194,17 +196,20 @@ def type_of(nodes: DataFrame) -> str:
 
 def members_of(nodes: DataFrame, percent: int) -> DataFrame:
     """node, n, meets, pos and run of the runs that other nodes have too (a few that none has come along), among those
-    of each prefix that a pair may share first; ``meets`` is the node's ``weight``."""
+    of each prefix that a pair may share first; ``meets`` is the node's ``weight``.  See ``partnered``."""
     small_batches(nodes.sparkSession, 1024)
     length = F.col("n") + 1 - least_shared("n", f"(({percent} * n + 99) div 100)", percent)
     own = nodes.select(F.explode(F.slice("prefix", F.lit(1), length.cast("int"))).alias("run"), "n")
     sizes = own.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
     # two alone must be of sizes that may link
     useful = sizes.filter((F.col("size") > 2) | ((F.col("size") == 2) & (F.lit(100) * F.col("least") >= F.lit(percent) * F.col("most"))))
-    shared_runs = nodes.sparkSession.sparkContext.broadcast(bitmap(useful.select(F.col("run").alias("seed"))))
+    useful = stored(useful.select(F.col("run").alias("seed"), "size"), "shared-runs")
+    spark = nodes.sparkSession
+    shared_runs = spark.sparkContext.broadcast(bitmap(useful))
+    many_nodes = spark.sparkContext.broadcast(bitmap(useful.filter(F.col("size") > ORDERED)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared_runs.value, np.uint8)
+        bits, many = (np.frombuffer(x.value, np.uint8) for x in (shared_runs, many_nodes))
         for b in it:
             prefix = b.column("prefix")
             own = prefix.values.to_numpy()[prefix.offsets[0].as_py():prefix.offsets[-1].as_py()]
@@ -213,10 +218,29 @@ def members_of(nodes: DataFrame, percent: int) -> DataFrame:
             pos = np.arange(len(own)) - np.repeat(np.cumsum(length) - length, length)
             at = np.flatnonzero(known(bits, own.view(np.uint64)) & (pos <= reach(b.column("n").to_numpy(), percent)[of]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(c).take(pa.array(of[at])) for c in ("node", "n", "weight")] + [pa.array(pos[at], pa.int32()), pa.array(own[at])],
-                names=["node", "n", "meets", "pos", "run"])
-
-    return nodes.select("node", "n", "weight", "prefix").mapInArrow(run, f"node {type_of(nodes)}, n bigint, meets bigint, pos int, run bigint")
+                [b.column(c).take(pa.array(of[at])) for c in ("node", "n", "weight")]
+                + [pa.array(pos[at], pa.int32()), pa.array(own[at]), pa.array(known(many, own[at].view(np.uint64)))],
+                names=["node", "n", "meets", "pos", "run", "many"])
+
+    found = nodes.select("node", "n", "weight", "prefix").mapInArrow(
+        run, f"node {type_of(nodes)}, n bigint, meets bigint, pos int, run bigint, many boolean")
+    return partnered(found, percent)
+
+
+def partnered(members: DataFrame, percent: int) -> DataFrame:
+    """The members whose run another node shares that may count for a pair with them (see ``same_run``), as far as the
+    sizes next to theirs tell: no pair goes.  A run of very many nodes (``many``) is left as it is, each of its members alone in its
+    window, so that no task has all of them."""
+    # of the larger nodes the next one leaves a member the longest prefix; of the smaller ones the next one is the nearest in size
+    own = Window.partitionBy("run", F.when(F.col("many"), F.col("node")))
+    by_size = own.orderBy("n", "node")
+    larger, smaller = F.lead("n").over(by_size), F.lag("n").over(by_size)
+    rows = members.select("*", larger.alias("larger"), smaller.alias("smaller"))
+    may = (((F.lit(percent) * F.col("larger") <= 100 * F.col("n")) & (F.col("pos") < F.col("n") + 1 - least_shared("n", "larger", percent)))
+           | (F.lit(percent) * F.col("n") <= 100 * F.col("smaller")))
+    rows = rows.filter(F.col("many") | F.coalesce(may, F.lit(False)))
+    alone = F.count(F.lit(1)).over(own) == 1
+    return rows.withColumn("alone", alone).filter(F.col("many") | ~F.col("alone")).select("node", "n", "meets", "pos", "run")
 
 
 def able(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

@@ -184,7 +184,10 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs that share as many runs of their lengthened prefixes as the pair asks for, and whose class counts allow
-    a link: no pair that links goes."""
+    a link: no pair that links goes.  Only the nodes of the pairs are sent to them."""
+    pairs = stored(pairs, "candidates")
+    nodes = nodes.join(broadcast_up_to(ends_of(pairs), BROADCAST_ROWS), "node", "left_semi")
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ok = []
@@ -201,10 +204,13 @@ def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def found_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs that link; only the sets of their nodes are made again."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = sets_of(docs, nodes.select("node", "doc_id", "x").join(ends, "node", "left_semi"))
+    sets = sets_of(docs, nodes.select("node", "doc_id", "x").join(ends_of(pairs), "node", "left_semi"))
     return stored(linked(pairs, stored(sets.dropDuplicates(["node"]), "sets"), percent), "links")
 
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from oracle_check import compare, duck
 
-from ledgerlake.llm import jaccard
+from ledgerlake.llm import groups, jaccard
 from ledgerlake.llm import queries as Q
 
 
@@ -154,3 +154,36 @@ def test_query_matches_sql(spark, sf):
 @pytest.mark.parametrize("given", [[], [(1, None)], [(2, ""), (None, None)]])
 def test_tables_without_runs(make_docs, given):
     assert found(make_docs(given)) == brute(given)
+
+
+def test_members_without_a_partner_of_their_size_are_left_out(spark, monkeypatch):
+    """No pair that counts goes; what has no such partner is not shuffled."""
+    rng = random.Random(4)
+    nodes = [(i, n, 1, sorted(rng.sample(range(1, 60), groups.reach(n, 90) + 1)))
+             for i, n in enumerate(rng.randrange(1, 300) for _ in range(150))]
+    df = spark.createDataFrame(nodes, "node bigint, n bigint, weight bigint, prefix array<bigint>")
+
+    def pairs(rows):
+        return {(x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and x[3] == y[3] and 90 * x[1] <= 100 * y[1] and 90 * y[1] <= 100 * x[1]
+                and x[2] < x[1] + 1 - groups.shared(x[1], y[1], 90) and y[2] < y[1] + 1 - groups.shared(x[1], y[1], 90)}
+
+    every = [(i, n, pos, run) for i, n, _, prefix in nodes for pos, run in enumerate(prefix)]
+    own = groups.members_of(df, 90).select("node", "n", "pos", "run").collect()
+    assert pairs(own) == pairs(every) and set(map(tuple, own)) <= set(every)
+    assert len(own) < len(every)
+    for r in own:
+        assert any(r["run"] == run and r["node"] != node and 90 * max(r["n"], n) <= 100 * min(r["n"], n) for node, n, _, run in every)
+    monkeypatch.setattr(groups, "ORDERED", 3)   # runs of more nodes are left as they are
+    many = groups.members_of(df, 90).select("node", "n", "pos", "run").collect()
+    assert pairs(many) == pairs(every) and len(many) > len(own)
+
+
+def test_only_the_nodes_of_pairs_are_sent_to_them(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(jaccard, "broadcast_up_to", lambda df, rows: sent.append(sorted(r[0] for r in df.collect())) or df)
+    h = [np.arange(i // 2, i // 2 + 40, dtype=np.uint64) for i in range(9)]
+    rows = [(i, len(x), 1, x.astype(np.int64).tolist(), groups.class_counts(x, np.array([0, len(x)]))[0]) for i, x in enumerate(h)]
+    nodes = spark.createDataFrame(rows, "node bigint, n bigint, matches int, prefix array<bigint>, classes binary")
+    pairs = spark.createDataFrame([(0, 1), (2, 3), (0, 3)], "a bigint, b bigint")
+    assert sorted(map(tuple, jaccard.promising(pairs, nodes, 90).collect())) == [(0, 1), (0, 3), (2, 3)]
+    assert sent == [[0, 1, 2, 3]]

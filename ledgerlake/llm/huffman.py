@@ -32,6 +32,8 @@ from ledgerlake.session import new_scratch_path
 MAX_BITS = 16
 BLOCK = 512
 GROUP_IDS = 1_000_000
+# Ids coded at once, whole blocks of them.
+PACKED = 32 * BLOCK
 END_ID = 2
 
 GROUPS = pa.schema([
@@ -102,15 +104,21 @@ def pack(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:
     """The coded bits, and where each block starts."""
     if not len(ids):
         return b"", np.zeros(0, np.int64)
-    bits = code.lengths[ids]
-    at = np.cumsum(bits) - bits
-    frame = code.words[ids] << (64 - (at & 31) - bits).astype(np.uint64)
-    word = at >> 5
-    out = np.zeros(int(word[-1]) + 2, np.uint64)
-    edges = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    out[word[edges]] += np.add.reduceat(frame >> np.uint64(32), edges)
-    out[word[edges] + 1] += np.add.reduceat(frame & np.uint64(0xFFFFFFFF), edges)
-    return out.astype(">u4").tobytes(), at[::BLOCK]
+    out = np.zeros(len(ids) * MAX_BITS // 32 + 2, np.uint64)
+    starts, begin = [], 0
+    for s in range(0, len(ids), PACKED):  # few enough for a processor's cache
+        own = ids[s:s + PACKED]
+        bits = code.lengths[own]
+        until = np.cumsum(bits) + begin
+        at = until - bits
+        frame = code.words[own] << (64 - (at & 31) - bits).astype(np.uint64)
+        word = at >> 5
+        edges = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        out[word[edges]] += np.add.reduceat(frame >> np.uint64(32), edges)
+        out[word[edges] + 1] += np.add.reduceat(frame & np.uint64(0xFFFFFFFF), edges)
+        starts.append(at[::BLOCK])
+        begin = int(until[-1])
+    return out[:(int(at[-1]) >> 5) + 2].astype(">u4").tobytes(), np.concatenate(starts)
 
 
 def unpack(payload: bytes, checkpoints: np.ndarray, n_ids: int,

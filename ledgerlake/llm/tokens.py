@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,10 @@ def bytes_of(strings: pa.Array) -> np.ndarray:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
+def strings_of(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
 def gathered(flat: np.ndarray, begin: np.ndarray, each: np.ndarray) -> np.ndarray:
     """The runs of ``each`` values that begin at ``begin``, end to end."""
     ahead = np.cumsum(each) - each
@@ -77,7 +81,9 @@ class Ids:
     def __add__(self, more: Ids) -> Ids:
         return Ids(np.concatenate([self.flat, more.flat]), np.concatenate([self.size, more.size]))
 
-    def __getitem__(self, at: np.ndarray) -> Ids:
+    def __getitem__(self, at: np.ndarray | slice) -> Ids:
+        if isinstance(at, slice):  # the first ones
+            return Ids(self.flat[:int(self.size[at].sum())].copy(), self.size[at].copy())
         each = self.size[at]
         return Ids(gathered(self.flat, (np.cumsum(self.size) - self.size)[at], each), each)
 
@@ -87,21 +93,30 @@ class Known:
 
     def __init__(self, most: int, make: Callable[[pa.Array], Ids]):
         self.most, self.make = most, make
-        self.strings, self.ids = pa.array([], pa.large_string()), Ids.of([])
+        self.places: dict[str, int] = {}
+        self.bytes, self.ids = 0, Ids.of([])
+
+    @property
+    def strings(self) -> pa.Array:
+        return pa.array(list(self.places), pa.large_string())
 
     def look(self, strings: pa.Array) -> tuple[np.ndarray, Ids]:
         """The place of each string among some, and the ids of those."""
-        n = len(self.strings)
-        both = pa.concat_arrays([self.strings, strings]).dictionary_encode()
-        at, found = both.indices.to_numpy()[n:].astype(np.int64), both.dictionary
-        if len(found) == n:
-            return at, self.ids
-        ids = self.ids + self.make(found[n:])
-        until = bounds_of(found)
-        keep = min(self.most, int(np.searchsorted(until, until[0] + CACHED_BYTES * self.most, "right")) - 1)
-        if keep > n:
-            self.strings, self.ids = found.take(pa.array(np.arange(keep))), ids[np.arange(keep)]
-        return at, ids
+        coded = strings.dictionary_encode()
+        at, found = coded.indices.to_numpy(), strings_of(coded.dictionary)
+        n, places = len(self.places), np.fromiter(map(self.places.get, found, repeat(-1)), np.int64, len(found))
+        new = np.flatnonzero(places < 0)
+        if not len(new):
+            return places[at], self.ids
+        asked = coded.dictionary.take(pa.array(new))
+        places[new] = n + np.arange(len(new))
+        ids = self.ids + self.make(asked)
+        until = bounds_of(asked) + self.bytes
+        keep = min(self.most - n, int(np.searchsorted(until, CACHED_BYTES * self.most, "right")) - 1)
+        if keep > 0:
+            self.places.update(zip((found[i] for i in new[:keep].tolist()), range(n, n + keep)))
+            self.bytes, self.ids = int(until[keep]), ids[:n + keep]
+        return places[at], ids
 
 
 class Encoder:
@@ -171,7 +186,7 @@ class Encoder:
         # the others' words, one piece at a time; or all ids, where only the library knows
         odd, odd_words, asked, asked_ids = [], [], [], []
         rest = np.flatnonzero(~simple)
-        for i, key in zip(rest.tolist(), pieces.take(pa.array(rest)).to_pylist()):
+        for i, key in zip(rest.tolist(), strings_of(pieces.take(pa.array(rest)))):
             piece = key if self.lower else key[1:] if key[:1] == " " else " " + key
             found = self._words(piece)
             if found is None:
@@ -196,10 +211,10 @@ class Encoder:
         return self.words.findall(piece)
 
     def _of_words(self, words: pa.Array) -> Ids:
-        tokenize, own = self.model.tokenize, words.to_pylist()
+        tokenize, own = self.model.tokenize, strings_of(words)
         body = pc.utf8_ltrim(words, " ")
-        simple = pc.and_(pc.string_is_ascii(body), pc.utf8_is_alpha(body)).to_pylist()
-        spelled = own if self.lower else pc.replace_substring(words, " ", self.letters[32]).to_pylist()
+        simple = pc.and_(pc.string_is_ascii(body), pc.utf8_is_alpha(body)).to_numpy(zero_copy_only=False).tolist()
+        spelled = own if self.lower else strings_of(pc.replace_substring(words, " ", self.letters[32]))
         return Ids.of([[t.id for t in tokenize(s if plain else self._spelled(w))] for plain, s, w in zip(simple, spelled, own)])
 
     def _spelled(self, word: str) -> str:

@@ -226,3 +226,24 @@ def test_what_is_remembered_is_bounded_in_bytes(vocabulary, lower, monkeypatch):
     for known, most in ((e.of_piece, 8), (e.of_word, 6)):
         assert 0 < len(known.strings) <= most and known.strings.nbytes <= most * (tokens.CACHED_BYTES + 8) + 8
         assert len(known.ids.size) == len(known.strings) and len(known.ids.flat) == known.ids.size.sum()
+
+
+def test_what_is_known_is_not_looked_through_again(monkeypatch):
+    """A lookup costs what the new strings cost, however many are remembered."""
+    made = []
+    known = tokens.Known(200_000, lambda strings: made.append(len(strings)) or tokens.Ids.of([[len(s)] for s in strings.to_pylist()]))
+    known.look(pa.array([f"w{i}" for i in range(100_000)], pa.large_string()))
+    encoded, concat = [], pa.concat_arrays
+    monkeypatch.setattr(pa, "concat_arrays", lambda arrays: encoded.append(sum(map(len, arrays))) or concat(arrays))
+    at, ids = known.look(pa.array(["w7", "new", "w99999", "new"], pa.large_string()))
+    assert made == [100_000, 1] and not encoded and ids.flat[at].tolist() == [2, 3, 6, 3]
+    assert known.look(pa.array(["new"], pa.large_string()))[0].tolist() == [at[1]]
+
+
+@pytest.mark.parametrize("n", [0, 1, 511, 513, 16384, 16385, 50_000])
+def test_payloads_are_packed_in_parts(n):
+    ids = np.minimum(np.random.default_rng(3).zipf(1.3, n), 60_000).astype("<u2")
+    code = huffman.Code.of_lengths(huffman.code_lengths(np.bincount(ids, minlength=1 << 16)))
+    payload, checkpoints = huffman.pack(ids, code)
+    assert np.array_equal(checkpoints, (np.cumsum(code.lengths[ids]) - code.lengths[ids])[::huffman.BLOCK])
+    assert np.array_equal(huffman.unpack(payload, checkpoints, n, code.table()), ids)

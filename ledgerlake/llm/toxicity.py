@@ -31,7 +31,7 @@ from pyspark.sql.types import DoubleType, StructType
 
 from ledgerlake.llm.common import small_batches
 from ledgerlake.llm.tokens import forget
-from ledgerlake.llm.wordstats import WORDS, Adam, Evidence, gram_buckets, sigmoid, split_words, word_buckets
+from ledgerlake.llm.wordstats import WORDS, Adam, Evidence, Hashed, sigmoid, split_words
 
 WINDOW = 24
 STEP = 12
@@ -50,9 +50,9 @@ CHUNK = 4096
 TEXTS_AT_ONCE = 64
 
 
-def evidence_inputs(evidence: Evidence, words: list[str]) -> np.ndarray:
+def evidence_inputs(evidence: Evidence, words: list[str], hashed: Hashed | None = None) -> np.ndarray:
     """A row for each word, and a last row of zeros for the window's padding."""
-    f = evidence.features(words) / 5
+    f = evidence.features(words, hashed) / 5
     known = np.ones((len(words), 1), np.float32)
     x = np.hstack([f, np.maximum(f[:, :2] - 0.3, 0) * 2, np.maximum(-f[:, [0, 2]] - 0.3, 0), known])
     return np.vstack([x, np.zeros((1, EVIDENCE), np.float32)]).astype(np.float32)
@@ -67,16 +67,17 @@ class Letters:
     first: np.ndarray
 
     @staticmethod
-    def of(words: list[str]) -> Letters:
+    def of(words: list[str], hashed: Hashed | None = None) -> Letters:
         if not words:
             return Letters(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
-        found, starts = gram_buckets(words)
+        hashed = hashed or Hashed.of(words)
+        found, starts = hashed.grams, hashed.starts
         of = np.repeat(np.arange(len(words)), np.diff(np.r_[starts, found.shape[1]]))
         inside = found >= 0
         owner = np.concatenate([of[i] for i in inside])
-        runs = np.concatenate([row[i] for row, i in zip(found, inside)]) % VECTORS
+        runs = np.concatenate([row[i] for row, i in zip(found, inside)]) & (VECTORS - 1)
         order = np.argsort(owner, kind="stable")
-        return Letters(word_buckets(words) % VECTORS, runs[order], np.searchsorted(owner[order], np.arange(len(words) + 1)))
+        return Letters(hashed.words & (VECTORS - 1), runs[order], np.r_[0, np.cumsum(np.bincount(owner, minlength=len(words)))])
 
     def some(self, at: np.ndarray) -> Letters:
         size = np.diff(self.first)[at]
@@ -101,8 +102,12 @@ class Letters:
 
 def inputs(evidence: Evidence, vectors: dict, words: list[str]) -> np.ndarray:
     """A row for each word, some words at a time, and a last row of zeros for the window's padding."""
-    v = [Letters.of(words[at:at + WORDS]).vectors(vectors) for at in range(0, len(words), WORDS)]
-    return np.hstack([evidence_inputs(evidence, words), np.vstack([*v, np.zeros((1, 2 * VECTOR), np.float32)])])
+    if not words:
+        return np.zeros((1, INPUTS), np.float32)
+    parts = [words[at:at + WORDS] for at in range(0, len(words), WORDS)]
+    hashed = [Hashed.of(x) for x in parts]
+    rows = [np.hstack([evidence_inputs(evidence, x, h)[:-1], Letters.of(x, h).vectors(vectors)]) for x, h in zip(parts, hashed)]
+    return np.vstack([*rows, np.zeros((1, INPUTS), np.float32)])
 
 
 def windows(ends: np.ndarray, at: np.ndarray, padding: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,14 +140,25 @@ def run_gru(p: dict, d: str, xw: np.ndarray, seq: np.ndarray, keep: bool = False
     h = np.zeros((n, HIDDEN), np.float32)
     out, saved = np.empty((t, n, HIDDEN), np.float32), []
     for i in range(t) if d == "f" else range(t - 1, -1, -1):
-        g = xw[seq[:, i]]
-        zr = sigmoid(g[:, :2 * HIDDEN] + h @ p[f"U{d}"])
+        g = xw.take(seq[:, i], 0)
+        zr = h @ p[f"U{d}"]
+        zr += g[:, :2 * HIDDEN]
+        zr *= 0.5  # the sigmoid
+        np.tanh(zr, zr)
+        zr *= 0.5
+        zr += 0.5
         z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = np.tanh(g[:, 2 * HIDDEN:] + (r * h) @ p[f"C{d}"])
-        new = h + z * (c - h)
+        c = (r * h) @ p[f"C{d}"]
+        c += g[:, 2 * HIDDEN:]
+        np.tanh(c, c)
         if keep:
             saved.append((i, h, z, r, c))
-        out[i] = h = new
+            h = h + z * (c - h)
+        else:
+            c -= h
+            c *= z
+            h += c
+        out[i] = h
     return (out, saved) if keep else out
 
 

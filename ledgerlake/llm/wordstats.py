@@ -28,22 +28,22 @@ def split_words(texts: pa.Array, between: str = r"[^\p{L}\p{N}]+") -> tuple[np.n
     split = pc.split_pattern_regex(pc.fill_null(texts, "").cast(pa.large_string()), between)
     ends = split.offsets.to_numpy() - split.offsets[0].as_py()
     found = split.flatten().dictionary_encode()
-    words, at = found.dictionary.to_pylist(), found.indices.to_numpy()
-    real = np.array([w != "" for w in words], bool)[at] if len(at) else np.zeros(0, bool)
+    words, at = found.dictionary.to_numpy(zero_copy_only=False).tolist(), found.indices.to_numpy()
+    real = np.array(words, object).astype(bool)[at] if len(at) else np.zeros(0, bool)
     return np.r_[0, np.cumsum(real)][ends], at[real].astype(np.int64), words
 
 
 def word_buckets(words: list[str]) -> np.ndarray:
-    return (pd.util.hash_array(np.array(words, dtype=object), categorize=False) % np.uint64(WORD_BUCKETS)).astype(np.int64)
+    return (pd.util.hash_array(np.array(words, dtype=object), categorize=False) & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
 
 
 def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the letter runs at every place of all words laid end to end,
     a row for each run length (-1: the run would leave its word); and where
     each word starts.  ``^`` and ``$`` mark a word's ends."""
-    marked = ["^" + w + "$" for w in words]
-    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    size = np.array([len(w) for w in marked], np.int64)
+    marked = "^" + "$^".join(words) + "$" if words else ""
+    codes = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
     starts = np.cumsum(size) - size
     left = np.repeat(starts + size, size) - np.arange(len(codes))
     out = np.full((len(GRAMS), len(codes)), -1, np.int64)
@@ -52,12 +52,29 @@ def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if m > 0:
             h = np.full(m, n, np.uint64)
             for j in range(n):
-                h = (h ^ codes[j:j + m]) * PRIME
-            h = ((h ^ (h >> np.uint64(29))) * PRIME >> np.uint64(40)).astype(np.int64) % BUCKETS
-            out[k, :m] = np.where(left[:m] >= n, h, -1)
+                h ^= codes[j:j + m]
+                h *= PRIME
+            h ^= h >> np.uint64(29)
+            h *= PRIME
+            h >>= np.uint64(40)
+            h &= np.uint64(BUCKETS - 1)
+            out[k, :m] = np.where(left[:m] >= n, h.view(np.int64), -1)
     return out, starts
 
 
+@dataclass(frozen=True)
+class Hashed:
+    """The buckets of some words and of their letter runs, made once for all that look them up."""
+
+    words: np.ndarray
+    grams: np.ndarray
+    starts: np.ndarray
+
+    @staticmethod
+    def of(words: list[str]) -> Hashed:
+        return Hashed(word_buckets(words), *gram_buckets(words))
+
+
 @dataclass(frozen=True)
 class Evidence:
     """Log odds of label 1 for buckets of words and of letter runs."""
@@ -117,15 +134,16 @@ class Evidence:
         odds = np.log((yes + PRIOR) / (n[1] + 2 * PRIOR)) - np.log((no + PRIOR) / (n[0] + 2 * PRIOR))
         return np.where(yes + no >= RARE, np.clip(odds, -5, 5), 0)
 
-    def features(self, words: list[str]) -> np.ndarray:
+    def features(self, words: list[str], hashed: Hashed | None = None) -> np.ndarray:
         """Per word: its log odds; the largest, smallest and mean of its runs'."""
         if len(words) > WORDS:
             return np.vstack([self.features(words[s:s + WORDS]) for s in range(0, len(words), WORDS)])
         out = np.zeros((len(words), 4), np.float32)
         if not words:
             return out
-        out[:, 0] = self.words[word_buckets(words)]
-        grams, starts = gram_buckets(words)
+        hashed = hashed or Hashed.of(words)
+        out[:, 0] = self.words[hashed.words]
+        grams, starts = hashed.grams, hashed.starts
         inside = grams >= 0
         own = self.grams[grams]
         n = np.add.reduceat(inside.sum(0), starts)

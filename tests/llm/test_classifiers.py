@@ -1,10 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import langid, quality, toxicity
+from ledgerlake.llm import langid, quality, toxicity, wordstats
 from ledgerlake.llm import queries as Q
 from ledgerlake.llm.learning import labelled_sample
 
@@ -154,3 +155,17 @@ def test_long_pieces_count():
     for word in ("▁function", "▁something", "▁information"):
         edges = p.edges(np.array([[ord(c) for c in word]], np.uint64))
         assert (0, len(word)) in edges and edges[0, len(word)][0] < p.size
+
+
+def test_words_are_hashed_once_for_a_batch(monkeypatch):
+    texts = [f"some bad words{i % 7} and others{i % 5} here" if i % 2 else f"good words{i % 7} of others{i % 5}" for i in range(60)]
+    model = toxicity.train(texts, np.arange(60) % 2)
+    made, make = [], wordstats.gram_buckets
+    count = lambda words: made.append(len(words)) or make(words)
+    monkeypatch.setattr(wordstats, "gram_buckets", count)
+    if hasattr(toxicity, "gram_buckets"):
+        monkeypatch.setattr(toxicity, "gram_buckets", count)
+    scores = model.scores(pa.array([*texts, None, ""]))
+    assert len(made) == 1 and len(scores) == 62
+    apart = np.concatenate([model.scores(pa.array([t])) for t in texts[:4]])
+    assert np.allclose(scores[:4], apart, atol=1e-5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,16 @@ ARROW_BYTES = 32 << 20
 BLOCK_BYTES = 6 << 20
 
 
+def release() -> None:
+    """Give freed memory back to the system: Arrow and the C library keep it else, and the driver's Python shares its
+    memory limit with the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

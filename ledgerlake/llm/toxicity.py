@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from ledgerlake.llm.common import small_batches
+from ledgerlake.llm.common import release, small_batches
 from ledgerlake.llm.tokens import forget
 from ledgerlake.llm.wordstats import WORDS, Adam, Evidence, Hashed, sigmoid, split_words
 
@@ -79,6 +79,14 @@ class Letters:
         order = np.argsort(owner, kind="stable")
         return Letters(hashed.words & (VECTORS - 1), runs[order], np.r_[0, np.cumsum(np.bincount(owner, minlength=len(words)))])
 
+    @staticmethod
+    def of_all(words: list[str]) -> Letters:
+        """``of`` many words, some at a time: what is made on the way does not follow their number."""
+        parts = [Letters.of(words[at:at + WORDS]) for at in range(0, len(words), WORDS)] or [Letters.of([])]
+        ahead = np.cumsum([0, *(len(x.runs) for x in parts[:-1])])
+        return Letters(np.concatenate([x.word for x in parts]), np.concatenate([x.runs for x in parts]),
+                       np.r_[np.concatenate([x.first[:-1] + n for x, n in zip(parts, ahead)]), ahead[-1] + parts[-1].first[-1]])
+
     def some(self, at: np.ndarray) -> Letters:
         size = np.diff(self.first)[at]
         ends = np.cumsum(size)
@@ -263,8 +271,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         fold[own] = np.arange(len(own)) % FOLDS
     evidence, others = Evidence.of_folds(texts, labels, fold, FOLDS)
     ends, at, words = split_words(pc.utf8_lower(pa.array(texts, pa.large_string())))
-    letters = Letters.of(words)
+    letters = Letters.of_all(words)
     seq, owner = windows(ends, at, len(words))
+    release()
     # rows of the inputs: all words as each fold sees them, and at last the padding
     seen = np.vstack([*(evidence_inputs(e, words)[:-1] for e in others), np.zeros((1, EVIDENCE), np.float32)])
     padding = len(words)
@@ -325,6 +334,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
 
 def score(docs: DataFrame, model, keep: list[Column]) -> DataFrame:
     """``keep`` (named columns) and score of every row; ``model`` has ``scores(texts)``."""
+    release()  # what the training has left
     small_batches(docs.sparkSession, TEXTS_AT_ONCE)
     rows = docs.select(F.col("text").alias("text"), F.struct(*keep).alias("keep"))
     shared = docs.sparkSession.sparkContext.broadcast(model)

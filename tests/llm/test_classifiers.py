@@ -169,3 +169,26 @@ def test_words_are_hashed_once_for_a_batch(monkeypatch):
     assert len(made) == 1 and len(scores) == 62
     apart = np.concatenate([model.scores(pa.array([t])) for t in texts[:4]])
     assert np.allclose(scores[:4], apart, atol=1e-5)
+
+
+def test_training_hashes_some_words_at_a_time(monkeypatch):
+    monkeypatch.setattr(toxicity, "WORDS", 50)
+    monkeypatch.setattr(wordstats, "WORDS", 50)
+    words = [f"word{i}"[:1 + i % 9] for i in range(333)]
+    for some in (words, words[:50], words[:51], []):
+        one, all_ = toxicity.Letters.of(some), toxicity.Letters.of_all(some)
+        assert all(np.array_equal(getattr(one, f), getattr(all_, f)) for f in ("word", "runs", "first"))
+    made, make = [], wordstats.gram_buckets
+    monkeypatch.setattr(wordstats, "gram_buckets", lambda words: made.append(len(words)) or make(words))
+    monkeypatch.setattr(wordstats.Evidence, "_count", staticmethod(lambda *_: None))   # as many texts at a time
+    toxicity.train([" ".join(words[i::7]) for i in range(60)], np.arange(60) % 2)
+    assert max(made) <= 50
+
+
+@pytest.mark.parametrize("of", [toxicity, quality])
+def test_memory_of_the_training_is_given_back(spark, make_docs, monkeypatch, of):
+    given = []
+    monkeypatch.setattr(toxicity, "release", lambda: given.append(1))
+    model = of.train(["good words", "bad words"] * 20, np.arange(40) % 2)
+    n = len(given)
+    assert toxicity.score(make_docs([(1, "good"), (2, None)]), model, [F.col("doc_id")]).count() == 2 and len(given) == n + 1

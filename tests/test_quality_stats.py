@@ -60,3 +60,30 @@ def test_summary_folds_foreign_keys(spark):
     got = {r["test_name"]: r["failures"] for r in Q.summary(checks, tables).collect()}
     assert got == {"fk_a": 1, "fk_b": 2}
     assert got == {c.name: Q.failures(c, tables).count() for c in checks}
+
+
+def test_every_snapshot_counts_for_its_task(spark, tmp_path):
+    """The audit logs of transaction and budget set wh_loaded and wh_closed as the dimensions do."""
+    from ledgerlake.plans.queries import ctx, q_stats_by_table
+    tables = {
+        "region": ([(0, "A"), (1, "B")], "r_regionkey int, r_name string"),
+        "nation": ([(0, "N", 0), (1, "M", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(k, f"C{k}", k % 2, 10.0, "AUTO") for k in (1, 2, 5, 34)],
+                     "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        # 17 goes, 34 and 51 too, but 51 is planned and was never loaded; 5 and 10 change; 50 changes and is copied as 1000050
+        "orders": ([(k, 1, "P" if k == 51 else "O", 5.0, dt.datetime(1995, 3, 1), "1-URGENT") for k in (1, 5, 10, 17, 34, 50, 51)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+                   "o_orderpriority string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r["run_id"], r["task_name"].removeprefix("extract_and_load_")): (r["wh_loaded"], r["wh_closed"])
+           for r in q_stats_by_table(spark, str(tmp_path)).collect()}
+    assert all(v == (None, None) for (run, _), v in got.items() if run == ctx(1).run_id)
+    now = {e: v for (run, e), v in got.items() if run == ctx(2).run_id}
+    assert now["transaction"] == (4, 2)                     # 5, 10, 50 and 1000050 begin; 17 and 34 are gone
+    # budget keys are 100 * customer + month: 102, 204 and 510 are gone by k % 17 = 0; k % 5 = 0 changes; k % 50 = 0 is copied
+    keys = [100 * k + m for k in (1, 2, 5, 34) for m in range(1, 13)]
+    live = [k for k in keys if k % 17]
+    assert now["budget"] == (sum(k % 5 == 0 for k in live) + sum(k % 50 == 0 for k in keys), len(keys) - len(live))
+    assert now["subcategory"] == (1, 1) and None not in now["account"] + now["year"]

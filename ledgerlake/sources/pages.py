@@ -17,6 +17,7 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, StringType, S
                                StructType)
 
 from ledgerlake.functions.scalar import first_or_null, to_ts, ts_literal
+from ledgerlake.session import release_shuffles
 from ledgerlake.spec import EntitySpec, Prop
 
 _TEXT = ArrayType(StructType([StructField("plain_text", StringType())]))
@@ -162,18 +163,18 @@ def _responses(pages: DataFrame, page_size: int) -> DataFrame:
 
 
 def land_many(pages_by_entity: dict[str, DataFrame], root: str, page_size: int = 100) -> None:
-    """Land several entities' pages in one job: one JSON response per line
-    under ``<root>/entity=<name>/``."""
-    from functools import reduce
-    parts = [_responses(p, page_size).select(F.lit(name).alias("entity"),
-                                             F.to_json(F.struct("object", "results", "has_more", "next_cursor"))
-                                             .alias("value"))
-             for name, p in pages_by_entity.items()]
-    reduce(DataFrame.unionByName, parts).write.mode("overwrite").partitionBy("entity").text(root)
+    """Land several entities' pages, one after another, each under
+    ``<root>/entity=<name>/``: what one entity shuffles is gone before the
+    next is landed."""
+    for name, p in pages_by_entity.items():
+        land_responses(p, f"{root}/entity={name}", page_size)
+        release_shuffles(p.sparkSession)
 
 
 def land_responses(pages: DataFrame, path: str, page_size: int = 100) -> None:
     """Write pages as API responses of at most ``page_size`` pages each, one
     JSON response per line.  Pages are grouped within their partition (no
-    global ordering), so landing is parallel."""
-    _responses(pages, page_size).write.mode("overwrite").json(path)
+    global ordering), so landing is parallel.  The files are gzipped, as
+    responses repeat every property's name on every page; a file is then one
+    task, so it holds no more than one task's share of the pages."""
+    _responses(pages, page_size).write.mode("overwrite").option("compression", "gzip").json(path)
